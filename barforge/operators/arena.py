@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.core import r, sunday_week
 from barforge.operators.backtest import MODELS, _model_pnl
+from barforge.plans.sizing import require_bounded
 
 # Fixed entrant names of the reference, in its order.
 MODEL_ENTRANTS = ["1_momentum", "2_breakout", "3_volume_confirm", "4_reversal"]
@@ -115,5 +116,31 @@ def mask_eliminated(signals_long: DataFrame, log: DataFrame) -> DataFrame:
     """
     out = log.filter(F.col("status") == "ELIMINATED").groupBy("entrant_name").agg(
         F.min("week_start").alias("_out_week"))
-    j = signals_long.join(F.broadcast(out), "entrant_name", "left")
+    out = require_bounded(out, 1_000_000, "eliminated entrants")
+    j = signals_long.join(out, "entrant_name", "left")
     return j.filter(F.col("_out_week").isNull() | (F.col("date") < F.date_add("_out_week", 7))).drop("_out_week")
+
+
+def entrant_signals_long(bt: DataFrame, rule_signals: DataFrame | None) -> DataFrame:
+    """(entrant_name, date, symbol, signal in [-1, 1]) over the back-test rows.
+
+    Model entrants trade the sign of their prediction; rule entrants their
+    rule signal.  One scan with explode, like L1.
+    """
+    items = [F.struct(F.lit(name).alias("entrant_name"), F.signum(F.col(f"{m}_pred")).alias("signal"))
+             for name, m in zip(MODEL_ENTRANTS, MODELS)]
+    x = bt
+    if rule_signals is not None:
+        x = bt.join(rule_signals, ["date", "symbol"])
+        items += [F.struct(F.lit(name).alias("entrant_name"), F.col(c).alias("signal"))
+                  for name, c in RULE_ENTRANTS if c in rule_signals.columns]
+    return x.select("date", "symbol", F.explode(F.array(*items)).alias("e")).select(
+        "e.entrant_name", "date", "symbol", "e.signal")
+
+
+def arena_signals(bt: DataFrame, rule_signals: DataFrame, ensemble: DataFrame) -> DataFrame:
+    """Ten predictions per back-test row: four models, five rules, ensemble."""
+    cols = ["date", "symbol", *[f"{m}_pred" for m in MODELS]]
+    return (bt.select(*cols).join(rule_signals, ["date", "symbol"], "left")
+            .join(ensemble, ["date", "symbol"], "left")
+            .select(*cols, *[c for _, c in RULE_ENTRANTS], "ensemble_signal"))

@@ -185,3 +185,267 @@ def q_entrant_daily_pnl(spark, sf):
 def q_arena_leaderboard(spark, sf):
     """L2."""
     return lb(spark, sf)
+
+
+DOW_SQL = ("CASE WHEN next_day_return IS NULL THEN 0.0::DOUBLE WHEN _ds > 0 AND _dm IS NOT NULL THEN "
+           + O.clamp("_dm / _ds * 0.5::DOUBLE", -1, 1) + " ELSE 0.0::DOUBLE END")
+ZONE_SQL = ("CASE WHEN month_end_zone = 'month_end' AND _zm IS NOT NULL AND _zs > 0 THEN " + O.clamp("_zm / _zs * 0.5::DOUBLE", -1, 1)
+            + " WHEN month_end_zone = 'last_week' AND _zm IS NOT NULL AND _zs > 0 THEN " + O.clamp("_zm / _zs * 0.3::DOUBLE", -0.5, 0.5)
+            + " ELSE 0.0::DOUBLE END")
+
+
+@register("signal_dow", O.on_feat("SELECT date, symbol, " + O.R(DOW_SQL) + " AS dow_signal FROM rstats", RULES))
+def q_signal_dow(spark, sf):
+    """R1."""
+    return signals.signal_dow(feat(spark, sf))
+
+
+@register("signal_month_end", O.on_feat("SELECT date, symbol, " + O.R(ZONE_SQL) + " AS month_end_signal FROM rstats", RULES))
+def q_signal_month_end(spark, sf):
+    """R2 (point in time)."""
+    return signals.signal_month_end(feat(spark, sf))
+
+
+@register("signal_calm_before_storm", O.on_feat(f"SELECT date, symbol, {CALM_SQL} AS calm_before_storm_signal FROM feat"))
+def q_signal_calm(spark, sf):
+    """R3."""
+    return signals.signal_calm_before_storm(feat(spark, sf))
+
+
+@register("signal_sentiment", O.on_feat("SELECT date, symbol, " + O.R("sentiment_signal") + " AS sentiment_signal FROM rules", RULES))
+def q_signal_sentiment(spark, sf):
+    """R4 (literal, same-date market mean)."""
+    return signals.signal_sentiment(feat(spark, sf))
+
+
+@register("signal_sentiment_lagged", O.on_feat(
+    "SELECT f.date, f.symbol, " + O.R(O.clamp("p.prev_market * 3.0::DOUBLE", -1, 1)) + " AS sentiment_lagged_signal "
+    "FROM feat f JOIN (SELECT date, LAG(market_avg_return) OVER (ORDER BY date) AS prev_market FROM market) p ON f.date = p.date",
+    RULES))
+def q_signal_sentiment_lagged(spark, sf):
+    """R4b."""
+    return signals.signal_sentiment_lagged(feat(spark, sf))
+
+
+RULES_SPEC = "date symbol dow_signal:d month_end_signal:d calm_before_storm_signal:d sentiment_signal:d mean_rev_signal:d"
+
+
+@register("rule_signals", O.on_feat(f"SELECT {sel(RULES_SPEC)} FROM rules", RULES))
+def q_rule_signals(spark, sf):
+    """R1-R5 side by side."""
+    return rules(spark, sf)
+
+
+@register("ga_feature_signals", O.on_feat(
+    f"SELECT {sel('date symbol s_momentum:d s_volume:d s_reversal:d s_breakout:d next_day_return:d')} FROM fs", SCORES))
+def q_ga_feature_signals(spark, sf):
+    """G3 (also the deterministic scorer of the back-test)."""
+    return signals.ga_feature_signals(feat(spark, sf))
+
+
+SIG_CASE = """CASE
+      WHEN momentum_pred > 0 AND volume_confirm_pred > momentum_pred THEN 'STRONG_MOMENTUM'
+      WHEN breakout_pred > 2 AND volume_confirm_pred > 0 THEN 'BREAKOUT_CONFIRM'
+      WHEN momentum_pred < 0 AND reversal_pred > abs(momentum_pred) THEN 'REVERSAL_BUY'
+      WHEN momentum_pred > 0 AND reversal_pred < -0.5::DOUBLE * momentum_pred THEN 'REVERSAL_SELL'
+      ELSE 'HOLD' END"""
+SS_SPEC = "date symbol momentum_pred:d breakout_pred:d volume_confirm_pred:d reversal_pred:d"
+
+
+@register("strategy_scores", O.on_feat(f"SELECT {sel(SS_SPEC)}, {SIG_CASE} AS signal FROM scores", SCORES))
+def q_strategy_scores(spark, sf):
+    """M13 + M14 over the deterministic scores."""
+    return signals.strategy_scores(scores(spark, sf))
+
+
+@register("recent_predictions", O.on_feat(
+    f"SELECT {sel(SS_SPEC)}, {SIG_CASE} AS signal FROM scores ORDER BY date DESC, symbol LIMIT 100", SCORES))
+def q_recent_predictions(spark, sf):
+    """Newest 100 predictions (a top-k report)."""
+    s = signals.strategy_scores(scores(spark, sf))
+    return s.orderBy(F.col("date").desc(), F.col("symbol")).limit(100)
+
+
+# ====================================================================== B ==
+BT_SPEC = ("date symbol actual_return:d momentum_pred:d breakout_pred:d volume_confirm_pred:d reversal_pred:d "
+           "momentum_dir_correct breakout_dir_correct volume_confirm_dir_correct reversal_dir_correct signal")
+
+
+@register("backtest_results", O.on_feat(f"SELECT {sel(BT_SPEC)} FROM bt", SCORES, BT))
+def q_backtest_results(spark, sf):
+    """B1."""
+    return bt(spark, sf)
+
+
+def _hit_sql(m):
+    return f"sign({m}_pred) = sign(actual_return)"
+
+
+_B2 = ["COUNT(*) AS total_days", f"{O.R('AVG(actual_return)', 4)} AS avg_actual_return"]
+_B2 += [f"{O.R(f'AVG(abs({m}_pred - actual_return))', 4)} AS {m}_mae" for m in backtest.MODELS]
+_B2 += [f"{O.R(f'sqrt(AVG(pow({m}_pred - actual_return, 2)))', 4)} AS {m}_rmse" for m in backtest.MODELS]
+_B2 += [f"{O.R(f'AVG(CASE WHEN {_hit_sql(m)} THEN 1 ELSE 0 END)', 4)} AS {m}_dir_accuracy" for m in backtest.MODELS]
+_B2 += [f"{O.R(f'AVG(CASE WHEN {_hit_sql(m)} THEN actual_return ELSE 0.0::DOUBLE END)', 4)} AS {m}_avg_return_when_correct"
+        for m in backtest.MODELS]
+
+
+@register("backtest_model_summary", O.on_feat("SELECT " + ", ".join(_B2) + " FROM bt", SCORES, BT))
+def q_backtest_model_summary(spark, sf):
+    """B2."""
+    return backtest.backtest_model_summary(bt(spark, sf))
+
+
+_B3 = f"""SELECT signal, COUNT(*) AS signal_count,
+  {O.R('AVG(actual_return)', 4)} AS avg_return, {O.R('AVG(abs(actual_return))', 4)} AS avg_abs_return,
+  {O.R('AVG(CASE WHEN actual_return > 0 THEN 1 ELSE 0 END)', 4)} AS win_rate,
+  {O.R('AVG(CASE WHEN actual_return > 0 THEN actual_return END)', 4)} AS avg_win,
+  {O.R('AVG(CASE WHEN actual_return < 0 THEN actual_return END)', 4)} AS avg_loss,
+  {O.R('MIN(actual_return)', 4)} AS max_loss_single, {O.R('MAX(actual_return)', 4)} AS max_gain_single,
+  {O.R('CASE WHEN STDDEV_SAMP(actual_return) = 0 THEN 0.0::DOUBLE ELSE AVG(actual_return) / STDDEV_SAMP(actual_return) * sqrt(252.0::DOUBLE) END', 4)} AS sharpe_ratio_annualized
+FROM bt GROUP BY signal"""
+
+
+@register("backtest_signal_performance", O.on_feat(_B3, SCORES, BT))
+def q_backtest_signal_performance(spark, sf):
+    """B3."""
+    return backtest.backtest_signal_performance(bt(spark, sf))
+
+
+_SIGNAL_PNL_SQL = """CASE WHEN signal = 'HOLD' THEN 0.0::DOUBLE
+      WHEN signal IN ('STRONG_MOMENTUM', 'BREAKOUT_CONFIRM', 'REVERSAL_BUY') THEN CASE WHEN actual_return > 0 THEN actual_return ELSE -abs(actual_return) END
+      WHEN signal = 'REVERSAL_SELL' THEN CASE WHEN actual_return < 0 THEN abs(actual_return) ELSE -actual_return END
+      ELSE 0.0::DOUBLE END"""
+DPNL = ("dpnl AS (SELECT date, symbol, actual_return AS raw_return, "
+        + ", ".join(f"{_model_pnl_sql(m)} AS {m}_pnl" for m in backtest.MODELS)
+        + f", {_SIGNAL_PNL_SQL} AS signal_pnl FROM bt)")
+PNL_COLS = backtest.PNL_COLUMNS
+CUM = ("perdate AS (SELECT date, " + ", ".join(f"SUM({c}) AS {c}" for c in PNL_COLS) + " FROM dpnl GROUP BY date),\n"
+       "curve AS (SELECT date, " + ", ".join(
+           f"SUM({c}) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / 100.0::DOUBLE + 1.0::DOUBLE AS {backtest._curve_name(c)}"
+           for c in PNL_COLS) + " FROM perdate)")
+
+
+@register("backtest_daily_pnl", O.on_feat(f"SELECT {sel('date symbol ' + ' '.join(c + ':d' for c in PNL_COLS))} FROM dpnl",
+                                          SCORES, BT, DPNL))
+def q_backtest_daily_pnl(spark, sf):
+    """B4."""
+    return backtest.backtest_daily_pnl(bt(spark, sf))
+
+
+_CUM_SPEC = "date symbol " + " ".join(c + ":d" for c in PNL_COLS) + " " + " ".join(backtest._curve_name(c) + ":d" for c in PNL_COLS)
+CUMQ = "cum AS (SELECT * FROM dpnl JOIN curve USING (date))"
+
+
+@register("backtest_cumulative_returns", O.on_feat(f"SELECT {sel(_CUM_SPEC)} FROM cum", SCORES, BT, DPNL, CUM, CUMQ))
+def q_backtest_cumulative_returns(spark, sf):
+    """B5."""
+    return backtest.backtest_cumulative_returns(bt(spark, sf))
+
+
+@register("recent_cumulative", O.on_feat(f"SELECT {sel(_CUM_SPEC)} FROM cum ORDER BY date DESC, symbol LIMIT 10",
+                                         SCORES, BT, DPNL, CUM, CUMQ))
+def q_recent_cumulative(spark, sf):
+    """Newest 10 rows (top-k report)."""
+    return backtest.recent_cumulative(backtest.backtest_cumulative_returns(bt(spark, sf)), 10)
+
+
+_MDD = ("mdd_long AS (" + " UNION ALL ".join(
+    f"SELECT '{backtest._curve_name(c)}' AS curve, date, {backtest._curve_name(c)} AS value FROM curve" for c in PNL_COLS) + ")")
+
+
+@register("max_drawdown", O.on_feat(
+    "SELECT curve, " + O.R("MAX(dd)") + " AS max_drawdown FROM (SELECT curve, MAX(value) OVER (PARTITION BY curve ORDER BY date "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - value AS dd FROM mdd_long) GROUP BY curve",
+    SCORES, BT, DPNL, CUM, _MDD))
+def q_max_drawdown(spark, sf):
+    """B7."""
+    return backtest.max_drawdown(bt(spark, sf))
+
+
+# ====================================================================== L ==
+@register("leaderboard_latest_week", O.on_feat(
+    f"SELECT {sel(LB_SPEC)} FROM lb WHERE week_start = (SELECT max(week_start) FROM lb)", SCORES, BT, RULES, PNL, LB))
+def q_leaderboard_latest_week(spark, sf):
+    """L3."""
+    return arena.leaderboard_latest_week(lb(spark, sf))
+
+
+@register("leaderboard_alltime", O.on_feat(
+    f"SELECT entrant_name, {O.R('SUM(week_total_pnl)', 4)} AS total_pnl, {O.R('AVG(win_rate)', 4)} AS avg_win_rate, "
+    "COUNT(*) AS weeks FROM lb GROUP BY entrant_name ORDER BY total_pnl DESC, entrant_name LIMIT 10",
+    SCORES, BT, RULES, PNL, LB))
+def q_leaderboard_alltime(spark, sf):
+    """L4: top 10 entrants over all weeks."""
+    return arena.leaderboard_alltime(lb(spark, sf))
+
+
+SURV = f"""
+sv AS (SELECT *, CASE WHEN rolling_4w_pnl <= 0 THEN 1 ELSE 0 END AS _strike,
+         ROW_NUMBER() OVER (PARTITION BY entrant_name ORDER BY week_start) AS _rn FROM lb),
+sv2 AS (SELECT *, _rn - COALESCE(MAX(CASE WHEN _strike = 0 THEN _rn END) OVER (PARTITION BY entrant_name ORDER BY week_start
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS _run FROM sv),
+sv3 AS (SELECT *, MAX(CASE WHEN _run >= 3 THEN 1 ELSE 0 END) OVER (PARTITION BY entrant_name ORDER BY week_start
+         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _out FROM sv2),
+surv AS (SELECT week_start, entrant_name,
+  CASE WHEN _out = 1 THEN 'ELIMINATED' WHEN _run = 0 THEN 'ALIVE' ELSE 'WARNING_' || CAST(_run AS VARCHAR) END AS status,
+  week_rank, rolling_4w_pnl,
+  CASE WHEN _out = 1 THEN 'rolling 4-week P&L not positive for 3 weeks' WHEN _run > 0 THEN 'rolling 4-week P&L not positive'
+       ELSE 'rolling 4-week P&L positive' END AS reason FROM sv3)"""
+
+
+@register("survival_log", O.on_feat(f"SELECT {sel('week_start entrant_name status week_rank rolling_4w_pnl:d reason')} FROM surv",
+                                    SCORES, BT, RULES, PNL, LB, SURV))
+def q_survival_log(spark, sf):
+    """L5."""
+    return arena.survival_log(lb(spark, sf))
+
+
+SLONG = "slong AS (\n" + "\n  UNION ALL\n".join(
+    [f"  SELECT '{e}' AS entrant_name, date, symbol, CAST(sign({m}_pred) AS DOUBLE) AS signal FROM bt"
+     for e, m in zip(arena.MODEL_ENTRANTS, backtest.MODELS)]
+    + [f"  SELECT '{e}', b.date, b.symbol, r.{c} FROM bt b JOIN rules r ON b.date = r.date AND b.symbol = r.symbol"
+       for e, c in arena.RULE_ENTRANTS]) + ")"
+
+
+def slong(spark, sf):
+    return arena.entrant_signals_long(bt(spark, sf), rules(spark, sf))
+
+
+@register("mask_eliminated", O.on_feat(
+    "SELECT s.entrant_name, s.date, s.symbol, " + O.R("s.signal") + " AS signal FROM slong s LEFT JOIN "
+    "(SELECT entrant_name, min(week_start) AS ow FROM surv WHERE status = 'ELIMINATED' GROUP BY 1) o USING (entrant_name) "
+    "WHERE o.ow IS NULL OR s.date < CAST(o.ow + 7 AS DATE)", SCORES, BT, RULES, PNL, LB, SURV, SLONG))
+def q_mask_eliminated(spark, sf):
+    """L6."""
+    return arena.mask_eliminated(slong(spark, sf), arena.survival_log(lb(spark, sf)))
+
+
+ENS = f"""
+topw AS (SELECT entrant_name, CAST(week_start + 7 AS DATE) AS apply_week FROM lb WHERE week_rank <= 3),
+ens AS (SELECT s.date, s.symbol, AVG(s.signal) AS ensemble_signal FROM slong s JOIN topw t
+        ON s.entrant_name = t.entrant_name AND {O.sunday_week('s.date')} = t.apply_week GROUP BY 1, 2)"""
+
+
+def ensemble(spark, sf):
+    return signals.signal_ensemble(slong(spark, sf), lb(spark, sf))
+
+
+@register("signal_ensemble", O.on_feat("SELECT date, symbol, " + O.R("ensemble_signal") + " AS ensemble_signal FROM ens",
+                                       SCORES, BT, RULES, PNL, LB, SLONG, ENS))
+def q_signal_ensemble(spark, sf):
+    """Previous week's top-3 entrants, mean signal."""
+    return ensemble(spark, sf)
+
+
+_R7_SPEC = ("date symbol momentum_pred:d breakout_pred:d volume_confirm_pred:d reversal_pred:d dow_signal:d month_end_signal:d "
+            "calm_before_storm_signal:d sentiment_signal:d mean_rev_signal:d ensemble_signal:d")
+
+
+@register("arena_signals", O.on_feat(
+    f"SELECT {sel(_R7_SPEC)} FROM (SELECT b.date, b.symbol, b.momentum_pred, b.breakout_pred, b.volume_confirm_pred, "
+    "b.reversal_pred, r.dow_signal, r.month_end_signal, r.calm_before_storm_signal, r.sentiment_signal, r.mean_rev_signal, "
+    "e.ensemble_signal FROM bt b LEFT JOIN rules r ON b.date = r.date AND b.symbol = r.symbol "
+    "LEFT JOIN ens e ON b.date = e.date AND b.symbol = e.symbol)", SCORES, BT, RULES, PNL, LB, SLONG, ENS))
+def q_arena_signals(spark, sf):
+    """R7."""
+    return arena.arena_signals(bt(spark, sf), rules(spark, sf), ensemble(spark, sf))
