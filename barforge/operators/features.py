@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from barforge.functions.core import greatest_strict, safe_div, trailing
 
-W = Window.partitionBy("symbol").orderBy("date")
+def _W() -> Window:
+    return Window.partitionBy("symbol").orderBy("date")
 
 FEATURE_COLUMNS = [
     "date", "symbol", "open", "high", "low", "close", "volume",
@@ -50,7 +51,7 @@ LOOKBACK_YEARS = 5
 
 # ---------------------------------------------------------------- F1..F19 --
 def feat_lags(df: DataFrame, ns=LAG_DAYS) -> DataFrame:
-    return df.select("*", *[F.lag("close", n).over(W).alias(f"close_lag_{n}d") for n in ns])
+    return df.select("*", *[F.lag("close", n).over(_W()).alias(f"close_lag_{n}d") for n in ns])
 
 
 def feat_sma(df: DataFrame, ns=SMA_DAYS) -> DataFrame:
@@ -74,22 +75,22 @@ def feat_volume_ratio(df: DataFrame, n: int = VOLUME_SMA_DAYS) -> DataFrame:
 
 
 def feat_volume_change(df: DataFrame) -> DataFrame:
-    prev = F.lag("volume").over(W)
+    prev = F.lag("volume").over(_W())
     return df.select("*", prev.cast("long").alias("volume_lag_1d"),
                      (safe_div(F.col("volume") - prev, prev) * F.lit(100.0)).alias("volume_chg_pct"))
 
 
 def feat_volume_surge(df: DataFrame, ratio: float = SURGE_RATIO) -> DataFrame:
-    return df.withColumn("volume_surge_flag", safe_div("volume", F.lag("volume").over(W)) >= F.lit(ratio))
+    return df.withColumn("volume_surge_flag", safe_div("volume", F.lag("volume").over(_W())) >= F.lit(ratio))
 
 
 def feat_next_day_return(df: DataFrame) -> DataFrame:
     return df.withColumn("next_day_return",
-                         safe_div(F.lead("close").over(W) - F.col("close"), "close") * F.lit(100.0))
+                         safe_div(F.lead("close").over(_W()) - F.col("close"), "close") * F.lit(100.0))
 
 
 def _rsi(n: int) -> Column:
-    prev = F.lag("close").over(W)
+    prev = F.lag("close").over(_W())
     gain = F.when(F.col("close") > prev, F.col("close") - prev).otherwise(F.lit(0.0))
     loss = F.when(F.col("close") < prev, prev - F.col("close")).otherwise(F.lit(0.0))
     # gain/loss reference the lag, so they are computed in a layer first
@@ -113,8 +114,8 @@ def feat_volume_streak(df: DataFrame) -> DataFrame:
     the row index minus the row index of the last non-rising day, both on
     the same window spec, so no second sort is needed.
     """
-    rising = F.when(F.col("volume") > F.lag("volume").over(W), F.lit(1)).otherwise(F.lit(0))
-    x = df.select("*", rising.alias("_inc"), F.row_number().over(W).alias("_rn"))
+    rising = F.when(F.col("volume") > F.lag("volume").over(_W()), F.lit(1)).otherwise(F.lit(0))
+    x = df.select("*", rising.alias("_inc"), F.row_number().over(_W()).alias("_rn"))
     last_reset = F.max(F.when(F.col("_inc") == 0, F.col("_rn"))).over(
         W.rowsBetween(Window.unboundedPreceding, 0))
     return x.withColumn("volume_incr_streak", (F.col("_rn") - last_reset).cast("long")).drop("_inc", "_rn")
@@ -153,7 +154,7 @@ def feat_bollinger(df: DataFrame, n: int = BB_DAYS, k: float = BB_K) -> DataFram
 
 
 def feat_atr14(df: DataFrame, n: int = ATR_DAYS) -> DataFrame:
-    prev = F.lag("close").over(W)
+    prev = F.lag("close").over(_W())
     x = df.select("*", greatest_strict(F.col("high") - F.col("low"), F.abs(F.col("high") - prev),
                                        F.abs(F.col("low") - prev)).alias("_tr"))
     return x.withColumn(f"atr_{n}", F.avg("_tr").over(trailing(n))).drop("_tr")
@@ -218,12 +219,12 @@ def features_daily(bars: DataFrame, as_of=None, years: int = LOOKBACK_YEARS) ->
     if as_of is None:
         raise ValueError("as_of is required (use barforge.plans.silver.default_as_of)")
     x = feat_lookback_filter(bars, as_of, years).select("symbol", "date", "open", "high", "low", "close", "volume")
-    prev_c = F.lag("close").over(W)
-    prev_v = F.lag("volume").over(W)
+    prev_c = F.lag("close").over(_W())
+    prev_v = F.lag("volume").over(_W())
     vavg = _vol_avg(VOLUME_SMA_DAYS)
     l1 = x.select(
         "*",
-        *[F.lag("close", n).over(W).alias(f"close_lag_{n}d") for n in LAG_DAYS],
+        *[F.lag("close", n).over(_W()).alias(f"close_lag_{n}d") for n in LAG_DAYS],
         *[F.avg("close").over(trailing(n)).alias(f"sma_{n}") for n in SMA_DAYS],
         F.stddev_samp("close").over(trailing(STD_DAYS)).alias("std_20"),
         F.round(vavg).cast("long").alias("volume_sma_5"),
@@ -231,11 +232,11 @@ def features_daily(bars: DataFrame, as_of=None, years: int = LOOKBACK_YEARS) ->
         prev_v.cast("long").alias("volume_lag_1d"),
         (safe_div(F.col("volume") - prev_v, prev_v) * F.lit(100.0)).alias("volume_chg_pct"),
         (safe_div("volume", prev_v) >= F.lit(SURGE_RATIO)).alias("volume_surge_flag"),
-        (safe_div(F.lead("close").over(W) - F.col("close"), "close") * F.lit(100.0)).alias("next_day_return"),
+        (safe_div(F.lead("close").over(_W()) - F.col("close"), "close") * F.lit(100.0)).alias("next_day_return"),
         F.when(F.col("close") > prev_c, F.col("close") - prev_c).otherwise(F.lit(0.0)).alias("_gain"),
         F.when(F.col("close") < prev_c, prev_c - F.col("close")).otherwise(F.lit(0.0)).alias("_loss"),
         F.when(F.col("volume") > prev_v, F.lit(1)).otherwise(F.lit(0)).alias("_inc"),
-        F.row_number().over(W).alias("_rn"),
+        F.row_number().over(_W()).alias("_rn"),
         F.avg("close").over(trailing(MACD_FAST)).alias("_sf"),
         F.avg("close").over(trailing(MACD_SLOW)).alias("_ss"),
         greatest_strict(F.col("high") - F.col("low"), F.abs(F.col("high") - prev_c),
@@ -245,7 +246,7 @@ def features_daily(bars: DataFrame, as_of=None, years: int = LOOKBACK_YEARS) ->
     l2 = l1.select(
         "*",
         (F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + F.try_divide(ag, F.nullif(al, F.lit(0.0))))).alias("rsi_14"),
-        F.max(F.when(F.col("_inc") == 0, F.col("_rn"))).over(W.rowsBetween(Window.unboundedPreceding, 0)).alias("_reset"),
+        F.max(F.when(F.col("_inc") == 0, F.col("_rn"))).over(_W().rowsBetween(Window.unboundedPreceding, 0)).alias("_reset"),
         F.avg("_sf").over(trailing(MACD_SIGNAL)).alias("_sf9"),
         F.avg("_ss").over(trailing(MACD_SIGNAL)).alias("_ss9"),
         F.avg("_tr").over(trailing(ATR_DAYS)).alias("atr_14"),

@@ -133,7 +133,7 @@ def rule_signals_wide(feat: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- G3 scorer --
-def ga_feature_signals(feat: DataFrame) -> DataFrame:
+def ga_feature_signals(feat: DataFrame, carry: tuple = ()) -> DataFrame:
     """Four bounded feature signals over labelled rows.
 
     Values pass through r(x, 9) so that 1e-13 noise (MACD on a symbol's
@@ -150,7 +150,7 @@ def ga_feature_signals(feat: DataFrame) -> DataFrame:
         r(clamp((F.col("volume_vs_sma_ratio") - F.lit(1.0)) * F.lit(3.0), -1, 1), 9).alias("s_volume"),
         r(clamp((F.lit(50.0) - F.col("rsi_14")) / F.lit(20.0), -1, 1), 9).alias("s_reversal"),
         r(clamp(brk, -0.5, 0.5), 9).alias("s_breakout"),
-        LABEL,
+        LABEL, *carry,
     )
 
 
