@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.core import greatest_strict, safe_div, trailing
 
+
 def _W() -> Window:
     return Window.partitionBy("symbol").orderBy("date")
 
@@ -117,7 +118,7 @@ def feat_volume_streak(df: DataFrame) -> DataFrame:
     rising = F.when(F.col("volume") > F.lag("volume").over(_W()), F.lit(1)).otherwise(F.lit(0))
     x = df.select("*", rising.alias("_inc"), F.row_number().over(_W()).alias("_rn"))
     last_reset = F.max(F.when(F.col("_inc") == 0, F.col("_rn"))).over(
-        W.rowsBetween(Window.unboundedPreceding, 0))
+        _W().rowsBetween(Window.unboundedPreceding, 0))
     return x.withColumn("volume_incr_streak", (F.col("_rn") - last_reset).cast("long")).drop("_inc", "_rn")
 
 

@@ -651,3 +651,299 @@ def q_week_strategy_map(spark, sf):
 def q_ga_rolling_pnl(spark, sf):
     """X15."""
     return E.ga_rolling_pnl(ga_parts(spark, sf)["weekly"])
+
+
+# ====================================================================== A ==
+from barforge.operators import anomaly as A  # noqa: E402
+from barforge.operators import health as H  # noqa: E402
+from barforge.operators import models as M  # noqa: E402
+
+_DOWN = "CASE dayofweek(date) " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(A.DOW_NAMES)) + " END"
+_SEASON = "CASE month(date) " + " ".join(f"WHEN {m} THEN '{s}'" for m, s in A.SEASONS.items()) + " END"
+SEG = f"""
+seg AS (
+  SELECT date, symbol, close, volume, next_day_return, {O.dow('date')} AS dow, CAST(month(date) AS BIGINT) AS mth,
+    CAST(floor((dayofyear(date) + 7 - (dayofweek(date) + 1)) / 7.0) AS BIGINT) AS wk, {_DOWN} AS dow_name, month_end_zone,
+    CASE WHEN day(date) <= 7 THEN 'week1' WHEN day(date) <= 14 THEN 'week2' WHEN day(date) <= 21 THEN 'week3' ELSE 'week4' END AS month_week_zone,
+    {_SEASON} AS season
+  FROM feat WHERE next_day_return IS NOT NULL),
+unp AS (
+  SELECT 'segment' AS seg_type, 'all' AS seg_value, symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'dow', CAST(dow AS VARCHAR), symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'dow_name', dow_name, symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'month', CAST(mth AS VARCHAR), symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'month_week_zone', month_week_zone, symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'month_end_zone', month_end_zone, symbol, next_day_return, volume FROM seg
+  UNION ALL SELECT 'season', season, symbol, next_day_return, volume FROM seg),
+sagg AS (
+  SELECT seg_type, seg_value, COUNT(*) AS n, COUNT(DISTINCT symbol) AS n_symbols, AVG(next_day_return) AS _avg,
+    STDDEV_SAMP(next_day_return) AS _std,
+    AVG(next_day_return) / NULLIF(STDDEV_SAMP(next_day_return) / sqrt(COUNT(*)), 0) AS _t,
+    AVG(CASE WHEN next_day_return > 0 THEN 1 ELSE 0 END) AS _win, AVG(volume) AS _vol
+  FROM unp GROUP BY 1, 2),
+segs AS (
+  SELECT seg_type, seg_value, n, n_symbols, {O.R('_avg', 4)} AS avg_return, {O.R('_std', 4)} AS std_return,
+    {O.R('_t', 2)} AS t_stat, {O.R('_win', 4)} AS win_rate,
+    {O.R('_avg - AVG(_avg) OVER (PARTITION BY seg_type)', 6)} AS excess_return,
+    {O.R('_vol / NULLIF(AVG(_vol) OVER (PARTITION BY seg_type), 0)', 4)} AS volume_ratio,
+    {O.R('2.0::DOUBLE * (1.0::DOUBLE - ' + O.clamp('abs(_t)', 0.0001, 0.9999) + ')', 4)} AS p_value_approx
+  FROM sagg)"""
+SEGS_SPEC = "seg_type seg_value n n_symbols avg_return:d std_return:d t_stat:d win_rate:d excess_return:d volume_ratio:d p_value_approx:d"
+
+CROSS = f"""
+xb AS (SELECT next_day_return, CAST({O.dow('date')} AS VARCHAR) AS dow, CAST(month(date) AS VARCHAR) AS mth, month_end_zone,
+          CAST(quarter_end_flag AS VARCHAR) AS qe, CASE WHEN volume_surge_flag THEN 'surge' ELSE 'normal' END AS vol_mode
+       FROM feat WHERE next_day_return IS NOT NULL),
+xk AS (SELECT 'dow=' || dow || '|mend=' || month_end_zone AS segment_key, next_day_return FROM xb
+       UNION ALL SELECT 'mon=' || mth || '|qend=' || qe, next_day_return FROM xb
+       UNION ALL SELECT 'dow=' || dow || '|vol=' || vol_mode, next_day_return FROM xb),
+xseg AS (SELECT segment_key, COUNT(*) AS n, {O.R('AVG(next_day_return)', 4)} AS avg_return,
+           {O.R('AVG(CASE WHEN next_day_return > 0 THEN 1 ELSE 0 END)', 4)} AS win_rate FROM xk GROUP BY 1)"""
+
+BYSYM = f"""
+bk AS (SELECT symbol, next_day_return, 'dow' AS seg_type, CAST({O.dow('date')} AS VARCHAR) AS seg_value FROM feat WHERE next_day_return IS NOT NULL
+       UNION ALL SELECT symbol, next_day_return, 'month', CAST(month(date) AS VARCHAR) FROM feat WHERE next_day_return IS NOT NULL
+       UNION ALL SELECT symbol, next_day_return, 'month_end_zone', month_end_zone FROM feat WHERE next_day_return IS NOT NULL),
+bys AS (SELECT symbol, seg_type, seg_value, COUNT(*) AS n, {O.R('AVG(next_day_return)', 4)} AS avg_return,
+          {O.R('AVG(CASE WHEN next_day_return > 0 THEN 1 ELSE 0 END)', 4)} AS win_rate
+        FROM bk GROUP BY 1, 2, 3 HAVING COUNT(*) >= 10)"""
+
+
+@register("segment_labels", O.on_feat(
+    f"SELECT {sel('date symbol close:d volume next_day_return:d dow mth wk dow_name month_end_zone month_week_zone season')} FROM seg",
+    SEG))
+def q_segment_labels(spark, sf):
+    """A1."""
+    return A.segment_labels(feat(spark, sf))
+
+
+@register("anomaly_segments", O.on_feat(f"SELECT {sel(SEGS_SPEC)} FROM segs", SEG))
+def q_anomaly_segments(spark, sf):
+    """A2."""
+    return A.anomaly_segments(feat(spark, sf))
+
+
+@register("anomaly_cross_segments", O.on_feat(f"SELECT {sel('segment_key n avg_return:d win_rate:d')} FROM xseg", CROSS))
+def q_anomaly_cross_segments(spark, sf):
+    """A3."""
+    return A.anomaly_cross_segments(feat(spark, sf))
+
+
+@register("anomaly_by_symbol", O.on_feat(f"SELECT {sel('symbol seg_type seg_value n avg_return:d win_rate:d')} FROM bys", BYSYM))
+def q_anomaly_by_symbol(spark, sf):
+    """A4."""
+    return A.anomaly_by_symbol(feat(spark, sf))
+
+
+@register("anomaly_significant", O.on_feat(f"SELECT {sel(SEGS_SPEC)} FROM segs WHERE n >= 20 AND abs(t_stat) > 2", SEG))
+def q_anomaly_significant(spark, sf):
+    """A5."""
+    return A.anomaly_significant(A.anomaly_segments(feat(spark, sf)))
+
+
+@register("anomaly_top_cross", O.on_feat(
+    f"SELECT {sel('segment_key n avg_return:d win_rate:d')} FROM xseg WHERE n >= 10 ORDER BY avg_return DESC, segment_key LIMIT 20",
+    CROSS))
+def q_anomaly_top_cross(spark, sf):
+    """Top 20 cross segments."""
+    return A.anomaly_top_cross(A.anomaly_cross_segments(feat(spark, sf)))
+
+
+@register("anomaly_symbol_dow", O.on_feat(
+    f"SELECT {sel('symbol seg_type seg_value n avg_return:d win_rate:d')} FROM bys WHERE seg_type = 'dow' AND win_rate > 0.6", BYSYM))
+def q_anomaly_symbol_dow(spark, sf):
+    """A7."""
+    return A.anomaly_symbol_dow(A.anomaly_by_symbol(feat(spark, sf)))
+
+
+@register("dow_zone_having", O.on_feat(
+    "SELECT day_of_week AS dow, month_end_zone, " + O.R("AVG(next_day_return)") + " AS avg_return FROM feat "
+    "GROUP BY 1, 2 HAVING COUNT(*) > 100"))
+def q_dow_zone_having(spark, sf):
+    """A8."""
+    return A.dow_zone_having(feat(spark, sf))
+
+
+_SCORE_SQL = O.R(O.clamp("(volume_vs_sma_ratio - 1.0::DOUBLE) * 20.0::DOUBLE + (CASE WHEN volume_chg_pct IS NOT NULL THEN "
+                         "greatest(volume_chg_pct, 0.0::DOUBLE) END) * 0.5::DOUBLE + volume_incr_streak * 5.0::DOUBLE + "
+                         "CASE WHEN volume_surge_flag THEN 30.0::DOUBLE ELSE 0.0::DOUBLE END", 0, 100), 2)
+_ALERT = ("CASE " + " ".join(f"WHEN volume_increase_score >= {lv} THEN '{nm}'" for lv, nm in A.ALERT_LEVELS)
+          + f" ELSE '{A.ALERT_DEFAULT}' END")
+WATCH = f"""
+recent AS (SELECT * FROM feat WHERE date >= CAST((SELECT d FROM as_of) - INTERVAL 30 DAY AS DATE)),
+vw AS (
+  SELECT symbol, date, close, volume, volume_sma_5, volume_vs_sma_ratio, volume_chg_pct, volume_incr_streak, volume_surge_flag,
+    {_SCORE_SQL} AS volume_increase_score,
+    AVG(volume_chg_pct) {O.W(5)} AS avg_vol_chg_5d,
+    (close - LAG(close) {O.WS}) / NULLIF(LAG(close) {O.WS}, 0) * 100.0::DOUBLE AS price_chg_pct
+  FROM recent)"""
+
+
+@register("volume_watch", O.on_feat(
+    "SELECT symbol, date, " + O.R("close") + " AS close, volume, volume_sma_5, "
+    + O.R(O.R("volume_vs_sma_ratio", 2)) + " AS volume_vs_sma_ratio, " + O.R(O.R("volume_chg_pct", 2)) + " AS volume_chg_pct, "
+    "volume_incr_streak, volume_surge_flag, " + O.R("volume_increase_score") + " AS volume_increase_score, "
+    + O.R(O.R("avg_vol_chg_5d", 2)) + " AS avg_vol_chg_5d, " + O.R(O.R("price_chg_pct", 2)) + " AS price_chg_pct, "
+    + _ALERT + " AS alert_level FROM vw WHERE date = (SELECT max(date) FROM recent) AND volume_increase_score >= 30", WATCH))
+def q_volume_watch(spark, sf):
+    """A9 (with M7 score)."""
+    return A.volume_watch(feat(spark, sf), as_of(spark, sf))
+
+
+@register("oversold_scan", O.on_feat(
+    f"SELECT {sel('date symbol close:d rsi_14:d volume_vs_sma_ratio:d')} FROM feat WHERE rsi_14 < 30"))
+def q_oversold_scan(spark, sf):
+    """A10."""
+    return A.oversold_scan(feat(spark, sf))
+
+
+@register("daily_mean_close", O.on_bars("SELECT date, " + O.R("AVG(close)", 8) + " AS avg_close FROM bars GROUP BY date"), k=8)
+def q_daily_mean_close(spark, sf):
+    """X16 (all bars, whole history)."""
+    return A.daily_mean_close(bronze_bars(spark, sf))
+
+
+# ====================================================================== H ==
+def _health_tables(spark, sf):
+    return {
+        "bronze": {"bars": (lambda: bronze_bars(spark, sf), ["symbol", "date"], "date")},
+        "silver": {"features_daily": (lambda: feat(spark, sf), ["date", "symbol"], "date")},
+        "gold": {
+            "backtest_results": (lambda: bt(spark, sf), ["date", "symbol"], "date"),
+            "arena_leaderboard": (lambda: lb(spark, sf), ["entrant_name", "week_start"], "week_start"),
+            "ga_weekly_pnl": (lambda: ga_parts(spark, sf)["weekly"], ["gene_id", "week_start"], "week_start"),
+        },
+    }
+
+
+def _health_sql(tier, name, src, keys, dcol):
+    return (f"SELECT '{tier}' AS tier, '{name}' AS table_name, (SELECT COUNT(*) FROM {src}) AS row_count, "
+            f"(SELECT max({dcol}) FROM {src}) AS latest_date, "
+            f"(SELECT COALESCE(SUM(c - 1), 0) FROM (SELECT COUNT(*) AS c FROM {src} GROUP BY {', '.join(keys)})) AS duplicate_keys, "
+            f"(SELECT COUNT(*) FROM {src} WHERE {' OR '.join(k + ' IS NULL' for k in keys)}) AS null_keys, "
+            "NULL::VARCHAR AS error")
+
+
+_H1 = " UNION ALL ".join([
+    _health_sql("bronze", "bars", "bars", ["symbol", "date"], "date"),
+    _health_sql("silver", "features_daily", "feat", ["date", "symbol"], "date"),
+    _health_sql("gold", "backtest_results", "bt", ["date", "symbol"], "date"),
+    _health_sql("gold", "arena_leaderboard", "lb", ["entrant_name", "week_start"], "week_start"),
+    _health_sql("gold", "ga_weekly_pnl", "weekly", ["gene_id", "week_start"], "week_start"),
+])
+
+
+@register("table_health", O.on_feat("SELECT tier, table_name, CAST(row_count AS BIGINT) AS row_count, latest_date, "
+                                    "CAST(duplicate_keys AS BIGINT) AS duplicate_keys, CAST(null_keys AS BIGINT) AS null_keys, "
+                                    "error FROM (" + _H1 + ")", SCORES, BT, RULES, PNL, LB, OG.GENES, OG.SIG))
+def q_table_health(spark, sf):
+    """H1."""
+    return H.table_health(spark, _health_tables(spark, sf))
+
+
+@register("layer_rowcount_check", O.on_feat(
+    "SELECT symbol, bronze_rows, silver_rows, bronze_rows = silver_rows AS rows_match FROM "
+    "(SELECT symbol, COUNT(*) AS bronze_rows FROM b5 GROUP BY 1) JOIN (SELECT symbol, COUNT(*) AS silver_rows FROM feat GROUP BY 1) USING (symbol)"))
+def q_layer_rowcount_check(spark, sf):
+    """H2."""
+    from barforge.operators.features import feat_lookback_filter
+    return H.layer_rowcount_check(feat_lookback_filter(bronze_bars(spark, sf), as_of(spark, sf)), feat(spark, sf))
+
+
+# ====================================================================== M ==
+_NON_DOUBLE = {"date", "symbol", "volume", "volume_sma_5", "volume_lag_1d", "volume_incr_streak", "volume_surge_flag",
+               "_days_to_month_end", "month_end_zone", "quarter_end_flag", "day_of_week", "month_of_year",
+               "vol_expansion_flag", "is_eval"}
+
+
+def spec_of(cols):
+    return " ".join(c if c in _NON_DOUBLE else c + ":d" for c in cols)
+
+
+_CUT = "date < CAST((SELECT d FROM as_of) - INTERVAL 180 DAY AS DATE) AND next_day_return IS NOT NULL"
+DERIVED = f"""
+der AS (
+  SELECT *, (high - low) / NULLIF(std_20, 0) AS volatility_compression,
+    std_20 / NULLIF(LAG(std_20) {O.WS}, 0) >= 1.3::DOUBLE AS vol_expansion_flag,
+    {_SCORE_SQL} AS volume_increase_score,
+    volume_chg_pct / NULLIF(abs((close - close_lag_1d) / NULLIF(close_lag_1d, 0) * 100.0::DOUBLE), 0) AS volume_price_divergence,
+    (close - sma_20) / NULLIF(sma_20, 0) * 100.0::DOUBLE AS price_sma_distance,
+    abs(rsi_14 - 50.0::DOUBLE) AS rsi_extremity
+  FROM feat)"""
+
+
+def _register_train_set(strategy):
+    cols = ["date", "symbol"] + [c for c in M.STRATEGY_FEATURES[strategy] if c != "symbol"] + ["next_day_return"]
+
+    @register(f"train_set_{strategy}", O.on_feat(f"SELECT {sel(spec_of(cols))} FROM feat WHERE {_CUT}"))
+    def q(spark, sf):
+        return M.train_set(feat(spark, sf), strategy, as_of(spark, sf))
+    q.__doc__ = f"M1-M5 training set for {strategy}."
+
+
+def _register_variant(strategy):
+    cols = ["date"] + M.VARIANT_FEATURES[strategy] + ["next_day_return"]
+
+    @register(f"train_set_variant_{strategy}", O.on_feat(f"SELECT {sel(spec_of(cols))} FROM der WHERE {_CUT}", DERIVED))
+    def q(spark, sf):
+        return M.train_set_variant(feat(spark, sf), strategy, as_of(spark, sf))
+    q.__doc__ = f"M17 variant training set for {strategy}."
+
+
+for _s in ["momentum", "breakout", "volume_confirm", "reversal", "full"]:
+    _register_train_set(_s)
+for _s in ["momentum", "breakout", "volume_confirm", "reversal"]:
+    _register_variant(_s)
+
+_DER_COLS = ["date", "symbol", "volatility_compression", "vol_expansion_flag", "volume_increase_score",
+             "volume_price_divergence", "price_sma_distance", "rsi_extremity"]
+
+
+@register("derived_features", O.on_feat(f"SELECT {sel(spec_of(_DER_COLS))} FROM der", DERIVED))
+def q_derived_features(spark, sf):
+    """M6-M9."""
+    return M.with_derived(feat(spark, sf)).select(*_DER_COLS)
+
+
+@register("train_eval_split", O.on_feat(
+    "SELECT date, symbol, " + OG.U(OG.q("split"), "symbol", "date") + " < 0.2::DOUBLE AS is_eval FROM feat WHERE " + _CUT))
+def q_train_eval_split(spark, sf):
+    """Deterministic 80/20 hold-out flag over the full training set."""
+    return M.train_eval_split(M.train_set(feat(spark, sf), "full", as_of(spark, sf))).select("date", "symbol", "is_eval")
+
+
+# MLlib models: rows-only checks (no SQL equivalent of a trained ensemble).
+def _model(spark, sf, strategy, max_iter=50):
+    tr = M.train_set(feat(spark, sf), strategy, as_of(spark, sf))
+    feats = [c for c in M.STRATEGY_FEATURES[strategy]]
+    return M.gbt_train(tr, feats, max_iter=max_iter), tr, feats
+
+
+def _holdout(spark, sf):
+    f = feat(spark, sf)
+    return f.filter(F.col("date") >= F.date_sub(F.lit(as_of(spark, sf)).cast("date"), M.HOLDOUT_DAYS))
+
+
+@register("gbt_global_importance", raw=True)
+def q_gbt_global_importance(spark, sf):
+    """M10 + M15: train the momentum model (50 iterations), feature importances."""
+    model, _, feats = _model(spark, sf, "momentum")
+    return M.global_importance(model, feats)
+
+
+@register("gbt_strategy_scores", raw=True)
+def q_gbt_strategy_scores(spark, sf):
+    """M10 + M12 + M13: four models scored over the hold-out window, composite signal."""
+    rows = _holdout(spark, sf)
+    out = rows.select("date", "symbol")
+    for strategy in ["momentum", "breakout", "volume_confirm", "reversal"]:
+        model, _, feats = _model(spark, sf, strategy)
+        out = out.join(M.gbt_predict(model, rows, feats, f"{strategy}_pred"), ["date", "symbol"], "left")
+    return signals.strategy_scores(out)
+
+
+@register("gbt_local_explain", raw=True)
+def q_gbt_local_explain(spark, sf):
+    """Top-10 leave-one-out attributions per hold-out row (momentum model)."""
+    model, tr, feats = _model(spark, sf, "momentum")
+    return M.local_explain_topk(model, _holdout(spark, sf), tr, feats, 10)
