@@ -947,3 +947,178 @@ def q_gbt_local_explain(spark, sf):
     """Top-10 leave-one-out attributions per hold-out row (momentum model)."""
     model, tr, feats = _model(spark, sf, "momentum")
     return M.local_explain_topk(model, _holdout(spark, sf), tr, feats, 10)
+
+
+# ====================================================================== S ==
+import json as _json  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from barforge.plans.storage import scratch_path  # noqa: E402
+from barforge.sources import bronze as SB  # noqa: E402
+from barforge.sources import files as SF  # noqa: E402
+
+BAR_SPEC = "symbol date open:d high:d low:d close:d volume"
+
+
+def _fresh(spark, name):
+    return scratch_path(spark, f"{name}-{_uuid.uuid4().hex[:8]}")
+
+
+@register("bronze_csv_scan", O.on_bars(f"SELECT {sel(BAR_SPEC)} FROM bars"))
+def q_bronze_csv_scan(spark, sf):
+    """Bars written as per-symbol CSV (plus a '_combined' copy Spark must skip), read back."""
+    path = _fresh(spark, "csv")
+    b = bronze_bars(spark, sf)
+    SF.write_bars_csv(b, path)
+    SF.write_bars_csv(b, path + "/_combined")
+    return SF.read_bars_csv(spark, path).select("symbol", "date", "open", "high", "low", "close", "volume")
+
+
+@register("bronze_json_scan", O.on_bars(f"SELECT {sel(BAR_SPEC)} FROM bars WHERE day(date) <> 31"))
+def q_bronze_json_scan(spark, sf):
+    """Quote records as JSON lines with an unknown field; lines of day-31 bars are truncated
+    (malformed) and must be dropped."""
+    path = _fresh(spark, "json")
+    b = SF.with_payload(bronze_bars(spark, sf))
+    js = F.to_json(F.struct("symbol", "open", "high", "low", "close", "volume",
+                            F.col("date").cast("timestamp").alias("timestamp"), "_raw_json",
+                            F.lit("x").alias("unknown_field")))
+    line = F.when(F.dayofmonth("date") == 31, F.expr("substring(_js, 1, length(_js) - 7)")).otherwise(F.col("_js"))
+    b.select("date", js.alias("_js")).select(line.alias("value")).write.mode("overwrite").text(path)
+    q = SF.read_quotes_json(spark, path)
+    return q.select("symbol", F.to_date("timestamp").alias("date"), "open", "high", "low", "close", "volume")
+
+
+@register("bronze_wide_to_long", O.on_bars(f"SELECT {sel('date symbol open:d high:d low:d close:d volume')} FROM bars"))
+def q_bronze_wide_to_long(spark, sf):
+    """S3: the wide download layout (field x ticker columns) back to long bars."""
+    b = bronze_bars(spark, sf)
+    symbols = sorted(r[0] for r in b.select("symbol").distinct().collect())   # bounded: one per ticker
+    return SF.wide_to_long(SF.bars_to_wide(b, symbols), symbols + ["NO_SUCH_TICKER"])
+
+
+_CUT_OLD = "CAST((SELECT d FROM as_of) - INTERVAL 25 DAY AS DATE)"
+
+
+def _split(spark, sf):
+    b = bronze_bars(spark, sf)
+    a = F.lit(as_of(spark, sf)).cast("date")
+    return b.filter(F.col("date") < F.date_sub(a, 25)), b.filter(F.col("date") >= F.date_sub(a, 30))
+
+
+@register("bronze_incremental_append", O.on_bars(f"SELECT {sel(BAR_SPEC)} FROM bars"))
+def q_bronze_incremental_append(spark, sf):
+    """Stored bars + an overlapping incoming batch; only new keys are appended."""
+    existing, incoming = _split(spark, sf)
+    path = _fresh(spark, "bronze")
+    existing.write.mode("overwrite").parquet(path)
+    return SB.append_to_table(path, incoming, spark).select("symbol", "date", "open", "high", "low", "close", "volume")
+
+
+@register("bronze_high_watermark", O.on_bars(
+    f"SELECT symbol, CAST(max(date) + 1 AS DATE) AS fetch_start, (SELECT d FROM as_of) AS fetch_end, "
+    f"CAST(max(date) + 1 AS DATE) < (SELECT d FROM as_of) AS needs_fetch FROM bars WHERE date < {_CUT_OLD} GROUP BY symbol"))
+def q_bronze_high_watermark(spark, sf):
+    """Next fetch window per symbol from the stored bars."""
+    existing, _ = _split(spark, sf)
+    return SB.next_fetch_window(existing, existing.select("symbol").distinct(), as_of(spark, sf))
+
+
+@register("bronze_dedupe", O.on_bars(
+    f"SELECT {sel(BAR_SPEC)}, CASE WHEN date >= CAST((SELECT d FROM as_of) - INTERVAL 30 DAY AS DATE) THEN 2 ELSE 1 END AS _load FROM bars"))
+def q_bronze_dedupe(spark, sf):
+    """A blind second load of the last 30 days; the newest load wins per key."""
+    b = bronze_bars(spark, sf)
+    a = F.lit(as_of(spark, sf)).cast("date")
+    first = b.select("*", F.lit(1).alias("_load"), F.lit("2001-01-01 00:00:00").cast("timestamp").alias("_inserted_at"))
+    second = b.filter(F.col("date") >= F.date_sub(a, 30)).select(
+        "*", F.lit(2).alias("_load"), F.lit("2001-06-01 00:00:00").cast("timestamp").alias("_inserted_at"))
+    return SB.dedupe_bars(first.unionByName(second)).drop("_inserted_at")
+
+
+TICKS = """ticks_e AS (SELECT event_type AS symbol, ts, value AS price, CAST(1 AS BIGINT) AS size, event_id AS tick_id FROM events)"""
+
+
+@register("bars_resample_ticks_1h", O.with_ctes(TICKS, body=(
+    "SELECT symbol, date_trunc('hour', ts) AS bar_start, " + O.R("arg_min(price, (ts, tick_id))") + " AS open, "
+    + O.R("max(price)") + " AS high, " + O.R("min(price)") + " AS low, " + O.R("arg_max(price, (ts, tick_id))")
+    + " AS close, CAST(SUM(size) AS BIGINT) AS volume FROM ticks_e GROUP BY 1, 2")))
+def q_bars_resample_ticks_1h(spark, sf):
+    """Hourly OHLCV bars from tick rows (the events table)."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    return SB.resample_ticks(SB.events_as_ticks(ev), "hour")
+
+
+@register("bars_resample_weekly", O.on_bars(
+    f"SELECT symbol, {O.sunday_week('date')} AS period_start, {O.R('arg_min(open, date)')} AS open, {O.R('max(high)')} AS high, "
+    f"{O.R('min(low)')} AS low, {O.R('arg_max(close, date)')} AS close, CAST(SUM(volume) AS BIGINT) AS volume, COUNT(*) AS n_days "
+    "FROM bars GROUP BY 1, 2"))
+def q_bars_resample_weekly(spark, sf):
+    """Daily bars to Sunday-week bars."""
+    return SB.resample_bars(bronze_bars(spark, sf), "week")
+
+
+@register("bars_resample_monthly", O.on_bars(
+    f"SELECT symbol, CAST(date_trunc('month', date) AS DATE) AS period_start, {O.R('arg_min(open, date)')} AS open, "
+    f"{O.R('max(high)')} AS high, {O.R('min(low)')} AS low, {O.R('arg_max(close, date)')} AS close, "
+    "CAST(SUM(volume) AS BIGINT) AS volume, COUNT(*) AS n_days FROM bars GROUP BY 1, 2"))
+def q_bars_resample_monthly(spark, sf):
+    """Daily bars to calendar-month bars."""
+    return SB.resample_bars(bronze_bars(spark, sf), "month")
+
+
+@register("trading_calendar", O.on_bars(
+    "SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series((SELECT min(date) FROM bars), (SELECT max(date) FROM bars), "
+    "INTERVAL 1 DAY)) AS d) WHERE dayofweek(d) NOT IN (0, 6)"))
+def q_trading_calendar(spark, sf):
+    """Weekdays between the first and last bar."""
+    return SB.trading_calendar(bronze_bars(spark, sf))
+
+
+@register("symbol_calendar_grid", O.on_bars(
+    "SELECT g.symbol, g.date, b.symbol IS NULL AS missing_bar FROM (SELECT symbol, CAST(unnest(generate_series(min(date), max(date), "
+    "INTERVAL 1 DAY)) AS DATE) AS date FROM bars GROUP BY symbol) g LEFT JOIN bars b ON g.symbol = b.symbol AND g.date = b.date "
+    "WHERE dayofweek(g.date) NOT IN (0, 6)"))
+def q_symbol_calendar_grid(spark, sf):
+    """Dense symbol x weekday grid with missing-bar flags."""
+    return SB.symbol_calendar_grid(bronze_bars(spark, sf))
+
+
+@register("payload_json", O.on_bars("SELECT symbol, date, 'lineitem-bars' AS provider, CAST(date AS VARCHAR) AS fetched_at FROM bars"))
+def q_payload_json(spark, sf):
+    """JSON payload written and parsed back."""
+    return SF.parse_payload(SF.with_payload(bronze_bars(spark, sf))).select("symbol", "date", "provider", "fetched_at")
+
+
+@register("silver_upsert", O.on_feat(f"SELECT {sel(FEAT_SPEC)} FROM feat"))
+def q_silver_upsert(spark, sf):
+    """Silver rows older than the cut are stored; the full feature batch is merged in (insert only)."""
+    f = feat(spark, sf)
+    a = F.lit(as_of(spark, sf)).cast("date")
+    path = _fresh(spark, "silver")
+    f.filter(F.col("date") < F.date_sub(a, 25)).write.mode("overwrite").parquet(path)
+    return SB.append_to_table(path, f, spark, keys=["date", "symbol"]).select(*f.columns)
+
+
+@register("table_sink", O.on_feat(f"SELECT {sel(LB_SPEC)} FROM lb", SCORES, BT, RULES, PNL, LB))
+def q_table_sink(spark, sf):
+    """The leaderboard rebuilt as a gold table and read back."""
+    path = _fresh(spark, "gold_lb")
+    SF.write_gold(lb(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+_PERS = _json.loads(SB.PERSONAS_JSON)
+_PERS_VALUES = ", ".join(
+    "('{}', '{}', '{}', '{}', '{}')".format(k, v["name"], v["title"].replace("'", "''"), v["emoji"], v["color"]) for k, v in _PERS.items())
+
+
+@register("persona_join", O.on_feat(
+    f"SELECT {sel(LB_SPEC)}, persona_name, persona_title, persona_emoji, persona_color FROM (SELECT lb.*, "
+    f"COALESCE(p.name, lb.entrant_name) AS persona_name, COALESCE(p.title, '') AS persona_title, "
+    f"COALESCE(p.emoji, '{SB.DEFAULT_PERSONA['emoji']}') AS persona_emoji, COALESCE(p.color, '{SB.DEFAULT_PERSONA['color']}') AS persona_color "
+    f"FROM lb LEFT JOIN (VALUES {_PERS_VALUES}) p(p_entrant, name, title, emoji, color) ON lb.entrant_name = p.p_entrant)",
+    SCORES, BT, RULES, PNL, LB))
+def q_persona_join(spark, sf):
+    """Leaderboard with persona fields from the JSON dictionary."""
+    return SB.persona_join(lb(spark, sf), SB.persona_dim(spark))
