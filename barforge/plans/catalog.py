@@ -1122,3 +1122,71 @@ _PERS_VALUES = ", ".join(
 def q_persona_join(spark, sf):
     """Leaderboard with persona fields from the JSON dictionary."""
     return SB.persona_join(lb(spark, sf), SB.persona_dim(spark))
+
+
+# ====================================================================== T ==
+from barforge.streaming import pipelines as T  # noqa: E402
+
+
+def _events_source(spark, sf, name, slices=4):
+    """Tick files in event-time order: each time slice is written by its own job, in
+    order, so file modification times follow event time as in a live feed."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    src = _fresh(spark, name) + "/feed"
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()      # two scalars
+    step = (hi - lo) / slices
+    for i in range(slices):
+        a = lo + step * i
+        cond = (F.col("ts") >= F.lit(a)) if i else F.lit(True)
+        if i < slices - 1:
+            cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
+        ev.filter(cond).coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(src)
+    return ev, src
+
+
+@register("stream_ticks_to_bars", O.with_ctes(TICKS, body=(
+    "SELECT symbol, date_trunc('hour', ts) AS bar_start, " + O.R("arg_min(price, (ts, tick_id))") + " AS open, "
+    + O.R("max(price)") + " AS high, " + O.R("min(price)") + " AS low, " + O.R("arg_max(price, (ts, tick_id))")
+    + " AS close, CAST(SUM(size) AS BIGINT) AS volume FROM ticks_e GROUP BY 1, 2")))
+def q_stream_ticks_to_bars(spark, sf):
+    """Streamed hourly bars (complete mode) equal the batch resample S7."""
+    ev, src = _events_source(spark, sf, "t1src")
+    return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1out"), _fresh(spark, "t1ckpt"))
+
+
+@register("stream_dedupe", O.with_ctes(TICKS, body="SELECT symbol, ts, " + O.R("price") + " AS price, tick_id FROM ticks_e"))
+def q_stream_dedupe(spark, sf):
+    """The last day of ticks is delivered twice; duplicates within the watermark are dropped."""
+    ev, src = _events_source(spark, sf, "t2src")
+    last = ev.agg(F.max("ts")).first()[0]
+    import datetime as _dtm
+    # re-delivery of the last 12 hours, arriving after everything else
+    ev.filter(F.col("ts") >= F.lit(last - _dtm.timedelta(hours=12))).coalesce(1).write.mode("append").parquet(src)
+    return T.stream_dedupe(spark, src, ev.schema, _fresh(spark, "t2out"), _fresh(spark, "t2ckpt"))
+
+
+@register("stream_bronze_to_silver", O.on_feat(f"SELECT {sel(FEAT_SPEC)} FROM feat"))
+def q_stream_bronze_to_silver(spark, sf):
+    """Bars arrive as four time-ordered files; each micro-batch appends new keys to bronze and
+    rebuilds silver for the touched symbols; the final silver equals the batch feature table."""
+    b = bronze_bars(spark, sf)
+    src = _fresh(spark, "t3src")
+    b.repartitionByRange(4, "date").write.mode("overwrite").parquet(src)
+    a = as_of(spark, sf)
+    out = T.stream_bronze_to_silver(spark, src, b.schema, _fresh(spark, "t3bronze"), _fresh(spark, "t3silver"),
+                                    _fresh(spark, "t3ckpt"), lambda hist: features_daily(hist, a))
+    return out.select(*[c for c in out.columns if c != "symbol"][:1], "symbol",
+                      *[c for c in out.columns if c not in ("symbol",)][1:])
+
+
+@register("stream_bad_rows", O.on_bars(f"SELECT {sel(BAR_SPEC)} FROM bars WHERE day(date) <> 31"))
+def q_stream_bad_rows(spark, sf):
+    """T4: streamed quote lines; malformed lines (day-31 bars, truncated) go to quarantine, the rest to bronze."""
+    path = _fresh(spark, "t4src")
+    b = SF.with_payload(bronze_bars(spark, sf))
+    js = F.to_json(F.struct("symbol", "open", "high", "low", "close", "volume",
+                            F.col("date").cast("timestamp").alias("timestamp"), "_raw_json"))
+    line = F.when(F.dayofmonth("date") == 31, F.expr("substring(_js, 1, length(_js) - 7)")).otherwise(F.col("_js"))
+    b.select("date", js.alias("_js")).repartitionByRange(3, "date").select(line.alias("value")).write.mode("overwrite").text(path)
+    good, _bad = T.stream_bad_rows(spark, path, _fresh(spark, "t4good"), _fresh(spark, "t4bad"), _fresh(spark, "t4ckpt"))
+    return good.select("symbol", F.to_date("timestamp").alias("date"), "open", "high", "low", "close", "volume")
