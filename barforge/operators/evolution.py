@@ -125,7 +125,8 @@ def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL) -> Dat
            + F.coalesce("s_volume", F.lit(0.0)) * F.col("w_volume")
            + F.coalesce("s_reversal", F.lit(0.0)) * F.col("w_reversal")
            + F.coalesce("s_breakout", F.lit(0.0)) * F.col("w_breakout"))
-    extra = [c for c in ("close",) if c in fs.columns]
+    std = {"date", "symbol", "s_momentum", "s_volume", "s_reversal", "s_breakout", "next_day_return"}
+    extra = [c for c in fs.columns if c not in std]
     return j.select("date", "symbol", "gene_id", "generation", "strategy_name", "threshold", "stop_loss",
                     "take_profit", "max_hold_days", "max_positions", r(raw, 9).alias("raw_signal"), "next_day_return",
                     "s_momentum", "s_volume", "s_reversal", "s_breakout", *extra)

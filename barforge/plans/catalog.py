@@ -1190,3 +1190,168 @@ def q_stream_bad_rows(spark, sf):
     b.select("date", js.alias("_js")).repartitionByRange(3, "date").select(line.alias("value")).write.mode("overwrite").text(path)
     good, _bad = T.stream_bad_rows(spark, path, _fresh(spark, "t4good"), _fresh(spark, "t4bad"), _fresh(spark, "t4ckpt"))
     return good.select("symbol", F.to_date("timestamp").alias("date"), "open", "high", "low", "close", "volume")
+
+
+# ====================================================================== X ==
+from barforge.operators import extra as X  # noqa: E402
+
+
+def _screened(spark, sf):
+    p = ga_parts(spark, sf)
+    fs = signals.ga_feature_signals(X.with_bar_index(p["feat"]), carry=("close", "volume_vs_sma_ratio", "bar_idx"))
+    return X.screen_positions(E.ga_signals(fs, p["genes"])), p
+
+
+SCREEN = f"""
+sigx AS (SELECT s.gene_id, s.date, s.symbol, s.raw_signal, s.close, f.volume_vs_sma_ratio, f.bar_idx FROM sig s JOIN
+         (SELECT date, symbol, volume_vs_sma_ratio, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) AS bar_idx FROM feat) f
+         ON s.date = f.date AND s.symbol = f.symbol),
+c1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_id, date ORDER BY abs(raw_signal) DESC, symbol) AS _r
+       FROM sigx WHERE raw_signal <> 0) WHERE _r <= 20 AND volume_vs_sma_ratio > 0.5 AND close > 100),
+c2 AS (SELECT *, bar_idx - ROW_NUMBER() OVER (PARTITION BY gene_id, symbol ORDER BY bar_idx) AS _run FROM c1),
+c3 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_id, symbol, _run ORDER BY bar_idx) AS _pos FROM c2)
+       WHERE _pos % 2 = 1),
+scr AS (SELECT date, gene_id, symbol, raw_signal, CASE WHEN raw_signal > 0 THEN 'LONG' ELSE 'SHORT' END AS side,
+          abs(raw_signal) AS signal_strength, screen_rank FROM
+        (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY gene_id, date ORDER BY abs(raw_signal) DESC, symbol) AS BIGINT) AS screen_rank
+         FROM c3) WHERE screen_rank <= 3)"""
+
+
+@register("screen_positions", O.on_feat(
+    f"SELECT {sel('date gene_id symbol raw_signal:d side signal_strength:d screen_rank')} FROM scr", *GA, SCREEN))
+def q_screen_positions(spark, sf):
+    """X1."""
+    return _screened(spark, sf)[0]
+
+
+_PNL_X = ("CASE WHEN side = 'LONG' THEN (bar_close - entry_price) / entry_price * 100.0::DOUBLE "
+          "ELSE (entry_price - bar_close) / entry_price * 100.0::DOUBLE END")
+TLOG = f"""
+bx AS (SELECT symbol, date, close, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) AS bar_idx,
+         {O.sunday_week('LEAD(date) OVER (PARTITION BY symbol ORDER BY date)')} <> {O.sunday_week('date')} AS _low FROM feat),
+px AS (SELECT s.gene_id, s.symbol, s.date AS entry_date, s.side, b.close AS entry_price, b.bar_idx AS entry_idx,
+         g.stop_loss, g.take_profit, least(g.max_hold_days, 21) AS hold
+       FROM scr s JOIN bx b ON s.symbol = b.symbol AND s.date = b.date JOIN genes g ON s.gene_id = g.gene_id),
+fan AS (SELECT px.*, k FROM px, LATERAL (SELECT unnest(range(1, greatest(px.hold, 1) + 1)) AS k)),
+fut AS (SELECT f.*, b.date AS bar_date, b.close AS bar_close, b._low, r.side AS _pside
+        FROM fan f JOIN bx b ON f.symbol = b.symbol AND b.bar_idx = f.entry_idx + f.k
+        LEFT JOIN scr r ON r.gene_id = f.gene_id AND r.symbol = f.symbol AND r.date = b.date),
+fut2 AS (SELECT *, {_PNL_X} AS pnl FROM fut),
+hits AS (SELECT * FROM (SELECT gene_id, symbol, entry_date, k, bar_date, bar_close, pnl,
+   CASE WHEN pnl <= -stop_loss OR pnl >= take_profit THEN 'TP_SL'
+        WHEN _pside IS NOT NULL AND _pside <> side THEN 'SIGNAL_REVERSAL'
+        WHEN _low AND {O.sunday_week('bar_date')} = {O.sunday_week('entry_date')} THEN 'WEEK_END'
+        WHEN k = hold THEN 'MAX_HOLD' END AS exit_reason FROM fut2) WHERE exit_reason IS NOT NULL),
+fh AS (SELECT gene_id, symbol, entry_date, arg_min(bar_date, k) AS exit_date, arg_min(bar_close, k) AS exit_price,
+         arg_min(pnl, k) AS pnl, arg_min(exit_reason, k) AS exit_reason FROM hits GROUP BY 1, 2, 3),
+tlog AS (SELECT p.entry_date AS date, p.gene_id, p.symbol, p.side AS signal_type, p.entry_price, h.exit_date, h.exit_price,
+           h.pnl, h.exit_reason, {O.sunday_week('p.entry_date')} AS week_start
+         FROM px p LEFT JOIN fh h ON p.gene_id = h.gene_id AND p.symbol = h.symbol AND p.entry_date = h.entry_date)"""
+
+
+def _tlog(spark, sf):
+    scr, p = _screened(spark, sf)
+    return X.trade_log(scr, p["genes"], p["feat"])
+
+
+@register("trade_log", O.on_feat(
+    f"SELECT {sel('date gene_id symbol signal_type entry_price:d exit_date exit_price:d pnl:d exit_reason week_start')} FROM tlog",
+    *GA, SCREEN, TLOG))
+def q_trade_log(spark, sf):
+    """X2."""
+    return _tlog(spark, sf)
+
+
+@register("pnl_by_exit_reason", O.on_feat(
+    "SELECT gene_id, exit_reason, " + O.R("AVG(pnl)") + " AS avg_pnl, COUNT(*) AS n_trades FROM tlog "
+    "WHERE exit_reason IS NOT NULL GROUP BY 1, 2", *GA, SCREEN, TLOG))
+def q_pnl_by_exit_reason(spark, sf):
+    """X14."""
+    return X.pnl_by_exit_reason(_tlog(spark, sf))
+
+
+_CAL = ", ".join([f"dayofweek(date) = {i} AS dow_{n}" for i, n in enumerate(X.DOWS)]
+                 + [f"month(date) = {i + 1} AS month_{n}" for i, n in enumerate(X.MONTHS)]
+                 + ["CAST(floor((dayofyear(date) + 7 - (dayofweek(date) + 1)) / 7.0) AS BIGINT) AS week_of_year",
+                    "CAST(day(date) - 1 AS BIGINT) AS days_from_month_start", "CAST(quarter(date) AS BIGINT) AS quarter",
+                    "(month(date) IN (3, 6, 9, 12) AND date_diff('day', date, last_day(date)) <= 7) AS quarter_end_week"])
+
+
+@register("calendar_dummies", O.on_feat(f"SELECT date, symbol, {_CAL} FROM feat"))
+def q_calendar_dummies(spark, sf):
+    """X7."""
+    return X.calendar_dummies(feat(spark, sf))
+
+
+HOL = ("hol AS (SELECT make_date(CAST(y AS BIGINT), m, d) AS h FROM (SELECT unnest(range(min(year(date)), max(year(date)) + 1)) AS y FROM feat), "
+       "(VALUES " + ", ".join(f"({m}, {d})" for m, d in X.FIXED_HOLIDAYS) + ") t(m, d))")
+
+
+@register("preholiday_return", O.on_feat(
+    "SELECT date, symbol, next_holiday, " + O.R("next_day_return") + " AS next_day_return, "
+    + O.R("AVG(next_day_return) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)")
+    + " AS preholiday_return_avg FROM (SELECT * FROM (SELECT date, symbol, next_day_return, "
+    "LEAD(date) OVER (PARTITION BY symbol ORDER BY date) AS nb, (SELECT min(h) FROM hol WHERE h > f.date) AS next_holiday "
+    "FROM feat f) WHERE next_holiday IS NOT NULL AND (nb IS NULL OR nb >= next_holiday))", HOL))
+def q_preholiday_return(spark, sf):
+    """Holidays by rule (Jan 1, Jul 4, Dec 25) over the data span."""
+    f = feat(spark, sf)
+    return X.preholiday_return(f, X.holidays_for(f))
+
+
+@register("sq_week", O.on_feat(
+    "SELECT date, symbol, sq_date, CAST(bar_idx - _sq_idx AS BIGINT) AS sq_offset, COALESCE(abs(bar_idx - _sq_idx) <= 5, false) AS sq_week "
+    "FROM (SELECT *, MIN(CASE WHEN date >= sq_date THEN bar_idx END) OVER (PARTITION BY symbol, date_trunc('month', date)) AS _sq_idx "
+    "FROM (SELECT date, symbol, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) AS bar_idx, "
+    "CAST(date_trunc('month', date) AS DATE) + CAST((12 - dayofweek(date_trunc('month', date))) % 7 + 7 AS INTEGER) AS sq_date FROM feat))"))
+def q_sq_week(spark, sf):
+    """X9."""
+    return X.sq_week(feat(spark, sf))
+
+
+@register("event_gap", O.on_bars(
+    "SELECT date, symbol, is_event, CAST(date_diff('day', date, first_value(CASE WHEN is_event THEN date END IGNORE NULLS) OVER "
+    "(PARTITION BY symbol ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS BIGINT) AS days_to_event, "
+    "CAST(date_diff('day', last_value(CASE WHEN is_event THEN date END IGNORE NULLS) OVER (PARTITION BY symbol ORDER BY date "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), date) AS BIGINT) AS days_since_event, "
+    "CASE WHEN is_event THEN " + O.R("(open - pc) / NULLIF(pc, 0) * 100.0::DOUBLE") + " END AS event_gap_pct FROM "
+    "(SELECT *, ROW_NUMBER() OVER (PARTITION BY symbol, date_trunc('quarter', date) ORDER BY date) = 1 AS is_event, "
+    "LAG(close) OVER (PARTITION BY symbol ORDER BY date) AS pc FROM bars)"))
+def q_event_gap(spark, sf):
+    """events = first bar per (symbol, quarter), whole history."""
+    return X.event_gap(bronze_bars(spark, sf))
+
+
+@register("advance_decline", O.on_feat(
+    "SELECT date, CAST(SUM(CASE WHEN close > close_lag_1d THEN 1 ELSE 0 END) AS BIGINT) AS advancers, "
+    "CAST(SUM(CASE WHEN close < close_lag_1d THEN 1 ELSE 0 END) AS BIGINT) AS decliners, "
+    "CAST(SUM(CASE WHEN close = close_lag_1d THEN 1 ELSE 0 END) AS BIGINT) AS unchanged, "
+    + O.R("CAST(SUM(CASE WHEN close > close_lag_1d THEN 1 ELSE 0 END) AS DOUBLE) / NULLIF(SUM(CASE WHEN close < close_lag_1d THEN 1 ELSE 0 END), 0)")
+    + " AS ad_ratio FROM feat GROUP BY date"))
+def q_advance_decline(spark, sf):
+    """X11."""
+    return X.advance_decline(feat(spark, sf))
+
+
+_RET = "(close - close_lag_1d) / NULLIF(close_lag_1d, 0) * 100.0::DOUBLE"
+_W20 = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+
+
+@register("rolling_index_corr", O.on_feat(
+    f"SELECT date, symbol, {O.R('ret')} AS ret, {O.R('index_ret')} AS index_ret, "
+    + O.R(f"covar_samp(ret, index_ret) {_W20} / NULLIF(stddev_samp(ret) {_W20} * stddev_samp(index_ret) {_W20}, 0)")
+    + f" AS index_corr FROM (SELECT r.*, i.index_ret FROM (SELECT date, symbol, {_RET} AS ret FROM feat) r JOIN "
+    f"(SELECT date, AVG({_RET}) AS index_ret FROM feat GROUP BY date) i ON r.date = i.date)"))
+def q_rolling_index_corr(spark, sf):
+    """X12."""
+    return X.rolling_index_corr(feat(spark, sf))
+
+
+@register("sector_strength", O.on_feat(
+    f"SELECT date, symbol, sector, {O.R('ret')} AS ret, {O.R('sector_ret')} AS sector_ret, {O.R('ret - sector_ret')} AS relative_strength "
+    f"FROM (SELECT x.*, AVG(ret) OVER (PARTITION BY sector, date) AS sector_ret FROM (SELECT f.date, f.symbol, s.sector, {_RET} AS ret "
+    "FROM feat f JOIN (SELECT n.n_name AS symbol, r.r_name AS sector FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey) s "
+    "ON f.symbol = s.symbol) x)"))
+def q_sector_strength(spark, sf):
+    """sector = region of the symbol's nation."""
+    return X.sector_strength(feat(spark, sf), X.symbol_sectors(spark, sf))
