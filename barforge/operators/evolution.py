@@ -107,10 +107,18 @@ def week_types(feat: DataFrame) -> DataFrame:
     )
 
 
-def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL) -> DataFrame:
+ROWS_PER_TASK = 1_000_000   # target fanned-out rows per task in G4/G5
+
+
+def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL,
+               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Every gene x every labelled row: weighted sum of the four signals.
 
-    ``fs`` is G3 output (optionally with ``close`` carried along).
+    ``fs`` is G3 output (optionally with extra columns carried along).  The
+    by-date repartition gets an explicit partition count sized for the
+    fan-out (rows x genes / rows_per_task): AQE would otherwise coalesce the
+    small pre-fan-out shuffle into very few tasks and one task would sort
+    the whole fanned-out set.
     """
     pool = genes.select("gene_id", "generation", "strategy_name", "threshold", "stop_loss", "take_profit",
                         "max_hold_days", "max_positions", "w_momentum", "w_volume", "w_reversal", "w_breakout")
@@ -119,7 +127,10 @@ def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL) -> Dat
     if n > max_pool:
         raise ValueError(f"gene pool has more than {max_pool} genes; evolve islands separately")
     pool = F.broadcast(pool)
-    rows = fs.repartition("date").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
+    spark = fs.sparkSession
+    base = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    parts = max(base, -(-fs.count() * max(n, 1) // rows_per_task))
+    rows = fs.repartition(parts, "date").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
     j = rows.join(pool, "slot").drop("slot")
     raw = (F.coalesce("s_momentum", F.lit(0.0)) * F.col("w_momentum")
            + F.coalesce("s_volume", F.lit(0.0)) * F.col("w_volume")
