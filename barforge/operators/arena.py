@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.core import r, sunday_week
 from barforge.operators.backtest import MODELS, _model_pnl
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import broadcast_by_construction
 
 # Fixed entrant names of the reference, in its order.
 MODEL_ENTRANTS = ["1_momentum", "2_breakout", "3_volume_confirm", "4_reversal"]
@@ -116,7 +116,7 @@ def mask_eliminated(signals_long: DataFrame, log: DataFrame) -> DataFrame:
     """
     out = log.filter(F.col("status") == "ELIMINATED").groupBy("entrant_name").agg(
         F.min("week_start").alias("_out_week"))
-    out = require_bounded(out, 1_000_000, "eliminated entrants")
+    out = broadcast_by_construction(out, "one row per eliminated entrant")
     j = signals_long.join(out, "entrant_name", "left")
     return j.filter(F.col("_out_week").isNull() | (F.col("date") < F.date_add("_out_week", 7))).drop("_out_week")
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from barforge.functions.core import r
 from barforge.operators.signals import LABEL, MAX_DATES, strategy_signal
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import broadcast_by_construction
 
 MODELS = ["momentum", "breakout", "volume_confirm", "reversal"]
 BACKTEST_DAYS = 180
@@ -110,7 +110,7 @@ def backtest_cumulative_returns(bt: DataFrame) -> DataFrame:
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     curve = per_date.select("date", *[(F.sum(c).over(w) / F.lit(100.0) + F.lit(1.0)).alias(_curve_name(c))
                                       for c in PNL_COLUMNS])
-    curve = require_bounded(curve, MAX_DATES, "cumulative curve")
+    curve = broadcast_by_construction(curve, "one row per calendar day of the back-test window (180 days)")
     return pnl.join(curve, "date").select("date", "symbol", *PNL_COLUMNS, *[_curve_name(c) for c in PNL_COLUMNS])
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import clamp, r, sunday_week, u01
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import estimated_bytes, require_bounded
 
 WEIGHTS = ["w_momentum", "w_volume", "w_reversal", "w_breakout", "w_dow", "w_monthend", "w_sentiment", "w_mean_rev"]
 INT_GENES = ["max_positions", "max_hold_days"]
@@ -46,6 +46,27 @@ GENE_SCHEMA_COLS = (["gene_id", "generation", "parent_a", "parent_b", "strategy_
                     + ["fitness", "n_trades", "win_rate", "weekly_pnl"])
 
 
+# --- expression text (one py4j call per column instead of hundreds) -------
+def _lit_sql(p) -> str:
+    if isinstance(p, str) and p.startswith("@"):
+        return f"CAST({p[1:]} AS STRING)"          # '@col' refers to a column
+    return "'" + str(p).replace("'", "''") + "'"
+
+
+def u01_sql(*parts) -> str:
+    """Same value as functions.core.u01, as Spark SQL text."""
+    key = "concat_ws('|', " + ", ".join(_lit_sql(p) for p in parts) + ")"
+    return f"(CAST(CAST(conv(substring(md5({key}), 1, 8), 16, 10) AS BIGINT) AS DOUBLE) / 4294967296.0D)"
+
+
+def _r_sql(x: str, k: int = 9) -> str:
+    return f"(CAST(floor(CAST({x} AS DOUBLE) * {float(10 ** k)}D + 0.5D) AS DOUBLE) / {float(10 ** k)}D)"
+
+
+def _clamp_sql(x: str, lo: float, hi: float) -> str:
+    return f"(CASE WHEN ({x}) IS NOT NULL THEN least({float(hi)}D, greatest({float(lo)}D, {x})) END)"
+
+
 def _gene_row(df: DataFrame) -> DataFrame:
     """Fixed gene schema (Q7: every kind of individual gets the same columns)."""
     casts = {"gene_id": "long", "generation": "long", "parent_a": "long", "parent_b": "long",
@@ -57,17 +78,18 @@ def _gene_row(df: DataFrame) -> DataFrame:
 def _random_genes(gen, seed: int, purpose: str, int_rule: str) -> list:
     """Column expressions for a fresh random individual.
 
-    int_rule 'round' (SQL cast: half away from zero) or 'trunc' (Python int()).
+    ``gen`` is an int or '@generation'; int_rule 'round' (SQL cast: half away
+    from zero) or 'trunc' (Python int()).
     """
     cols = []
     for w in WEIGHTS:
-        cols.append((u01(seed, gen, F.col("slot"), w, purpose) * F.lit(WEIGHT_SCALE[w])).alias(w))
+        cols.append(F.expr(f"{u01_sql(seed, gen, '@slot', w, purpose)} * {WEIGHT_SCALE[w]}D").alias(w))
     for g in ["threshold", "max_positions", "stop_loss", "take_profit", "max_hold_days"]:
         base, span = INIT_RANGES[g]
-        v = F.lit(float(base)) + u01(seed, gen, F.col("slot"), g, purpose) * F.lit(float(span))
+        v = f"({float(base)}D + {u01_sql(seed, gen, '@slot', g, purpose)} * {float(span)}D)"
         if g in INT_GENES:
-            v = (F.round(v) if int_rule == "round" else F.floor(v)).cast("long")
-        cols.append(v.alias(g))
+            v = f"CAST({'round' if int_rule == 'round' else 'floor'}({v}) AS BIGINT)"
+        cols.append(F.expr(v).alias(g))
     return cols
 
 
@@ -111,7 +133,7 @@ ROWS_PER_TASK = 1_000_000   # target fanned-out rows per task in G4/G5
 
 
 def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL,
-               rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+               rows_per_task: int = ROWS_PER_TASK, bytes_per_task: int = 64 * 1024 * 1024) -> DataFrame:
     """Every gene x every labelled row: weighted sum of the four signals.
 
     ``fs`` is G3 output (optionally with extra columns carried along).  The
@@ -129,7 +151,11 @@ def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL,
     pool = F.broadcast(pool)
     spark = fs.sparkSession
     base = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    parts = max(base, -(-fs.count() * max(n, 1) // rows_per_task))
+    est = estimated_bytes(fs)
+    if est is not None and est < (1 << 50):
+        parts = max(base, -(-est * max(n, 1) // bytes_per_task))      # metadata estimate, no job
+    else:
+        parts = max(base, -(-fs.count() * max(n, 1) // rows_per_task))
     rows = fs.repartition(parts, "date").withColumn("slot", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1)))))
     j = rows.join(pool, "slot").drop("slot")
     raw = (F.coalesce("s_momentum", F.lit(0.0)) * F.col("w_momentum")
@@ -210,32 +236,25 @@ def ga_select_parents(scored: DataFrame, k: int = SELECTION) -> DataFrame:
         "parent_rank", F.row_number().over(w)).filter(F.col("parent_rank") <= k)
 
 
-def _normal(seed, gen, slot, gene, purpose):
-    """Box-Muller standard normal from two hashed uniforms, rounded to 9 digits."""
-    u1 = F.lit(1.0) - u01(seed, gen, slot, gene, purpose + "_n1")
-    u2 = u01(seed, gen, slot, gene, purpose + "_n2")
-    return r(F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2), 9)
-
-
-def _mutated(c: str, seed, gen, slot, purpose: str, rate=MUTATION_RATE, sd=MUTATION_STD):
-    hit = u01(seed, gen, slot, c, purpose + "_hit") < F.lit(rate)
+def _mutated_sql(c: str, seed, purpose: str, rate=MUTATION_RATE, sd=MUTATION_STD) -> str:
+    """One gene value after mutation with probability ``rate`` (Box-Muller normal, rounded to 9)."""
+    u = lambda tag: u01_sql(seed, "@generation", "@slot", c, purpose + tag)
     if c in INT_GENES:
-        pick = F.floor(u01(seed, gen, slot, c, purpose + "_delta") * F.lit(4.0)).cast("int")
-        delta = F.element_at(F.array(*[F.lit(d) for d in INT_DELTAS]), pick + 1)
         lo, hi = CLIP[c]
-        new = F.greatest(F.lit(lo), F.least(F.lit(hi), F.col(c) + delta)).cast("long")
+        delta = f"element_at(array({', '.join(str(d) for d in INT_DELTAS)}), CAST(floor({u('_delta')} * 4.0D) AS INT) + 1)"
+        new = f"CAST(greatest({lo}, least({hi}, {c} + {delta})) AS BIGINT)"
     else:
         lo, hi = (0.0, 1.0) if c in WEIGHTS else CLIP[c]
-        new = r(clamp(F.col(c) + _normal(seed, gen, slot, c, purpose) * F.lit(sd), lo, hi), 9)
-    return F.when(hit, new).otherwise(F.col(c))
+        normal = _r_sql(f"sqrt(-2.0D * ln(1.0D - {u('_n1')})) * cos({2.0 * math.pi!r}D * {u('_n2')})")
+        new = _r_sql(_clamp_sql(f"{c} + {normal} * {float(sd)}D", lo, hi))
+    return f"CASE WHEN {u('_hit')} < {float(rate)}D THEN {new} ELSE {c} END"
 
 
 def ga_mutate(genes: DataFrame, seed: int = 7, purpose: str = "mut", rate: float = MUTATION_RATE,
               sd: float = MUTATION_STD) -> DataFrame:
     """Each gene value mutates with probability ``rate``.  Needs 'slot'
     (any per-row integer) and 'generation' columns to seed the draws."""
-    gen, slot = F.col("generation"), F.col("slot")
-    return genes.select(*[_mutated(c, seed, gen, slot, purpose, rate, sd).alias(c) if c in GENE_COLS else F.col(c)
+    return genes.select(*[F.expr(_mutated_sql(c, seed, purpose, rate, sd)).alias(c) if c in GENE_COLS else F.col(c)
                           for c in genes.columns])
 
 
@@ -257,11 +276,11 @@ def ga_crossover(slots: DataFrame, parents: DataFrame, seed: int = 7) -> DataFra
     x = slots.withColumn("_r1", pick1).withColumn("_r2", pick2).join(p1, "_r1").join(p2, "_r2")
     cols = []
     for c in GENE_COLS:
-        u = u01(seed, gen, F.col("slot"), c, "cross")
+        u = u01_sql(seed, "@generation", "@slot", c, "cross")
         if c in INT_GENES:
-            cols.append(F.when(u < 0.5, F.col(f"_a_{c}")).otherwise(F.col(f"_b_{c}")).alias(c))
+            cols.append(F.expr(f"CASE WHEN {u} < 0.5D THEN _a_{c} ELSE _b_{c} END").alias(c))
         else:
-            cols.append(r(F.col(f"_a_{c}") * u + F.col(f"_b_{c}") * (F.lit(1.0) - u), 9).alias(c))
+            cols.append(F.expr(_r_sql(f"_a_{c} * {u} + _b_{c} * (1.0D - {u})")).alias(c))
     return x.select(*[c for c in slots.columns], "parent_a", "parent_b", *cols)
 
 
@@ -272,6 +291,12 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
     New ids continue from the current max id, in the reference's order.
     """
     spark = current.sparkSession
+    # The scored generation is one row per gene: write it to the checkpoint
+    # folder once so the elite / child / mutant branches read that table
+    # instead of each re-running the signal -> position -> P&L chain.
+    from barforge.plans.storage import checkpoint_dir
+    checkpoint_dir(spark)
+    current = current.checkpoint(eager=True)
     # two scalars (generation, max id) are all that pass through the driver
     g, maxid = current.agg(F.max("generation"), F.max("gene_id")).first()
     parents = ga_select_parents(current)
@@ -302,7 +327,7 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
 
     rnd = slots.filter(F.col("kind") == "random").select(
         *base, F.lit(None).cast("long").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"),
-        *_random_genes(F.col("generation"), seed, "random", "trunc"))
+        *_random_genes("@generation", seed, "random", "trunc"))
 
     allg = elites.unionByName(children).unionByName(mutants).unionByName(rnd)
     out = allg.select(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import r, safe_div, sunday_week
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import bounded_broadcast, broadcast_by_construction, require_bounded
 
 LABEL = "next_day_return"
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -132,7 +132,7 @@ def preholiday_return(feat: DataFrame, holidays: DataFrame, n: int = 4) -> DataF
     w = Window.orderBy(F.col("date"), F.col("holiday").asc_nulls_last()).rowsBetween(1, Window.unboundedFollowing)
     nxt = cal.select("date", F.first("holiday", ignorenulls=True).over(w).alias("next_holiday")).groupBy("date") \
         .agg(F.min("next_holiday").alias("next_holiday"))
-    nxt = require_bounded(nxt, 1_000_000, "calendar")
+    nxt = broadcast_by_construction(nxt, "one row per calendar day of the silver window")
     ws = Window.partitionBy("symbol").orderBy("date")
     x = feat.select("date", "symbol", LABEL, F.lead("date").over(ws).alias("_next_bar")).join(nxt, "date", "left")
     pre = F.col("next_holiday").isNotNull() & (F.col("_next_bar").isNull() | (F.col("_next_bar") >= F.col("next_holiday")))
@@ -186,7 +186,7 @@ def rolling_index_corr(feat: DataFrame, n: int = 20) -> DataFrame:
     """Rolling correlation of each symbol's daily return with the equal-weight index."""
     ret = safe_div(F.col("close") - F.col("close_lag_1d"), "close_lag_1d") * 100.0
     x = feat.select("date", "symbol", ret.alias("ret"))
-    idx = require_bounded(x.groupBy("date").agg(F.avg("ret").alias("index_ret")), 1_000_000, "index")
+    idx = broadcast_by_construction(x.groupBy("date").agg(F.avg("ret").alias("index_ret")), "one row per calendar day")
     j = x.join(idx, "date")
     w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(n - 1), 0)
     # corr() raises on zero variance under ANSI; covariance / (std x std) with try_divide gives NULL
@@ -198,7 +198,7 @@ def rolling_index_corr(feat: DataFrame, n: int = 20) -> DataFrame:
 def sector_strength(feat: DataFrame, sectors: DataFrame) -> DataFrame:
     """Symbol daily return minus its sector's mean return that day."""
     ret = safe_div(F.col("close") - F.col("close_lag_1d"), "close_lag_1d") * 100.0
-    s = require_bounded(sectors.select("symbol", "sector"), 1_000_000, "sector map")
+    s = bounded_broadcast(sectors.select("symbol", "sector"))
     x = feat.select("date", "symbol", ret.alias("ret")).join(s, "symbol")
     sec = x.groupBy("sector", "date").agg(F.avg("ret").alias("sector_ret"))
     return x.join(sec, ["sector", "date"]).select("date", "symbol", "sector", "ret", "sector_ret",

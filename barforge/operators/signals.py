@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import clamp, r, safe_div
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import broadcast_by_construction, require_bounded
 
 # Fixed values of the reference's rules.
 DOW_LOOKBACK, DOW_GAIN = 20, 0.5
@@ -27,6 +27,7 @@ SENTIMENT_GAIN = 3.0
 MEAN_REV_RULES = [("<", 30, 0.1, 1.0), ("<", 35, 0.2, 0.5), (">", 70, 0.9, -1.0), (">", 65, 0.8, -0.5)]
 # Bound on the date-level market table that is broadcast back (days).
 MAX_DATES = 200_000
+DATE_BOUND = "one row per calendar day of the feature look-back window (5 years: <= 1,827 rows)"
 
 LABEL = "next_day_return"
 
@@ -81,7 +82,7 @@ def market_daily(feat: DataFrame) -> DataFrame:
 
 def signal_sentiment(feat: DataFrame, gain: float = SENTIMENT_GAIN) -> DataFrame:
     """R4 (literal): same-date market mean label x gain.  Uses future returns (look-ahead)."""
-    m = require_bounded(market_daily(feat), MAX_DATES, "market_daily")
+    m = broadcast_by_construction(market_daily(feat), DATE_BOUND)
     return feat.select("date", "symbol").join(m, "date").select(
         "date", "symbol", clamp(F.col("market_avg_return") * F.lit(gain), -1, 1).alias("sentiment_signal"))
 
@@ -91,7 +92,7 @@ def signal_sentiment_lagged(feat: DataFrame, gain: float = SENTIMENT_GAIN) -> Da
     m = market_daily(feat)
     # the date table holds one row per calendar day: a global window on it is small
     prev = m.select("date", F.lag("market_avg_return").over(Window.orderBy("date")).alias("prev_market"))
-    prev = require_bounded(prev, MAX_DATES, "market_daily")
+    prev = broadcast_by_construction(prev, DATE_BOUND)
     return feat.select("date", "symbol").join(prev, "date").select(
         "date", "symbol", clamp(F.col("prev_market") * F.lit(gain), -1, 1).alias("sentiment_lagged_signal"))
 
@@ -123,7 +124,7 @@ def rule_signals_wide(feat: DataFrame) -> DataFrame:
     me = (F.when((F.col("month_end_zone") == "month_end") & ok, clamp(z * F.lit(MONTH_END_GAIN), -MONTH_END_CAP, MONTH_END_CAP))
           .when((F.col("month_end_zone") == "last_week") & ok, clamp(z * F.lit(LAST_WEEK_GAIN), -LAST_WEEK_CAP, LAST_WEEK_CAP))
           .otherwise(F.lit(0.0)))
-    m = require_bounded(market_daily(feat), MAX_DATES, "market_daily")
+    m = broadcast_by_construction(market_daily(feat), DATE_BOUND)
     return x.join(m, "date").select(
         "date", "symbol",
         dow.alias("dow_signal"), me.alias("month_end_signal"), calm_expr().alias("calm_before_storm_signal"),
@@ -196,7 +197,7 @@ def signal_ensemble(signals_long: DataFrame, leaderboard: DataFrame, top: int =
     from barforge.functions.core import sunday_week
     lb = leaderboard.filter(F.col("week_rank") <= top).select(
         "entrant_name", F.date_add("week_start", 7).alias("_apply_week"))
-    lb = require_bounded(lb, MAX_DATES, "leaderboard top entrants")
+    lb = broadcast_by_construction(lb, "top entrants x weeks of the back-test window (3 x 27)")
     s = signals_long.withColumn("_apply_week", sunday_week("date"))
     return (s.join(lb, ["entrant_name", "_apply_week"])
             .groupBy("date", "symbol").agg(F.avg("signal").alias("ensemble_signal")))

@@ -17,6 +17,7 @@ from barforge.plans.storage import materialize
 from barforge.sources.bars import bars_from_tables
 
 _AS_OF: dict[tuple, object] = {}
+_SILVER: dict[tuple, DataFrame] = {}
 
 
 def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,5 +42,8 @@ def silver_features(spark: SparkSession, sf_dir: str, as_of=None, years: int = L
         return (feat.withColumn("year_month", F.date_format("date", "yyyy-MM"))
                 .repartition("year_month").sortWithinPartitions("symbol", "date"))
 
-    df = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build, partition_by=["year_month"])
-    return df.drop("year_month")
+    key = (spark.sparkContext.applicationId, sf_dir, str(as_of), years)
+    if key not in _SILVER:
+        df = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build, partition_by=["year_month"])
+        _SILVER[key] = df.drop("year_month")
+    return _SILVER[key]

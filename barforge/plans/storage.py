@@ -16,6 +16,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 _MEMO: dict[tuple, str] = {}
+_FRAMES: dict[tuple, DataFrame] = {}
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -43,6 +44,9 @@ def _key_path(spark: SparkSession, layer: str, key: tuple) -> str:
 def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by=None) -> DataFrame:
     """Write ``build()`` once per (session, layer, key) and read it back."""
     memo_key = (spark.sparkContext.applicationId, layer, key)
+    if memo_key in _FRAMES:
+        # same DataFrame object: no repeated file listing / partition discovery
+        return _FRAMES[memo_key]
     path = _MEMO.get(memo_key)
     if path is None:
         path = _key_path(spark, layer, key)
@@ -51,7 +55,9 @@ def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by
             w = w.partitionBy(*partition_by)
         w.parquet(path)
         _MEMO[memo_key] = path
-    return spark.read.parquet(path)
+    df = spark.read.parquet(path)
+    _FRAMES[memo_key] = df
+    return df
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
-from barforge.plans.sizing import require_bounded
+from barforge.plans.sizing import broadcast_by_construction
 
 KEY = ["symbol", "date"]
 
@@ -123,7 +123,7 @@ def persona_dim(spark, personas_json: str = PERSONAS_JSON) -> DataFrame:
 
 def persona_join(lb: DataFrame, personas: DataFrame) -> DataFrame:
     """Leaderboard rows with persona fields; unknown entrants get the default persona."""
-    dim = require_bounded(personas, 100_000, "persona dictionary")
+    dim = broadcast_by_construction(personas, "one row per entry of the persona dictionary")
     j = lb.join(dim, "entrant_name", "left")
     return j.select(*lb.columns,
                     F.coalesce("name", "entrant_name").alias("persona_name"),
