@@ -1355,3 +1355,98 @@ def q_rolling_index_corr(spark, sf):
 def q_sector_strength(spark, sf):
     """sector = region of the symbol's nation."""
     return X.sector_strength(feat(spark, sf), X.symbol_sectors(spark, sf))
+
+
+# ============================================ F1..F19 as separate operators ==
+from barforge.operators import features as FT  # noqa: E402
+
+FEATURE_OPS = {
+    "feat_lags": (FT.feat_lags, "close_lag_1d:d close_lag_5d:d close_lag_20d:d"),
+    "feat_sma": (FT.feat_sma, "sma_5:d sma_20:d sma_60:d"),
+    "feat_std20": (FT.feat_std20, "std_20:d"),
+    "feat_volume_sma5": (FT.feat_volume_sma5, "volume_sma_5"),
+    "feat_volume_ratio": (FT.feat_volume_ratio, "volume_vs_sma_ratio:d"),
+    "feat_volume_change": (FT.feat_volume_change, "volume_lag_1d volume_chg_pct:d"),
+    "feat_volume_surge": (FT.feat_volume_surge, "volume_surge_flag"),
+    "feat_next_day_return": (FT.feat_next_day_return, "next_day_return:d"),
+    "feat_rsi14": (FT.feat_rsi14, "rsi_14:d"),
+    "feat_volume_streak": (FT.feat_volume_streak, "volume_incr_streak"),
+    "feat_macd": (FT.feat_macd, "macd_line:d macd_signal:d macd_histogram:d"),
+    "feat_bollinger": (FT.feat_bollinger, "bb_upper:d bb_lower:d bb_pct_b:d bb_bandwidth:d"),
+    "feat_atr14": (FT.feat_atr14, "atr_14:d"),
+    "feat_days_to_month_end": (FT.feat_days_to_month_end, "_days_to_month_end"),
+    "feat_month_end_zone": (FT.feat_month_end_zone, "month_end_zone"),
+    "feat_quarter_end": (FT.feat_quarter_end, "quarter_end_flag"),
+    "feat_calendar": (FT.feat_calendar, "day_of_week month_of_year"),
+}
+
+
+def bars_in_window(spark, sf):
+    """bronze bars restricted to the 5 years before as_of (before any window)."""
+    return FT.feat_lookback_filter(bronze_bars(spark, sf), as_of(spark, sf)).select(
+        "symbol", "date", "open", "high", "low", "close", "volume")
+
+
+def _register_feature_op(key, fn, spec):
+    cols = [t.split(":")[0] for t in spec.split()]
+
+    @register(key, O.on_feat(f"SELECT date, symbol, {sel(spec)} FROM feat"))
+    def q(spark, sf):
+        return fn(bars_in_window(spark, sf)).select("date", "symbol", *cols)
+    q.__doc__ = f"{key} on the bars of the look-back window."
+
+
+for _k, (_fn, _spec) in FEATURE_OPS.items():
+    _register_feature_op(_k, _fn, _spec)
+
+
+@register("feat_lookback_filter", O.on_feat(f"SELECT {sel(BAR_SPEC)} FROM b5"))
+def q_feat_lookback_filter(spark, sf):
+    """F18."""
+    return bars_in_window(spark, sf)
+
+
+@register("feat_numeric_contract", raw=True)
+def q_feat_numeric_contract(spark, sf):
+    """the at-rest contract (decimal(38,9) numerics + audit timestamp); rows-only check."""
+    return FT.feat_numeric_contract(feat(spark, sf))
+
+
+# ====================================== M6-M9 and G11/G12 as separate keys ==
+for _key, _fn, _cols in [
+    ("derived_breakout_features", M.derived_breakout_features, ["volatility_compression", "vol_expansion_flag"]),
+    ("volume_increase_score", M.volume_increase_score, ["volume_increase_score"]),
+    ("volume_price_divergence", M.volume_price_divergence, ["volume_price_divergence"]),
+    ("derived_reversal_features", M.derived_reversal_features, ["price_sma_distance", "rsi_extremity"]),
+]:
+    def _mk(key, fn, cols):
+        @register(key, O.on_feat(f"SELECT {sel(spec_of(['date', 'symbol'] + cols))} FROM der", DERIVED))
+        def q(spark, sf):
+            return fn(feat(spark, sf)).select("date", "symbol", *cols)
+        q.__doc__ = f"{key} (M6-M9)."
+    _mk(_key, _fn, _cols)
+
+_CHILD_SPEC = "slot generation kind kind_idx parent_a parent_b " + GSPEC
+
+
+def _cross_children(spark, sf, mutate: bool):
+    cur = ga_parts(spark, sf)["cur"]
+    g, maxid = cur.agg(F.max("generation"), F.max("gene_id")).first()
+    slots = (spark.range(E.ELITES + 1, E.ELITES + E.CHILDREN + 1).withColumnRenamed("id", "slot")
+             .withColumn("_maxid", F.lit(int(maxid)).cast("long")).withColumn("generation", F.lit(int(g) + 1).cast("long"))
+             .withColumn("kind", F.lit("child")).withColumn("kind_idx", F.col("slot") - E.ELITES))
+    x = E.ga_crossover(slots, E.ga_select_parents(cur), OG.SEED_EVOLVE)
+    x = E.ga_mutate(x, OG.SEED_EVOLVE, "child_mut") if mutate else x
+    return x.drop("_maxid")
+
+
+@register("ga_crossover", O.on_feat(f"SELECT {sel(_CHILD_SPEC)} FROM crossed", *GA, OG.NEXTGEN))
+def q_ga_crossover(spark, sf):
+    """Three children of hashed parent picks (before mutation)."""
+    return _cross_children(spark, sf, False)
+
+
+@register("ga_mutate", O.on_feat(f"SELECT {sel(_CHILD_SPEC)} FROM children", *GA, OG.NEXTGEN))
+def q_ga_mutate(spark, sf):
+    """The children after mutation."""
+    return _cross_children(spark, sf, True)
