@@ -160,6 +160,19 @@ def gbt_train(train: DataFrame, features: list[str], label: str = LABEL, max_ite
     return model
 
 
+def gbt_train_many(jobs: dict, max_workers: int = 4, **kw) -> dict:
+    """Fit several independent models at once (name -> (train_df, features)).
+
+    Each fit is a sequence of small MLlib jobs; submitting the fits from
+    driver threads lets the scheduler overlap them instead of idling
+    between one model's iterations.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max_workers) as ex:
+        futs = {name: ex.submit(gbt_train, tr, feats, **kw) for name, (tr, feats) in jobs.items()}
+        return {name: f.result() for name, f in futs.items()}
+
+
 def gbt_predict(model: PipelineModel, rows: DataFrame, features: list[str], out_col: str) -> DataFrame:
     """(date, symbol, out_col) for ``rows``."""
     data = _numeric_view(rows, features)

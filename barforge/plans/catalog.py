@@ -935,11 +935,16 @@ def q_gbt_global_importance(spark, sf):
 def q_gbt_strategy_scores(spark, sf):
     """M10 + M12 + M13: four models scored over the hold-out window, composite signal."""
     rows = _holdout(spark, sf)
-    out = rows.select("date", "symbol")
-    for strategy in ["momentum", "breakout", "volume_confirm", "reversal"]:
-        model, _, feats = _model(spark, sf, strategy)
-        out = out.join(M.gbt_predict(model, rows, feats, f"{strategy}_pred"), ["date", "symbol"], "left")
-    return signals.strategy_scores(out)
+    strategies = ["momentum", "breakout", "volume_confirm", "reversal"]
+    f, a = feat(spark, sf), as_of(spark, sf)
+    models = M.gbt_train_many({s: (M.train_set(f, s, a), M.STRATEGY_FEATURES[s]) for s in strategies})
+    # score in one pass: each model's transform appends its own prediction column
+    data = M._numeric_view(rows, sorted({c for s in strategies for c in M.STRATEGY_FEATURES[s]}))
+    base_cols, preds = data.columns, []
+    for s in strategies:
+        preds.append(f"{s}_pred")
+        data = models[s].transform(data).withColumnRenamed("prediction", preds[-1]).select(*base_cols, *preds)
+    return signals.strategy_scores(data.select("date", "symbol", *[f"{s}_pred" for s in strategies]))
 
 
 @register("gbt_local_explain", raw=True)
