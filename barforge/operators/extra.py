@@ -59,39 +59,54 @@ def trade_log(pos: DataFrame, genes: DataFrame, bars: DataFrame) -> DataFrame:
     that hits stop-loss/take-profit, a reversed position of the same gene,
     the last bar of the entry week, or the holding limit.
 
-    pos: (date, gene_id, symbol, side); bars: (symbol, date, close) of the
-    whole history.  Positions without any exit bar stay open (exit NULL).
+    pos: (date, gene_id, symbol, side); bars: (symbol, date, close).
+    Plan: the next opposite-side position of the same (gene, symbol) is a
+    forward ``first(ignorenulls)`` over the positions (no self join); each
+    position fans out over at most ``hold`` future bar indexes, joined to the
+    bars (one row per symbol and day, broadcast after a size check); the
+    first exit is one partially aggregated ``min_by`` per position.
+    Positions with no exit bar stay open (exit NULL).
     """
     b = with_bar_index(bars.select("symbol", "date", "close"))
     b = b.withColumn("_last_of_week", sunday_week(F.lead("date").over(Window.partitionBy("symbol").orderBy("date")))
                      != sunday_week("date"))
+    bb = bounded_broadcast(b)
     g = require_bounded(genes.select("gene_id", "stop_loss", "take_profit", "max_hold_days"), 100_000, "genes")
-    p = (pos.select("date", "gene_id", "symbol", "side").join(b.select("symbol", "date", "bar_idx", "close"), ["symbol", "date"])
-         .join(g, "gene_id")
-         .select("gene_id", "symbol", F.col("date").alias("entry_date"), "side", F.col("close").alias("entry_price"),
+    p = (pos.select("date", "gene_id", "symbol", "side").join(bb.select("symbol", "date", "bar_idx", "close"), ["symbol", "date"])
+         .join(g, "gene_id"))
+    # explicit count: AQE would coalesce this small shuffle into one task, which
+    # would then also run the (up to 21x) fan-out below; the window reuses it
+    spark = pos.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    p = p.repartition(parts, "gene_id", "symbol")
+    wnext = Window.partitionBy("gene_id", "symbol").orderBy("bar_idx").rowsBetween(1, Window.unboundedFollowing)
+    nxt_long = F.first(F.when(F.col("side") == "LONG", F.col("bar_idx")), ignorenulls=True).over(wnext)
+    nxt_short = F.first(F.when(F.col("side") == "SHORT", F.col("bar_idx")), ignorenulls=True).over(wnext)
+    p = p.select("gene_id", "symbol", F.col("date").alias("entry_date"), "side", F.col("close").alias("entry_price"),
                  F.col("bar_idx").alias("entry_idx"), "stop_loss", "take_profit",
-                 F.least(F.col("max_hold_days"), F.lit(MAX_HOLD_LIMIT)).alias("hold")))
+                 F.least(F.col("max_hold_days"), F.lit(MAX_HOLD_LIMIT)).alias("hold"),
+                 F.when(F.col("side") == "LONG", nxt_short).otherwise(nxt_long).alias("_next_opp"))
     fan = p.withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(F.col("hold"), F.lit(1)))))
     fan = fan.withColumn("bar_idx", F.col("entry_idx") + F.col("k"))
-    fut = fan.join(b.select("symbol", "bar_idx", F.col("date").alias("bar_date"), F.col("close").alias("bar_close"),
-                            "_last_of_week"), ["symbol", "bar_idx"])
-    rev = pos.select("gene_id", "symbol", F.col("date").alias("bar_date"), F.col("side").alias("_pside"))
-    fut = fut.join(rev, ["gene_id", "symbol", "bar_date"], "left")
+    fut = fan.join(bb.select("symbol", "bar_idx", F.col("date").alias("bar_date"), F.col("close").alias("bar_close"),
+                             "_last_of_week"), ["symbol", "bar_idx"], "left")
     pnl = F.when(F.col("side") == "LONG", (F.col("bar_close") - F.col("entry_price")) / F.col("entry_price") * 100.0) \
         .otherwise((F.col("entry_price") - F.col("bar_close")) / F.col("entry_price") * 100.0)
     reason = (F.when((pnl <= -F.col("stop_loss")) | (pnl >= F.col("take_profit")), F.lit("TP_SL"))
-              .when(F.col("_pside").isNotNull() & (F.col("_pside") != F.col("side")), F.lit("SIGNAL_REVERSAL"))
+              .when(F.col("bar_idx") == F.col("_next_opp"), F.lit("SIGNAL_REVERSAL"))
               .when(F.col("_last_of_week") & (sunday_week("bar_date") == sunday_week("entry_date")), F.lit("WEEK_END"))
               .when(F.col("k") == F.col("hold"), F.lit("MAX_HOLD")))
-    hits = fut.select("gene_id", "symbol", "entry_date", "k", "bar_date", "bar_close", pnl.alias("pnl"),
-                      reason.alias("exit_reason")).filter(F.col("exit_reason").isNotNull())
-    first = hits.groupBy("gene_id", "symbol", "entry_date").agg(
-        F.min_by(F.struct("bar_date", "bar_close", "pnl", "exit_reason"), F.col("k")).alias("x"))
-    out = p.join(first, ["gene_id", "symbol", "entry_date"], "left")
-    return out.select(F.col("entry_date").alias("date"), "gene_id", "symbol", F.col("side").alias("signal_type"),
-                      "entry_price", F.col("x.bar_date").alias("exit_date"), F.col("x.bar_close").alias("exit_price"),
-                      F.col("x.pnl").alias("pnl"), F.col("x.exit_reason").alias("exit_reason"),
-                      sunday_week("entry_date").alias("week_start"))
+    x = fut.select("gene_id", "symbol", "entry_date", "side", "entry_price", "k", "bar_date", "bar_close",
+                   pnl.alias("pnl"), F.when(F.col("bar_date").isNotNull(), reason).alias("exit_reason"))
+    # non-hits order after every hit (k <= 21), so min_by returns the first hit if there is one
+    order = F.when(F.col("exit_reason").isNotNull(), F.col("k")).otherwise(F.lit(1_000_000) + F.col("k"))
+    first = x.groupBy("gene_id", "symbol", "entry_date", "side", "entry_price").agg(
+        F.min_by(F.struct("bar_date", "bar_close", "pnl", "exit_reason"), order).alias("x"))
+    hit = F.col("x.exit_reason").isNotNull()
+    return first.select(F.col("entry_date").alias("date"), "gene_id", "symbol", F.col("side").alias("signal_type"),
+                        "entry_price", F.when(hit, F.col("x.bar_date")).alias("exit_date"),
+                        F.when(hit, F.col("x.bar_close")).alias("exit_price"), F.when(hit, F.col("x.pnl")).alias("pnl"),
+                        F.col("x.exit_reason").alias("exit_reason"), sunday_week("entry_date").alias("week_start"))
 
 
 def pnl_by_exit_reason(log: DataFrame) -> DataFrame:
