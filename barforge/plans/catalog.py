@@ -14,7 +14,7 @@ from barforge.operators import arena, backtest, signals
 from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
 from barforge.plans.registry import digits_for, register
-from barforge.plans.silver import bronze_bars, default_as_of, silver_features
+from barforge.plans.silver import bronze_bars, default_as_of, silver_features, silver_since
 from barforge.sources.bars import bars_from_tables
 
 
@@ -137,7 +137,9 @@ def scores(spark, sf):
 
 
 def bt(spark, sf):
-    return backtest.backtest_results(feat(spark, sf), scores(spark, sf), as_of(spark, sf))
+    # actuals come from the pruned recent window; the scorer needs full history for its lags
+    recent = silver_since(spark, sf, backtest.BACKTEST_DAYS)
+    return backtest.backtest_results(recent, scores(spark, sf), as_of(spark, sf))
 
 
 def rules(spark, sf):
@@ -786,7 +788,7 @@ vw AS (
     + _ALERT + " AS alert_level FROM vw WHERE date = (SELECT max(date) FROM recent) AND volume_increase_score >= 30", WATCH))
 def q_volume_watch(spark, sf):
     """A9 (with M7 score)."""
-    return A.volume_watch(feat(spark, sf), as_of(spark, sf))
+    return A.volume_watch(silver_since(spark, sf, A.WATCH_DAYS), as_of(spark, sf))
 
 
 @register("oversold_scan", O.on_feat(
@@ -919,7 +921,7 @@ def _model(spark, sf, strategy, max_iter=50):
 
 
 def _holdout(spark, sf):
-    f = feat(spark, sf)
+    f = silver_since(spark, sf, M.HOLDOUT_DAYS)
     return f.filter(F.col("date") >= F.date_sub(F.lit(as_of(spark, sf)).cast("date"), M.HOLDOUT_DAYS))
 
 

@@ -9,6 +9,8 @@ Gold operators read the silver table, as the reference's gold SQL does.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,8 +44,26 @@ def silver_features(spark: SparkSession, sf_dir: str, as_of=None, years: int = L
         return (feat.withColumn("year_month", F.date_format("date", "yyyy-MM"))
                 .repartition("year_month").sortWithinPartitions("symbol", "date"))
 
+    return _silver_table(spark, sf_dir, as_of, years, build).drop("year_month")
+
+
+def _silver_table(spark, sf_dir, as_of, years, build=None):
     key = (spark.sparkContext.applicationId, sf_dir, str(as_of), years)
     if key not in _SILVER:
-        df = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build, partition_by=["year_month"])
-        _SILVER[key] = df.drop("year_month")
+        _SILVER[key] = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build,
+                                   partition_by=["year_month"])
     return _SILVER[key]
+
+
+def silver_since(spark: SparkSession, sf_dir: str, days: int, as_of=None, years: int = LOOKBACK_YEARS) -> DataFrame:
+    """Silver rows of the last ``days`` before ``as_of``, with a partition filter.
+
+    The ``year_month`` predicate prunes whole month folders at the scan
+    (PartitionFilters); the ``date`` predicate keeps the exact window.
+    Only for row-wise use or windows confined to the same span.
+    """
+    as_of = as_of or default_as_of(spark, sf_dir)
+    silver_features(spark, sf_dir, as_of, years)          # make sure it exists
+    start = as_date(as_of) - _dt.timedelta(days=days)
+    t = _silver_table(spark, sf_dir, as_date(as_of), years)
+    return t.filter((F.col("year_month") >= start.strftime("%Y-%m")) & (F.col("date") >= F.lit(start))).drop("year_month")
