@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import r
-from barforge.operators.signals import LABEL, MAX_DATES, strategy_signal
+from barforge.operators.signals import LABEL, strategy_signal
 from barforge.plans.sizing import broadcast_by_construction
 
 MODELS = ["momentum", "breakout", "volume_confirm", "reversal"]

@@ -90,17 +90,12 @@ def feat_next_day_return(df: DataFrame) -> DataFrame:
                          safe_div(F.lead("close").over(_W()) - F.col("close"), "close") * F.lit(100.0))
 
 
-def _rsi(n: int) -> Column:
+def feat_rsi14(df: DataFrame, n: int = RSI_DAYS) -> DataFrame:
+    """Simple-mean RSI; NULL (not 100) when the window holds no loss."""
     prev = F.lag("close").over(_W())
     gain = F.when(F.col("close") > prev, F.col("close") - prev).otherwise(F.lit(0.0))
     loss = F.when(F.col("close") < prev, prev - F.col("close")).otherwise(F.lit(0.0))
-    # gain/loss reference the lag, so they are computed in a layer first
-    return gain, loss
-
-
-def feat_rsi14(df: DataFrame, n: int = RSI_DAYS) -> DataFrame:
-    gain, loss = _rsi(n)
-    g = df.select("*", gain.alias("_gain"), loss.alias("_loss"))
+    g = df.select("*", gain.alias("_gain"), loss.alias("_loss"))     # layer: gain/loss use the lag
     ag, al = F.avg("_gain").over(trailing(n)), F.avg("_loss").over(trailing(n))
     rs = F.try_divide(ag, F.nullif(al, F.lit(0.0)))
     rsi = F.lit(100.0) - F.try_divide(F.lit(100.0), F.lit(1.0) + rs)
