@@ -57,3 +57,16 @@ def test_same_result_for_different_shuffle_partitions(spark, sf):
         assert out[0] == out[1] == out[2]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_macd_signal_is_sma9_of_macd_line(spark, sf):
+    from pyspark.sql import Window
+    f = C.feat(spark, sf)
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-8, 0)
+    d = f.select((F.col("macd_signal") - F.avg("macd_line").over(w)).alias("d")).agg(F.max(F.abs("d"))).first()[0]
+    assert d < 1e-9
+
+
+def test_positions_never_from_zero_signal(spark, sf):
+    pos = C.ga_parts(spark, sf)["pos"]
+    assert pos.filter(F.col("raw_signal") == 0).count() == 0
