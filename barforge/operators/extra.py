@@ -96,17 +96,24 @@ def trade_log(pos: DataFrame, genes: DataFrame, bars: DataFrame) -> DataFrame:
               .when(F.col("bar_idx") == F.col("_next_opp"), F.lit("SIGNAL_REVERSAL"))
               .when(F.col("_last_of_week") & (sunday_week("bar_date") == sunday_week("entry_date")), F.lit("WEEK_END"))
               .when(F.col("k") == F.col("hold"), F.lit("MAX_HOLD")))
+    code = F.when(F.col("bar_date").isNotNull(), reason)
+    for i, name in enumerate(EXIT_PRIORITY):
+        code = F.when(F.col("_reason") == name, F.lit(i)) if i == 0 else code.when(F.col("_reason") == name, F.lit(i))
     x = fut.select("gene_id", "symbol", "entry_date", "side", "entry_price", "k", "bar_date", "bar_close",
-                   pnl.alias("pnl"), F.when(F.col("bar_date").isNotNull(), reason).alias("exit_reason"))
-    # non-hits order after every hit (k <= 21), so min_by returns the first hit if there is one
-    order = F.when(F.col("exit_reason").isNotNull(), F.col("k")).otherwise(F.lit(1_000_000) + F.col("k"))
+                   pnl.alias("pnl"), F.when(F.col("bar_date").isNotNull(), reason).alias("_reason"))
+    x = x.withColumn("_code", code)
+    # non-hits order after every hit (k <= 21), so min_by returns the first hit if there is one;
+    # one min_by per fixed-width field (the reason as a code) keeps this a hash aggregate
+    order = F.when(F.col("_code").isNotNull(), F.col("k")).otherwise(F.lit(1_000_000) + F.col("k"))
     first = x.groupBy("gene_id", "symbol", "entry_date", "side", "entry_price").agg(
-        F.min_by(F.struct("bar_date", "bar_close", "pnl", "exit_reason"), order).alias("x"))
-    hit = F.col("x.exit_reason").isNotNull()
+        F.min_by("bar_date", order).alias("_d"), F.min_by("bar_close", order).alias("_c"),
+        F.min_by("pnl", order).alias("_p"), F.min_by("_code", order).alias("_code"))
+    hit = F.col("_code").isNotNull()
+    reason_name = F.element_at(F.array(*[F.lit(n) for n in EXIT_PRIORITY]), F.col("_code") + 1)
     return first.select(F.col("entry_date").alias("date"), "gene_id", "symbol", F.col("side").alias("signal_type"),
-                        "entry_price", F.when(hit, F.col("x.bar_date")).alias("exit_date"),
-                        F.when(hit, F.col("x.bar_close")).alias("exit_price"), F.when(hit, F.col("x.pnl")).alias("pnl"),
-                        F.col("x.exit_reason").alias("exit_reason"), sunday_week("entry_date").alias("week_start"))
+                        "entry_price", F.when(hit, F.col("_d")).alias("exit_date"),
+                        F.when(hit, F.col("_c")).alias("exit_price"), F.when(hit, F.col("_p")).alias("pnl"),
+                        F.when(hit, reason_name).alias("exit_reason"), sunday_week("entry_date").alias("week_start"))
 
 
 def pnl_by_exit_reason(log: DataFrame) -> DataFrame:
