@@ -423,3 +423,25 @@ def ga_rolling_pnl(weekly: DataFrame, n: int = 4) -> DataFrame:
     """Rolling mean of the last n weekly P&L values per gene."""
     w = Window.partitionBy("gene_id").orderBy("week_start").rowsBetween(-(n - 1), 0)
     return weekly.select("gene_id", "week_start", "week_pnl", F.avg("week_pnl").over(w).alias("rolling_pnl"))
+
+
+def ga_evolve(fs: DataFrame, pool: DataFrame, as_of, generations: int = 3, seed: int = 7) -> DataFrame:
+    """The weekly evolution loop: score the newest generation, evolve, append; repeat.
+
+    ``fs``: G3 signals (with ``close``); ``pool``: the gene pool (G1 output).
+    Each round is one scored generation; the pool is cut with ``checkpoint()``
+    in the shared checkpoint folder so the plan does not grow with the
+    number of generations (never ``localCheckpoint``: it would not survive
+    the loss of an executor).  Returns the pool with every generation.
+    """
+    from barforge.plans.storage import checkpoint_dir
+    checkpoint_dir(pool.sparkSession)
+    pool = _gene_row(pool).checkpoint(eager=True)
+    for _ in range(generations):
+        newest = pool.agg(F.max("generation")).first()[0]
+        genes = pool.filter(F.col("generation") == newest)
+        weekly = ga_weekly_pnl(ga_trades(ga_positions(ga_signals(fs, genes))))
+        fit = ga_fitness_recent(weekly, as_of)
+        nxt = ga_next_generation(ga_current_generation(genes, fit), seed)
+        pool = append_generation(pool, nxt).checkpoint(eager=True)
+    return pool

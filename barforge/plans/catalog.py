@@ -1456,3 +1456,10 @@ def q_ga_crossover(spark, sf):
 def q_ga_mutate(spark, sf):
     """The children after mutation."""
     return _cross_children(spark, sf, True)
+
+
+@register("ga_evolve", raw=True)
+def q_ga_evolve(spark, sf):
+    """G1-G13 + S14 looped: three generations evolved on the data (iterative; rows-only check)."""
+    p = ga_parts(spark, sf)
+    return E.ga_evolve(p["fs"], p["genes"], as_of(spark, sf), generations=3, seed=OG.SEED_EVOLVE)

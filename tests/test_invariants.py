@@ -70,3 +70,14 @@ def test_macd_signal_is_sma9_of_macd_line(spark, sf):
 def test_positions_never_from_zero_signal(spark, sf):
     pos = C.ga_parts(spark, sf)["pos"]
     assert pos.filter(F.col("raw_signal") == 0).count() == 0
+
+
+def test_evolution_loop_generations(spark, sf):
+    p = C.ga_parts(spark, sf)
+    pool = E.ga_evolve(p["fs"], p["genes"], C.as_of(spark, sf), generations=2, seed=7)
+    rows = pool.collect()
+    assert len({r["gene_id"] for r in rows}) == len(rows) == 30
+    by_gen = {}
+    for r in rows:
+        by_gen[r["generation"]] = by_gen.get(r["generation"], 0) + 1
+    assert by_gen == {1: 10, 2: 10, 3: 10}
