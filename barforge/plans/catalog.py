@@ -1463,3 +1463,25 @@ def q_ga_evolve(spark, sf):
     """G1-G13 + S14 looped: three generations evolved on the data (iterative; rows-only check)."""
     p = ga_parts(spark, sf)
     return E.ga_evolve(p["fs"], p["genes"], as_of(spark, sf), generations=3, seed=OG.SEED_EVOLVE)
+
+
+@register("bars_resample_ticks_1d", O.with_ctes(TICKS, body=(
+    "SELECT symbol, date_trunc('day', ts) AS bar_start, " + O.R("arg_min(price, (ts, tick_id))") + " AS open, "
+    + O.R("max(price)") + " AS high, " + O.R("min(price)") + " AS low, " + O.R("arg_max(price, (ts, tick_id))")
+    + " AS close, CAST(SUM(size) AS BIGINT) AS volume FROM ticks_e GROUP BY 1, 2")))
+def q_bars_resample_ticks_1d(spark, sf):
+    """Daily OHLCV bars from tick rows (the events table)."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    return SB.resample_ticks(SB.events_as_ticks(ev), "day")
+
+
+@register("stream_ticks_to_bars_1d_append", O.with_ctes(TICKS, body=(
+    "SELECT * FROM (SELECT symbol, date_trunc('day', ts) AS bar_start, " + O.R("arg_min(price, (ts, tick_id))") + " AS open, "
+    + O.R("max(price)") + " AS high, " + O.R("min(price)") + " AS low, " + O.R("arg_max(price, (ts, tick_id))")
+    + " AS close, CAST(SUM(size) AS BIGINT) AS volume FROM ticks_e GROUP BY 1, 2) "
+    "WHERE bar_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM ticks_e) - INTERVAL 1 DAY")))
+def q_stream_ticks_to_bars_1d_append(spark, sf):
+    """T1 in append mode: a daily bar is emitted once the 1-day watermark has passed its end."""
+    ev, src = _events_source(spark, sf, "t1dsrc")
+    return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1dout"), _fresh(spark, "t1dckpt"),
+                                  interval="1 day", watermark="1 day", mode="append")
