@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators.features import LOOKBACK_YEARS, as_date, features_daily
-from barforge.plans.storage import materialize
+from barforge.plans.storage import materialize, session_key
 from barforge.sources.bars import bars_from_tables
 
 _AS_OF: dict[tuple, object] = {}
@@ -48,7 +48,7 @@ def silver_features(spark: SparkSession, sf_dir: str, as_of=None, years: int = L
 
 
 def _silver_table(spark, sf_dir, as_of, years, build=None):
-    key = (spark.sparkContext.applicationId, sf_dir, str(as_of), years)
+    key = session_key(spark) + (sf_dir, str(as_of), years)
     if key not in _SILVER:
         _SILVER[key] = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build,
                                    partition_by=["year_month"])

@@ -19,6 +19,11 @@ _MEMO: dict[tuple, str] = {}
 _FRAMES: dict[tuple, DataFrame] = {}
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """(application, JVM session) identity: cached DataFrames belong to one session."""
+    return (spark.sparkContext.applicationId, spark._jsparkSession.hashCode())
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -44,9 +49,10 @@ def _key_path(spark: SparkSession, layer: str, key: tuple) -> str:
 def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by=None) -> DataFrame:
     """Write ``build()`` once per (session, layer, key) and read it back."""
     memo_key = (spark.sparkContext.applicationId, layer, key)
-    if memo_key in _FRAMES:
+    frame_key = session_key(spark) + (layer, key)
+    if frame_key in _FRAMES:
         # same DataFrame object: no repeated file listing / partition discovery
-        return _FRAMES[memo_key]
+        return _FRAMES[frame_key]
     path = _MEMO.get(memo_key)
     if path is None:
         path = _key_path(spark, layer, key)
@@ -56,7 +62,7 @@ def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by
         w.parquet(path)
         _MEMO[memo_key] = path
     df = spark.read.parquet(path)
-    _FRAMES[memo_key] = df
+    _FRAMES[frame_key] = df
     return df
 
 
