@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from barforge.functions.core import clamp, r, sunday_week, u01
+from barforge.functions.core import r, sunday_week, u01
 from barforge.plans.sizing import estimated_bytes, require_bounded
 
 WEIGHTS = ["w_momentum", "w_volume", "w_reversal", "w_breakout", "w_dow", "w_monthend", "w_sentiment", "w_mean_rev"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barforge.functions.core import r, safe_div, sunday_week
+from barforge.functions.core import safe_div, sunday_week
 from barforge.plans.sizing import bounded_broadcast, broadcast_by_construction, require_bounded
 
 LABEL = "next_day_return"
