@@ -45,9 +45,14 @@ def test_cumulative_shared_within_date(spark, sf):
     assert cum.groupBy("date").agg(F.countDistinct("signal_cumul").alias("n")).agg(F.max("n")).first()[0] == 1
 
 
-def test_same_result_for_different_shuffle_partitions(spark, sf):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("name", ["arena_leaderboard", "ga_positions", "trade_log", "ga_next_generation",
+                                  "anomaly_segments", "bronze_dedupe"])
+def test_same_result_for_different_shuffle_partitions(spark, sf, name):
     from __spark_entry__ import queries
-    q = queries()["arena_leaderboard"]
+    q = queries()[name]
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         out = []
