@@ -93,9 +93,13 @@ def _random_genes(gen, seed: int, purpose: str, int_rule: str) -> list:
     return cols
 
 
-def gene_pool_init(spark: SparkSession, n: int = POP_SIZE, seed: int = 42) -> DataFrame:
-    """G1: n random individuals of generation 1 (ids 1..n)."""
-    ids = spark.range(1, n + 1).withColumnRenamed("id", "slot")
+def gene_pool_init(spark: SparkSession, n: int = POP_SIZE, seed: int = 42, islands: int = 1) -> DataFrame:
+    """G1: n random individuals of generation 1 per island (ids 1..n*islands).
+
+    Island i holds ids i*n+1 .. (i+1)*n; draws are keyed by the global id,
+    so island 0 is the same population for any number of islands.
+    """
+    ids = spark.range(1, n * islands + 1).withColumnRenamed("id", "slot")
     g = ids.select(
         F.col("slot").alias("gene_id"), F.lit(1).alias("generation"),
         F.lit(None).alias("parent_a"), F.lit(None).alias("parent_b"),
@@ -268,12 +272,13 @@ def ga_crossover(slots: DataFrame, parents: DataFrame, seed: int = 7) -> DataFra
     gen = F.col("generation")
     pick1 = (F.floor(u01(seed, gen, F.col("slot"), "p1", "pick") * F.lit(float(k))) + 1).cast("int")
     pick2 = (F.floor(u01(seed, gen, F.col("slot"), "p2", "pick") * F.lit(float(k))) + 1).cast("int")
-    p = require_bounded(parents.select("parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
-    p1 = p.select(F.col("parent_rank").alias("_r1"), F.col("gene_id").alias("parent_a"),
+    isl = ["_island"] if "_island" in slots.columns and "_island" in parents.columns else []
+    p = require_bounded(parents.select(*isl, "parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
+    p1 = p.select(*isl, F.col("parent_rank").alias("_r1"), F.col("gene_id").alias("parent_a"),
                   *[F.col(c).alias(f"_a_{c}") for c in GENE_COLS])
-    p2 = p.select(F.col("parent_rank").alias("_r2"), F.col("gene_id").alias("parent_b"),
+    p2 = p.select(*isl, F.col("parent_rank").alias("_r2"), F.col("gene_id").alias("parent_b"),
                   *[F.col(c).alias(f"_b_{c}") for c in GENE_COLS])
-    x = slots.withColumn("_r1", pick1).withColumn("_r2", pick2).join(p1, "_r1").join(p2, "_r2")
+    x = slots.withColumn("_r1", pick1).withColumn("_r2", pick2).join(p1, isl + ["_r1"]).join(p2, isl + ["_r2"])
     cols = []
     for c in GENE_COLS:
         u = u01_sql(seed, "@generation", "@slot", c, "cross")
@@ -285,10 +290,15 @@ def ga_crossover(slots: DataFrame, parents: DataFrame, seed: int = 7) -> DataFra
 
 
 def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
-    """2 elites, 3 children (crossover + mutation), 2 mutants, 3 random.
-
-    ``current``: G9 output (genes of one generation with cumulative_pnl).
-    New ids continue from the current max id, in the reference's order.
+    """Per island, 2 elites, 3 children (crossover + mutation), 2 mutants, 3 random.
+
+    ``current``: G9 output (genes of one generation with cumulative_pnl).  A
+    generation's ids form one contiguous block, island after island
+    (``POP_SIZE`` each), so the island of a gene is (id - first id) div
+    POP_SIZE; selection is a window per island and every parent lookup
+    joins on (island, rank), so islands evolve independently and in
+    parallel.  New ids continue from the current max id in the reference's
+    order; with one island this is exactly the reference's single population.
     """
     spark = current.sparkSession
     # The scored generation is one row per gene: write it to the checkpoint
@@ -297,31 +307,40 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
     from barforge.plans.storage import checkpoint_dir
     checkpoint_dir(spark)
     current = current.checkpoint(eager=True)
-    # two scalars (generation, max id) are all that pass through the driver
-    g, maxid = current.agg(F.max("generation"), F.max("gene_id")).first()
-    parents = ga_select_parents(current)
-    slots = (spark.range(1, POP_SIZE + 1).withColumnRenamed("id", "slot")
+    # three scalars (generation, id range) are all that pass through the driver
+    g, maxid, minid = current.agg(F.max("generation"), F.max("gene_id"), F.min("gene_id")).first()
+    islands = max(1, -(-(int(maxid) - int(minid) + 1) // POP_SIZE))
+    scored = current.withColumn("_island", F.floor((F.col("gene_id") - F.lit(int(minid))) / POP_SIZE).cast("long"))
+    wsel = Window.partitionBy("_island").orderBy(F.col("cumulative_pnl").desc(), F.col("gene_id"))
+    parents = scored.filter(F.col("cumulative_pnl").isNotNull()).withColumn(
+        "parent_rank", F.row_number().over(wsel)).filter(F.col("parent_rank") <= SELECTION)
+    local = ((F.col("slot") - 1) % POP_SIZE) + 1
+    slots = (spark.range(1, POP_SIZE * islands + 1).withColumnRenamed("id", "slot")
+             .withColumn("_island", F.floor((F.col("slot") - 1) / POP_SIZE).cast("long"))
+             .withColumn("_local", local)
              .withColumn("_maxid", F.lit(int(maxid)).cast("long"))
              .withColumn("generation", F.lit(int(g) + 1).cast("long")))
-    kind = (F.when(F.col("slot") <= ELITES, F.lit("elite"))
-            .when(F.col("slot") <= ELITES + CHILDREN, F.lit("child"))
-            .when(F.col("slot") <= ELITES + CHILDREN + MUTANTS, F.lit("mutant")).otherwise(F.lit("random")))
+    lc = F.col("_local")
+    kind = (F.when(lc <= ELITES, F.lit("elite"))
+            .when(lc <= ELITES + CHILDREN, F.lit("child"))
+            .when(lc <= ELITES + CHILDREN + MUTANTS, F.lit("mutant")).otherwise(F.lit("random")))
     slots = slots.withColumn("kind", kind)
-    idx = (F.col("slot") - F.when(F.col("kind") == "elite", 0).when(F.col("kind") == "child", ELITES)
+    idx = (lc - F.when(F.col("kind") == "elite", 0).when(F.col("kind") == "child", ELITES)
            .when(F.col("kind") == "mutant", ELITES + CHILDREN).otherwise(ELITES + CHILDREN + MUTANTS))
     slots = slots.withColumn("kind_idx", idx)
-    base = ["slot", "generation", "_maxid", "kind", "kind_idx"]
+    base = ["slot", "generation", "_maxid", "_island", "kind", "kind_idx"]
 
-    pb = require_bounded(parents.select("parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
+    pb = require_bounded(parents.select("_island", "parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
     elites = slots.filter(F.col("kind") == "elite").join(
-        pb.withColumnRenamed("parent_rank", "kind_idx"), "kind_idx").select(
+        pb.withColumnRenamed("parent_rank", "kind_idx"), ["_island", "kind_idx"]).select(
         *base, F.col("gene_id").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"), *GENE_COLS)
 
     children = ga_mutate(ga_crossover(slots.filter(F.col("kind") == "child").select(*base), parents, seed),
                          seed, "child_mut")
 
     mpick = (F.floor(u01(seed, F.col("generation"), F.col("slot"), "m", "pick") * F.lit(float(SELECTION))) + 1).cast("int")
-    mutants = ga_mutate(slots.filter(F.col("kind") == "mutant").withColumn("parent_rank", mpick).join(pb, "parent_rank")
+    mutants = ga_mutate(slots.filter(F.col("kind") == "mutant").withColumn("parent_rank", mpick)
+                        .join(pb, ["_island", "parent_rank"])
                         .select(*base, F.col("gene_id").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"),
                                 *GENE_COLS), seed, "mutant_mut")
 
@@ -330,10 +349,11 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
         *_random_genes("@generation", seed, "random", "trunc"))
 
     allg = elites.unionByName(children).unionByName(mutants).unionByName(rnd)
+    island_tag = [F.lit("_i"), F.col("_island").cast("string")] if islands > 1 else []
     out = allg.select(
         (F.col("_maxid") + F.col("slot")).alias("gene_id"), "generation", "parent_a", "parent_b",
-        F.concat(F.lit("GA_gen"), F.col("generation").cast("string"), F.lit("_"), F.col("kind"), F.lit("_"),
-                 F.col("kind_idx").cast("string")).alias("strategy_name"),
+        F.concat(F.lit("GA_gen"), F.col("generation").cast("string"), *island_tag, F.lit("_"), F.col("kind"),
+                 F.lit("_"), F.col("kind_idx").cast("string")).alias("strategy_name"),
         *GENE_COLS, F.lit(None).alias("fitness"), F.lit(0).alias("n_trades"), F.lit(None).alias("win_rate"),
         F.lit(None).alias("weekly_pnl"))
     return _gene_row(out)
@@ -425,7 +445,7 @@ def ga_rolling_pnl(weekly: DataFrame, n: int = 4) -> DataFrame:
     return weekly.select("gene_id", "week_start", "week_pnl", F.avg("week_pnl").over(w).alias("rolling_pnl"))
 
 
-def ga_evolve(fs: DataFrame, pool: DataFrame, as_of, generations: int = 3, seed: int = 7) -> DataFrame:
+def ga_evolve(fs: DataFrame, pool: DataFrame, as_of, generations: int = 3, seed: int = 7) -> DataFrame:  # noqa: D417
     """The weekly evolution loop: score the newest generation, evolve, append; repeat.
 
     ``fs``: G3 signals (with ``close``); ``pool``: the gene pool (G1 output).

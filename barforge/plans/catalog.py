@@ -1485,3 +1485,12 @@ def q_stream_ticks_to_bars_1d_append(spark, sf):
     ev, src = _events_source(spark, sf, "t1dsrc")
     return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1dout"), _fresh(spark, "t1dckpt"),
                                   interval="1 day", watermark="1 day", mode="append")
+
+
+@register("ga_evolve_islands", raw=True)
+def q_ga_evolve_islands(spark, sf):
+    """G13 at scale: four islands of ten genes evolved for two generations, selection and
+    parent lookups partitioned by island (iterative; rows-only check)."""
+    p = ga_parts(spark, sf)
+    pool = E.gene_pool_init(spark, E.POP_SIZE, OG.SEED_INIT, islands=4)
+    return E.ga_evolve(p["fs"], pool, as_of(spark, sf), generations=2, seed=OG.SEED_EVOLVE)

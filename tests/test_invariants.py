@@ -86,3 +86,22 @@ def test_evolution_loop_generations(spark, sf):
     for r in rows:
         by_gen[r["generation"]] = by_gen.get(r["generation"], 0) + 1
     assert by_gen == {1: 10, 2: 10, 3: 10}
+
+
+def test_islands_evolve_independently(spark, sf):
+    p = C.ga_parts(spark, sf)
+    genes = E.gene_pool_init(spark, E.POP_SIZE, 42, islands=3)
+    assert [r["gene_id"] for r in genes.orderBy("gene_id").collect()] == list(range(1, 31))
+    # island 0 is the single-island population
+    one = sorted(tuple(r) for r in E.gene_pool_init(spark, E.POP_SIZE, 42).collect())
+    assert sorted(tuple(r) for r in genes.filter(F.col("gene_id") <= 10).collect()) == one
+    weekly = E.ga_weekly_pnl(E.ga_trades(E.ga_positions(E.ga_signals(p["fs"], genes))))
+    cur = E.ga_current_generation(genes, E.ga_fitness_recent(weekly, C.as_of(spark, sf)))
+    nxt = E.ga_next_generation(cur, 7).collect()
+    assert sorted(r["gene_id"] for r in nxt) == list(range(31, 61))
+    for r in nxt:
+        island = (r["gene_id"] - 31) // 10
+        if r["parent_a"] is not None:
+            assert (r["parent_a"] - 1) // 10 == island
+        if r["parent_b"] is not None:
+            assert (r["parent_b"] - 1) // 10 == island
