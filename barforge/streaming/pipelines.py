@@ -3,7 +3,8 @@
 All four read a file source (Parquet or JSON lines) and run with
 ``trigger(availableNow=True)``: every file present is processed in
 micro-batches, state is checkpointed in the shared checkpoint folder, and
-the query stops.  Sinks are idempotent per batch (overwrite of a complete
+the query stops (``files_per_trigger`` sizes the micro-batches; tests use 1
+so that state is carried across several batches).  Sinks are idempotent per batch (overwrite of a complete
 result, anti-join appends, dynamic partition overwrite), so a batch that is
 replayed after an executor or driver loss does not duplicate rows.
 """
@@ -36,13 +37,14 @@ def _run(writer, timeout_s: int = 600):
 
 
 def stream_ticks_to_bars(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str, checkpoint: str,
-                         interval: str = "1 hour", watermark: str = "1 day", mode: str = "complete") -> DataFrame:
+                         interval: str = "1 hour", watermark: str = "1 day", mode: str = "complete",
+                         files_per_trigger: int = 1) -> DataFrame:
     """Tick files -> tumbling OHLCV bars per symbol.
 
     ``complete`` rewrites the whole (bounded) result each batch; ``append``
     emits a window once the watermark has passed its end.
     """
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
     t = _ticks(s).withWatermark("ts", watermark)
     order = F.struct("ts", "tick_id")
     bars = t.groupBy("symbol", F.window("ts", interval).alias("w")).agg(
@@ -60,9 +62,9 @@ def stream_ticks_to_bars(spark: SparkSession, source_dir: str, schema: StructTyp
 
 
 def stream_dedupe(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str, checkpoint: str,
-                  keys=("symbol", "ts"), watermark: str = "1 day") -> DataFrame:
+                  keys=("symbol", "ts"), watermark: str = "1 day", files_per_trigger: int = 1) -> DataFrame:
     """Drop re-delivered ticks (same symbol and event time) within the watermark."""
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
     t = _ticks(s).withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(keys))
     out = t.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), "price", "tick_id")
     _run(out.writeStream.outputMode("append").format("parquet").option("path", out_dir)
@@ -71,7 +73,7 @@ def stream_dedupe(spark: SparkSession, source_dir: str, schema: StructType, out_
 
 
 def stream_bronze_to_silver(spark: SparkSession, source_dir: str, schema: StructType, bronze_dir: str,
-                            silver_dir: str, checkpoint: str, build_features) -> DataFrame:
+                            silver_dir: str, checkpoint: str, build_features, files_per_trigger: int = 1) -> DataFrame:
     """Each micro-batch appends its new (symbol, date) keys to bronze and
     rebuilds the silver rows of the touched symbols only.
 
@@ -95,13 +97,13 @@ def stream_bronze_to_silver(spark: SparkSession, source_dir: str, schema: Struct
         finally:
             batch.unpersist()
 
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source_dir)
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
     _run(s.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint))
     return spark.read.parquet(silver_dir)
 
 
 def stream_bad_rows(spark: SparkSession, source_dir: str, good_dir: str, quarantine_dir: str,
-                    checkpoint: str) -> tuple[DataFrame, DataFrame]:
+                    checkpoint: str, files_per_trigger: int = 1) -> tuple[DataFrame, DataFrame]:
     """T4: JSON quote lines; parsable rows go to bronze, malformed lines to a quarantine table."""
     schema = StructType(QUOTE_SCHEMA.fields + [StructField(CORRUPT, StringType())])
 
@@ -117,6 +119,6 @@ def stream_bad_rows(spark: SparkSession, source_dir: str, good_dir: str, quarant
             batch.unpersist()
 
     s = (spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-         .option("maxFilesPerTrigger", 1).json(source_dir))
+         .option("maxFilesPerTrigger", files_per_trigger).json(source_dir))
     _run(s.writeStream.foreachBatch(split).option("checkpointLocation", checkpoint))
     return spark.read.parquet(good_dir), spark.read.parquet(quarantine_dir)
