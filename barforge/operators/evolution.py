@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import r, sunday_week, u01
-from barforge.plans.sizing import estimated_bytes, require_bounded
+from barforge.plans.sizing import broadcast_by_construction, estimated_bytes
 
 WEIGHTS = ["w_momentum", "w_volume", "w_reversal", "w_breakout", "w_dow", "w_monthend", "w_sentiment", "w_mean_rev"]
 INT_GENES = ["max_positions", "max_hold_days"]
@@ -273,7 +273,8 @@ def ga_crossover(slots: DataFrame, parents: DataFrame, seed: int = 7) -> DataFra
     pick1 = (F.floor(u01(seed, gen, F.col("slot"), "p1", "pick") * F.lit(float(k))) + 1).cast("int")
     pick2 = (F.floor(u01(seed, gen, F.col("slot"), "p2", "pick") * F.lit(float(k))) + 1).cast("int")
     isl = ["_island"] if "_island" in slots.columns and "_island" in parents.columns else []
-    p = require_bounded(parents.select(*isl, "parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
+    p = broadcast_by_construction(parents.select(*isl, "parent_rank", "gene_id", *GENE_COLS),
+                                  "at most SELECTION (3) parents per island")
     p1 = p.select(*isl, F.col("parent_rank").alias("_r1"), F.col("gene_id").alias("parent_a"),
                   *[F.col(c).alias(f"_a_{c}") for c in GENE_COLS])
     p2 = p.select(*isl, F.col("parent_rank").alias("_r2"), F.col("gene_id").alias("parent_b"),
@@ -330,7 +331,8 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
     slots = slots.withColumn("kind_idx", idx)
     base = ["slot", "generation", "_maxid", "_island", "kind", "kind_idx"]
 
-    pb = require_bounded(parents.select("_island", "parent_rank", "gene_id", *GENE_COLS), MAX_POOL, "parents")
+    pb = broadcast_by_construction(parents.select("_island", "parent_rank", "gene_id", *GENE_COLS),
+                                   "at most SELECTION (3) parents per island")
     elites = slots.filter(F.col("kind") == "elite").join(
         pb.withColumnRenamed("parent_rank", "kind_idx"), ["_island", "kind_idx"]).select(
         *base, F.col("gene_id").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"), *GENE_COLS)
