@@ -1494,3 +1494,16 @@ def q_ga_evolve_islands(spark, sf):
     p = ga_parts(spark, sf)
     pool = E.gene_pool_init(spark, E.POP_SIZE, OG.SEED_INIT, islands=4)
     return E.ga_evolve(p["fs"], pool, as_of(spark, sf), generations=2, seed=OG.SEED_EVOLVE)
+
+
+@register("volume_watch_top20", O.on_feat(
+    "SELECT * FROM (SELECT symbol, date, " + O.R("close") + " AS close, volume, volume_sma_5, "
+    + O.R(O.R("volume_vs_sma_ratio", 2)) + " AS volume_vs_sma_ratio, " + O.R(O.R("volume_chg_pct", 2)) + " AS volume_chg_pct, "
+    "volume_incr_streak, volume_surge_flag, " + O.R("volume_increase_score") + " AS volume_increase_score, "
+    + O.R(O.R("avg_vol_chg_5d", 2)) + " AS avg_vol_chg_5d, " + O.R(O.R("price_chg_pct", 2)) + " AS price_chg_pct, "
+    + _ALERT + " AS alert_level FROM vw WHERE date = (SELECT max(date) FROM recent) AND volume_increase_score >= 30) "
+    "ORDER BY volume_increase_score DESC, symbol LIMIT 20", WATCH))
+def q_volume_watch_top20(spark, sf):
+    """A9 report: the watch list's top 20 by score (symbol breaks ties)."""
+    w = A.volume_watch(silver_since(spark, sf, A.WATCH_DAYS), as_of(spark, sf))
+    return w.orderBy(F.col("volume_increase_score").desc(), F.col("symbol")).limit(20)
