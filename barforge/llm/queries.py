@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import quality, secret_scan, simhash
+from barforge.llm import mixing, packing, quality, secret_scan, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: the file of the tokenizer that op9 and the pipeline use
+TOKENIZER = "word_bpe_49k.json"
+
+def domain() -> Column:
+    """Domain of a row of the given tables: one of four, by the source's number."""
+    number = F.regexp_extract(F.col("source"), "([0-9]+)$", 1).try_cast("bigint")
+    return F.concat(F.lit("domain"), F.pmod(F.coalesce(number, F.lit(0)), F.lit(4)))
+
+
+#: target weights in whole parts: nine tenths of all tokens, no document more than twice
+TARGETS = mixing.Targets(domains={"domain0": 30, "domain1": 25, "domain2": 25, "domain3": 20},
+                         languages={"en": 55, "de": 15, "fr": 15, "es": 15}, sources={"src0": 2}, default=1,
+                         budget=(9, 10), epochs=2, seed=42)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -49,3 +64,56 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures, base test and verdict of every document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.assess(docs).select("row.doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and epoch that the mixture takes."""
+    return mixing.select_mixture(read(spark, sf_dir, "documents"), TARGETS, domain(), keep=["doc_id"]).select(
+        "row.doc_id", "domain", "lang", "source", "epoch", "n_tokens")
+
+
+def _split_sql(parent: str, source: str, name: str, weights: dict[str, int], default: int) -> str:
+    """Children of ``source`` (columns cap, b) with their budgets: the closed form of capped proportional shares."""
+    w = "CASE " + " ".join(f"WHEN {name} = '{k}' THEN {v}" for k, v in weights.items()) + f" ELSE {default} END" if weights else str(default)
+    return f"""(SELECT *, CASE WHEN is_full THEN cap WHEN w > 0 THEN least(cap, (greatest(b - used, 0)::HUGEINT * w) // greatest(open_w, 1)) ELSE 0 END::BIGINT AS budget FROM (
+        SELECT *, sum(CASE WHEN is_full THEN cap ELSE 0 END) OVER (PARTITION BY {parent}) AS used,
+               sum(CASE WHEN is_full THEN 0 ELSE w END) OVER (PARTITION BY {parent}) AS open_w FROM (
+        SELECT *, w > 0 AND cap::HUGEINT * rest <= greatest(b - caps, 0)::HUGEINT * w AS is_full FROM (
+        SELECT *, coalesce(sum(cap) OVER o, 0) AS caps, sum(w) OVER (PARTITION BY {parent}) - coalesce(sum(w) OVER o, 0) AS rest
+        FROM (SELECT *, {w} AS w FROM {source})
+        WINDOW o AS (PARTITION BY {parent} ORDER BY CASE WHEN w > 0 THEN cap::DOUBLE / w ELSE 'inf'::DOUBLE END, {name} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))))"""
+
+
+def _mixing_sql(t: mixing.Targets) -> str:
+    num, den = t.budget
+    return f"""
+    WITH d AS (SELECT doc_id, 'domain' || (coalesce(try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS BIGINT), 0) % 4) AS domain,
+                      coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
+                      len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(n_tokens) AS tokens, sum(n_tokens) * {t.epochs} AS cap FROM d GROUP BY ALL),
+    langs AS (SELECT domain, lang, sum(cap) AS cap FROM leaves GROUP BY ALL),
+    top AS {_split_sql("1::INT", f"(SELECT domain, sum(cap) AS cap, (SELECT sum(tokens)::HUGEINT * {num} // {den} FROM leaves) AS b FROM langs GROUP BY domain)", "domain", t.domains, t.default)},
+    mid AS {_split_sql("domain", "(SELECT langs.*, top.budget AS b FROM langs JOIN top USING (domain))", "lang", t.languages, t.default)},
+    low AS {_split_sql("domain, lang", "(SELECT leaves.*, mid.budget AS b FROM leaves JOIN mid USING (domain, lang))", "source", t.sources, t.default)},
+    placed AS (SELECT d.*, e.epoch, low.budget - e.epoch * low.tokens AS room,
+                      sum(d.n_tokens) OVER (PARTITION BY d.domain, d.lang, d.source, e.epoch
+                          ORDER BY md5('{t.seed}:' || e.epoch || ':' || coalesce(d.doc_id::VARCHAR, '')), d.n_tokens ROWS UNBOUNDED PRECEDING) AS upto
+               FROM d JOIN low USING (domain, lang, source) JOIN (SELECT unnest(range({t.epochs}))::INT AS epoch) e
+                 ON (e.epoch = 0 OR low.tokens > 0) WHERE low.budget > 0 OR low.tokens = 0)
+    SELECT doc_id, domain, lang, source, epoch, n_tokens FROM placed WHERE upto <= room"""
+
+
+ORACLE["op2_source_mixing"] = _mixing_sql(TARGETS)
+
+
+def pack(docs: DataFrame) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    return pack(read(spark, sf_dir, "documents"))
