@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import mixing, packing, quality, secret_scan, simhash
+from barforge.llm import chat, mixing, packing, quality, secret_scan, simhash, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -117,3 +117,42 @@ def pack(docs: DataFrame) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     return pack(read(spark, sf_dir, "documents"))
+
+
+@query
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and conversation -7, formatted and read back from the output."""
+    hard = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own))
+    back = chats.select("conv_id", "formatted", chat.parse_chat(F.col("formatted")).alias("turns"),
+                        F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_mask")), "").alias("loss"))
+    joined = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(joined, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+ORACLE["op4_chat_formatting"] = """
+    WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+    e AS (SELECT *, replace(replace(replace(text, '\\', '\\\\'), '</', '<\\/'), '###', '#\\##') AS safe,
+                 replace(replace(replace(replace(role, '\\', '\\\\'), '</', '<\\/'), '###', '#\\##'), ': ', ':\\ ') AS safe_role,
+                 lag(role) OVER o AS before FROM t WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum(length(safe) + CASE WHEN role IS NOT DISTINCT FROM before THEN 7 ELSE length(safe_role) + 6 + 8 END)::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id"""
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archive; revisits take size and digest from what they refer to."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = warc.resolve_revisits(warc.archive(pages))
+    revisit = F.col("type") == "revisit"
+    return found.select("page_id", F.when(revisit, F.col("target_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+                        F.when(revisit, F.col("target_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+                        F.col("type").alias("record_type"), F.when(revisit, F.col("target_page")).alias("refers_to"))
