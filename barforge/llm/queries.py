@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import chat, mixing, packing, quality, secret_scan, simhash, warc
+from barforge.llm import chat, embed_dedup, mixing, packing, quality, secret_scan, simhash, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,3 +156,27 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", F.when(revisit, F.col("target_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
                         F.when(revisit, F.col("target_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
                         F.col("type").alias("record_type"), F.when(revisit, F.col("target_page")).alias("refers_to"))
+
+
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of a label at cosine 0.98."""
+    return embed_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op1_embedding_near_dedup"] = """
+    WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+    u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND list_max(list_transform(e, lambda x: abs(x))) > 0),
+    links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach(id, other) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a),
+    roots AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)
+    SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_links, component_id, v.vec_id = component_id AS kept
+    FROM v JOIN roots ON roots.id = v.vec_id"""
+
+
+@query
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage of 50 or more words that another document has too, in every document that has it."""
+    return suffix.repeated_passages(read(spark, sf_dir, "documents"))
