@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import chat, embed_dedup, mixing, packing, quality, secret_scan, simhash, suffix, warc
+from barforge.llm import chat, embed_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -180,3 +180,9 @@ ORACLE["op1_embedding_near_dedup"] = """
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every passage of 50 or more words that another document has too, in every document that has it."""
     return suffix.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of every document that states a licence."""
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
