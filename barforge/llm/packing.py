@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections import defaultdict, deque
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -37,8 +38,8 @@ CAPACITY = 4096
 END_ID = 1
 GROUPS = 16
 BUCKETS = 64
-#: words remembered by a Python worker, about 250 MB
-CACHE_WORDS = 1_200_000
+#: words remembered by a Python worker, about 500 MB
+CACHE_WORDS = 2_500_000
 
 
 class WordTokenizer:
@@ -46,14 +47,18 @@ class WordTokenizer:
     tokenised once and remembered.
 
     A new word is cut further, so that more of it is known already: lower case where it is ASCII, one comma
-    or full stop after a letter apart.  New words of letters only are encoded many at a time, joined by
-    spaces; each ends with the one token that carries the end-of-word mark.
+    or full stop after a letter apart.  New words of lower-case letters only are encoded many at a
+    time, joined by spaces and without normalising again; each ends with the one token that carries the end-of-word mark.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # for words that normalising and splitting leave as they are: lower-case letters in composed form
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
@@ -80,11 +85,12 @@ class WordTokenizer:
 
     def encode_parts(self, new: list[str]) -> None:
         keys, ids, lengths = [], [], []
-        other = [w for w in new if not w.isalpha()]
-        letters = [w for w in new if w.isalpha()]
-        for at in range(0, len(letters), 200):
-            some = letters[at:at + 200]
-            got = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        letters, other = [], []
+        for w in new:
+            (letters if w.isalpha() and w.lower() == w and is_normalized("NFC", w) else other).append(w)
+        for at in range(0, len(letters), 50):
+            some = letters[at:at + 50]
+            got = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
             cuts = np.flatnonzero(self.ends[got]) + 1
             if len(cuts) != len(some):
                 other += some
