@@ -6,7 +6,7 @@ confirms what it names.
 
 Training.  The families' examples are their templates and seeded variants of them: with words before and behind,
 in parts, with single words left out.  The class ``unknown`` is learned from paragraphs of the corpus, a bounded
-sample (``NEGATIVES``, the smallest hashes) without those that a template confirms.  A fifth of all examples is held out and
+sample (about ``NEGATIVES``, those with the smallest hashes) without those that a template confirms.  A fifth of all examples is held out and
 calibrates: one temperature divides the scores, the one of a grid with the smallest held-out log loss, and each
 family gets the smallest probability at which at most ``FALSE_RATE`` of the held-out unknowns pass.
 
@@ -102,8 +102,12 @@ def _pairs(text: str) -> set[str]:
 
 def examples(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """Labelled training paragraphs: (label, text, part) with part 0..4, 0 held out."""
-    some = (lines.select("line").withColumn("h", F.xxhash64(F.lit(SEED), "line")).orderBy("h", "line").limit(NEGATIVES)
-            .withColumn("w", tokens(F.col("line"))).withColumn("t", template_share(F.col("w"))))
+    # the share of all hashes that holds about NEGATIVES paragraphs
+    total = lines.count()
+    share = min(1.0, NEGATIVES / max(total, 1))
+    h = F.xxhash64(F.lit(SEED), "id", "paragraph", "line")
+    some = save(lines.select("line", h.alias("h")).where(F.col("h") < int(-(1 << 63) + share * ((1 << 64) - 1025))), "sample")
+    some = some.withColumn("w", tokens(F.col("line"))).withColumn("t", template_share(F.col("w")))
     some = save(some, "unknown-paragraphs").where(F.col("t.share") < 0.5).select(F.lit(0.0).alias("label"), F.col("line").alias("text"), "h")
     fillers = F.lit(["see the file for details", "all files here", "note", "text and images", "the following holds", "contact the authors", ""])
     notes = spark.createDataFrame([(float(FAMILIES.index(f)), t) for f, ts in TEMPLATES.items() for t in ts], "label double, notice string")
