@@ -208,12 +208,13 @@ def rolling_index_corr(feat: DataFrame, n: int = 20) -> DataFrame:
     """Rolling correlation of each symbol's daily return with the equal-weight index."""
     ret = safe_div(F.col("close") - F.col("close_lag_1d"), "close_lag_1d") * 100.0
     x = feat.select("date", "symbol", ret.alias("ret"))
+    # pairs only: a day without a return of its own counts in neither series
     idx = broadcast_by_construction(x.groupBy("date").agg(F.avg("ret").alias("index_ret")), "one row per calendar day")
-    j = x.join(idx, "date")
+    j = x.join(idx, "date").withColumn("_i", F.when(F.col("ret").isNotNull(), F.col("index_ret")))
     w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-(n - 1), 0)
     # corr() raises on zero variance under ANSI; covariance / (std x std) with try_divide gives NULL
-    corr = F.try_divide(F.covar_samp("ret", "index_ret").over(w),
-                        F.stddev_samp("ret").over(w) * F.stddev_samp("index_ret").over(w))
+    corr = F.try_divide(F.covar_samp("ret", "_i").over(w),
+                        F.stddev_samp("ret").over(w) * F.stddev_samp("_i").over(w))
     return j.select("date", "symbol", "ret", "index_ret", corr.alias("index_corr"))
 
 

@@ -48,7 +48,7 @@ def table_health(spark: SparkSession, tables: dict[str, dict[str, tuple[Callable
             try:
                 parts.append(_one(tier, name, build(), keys, date_col))
             except Exception as e:  # noqa: BLE001  (report, do not fail)
-                parts.append(spark.createDataFrame([(tier, name, None, None, None, None, str(e)[:500])], HEALTH_SCHEMA))
+                parts.append(spark.createDataFrame([(tier, name, None, None, None, None, str(e))], HEALTH_SCHEMA))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -153,8 +153,12 @@ def gbt_train(train: DataFrame, features: list[str], label: str = LABEL, max_ite
     """
     data = _numeric_view(train_eval_split(train) if validation else train, features)
     extra = {"validationIndicatorCol": "is_eval", "validationTol": 1e-4} if validation else {}
+    # an indexed column needs a bin per value (and one for unseen values)
+    text = [c for c in features if isinstance(train.schema[c].dataType, StringType)]
+    values = train.agg(*[F.countDistinct(c).alias(c) for c in text]).first() if text else []
+    bins = max([32, *(v + 2 for v in values)])
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter,
-                       stepSize=step, maxDepth=max_depth, seed=seed, minInfoGain=0.0, maxBins=32, **extra)
+                       stepSize=step, maxDepth=max_depth, seed=seed, minInfoGain=0.0, maxBins=bins, **extra)
     model = Pipeline(stages=_prepare_stages(data, features) + [gbt]).fit(data)
     model._barforge_features = list(features)  # type: ignore[attr-defined]
     return model

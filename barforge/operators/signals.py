@@ -124,7 +124,7 @@ def rule_signals_wide(feat: DataFrame) -> DataFrame:
           .when((F.col("month_end_zone") == "last_week") & ok, clamp(z * F.lit(LAST_WEEK_GAIN), -LAST_WEEK_CAP, LAST_WEEK_CAP))
           .otherwise(F.lit(0.0)))
     m = broadcast_by_construction(market_daily(feat), DATE_BOUND)
-    return x.join(m, "date").select(
+    return x.join(m, "date", "left").select(
         "date", "symbol",
         dow.alias("dow_signal"), me.alias("month_end_signal"), calm_expr().alias("calm_before_storm_signal"),
         clamp(F.col("market_avg_return") * F.lit(SENTIMENT_GAIN), -1, 1).alias("sentiment_signal"),

@@ -93,7 +93,7 @@ rules AS (
     {CALM_SQL} AS calm_before_storm_signal,
     {O.clamp('m.market_avg_return * 3.0::DOUBLE', -1, 1)} AS sentiment_signal,
     {MEAN_REV_SQL} AS mean_rev_signal
-  FROM rstats f JOIN market m ON f.date = m.date)"""
+  FROM rstats f LEFT JOIN market m ON f.date = m.date)"""
 
 
 def _model_pnl_sql(m: str) -> str:
@@ -1134,10 +1134,12 @@ def q_persona_join(spark, sf):
 from barforge.streaming import pipelines as T  # noqa: E402
 
 
-def _events_source(spark, sf, name, slices=4):
+def _events_source(spark, sf, name, slices=4, twins=False):
     """Tick files in event-time order: each time slice is written by its own job, in
     order, so file modification times follow event time as in a live feed."""
     ev = spark.read.parquet(f"{sf}/events.parquet")
+    if twins:
+        ev = ev.unionByName(ev.filter("event_id % 5 = 0").withColumn("event_id", -F.col("event_id") - 1))
     src = _fresh(spark, name) + "/feed"
     lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()      # two scalars
     step = (hi - lo) / slices
@@ -1160,10 +1162,12 @@ def q_stream_ticks_to_bars(spark, sf):
     return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1out"), _fresh(spark, "t1ckpt"))
 
 
-@register("stream_dedupe", O.with_ctes(TICKS, body="SELECT symbol, ts, " + O.R("price") + " AS price, tick_id FROM ticks_e"))
+@register("stream_dedupe", O.with_ctes(TICKS, body="SELECT DISTINCT symbol, ts, " + O.R("price") + " AS price, tick_id FROM "
+          "(SELECT symbol, ts, price, tick_id FROM ticks_e UNION ALL SELECT symbol, ts, price, -tick_id - 1 FROM ticks_e WHERE tick_id % 5 = 0)"))
 def q_stream_dedupe(spark, sf):
-    """The last day of ticks is delivered twice; duplicates within the watermark are dropped."""
-    ev, src = _events_source(spark, sf, "t2src")
+    """The last half day of ticks is delivered twice; those within the watermark are dropped.  Every fifth
+    tick has a twin of another id at the same instant, which stays."""
+    ev, src = _events_source(spark, sf, "t2src", twins=True)
     last = ev.agg(F.max("ts")).first()[0]
     import datetime as _dtm
     # re-delivery of the last 12 hours, arriving after everything else
@@ -1345,7 +1349,7 @@ _W20 = "OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN 19 PRECEDING AND CU
 
 @register("rolling_index_corr", O.on_feat(
     f"SELECT date, symbol, {O.R('ret')} AS ret, {O.R('index_ret')} AS index_ret, "
-    + O.R(f"covar_samp(ret, index_ret) {_W20} / NULLIF(stddev_samp(ret) {_W20} * stddev_samp(index_ret) {_W20}, 0)")
+    + O.R(f"CASE WHEN isfinite(corr(ret, index_ret) {_W20}) THEN corr(ret, index_ret) {_W20} END")
     + f" AS index_corr FROM (SELECT r.*, i.index_ret FROM (SELECT date, symbol, {_RET} AS ret FROM feat) r JOIN "
     f"(SELECT date, AVG({_RET}) AS index_ret FROM feat GROUP BY date) i ON r.date = i.date)"))
 def q_rolling_index_corr(spark, sf):

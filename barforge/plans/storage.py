@@ -30,7 +30,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        # Only reached when the cluster named no shared folder (local tests).
+        # Only where the cluster named no shared folder, and only where one machine is the cluster (tests, a laptop).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="barforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -41,8 +43,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def _key_path(spark: SparkSession, layer: str, key: tuple) -> str:
     digest = hashlib.sha1(repr((spark.sparkContext.applicationId,) + key).encode()).hexdigest()[:16]
     base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, "tables", f"{layer}-{digest}")
 
 
@@ -69,6 +69,4 @@ def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint dir for file-format round trips."""
     base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, "scratch", f"{name}-{spark.sparkContext.applicationId}")

@@ -26,12 +26,9 @@ def _ticks(stream: DataFrame) -> DataFrame:
                          F.col("event_id").alias("tick_id"))
 
 
-def _run(writer, timeout_s: int = 600):
+def _run(writer):
     q = writer.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError("streaming query did not finish")
+    q.awaitTermination()
     if q.exception():
         raise q.exception()
 
@@ -62,8 +59,8 @@ def stream_ticks_to_bars(spark: SparkSession, source_dir: str, schema: StructTyp
 
 
 def stream_dedupe(spark: SparkSession, source_dir: str, schema: StructType, out_dir: str, checkpoint: str,
-                  keys=("symbol", "ts"), watermark: str = "1 day", files_per_trigger: int = 1) -> DataFrame:
-    """Drop re-delivered ticks (same symbol and event time) within the watermark."""
+                  keys=("symbol", "ts", "tick_id"), watermark: str = "1 day", files_per_trigger: int = 1) -> DataFrame:
+    """Drop re-delivered ticks (same symbol, event time and id) within the watermark."""
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
     t = _ticks(s).withWatermark("ts", watermark).dropDuplicatesWithinWatermark(list(keys))
     out = t.select("symbol", F.col("ts").cast("timestamp_ntz").alias("ts"), "price", "tick_id")
@@ -82,7 +79,8 @@ def stream_bronze_to_silver(spark: SparkSession, source_dir: str, schema: Struct
     collect) and their silver partitions are replaced with dynamic
     partition overwrite.
     """
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(bronze_dir)
+    # created only if it is absent: a restart goes on with what is stored, as the checkpoint does
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(bronze_dir)
 
     def upsert(batch: DataFrame, _id: int) -> None:
         batch.persist()
