@@ -295,7 +295,7 @@ def place(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, ord
     bucket = F.pmod(F.xxhash64(*order), F.lit(BUCKETS)).cast("int")
     dealt = pieces.withColumn("bucket", bucket)
     counted = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    counts = pd.DataFrame([tuple(r) for r in counted.collect()], columns=["length", "bucket", "n"])  # at most capacity * BUCKETS rows
+    counts = pd.DataFrame([tuple(r) for r in counted.collect()], columns=["length", "bucket", "n"], dtype="int64")  # at most capacity * BUCKETS rows
     counts = counts.sort_values(["length", "bucket"])
     base = counts["n"].groupby(counts["length"]).cumsum() - counts["n"]
     first = {(x, b): n for x, b, n in zip(counts["length"].tolist(), counts["bucket"].tolist(), base.tolist())}
