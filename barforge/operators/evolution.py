@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import r, sunday_week, u01
-from barforge.plans.sizing import broadcast_by_construction, estimated_bytes
+from barforge.plans.sizing import estimated_bytes
 
 WEIGHTS = ["w_momentum", "w_volume", "w_reversal", "w_breakout", "w_dow", "w_monthend", "w_sentiment", "w_mean_rev"]
 INT_GENES = ["max_positions", "max_hold_days"]
@@ -149,10 +149,9 @@ def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL,
     pool = genes.select("gene_id", "generation", "strategy_name", "threshold", "stop_loss", "take_profit",
                         "max_hold_days", "max_positions", "w_momentum", "w_volume", "w_reversal", "w_breakout")
     pool = pool.withColumn("slot", F.row_number().over(Window.orderBy("gene_id")))
-    n = pool.limit(max_pool + 1).count()
-    if n > max_pool:
-        raise ValueError(f"gene pool has more than {max_pool} genes; evolve islands separately")
-    pool = F.broadcast(pool)
+    n = pool.count()
+    if n <= max_pool:
+        pool = F.broadcast(pool)      # a checked size; a larger pool is joined by a shuffle on the slot
     spark = fs.sparkSession
     base = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     est = estimated_bytes(fs)
@@ -268,18 +267,19 @@ def ga_crossover(slots: DataFrame, parents: DataFrame, seed: int = 7) -> DataFra
     slots: (slot, generation).  Integer genes come from either parent; real
     genes are blended with one alpha per gene.
     """
-    k = SELECTION
     gen = F.col("generation")
-    pick1 = (F.floor(u01(seed, gen, F.col("slot"), "p1", "pick") * F.lit(float(k))) + 1).cast("int")
-    pick2 = (F.floor(u01(seed, gen, F.col("slot"), "p2", "pick") * F.lit(float(k))) + 1).cast("int")
-    isl = ["_island"] if "_island" in slots.columns and "_island" in parents.columns else []
-    p = broadcast_by_construction(parents.select(*isl, "parent_rank", "gene_id", *GENE_COLS),
-                                  "at most SELECTION (3) parents per island")
+    # picks range over the parents that the island really has (SELECTION of them, or fewer)
+    pick1 = (F.floor(u01(seed, gen, F.col("slot"), "p1", "pick") * F.col("_n").cast("double")) + 1).cast("int")
+    pick2 = (F.floor(u01(seed, gen, F.col("slot"), "p2", "pick") * F.col("_n").cast("double")) + 1).cast("int")
+    isl = ["_island"] if "_island" in slots.columns and "_island" in parents.columns else ["_all"]
+    p = parents.withColumn("_all", F.lit(0)).select(*isl, "parent_rank", "gene_id", *GENE_COLS)
+    counts = p.groupBy(*isl).agg(F.max("parent_rank").alias("_n"))
     p1 = p.select(*isl, F.col("parent_rank").alias("_r1"), F.col("gene_id").alias("parent_a"),
                   *[F.col(c).alias(f"_a_{c}") for c in GENE_COLS])
     p2 = p.select(*isl, F.col("parent_rank").alias("_r2"), F.col("gene_id").alias("parent_b"),
                   *[F.col(c).alias(f"_b_{c}") for c in GENE_COLS])
-    x = slots.withColumn("_r1", pick1).withColumn("_r2", pick2).join(p1, isl + ["_r1"]).join(p2, isl + ["_r2"])
+    x = (slots.withColumn("_all", F.lit(0)).join(counts, isl).withColumn("_r1", pick1).withColumn("_r2", pick2)
+         .join(p1, isl + ["_r1"]).join(p2, isl + ["_r2"]))
     cols = []
     for c in GENE_COLS:
         u = u01_sql(seed, "@generation", "@slot", c, "cross")
@@ -329,18 +329,22 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
     idx = (lc - F.when(F.col("kind") == "elite", 0).when(F.col("kind") == "child", ELITES)
            .when(F.col("kind") == "mutant", ELITES + CHILDREN).otherwise(ELITES + CHILDREN + MUTANTS))
     slots = slots.withColumn("kind_idx", idx)
+    # every island keeps its size: ranks wrap around at the parents it has, an island without any gets newcomers
+    counts = parents.groupBy("_island").agg(F.max("parent_rank").alias("_n"))
+    slots = slots.join(counts, "_island", "left")
+    slots = slots.withColumn("kind_idx", F.when(F.col("_n").isNull(), lc).otherwise(F.col("kind_idx"))).withColumn(
+        "kind", F.when(F.col("_n").isNull(), F.lit("random")).otherwise(F.col("kind")))
     base = ["slot", "generation", "_maxid", "_island", "kind", "kind_idx"]
 
-    pb = broadcast_by_construction(parents.select("_island", "parent_rank", "gene_id", *GENE_COLS),
-                                   "at most SELECTION (3) parents per island")
-    elites = slots.filter(F.col("kind") == "elite").join(
-        pb.withColumnRenamed("parent_rank", "kind_idx"), ["_island", "kind_idx"]).select(
+    pb = parents.select("_island", "parent_rank", "gene_id", *GENE_COLS)
+    elites = slots.filter(F.col("kind") == "elite").withColumn(
+        "parent_rank", ((F.col("kind_idx") - 1) % F.col("_n") + 1).cast("int")).join(pb, ["_island", "parent_rank"]).select(
         *base, F.col("gene_id").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"), *GENE_COLS)
 
     children = ga_mutate(ga_crossover(slots.filter(F.col("kind") == "child").select(*base), parents, seed),
                          seed, "child_mut")
 
-    mpick = (F.floor(u01(seed, F.col("generation"), F.col("slot"), "m", "pick") * F.lit(float(SELECTION))) + 1).cast("int")
+    mpick = (F.floor(u01(seed, F.col("generation"), F.col("slot"), "m", "pick") * F.col("_n").cast("double")) + 1).cast("int")
     mutants = ga_mutate(slots.filter(F.col("kind") == "mutant").withColumn("parent_rank", mpick)
                         .join(pb, ["_island", "parent_rank"])
                         .select(*base, F.col("gene_id").alias("parent_a"), F.lit(None).cast("long").alias("parent_b"),

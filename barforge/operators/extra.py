@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import safe_div, sunday_week
-from barforge.plans.sizing import bounded_broadcast, broadcast_by_construction, require_bounded
+from barforge.plans.sizing import bounded_broadcast, broadcast_by_construction
 
 LABEL = "next_day_return"
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -21,7 +21,6 @@ DOWS = ["sun", "mon", "tue", "wed", "thu", "fri", "sat"]
 # Screening rules (fixed values of the specification).
 SCREEN_TOP, SCREEN_MIN_RATIO, SCREEN_MIN_CLOSE, SCREEN_CAP = 20, 0.5, 100.0, 3
 EXIT_PRIORITY = ["TP_SL", "SIGNAL_REVERSAL", "WEEK_END", "MAX_HOLD"]
-MAX_HOLD_LIMIT = 21
 # Holiday rule: (month, day) of fixed-date holidays, generated for every year of the data span.
 FIXED_HOLIDAYS = [(1, 1), (7, 4), (12, 25)]
 
@@ -71,11 +70,11 @@ def trade_log(pos: DataFrame, genes: DataFrame, bars: DataFrame) -> DataFrame:
     b = b.withColumn("_last_of_week", sunday_week(F.lead("date").over(Window.partitionBy("symbol").orderBy("date")))
                      != sunday_week("date"))
     bb = bounded_broadcast(b)
-    g = require_bounded(genes.select("gene_id", "stop_loss", "take_profit", "max_hold_days"), 100_000, "genes")
+    g = bounded_broadcast(genes.select("gene_id", "stop_loss", "take_profit", "max_hold_days"), 100_000)
     p = (pos.select("date", "gene_id", "symbol", "side").join(bb.select("symbol", "date", "bar_idx", "close"), ["symbol", "date"])
          .join(g, "gene_id"))
     # explicit count: AQE would coalesce this small shuffle into one task, which
-    # would then also run the (up to 21x) fan-out below; the window reuses it
+    # would then also run the (max_hold_days fold) fan-out below; the window reuses it
     spark = pos.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     p = p.repartition(parts, "gene_id", "symbol")
@@ -84,7 +83,7 @@ def trade_log(pos: DataFrame, genes: DataFrame, bars: DataFrame) -> DataFrame:
     nxt_short = F.first(F.when(F.col("side") == "SHORT", F.col("bar_idx")), ignorenulls=True).over(wnext)
     p = p.select("gene_id", "symbol", F.col("date").alias("entry_date"), "side", F.col("close").alias("entry_price"),
                  F.col("bar_idx").alias("entry_idx"), "stop_loss", "take_profit",
-                 F.least(F.col("max_hold_days"), F.lit(MAX_HOLD_LIMIT)).alias("hold"),
+                 F.col("max_hold_days").alias("hold"),
                  F.when(F.col("side") == "LONG", nxt_short).otherwise(nxt_long).alias("_next_opp"))
     fan = p.withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(F.col("hold"), F.lit(1)))))
     fan = fan.withColumn("bar_idx", F.col("entry_idx") + F.col("k"))

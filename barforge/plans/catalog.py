@@ -1240,7 +1240,7 @@ TLOG = f"""
 bx AS (SELECT symbol, date, close, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) AS bar_idx,
          {O.sunday_week('LEAD(date) OVER (PARTITION BY symbol ORDER BY date)')} <> {O.sunday_week('date')} AS _low FROM feat),
 px AS (SELECT s.gene_id, s.symbol, s.date AS entry_date, s.side, b.close AS entry_price, b.bar_idx AS entry_idx,
-         g.stop_loss, g.take_profit, least(g.max_hold_days, 21) AS hold
+         g.stop_loss, g.take_profit, g.max_hold_days AS hold
        FROM scr s JOIN bx b ON s.symbol = b.symbol AND s.date = b.date JOIN genes g ON s.gene_id = g.gene_id),
 fan AS (SELECT px.*, k FROM px, LATERAL (SELECT unnest(range(1, greatest(px.hold, 1) + 1)) AS k)),
 fut AS (SELECT f.*, b.date AS bar_date, b.close AS bar_close, b._low, r.side AS _pside
