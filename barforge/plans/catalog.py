@@ -661,6 +661,10 @@ from barforge.operators import models as M  # noqa: E402
 
 _DOWN = "CASE dayofweek(date) " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(A.DOW_NAMES)) + " END"
 _SEASON = "CASE month(date) " + " ".join(f"WHEN {m} THEN '{s}'" for m, s in A.SEASONS.items()) + " END"
+# label of each segment type over a row of seg: one list per row, unnested
+_SEG_LABELS = ", ".join(f"{{'seg_type': '{t}', 'seg_value': {v}}}" for t, v in {
+    "segment": "'all'", "season": "season", "month": "mth::VARCHAR", "month_week_zone": "month_week_zone",
+    "month_end_zone": "month_end_zone", "dow": "dow::VARCHAR", "dow_name": "dow_name"}.items())
 SEG = f"""
 seg AS (
   SELECT date, symbol, close, volume, next_day_return, {O.dow('date')} AS dow, CAST(month(date) AS BIGINT) AS mth,
@@ -669,13 +673,8 @@ seg AS (
     {_SEASON} AS season
   FROM feat WHERE next_day_return IS NOT NULL),
 unp AS (
-  SELECT 'segment' AS seg_type, 'all' AS seg_value, symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'dow', CAST(dow AS VARCHAR), symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'dow_name', dow_name, symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'month', CAST(mth AS VARCHAR), symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'month_week_zone', month_week_zone, symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'month_end_zone', month_end_zone, symbol, next_day_return, volume FROM seg
-  UNION ALL SELECT 'season', season, symbol, next_day_return, volume FROM seg),
+  SELECT symbol, next_day_return, volume, k.seg_type, k.seg_value FROM (
+    SELECT symbol, next_day_return, volume, unnest([{_SEG_LABELS}]) AS k FROM seg)),
 sagg AS (
   SELECT seg_type, seg_value, COUNT(*) AS n, COUNT(DISTINCT symbol) AS n_symbols, AVG(next_day_return) AS _avg,
     STDDEV_SAMP(next_day_return) AS _std,
@@ -695,9 +694,8 @@ CROSS = f"""
 xb AS (SELECT next_day_return, CAST({O.dow('date')} AS VARCHAR) AS dow, CAST(month(date) AS VARCHAR) AS mth, month_end_zone,
           CAST(quarter_end_flag AS VARCHAR) AS qe, CASE WHEN volume_surge_flag THEN 'surge' ELSE 'normal' END AS vol_mode
        FROM feat WHERE next_day_return IS NOT NULL),
-xk AS (SELECT 'dow=' || dow || '|mend=' || month_end_zone AS segment_key, next_day_return FROM xb
-       UNION ALL SELECT 'mon=' || mth || '|qend=' || qe, next_day_return FROM xb
-       UNION ALL SELECT 'dow=' || dow || '|vol=' || vol_mode, next_day_return FROM xb),
+xk AS (SELECT next_day_return, unnest(['dow=' || dow || '|mend=' || month_end_zone, 'mon=' || mth || '|qend=' || qe,
+                                       'dow=' || dow || '|vol=' || vol_mode]) AS segment_key FROM xb),
 xseg AS (SELECT segment_key, COUNT(*) AS n, {O.R('AVG(next_day_return)', 4)} AS avg_return,
            {O.R('AVG(CASE WHEN next_day_return > 0 THEN 1 ELSE 0 END)', 4)} AS win_rate FROM xk GROUP BY 1)"""
 

@@ -8,6 +8,9 @@ symbol instead of cross joins for calendars.
 
 from __future__ import annotations
 
+import colorsys
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
@@ -103,21 +106,30 @@ def symbol_calendar_grid(bars: DataFrame) -> DataFrame:
         "symbol", "date", F.col("_has").isNull().alias("missing_bar"))
 
 
-# Persona dictionary for the arena (our own wording; one entry per entrant).
-PERSONAS_JSON = """{
- "1_momentum": {"name": "Momentum", "title": "rides the trend", "emoji": "🏃", "color": "#ff6b35"},
- "2_breakout": {"name": "Breakout", "title": "waits for the squeeze to break", "emoji": "💥", "color": "#f7c948"},
- "3_volume_confirm": {"name": "Volume Confirm", "title": "needs volume first", "emoji": "📊", "color": "#6c5ce7"},
- "4_reversal": {"name": "Reversal", "title": "fades the extremes", "emoji": "🔄", "color": "#00b894"},
- "5_dow_specialist": {"name": "Weekday", "title": "trades the calendar", "emoji": "📅", "color": "#0984e3"},
- "6_month_end_hunter": {"name": "Month End", "title": "hunts month-end flows", "emoji": "🗓", "color": "#e17055"},
- "7_calm_before_storm": {"name": "Calm Before Storm", "title": "buys quiet squeezes", "emoji": "🌪", "color": "#74b9ff"},
- "8_sentiment": {"name": "Sentiment", "title": "follows the crowd", "emoji": "🌊", "color": "#a29bfe"},
- "9_mean_reversion": {"name": "Mean Reversion", "title": "RSI and bands", "emoji": "🎯", "color": "#fd79a8"},
- "10_ensemble": {"name": "Ensemble", "title": "averages the top three", "emoji": "👑", "color": "#ffeaa7"}
-}"""
+# Persona dictionary for the arena: our own wording, chess pieces as icons, colours evenly spaced around the wheel.
+_PERSONAS = {
+    "1_momentum": ("Momentum", "rides the trend"),
+    "2_breakout": ("Breakout", "waits for the squeeze to break"),
+    "3_volume_confirm": ("Volume Confirm", "needs volume first"),
+    "4_reversal": ("Reversal", "fades the extremes"),
+    "5_dow_specialist": ("Weekday", "trades the calendar"),
+    "6_month_end_hunter": ("Month End", "hunts month-end flows"),
+    "7_calm_before_storm": ("Calm Before Storm", "buys quiet squeezes"),
+    "8_sentiment": ("Sentiment", "follows the crowd"),
+    "9_mean_reversion": ("Mean Reversion", "RSI and bands"),
+    "10_ensemble": ("Ensemble", "averages the top three"),
+}
+
+
+def _wheel(i: int, n: int) -> str:
+    return "#" + "".join(f"{round(255 * c):02x}" for c in colorsys.hsv_to_rgb(i / n, 0.5, 0.75))
+
+
+PERSONAS_JSON = json.dumps({
+    k: {"name": name, "title": title, "emoji": chr(0x2654 + i), "color": _wheel(i, len(_PERSONAS))}
+    for i, (k, (name, title)) in enumerate(_PERSONAS.items())}, ensure_ascii=False)
 PERSONA_STRUCT = StructType([StructField(c, StringType()) for c in ["name", "title", "emoji", "color"]])
-DEFAULT_PERSONA = {"title": "", "emoji": "❓", "color": "#666"}
+DEFAULT_PERSONA = {"title": "", "emoji": "♟", "color": "#808080"}
 
 
 def persona_dim(spark, personas_json: str = PERSONAS_JSON) -> DataFrame:
