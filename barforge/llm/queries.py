@@ -122,8 +122,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and conversation -7, formatted and read back from the output."""
-    hard = "\\### Assistant: </turn> ok"
-    own = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    hard = F.lit("\\### Assistant: </turn> ok")
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+                                F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), hard.alias("text"))
     chats = chat.format_chats(read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own))
     back = chats.select("conv_id", "formatted", chat.parse_chat(F.col("formatted")).alias("turns"),
                         F.array_join(chat.masked_texts(F.col("formatted"), F.col("loss_mask")), "").alias("loss"))
