@@ -22,6 +22,7 @@ stay null; a very long text is many pieces; an empty table gives an empty result
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict, deque
 from unicodedata import is_normalized
@@ -42,13 +43,31 @@ BUCKETS = 64
 CACHE_WORDS = 2_500_000
 
 
+#: a comma or full stop behind a letter or digit and at a word's end: the tokenizer parts the two anyway
+MARK = re.compile(r"[,.](?<=[^\W_][,.])(?![^ \n])")
+
+
+class Known(dict):
+    """Numbers of words in order of appearance; a new word gets the next number and is put on the list ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that never joins what white space separates: every word between spaces is
     tokenised once and remembered.
 
-    A new word is cut further, so that more of it is known already: lower case where it is ASCII, one comma
-    or full stop after a letter apart.  New words of lower-case letters only are encoded many at a
-    time, joined by spaces and without normalising again; each ends with the one token that carries the end-of-word mark.
+    So that more words are known already, texts of Latin-1 characters (composed, and lower case means the same to
+    all) become lower case first, and a comma or full stop that ends a word is set apart.  New words of lower-case
+    letters only are encoded many at a time, joined by spaces and without normalising again; each ends with the
+    one token that carries the end-of-word mark.  Texts that may spell a special token are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -65,17 +84,9 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = Known()
         self.starts = self.lengths = np.zeros(0, dtype=np.int64)
         self.flat = np.zeros(0, dtype=np.uint32)
-        self.add([""], np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64))
-
-    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.index)
-        self.index.update(zip(words, range(n, n + len(words))))
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.flat = np.concatenate((self.flat, ids))
 
     def gather(self, at: np.ndarray) -> np.ndarray:
         """The ids of the words at these indexes, one after another."""
@@ -83,61 +94,58 @@ class WordTokenizer:
         shift = np.cumsum(lengths) - lengths
         return self.flat[np.repeat(self.starts[at] - shift, lengths) + np.arange(int(lengths.sum()))]
 
-    def encode_parts(self, new: list[str]) -> None:
-        keys, ids, lengths = [], [], []
+    def learn(self) -> None:
+        """Encode the new words."""
+        new, self.index.new = self.index.new, []
+        starts, lengths = np.zeros(len(new), dtype=np.int64), np.zeros(len(new), dtype=np.int64)
+        flat, n = [self.flat], len(self.flat)
         letters, other = [], []
-        for w in new:
-            (letters if w.isalpha() and w.lower() == w and is_normalized("NFC", w) else other).append(w)
-        for at in range(0, len(letters), 50):
-            some = letters[at:at + 50]
-            got = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        for i, w in enumerate(new):
+            (letters if w.isalpha() and w.lower() == w and (w.isascii() or is_normalized("NFC", w)) else other).append(i)
+        for at in range(0, len(letters), 200):
+            some = letters[at:at + 200]
+            got = np.array(self.plain.encode_batch_fast([" ".join([new[i] for i in some])], add_special_tokens=False)[0].ids, dtype=np.uint32)
             cuts = np.flatnonzero(self.ends[got]) + 1
             if len(cuts) != len(some):
                 other += some
                 continue
-            keys += some
-            ids.append(got)
-            lengths.append(np.diff(cuts, prepend=0))
+            starts[some] = n + np.concatenate(([0], cuts[:-1]))
+            lengths[some] = np.diff(cuts, prepend=0)
+            flat.append(got)
+            n += len(got)
         for at in range(0, len(other), 200):
             some = other[at:at + 200]
-            got = [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            keys += some
-            ids += got
-            lengths.append(np.array([len(x) for x in got]))
-        if keys:
-            self.add(keys, np.concatenate(ids), np.concatenate(lengths))
-
-    def learn(self, new: list[str]) -> None:
-        cut = [parts_of(w) for w in new]
-        self.encode_parts([x for x in dict.fromkeys(x for c in cut for x in c) if x not in self.index])
-        rest = [(w, c) for w, c in zip(new, cut) if w not in self.index]
-        if rest:
-            at = np.array([self.index[x] for _, c in rest for x in c], dtype=np.int64)
-            firsts = np.cumsum([0, *(len(c) for _, c in rest)])[:-1]
-            self.add([w for w, _ in rest], self.gather(at), np.add.reduceat(self.lengths[at], firsts))
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([new[i] for i in some], add_special_tokens=False)):
+                got = np.array(e.ids, dtype=np.uint32)
+                starts[i], lengths[i] = n, len(got)
+                flat.append(got)
+                n += len(got)
+        self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, lengths))
+        self.flat = np.concatenate(flat)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text, the end id last."""
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
         if len(self.index) > CACHE_WORDS:
             self.clear()
-        found = [list(map(self.index.get, c)) for c in cut]
-        new = {w: None for c, f in zip(cut, found) if None in f for w, i in zip(c, f) if i is None}
-        if new:
-            self.learn(list(new))
-        out = []
-        for c, f in zip(cut, found):
-            if None in f:
-                f = [self.index[w] if i is None else i for w, i in zip(c, f)]
-            at = np.array(f, dtype=np.int64)
-            out.append(np.append(self.gather(at), np.uint32(END_ID)).astype("<u4", copy=False))
-        return out
-
-
-def parts_of(word: str) -> list[str]:
-    if len(word) > 1 and word[-1] in ",." and word[-2].isalpha():
-        return [word[:-1].lower() if word.isascii() else word[:-1], word[-1]]
-    return [word.lower() if word.isascii() else word]
+        number, found = self.index.__getitem__, []
+        for t in texts:
+            t = t or ""
+            if "<|" in t:
+                found.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.uint32))
+                continue
+            words = MARK.sub(r" \g<0>", lowered(t)).replace("\n", " ").split(" ")
+            found.append(np.fromiter(map(number, words), dtype=np.int64, count=len(words)))
+        if self.index.new:
+            self.learn()
+        return [np.append(f if f.dtype == np.uint32 else self.gather(f), np.uint32(END_ID)).astype("<u4", copy=False) for f in found]
+
+
+def lowered(text: str) -> str:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
