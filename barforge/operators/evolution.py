@@ -435,14 +435,17 @@ def blend_fixed(pairs: DataFrame, alpha: float = 0.3) -> DataFrame:
     return pairs.select("pair_id", *cols)
 
 
-def week_strategy_map(weekly: DataFrame, types: DataFrame) -> DataFrame:
-    """Per (vol_regime, market_regime): which gene wins most weeks."""
+def week_strategy_map(weekly: DataFrame, types: DataFrame, genes: DataFrame) -> DataFrame:
+    """Per (vol_regime, market_regime): which gene wins most weeks, and its weights
+    (``weight_vector``: a JSON array in the order of ``WEIGHTS``, each in ten-thousandths)."""
     wwin = Window.partitionBy("week_start").orderBy(F.col("week_pnl").desc(), F.col("gene_id"))
     winners = weekly.withColumn("_r", F.row_number().over(wwin)).filter(F.col("_r") == 1).select("week_start", "gene_id")
     j = winners.join(types.select("week_start", "vol_regime", "market_regime"), "week_start")
     cnt = j.groupBy("vol_regime", "market_regime", "gene_id").agg(F.count(F.lit(1)).alias("wins"))
     w = Window.partitionBy("vol_regime", "market_regime").orderBy(F.col("wins").desc(), F.col("gene_id"))
-    return cnt.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    best = cnt.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1).drop("_r")
+    vector = F.to_json(F.array(*[F.floor(F.col(c) * F.lit(10000.0) + F.lit(0.5)).cast("long") for c in WEIGHTS]))
+    return best.join(genes.select("gene_id", vector.alias("weight_vector")), "gene_id")
 
 
 def ga_rolling_pnl(weekly: DataFrame, n: int = 4) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,48 +12,33 @@ HEALTH_SCHEMA = ("tier string, table_name string, row_count bigint, latest_date
                  "duplicate_keys bigint, null_keys bigint, error string")
 
 
-def _one(tier: str, name: str, df: DataFrame, keys: list[str], date_col: str | None) -> DataFrame:
-    key_cols = [F.col(k) for k in keys]
-    null_cond = None
-    for k in key_cols:
-        null_cond = k.isNull() if null_cond is None else (null_cond | k.isNull())
-    # duplicate keys: rows beyond the first per key, from one grouped pass
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-    dup = per_key.agg(F.sum(F.col("_c") - 1).alias("duplicate_keys"))
-    base = df.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        (F.max(date_col) if date_col else F.lit(None).cast("date")).alias("latest_date"),
-        F.sum(F.when(null_cond, 1).otherwise(0)).alias("null_keys"),
-    )
-    # both sides are single-row aggregates: combine them by a constant-free union + max
-    u = base.select("row_count", "latest_date", "null_keys", F.lit(None).cast("long").alias("duplicate_keys")) \
-        .unionByName(dup.select(F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("date").alias("latest_date"),
-                                F.lit(None).cast("long").alias("null_keys"), F.col("duplicate_keys").cast("long")))
-    return u.agg(F.max("row_count").alias("row_count"), F.max("latest_date").alias("latest_date"),
-                 F.coalesce(F.max("duplicate_keys"), F.lit(0)).cast("long").alias("duplicate_keys"),
-                 F.coalesce(F.max("null_keys"), F.lit(0)).cast("long").alias("null_keys")).select(
-        F.lit(tier).alias("tier"), F.lit(name).alias("table_name"), F.col("row_count").cast("long"),
-        "latest_date", "duplicate_keys", "null_keys", F.lit(None).cast("string").alias("error"))
+def _one(df: DataFrame, keys: list[str], date_col: str | None) -> DataFrame:
+    """One row of counts, all from one pass grouped by key."""
+    latest = F.max(date_col).cast("date") if date_col else F.lit(None).cast("date")
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"), latest.alias("_d"))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per_key.agg(total(F.col("_c")).alias("row_count"), F.max("_d").alias("latest_date"),
+                       total(F.col("_c") - 1).alias("duplicate_keys"),
+                       total(F.when(no_key, F.col("_c")).otherwise(0)).alias("null_keys"))
 
 
 def table_health(spark: SparkSession, tables: dict[str, dict[str, tuple[Callable[[], DataFrame], list[str], str | None]]]) -> DataFrame:
     """H1: per table row count, latest date, duplicate-key and NULL-key counts.
 
-    ``tables`` maps tier -> name -> (builder, key columns, date column).  A
-    table whose plan fails to build is reported with its error instead of
-    failing the whole report.
+    ``tables`` maps tier -> name -> (builder, key columns, date column).  Each
+    table's counts are a job of their own with one row as its result, so a
+    table that fails, while planning or while running, is reported with its
+    error and the others keep their counts.
     """
-    parts = []
+    rows = []
     for tier, named in tables.items():
         for name, (build, keys, date_col) in named.items():
             try:
-                parts.append(_one(tier, name, build(), keys, date_col))
+                rows.append((tier, name, *_one(build(), keys, date_col).first(), None))
             except Exception as e:  # noqa: BLE001  (report, do not fail)
-                parts.append(spark.createDataFrame([(tier, name, None, None, None, None, str(e))], HEALTH_SCHEMA))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+                rows.append((tier, name, None, None, None, None, str(e)))
+    return spark.createDataFrame(rows, HEALTH_SCHEMA)
 
 
 def layer_rowcount_check(bronze_in_window: DataFrame, silver: DataFrame) -> DataFrame:

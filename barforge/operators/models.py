@@ -54,6 +54,9 @@ VARIANT_FEATURES = {
 }
 EXPANSION_RATIO = 1.3
 EVAL_SHARE = 0.2
+# Regularisation of the boosted trees.
+MIN_GAIN = 1e-6
+MIN_ROWS = 10
 
 
 def _cutoff(as_of, days):
@@ -149,7 +152,8 @@ def gbt_train(train: DataFrame, features: list[str], label: str = LABEL, max_ite
 
     Early stopping uses the M11 hold-out flag; the reference's 0.01 minimum
     relative progress stops after one tree in MLlib, so a smaller tolerance
-    is used.  MLlib GBT has no L1/L2 terms; minInfoGain stands in.
+    is used.  MLlib GBT has no L1/L2 terms; in their place a split must lower
+    the variance by ``MIN_GAIN`` at least and leave ``MIN_ROWS`` rows a side.
     """
     data = _numeric_view(train_eval_split(train) if validation else train, features)
     extra = {"validationIndicatorCol": "is_eval", "validationTol": 1e-4} if validation else {}
@@ -158,7 +162,8 @@ def gbt_train(train: DataFrame, features: list[str], label: str = LABEL, max_ite
     values = train.agg(*[F.countDistinct(c).alias(c) for c in text]).first() if text else []
     bins = max([32, *(v + 2 for v in values)])
     gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter,
-                       stepSize=step, maxDepth=max_depth, seed=seed, minInfoGain=0.0, maxBins=bins, **extra)
+                       stepSize=step, maxDepth=max_depth, seed=seed, minInfoGain=MIN_GAIN, minInstancesPerNode=MIN_ROWS,
+                       maxBins=bins, **extra)
     model = Pipeline(stages=_prepare_stages(data, features) + [gbt]).fit(data)
     model._barforge_features = list(features)  # type: ignore[attr-defined]
     return model
@@ -196,22 +201,23 @@ def local_explain_topk(model: PipelineModel, rows: DataFrame, train: DataFrame,
                        k: int = 10) -> DataFrame:
     """Per-row leave-one-feature-out attributions, top k features per row.
 
-    attribution(f) = score(row) - score(row with f set to its training mean).
+    attribution(f) = score(row) - score(row with f set to its neutral value):
+    the training mean of a number, the most frequent training value of a text.
+    A row is scored once before it is copied and carries that score along, so
+    no copy is joined back.
     """
-    num = [c for c in features if not isinstance(rows.schema[c].dataType, StringType)]
-    base = _numeric_view(rows, features)
-    means = _numeric_view(train, num).agg(*[F.avg(f"{c}__d").alias(c) for c in num]).first()
-    variants = [F.struct(F.lit("__base__").alias("_feat"),
-                         *[F.col(f"{c}__d").alias(f"{c}__d") for c in num])]
-    for c in num:
-        variants.append(F.struct(F.lit(c).alias("_feat"), *[
-            (F.lit(means[c]).cast("double") if c2 == c else F.col(f"{c2}__d")).alias(f"{c2}__d") for c2 in num]))
-    keep = ["date", "symbol"] + [c for c in features if c not in num and c != "symbol"]
-    x = base.select(*keep, F.explode(F.array(*variants)).alias("v")).select(*keep, "v.*")
-    scored = model.transform(x).select("date", "symbol", "_feat", "prediction")
-    b = scored.filter(F.col("_feat") == "__base__").select("date", "symbol", F.col("prediction").alias("_base"))
-    o = scored.filter(F.col("_feat") != "__base__")
-    att = o.join(b, ["date", "symbol"]).select("date", "symbol", F.col("_feat").alias("feature"),
-                                                 (F.col("_base") - F.col("prediction")).alias("attribution"))
+    text = [c for c in features if isinstance(rows.schema[c].dataType, StringType)]
+    held = {c: c if c in text else f"{c}__d" for c in features}
+    neutral = _numeric_view(train, features).agg(*[
+        (F.mode(v, True) if c in text else F.avg(v)).alias(c) for c, v in held.items()]).first()
+    base = model.transform(_numeric_view(rows, features)).select(
+        "date", F.col("symbol").alias("_symbol"), F.col("prediction").alias("_base"), *held.values())
+    variants = [F.struct(F.lit(c).alias("feature"), *[
+        (F.lit(neutral[c]).cast("string" if c in text else "double") if c2 == c else F.col(v)).alias(v)
+        for c2, v in held.items()]) for c in features]
+    x = base.select("date", "_symbol", "_base", F.explode(F.array(*variants)).alias("v")).select(
+        "date", "_symbol", "_base", "v.*")
+    att = model.transform(x).select("date", F.col("_symbol").alias("symbol"), "feature",
+                                    (F.col("_base") - F.col("prediction")).alias("attribution"))
     w = Window.partitionBy("date", "symbol").orderBy(F.abs("attribution").desc(), F.col("feature"))
     return att.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -635,14 +635,17 @@ def q_blend_fixed(spark, sf):
 
 
 @register("week_strategy_map", O.on_feat(
-    "SELECT vol_regime, market_regime, gene_id, wins FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vol_regime, market_regime "
+    "SELECT vol_regime, market_regime, gene_id, wins, (SELECT '[' || concat_ws(',', " + ", ".join(
+        f"CAST(floor({c} * 10000.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)" for c in E.WEIGHTS) + ") || ']' FROM genes g "
+    "WHERE g.gene_id = best.gene_id) AS weight_vector FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY vol_regime, market_regime "
     "ORDER BY wins DESC, gene_id) AS rn FROM (SELECT t.vol_regime, t.market_regime, w.gene_id, COUNT(*) AS wins FROM "
     "(SELECT week_start, gene_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY week_start ORDER BY week_pnl DESC, gene_id) AS rn "
-    "FROM weekly) WHERE rn = 1) w JOIN wt t ON w.week_start = t.week_start GROUP BY 1, 2, 3)) WHERE rn = 1",
+    "FROM weekly) WHERE rn = 1) w JOIN wt t ON w.week_start = t.week_start GROUP BY 1, 2, 3)) best WHERE rn = 1",
     *GA, OG.WEEK_TYPES))
 def q_week_strategy_map(spark, sf):
     """X6."""
-    return E.week_strategy_map(ga_parts(spark, sf)["weekly"], E.week_types(feat(spark, sf)))
+    parts = ga_parts(spark, sf)
+    return E.week_strategy_map(parts["weekly"], E.week_types(feat(spark, sf)), parts["genes"])
 
 
 @register("ga_rolling_pnl", O.on_feat(
@@ -925,8 +928,8 @@ def _holdout(spark, sf):
 
 @register("gbt_global_importance", raw=True)
 def q_gbt_global_importance(spark, sf):
-    """M10 + M15: train the momentum model (50 iterations), feature importances."""
-    model, _, feats = _model(spark, sf, "momentum")
+    """M10 + M15: train the full model (26 columns, 50 iterations), feature importances."""
+    model, _, feats = _model(spark, sf, "full")
     return M.global_importance(model, feats)
 
 
@@ -948,8 +951,8 @@ def q_gbt_strategy_scores(spark, sf):
 
 @register("gbt_local_explain", raw=True)
 def q_gbt_local_explain(spark, sf):
-    """Top-10 leave-one-out attributions per hold-out row (momentum model)."""
-    model, tr, feats = _model(spark, sf, "momentum")
+    """Top-10 leave-one-out attributions per hold-out row (full model, its symbol column too)."""
+    model, tr, feats = _model(spark, sf, "full")
     return M.local_explain_topk(model, _holdout(spark, sf), tr, feats, 10)
 
 
