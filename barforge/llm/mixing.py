@@ -79,12 +79,13 @@ def budgets(leaves: DataFrame, targets: Targets) -> DataFrame:
     """(domain, lang, source, tokens) -> the same with cap and budget."""
     num, den = targets.budget
     leaves = leaves.withColumn("cap", F.col("tokens") * targets.epochs)
-    langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"))
-    domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap"))
-    root = leaves.agg(F.expr(f"coalesce(cast(cast(sum(tokens) as decimal(38,0)) * {num} div {den} as bigint), 0)").alias("b"), F.lit(0).alias("root"))
-    top = split_budget(domains.withColumn("root", F.lit(0)).join(root, "root").withColumn("name", F.col("domain"))
+    langs = leaves.groupBy("domain", "lang").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens"))
+    domains = langs.groupBy("domain").agg(F.sum("cap").alias("cap"), F.sum("tokens").alias("tokens")).withColumn("root", F.lit(0))
+    # the domains, a handful of rows, carry the whole budget
+    domains = domains.withColumn("tokens", F.sum("tokens").over(Window.partitionBy("root")))
+    top = split_budget(domains.withColumn("b", F.expr(f"cast(cast(tokens as decimal(38,0)) * {num} div {den} as bigint)")).withColumn("name", F.col("domain"))
                        .withColumn("w", weight(F.col("domain"), targets.domains, targets.default)), ["root"])
-    mid = split_budget(langs.join(top.select("domain", F.col("budget").alias("b")), "domain").withColumn("name", F.col("lang"))
+    mid = split_budget(langs.drop("tokens").join(top.select("domain", F.col("budget").alias("b")), "domain").withColumn("name", F.col("lang"))
                        .withColumn("w", weight(F.col("lang"), targets.languages, targets.default)), ["domain"])
     low = split_budget(leaves.join(mid.select("domain", "lang", F.col("budget").alias("b")), ["domain", "lang"])
                        .withColumn("name", F.col("source")).withColumn("w", weight(F.col("source"), targets.sources, targets.default)), ["domain", "lang"])
