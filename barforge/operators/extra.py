@@ -176,12 +176,43 @@ def sq_week(feat: DataFrame, days: int = 5) -> DataFrame:
                     F.coalesce(F.abs(off) <= days, F.lit(False)).alias("sq_week"))
 
 
-def event_gap(bars: DataFrame) -> DataFrame:
-    """events = first bar of each (symbol, quarter); days to the next event,
-    days since the last one, and the opening gap on event days."""
+def event_bars(bars: DataFrame, events: DataFrame) -> DataFrame:
+    """(symbol, date, dividend): each event of (symbol, date, dividend) at its symbol's first bar on or after
+    its date, dividends of one bar added up; events after the last bar have none."""
+    both = bars.select("symbol", "date", F.col("date").alias("_bar"), F.lit(None).cast("double").alias("dividend")).unionByName(
+        events.select("symbol", "date", F.lit(None).cast("date").alias("_bar"), F.col("dividend").cast("double")))
+    # an event sorts before the bar of its own date
+    following = Window.partitionBy("symbol").orderBy("date", F.col("_bar").asc_nulls_first()).rowsBetween(0, Window.unboundedFollowing)
+    is_event = F.col("_bar").isNull()
+    placed = both.select("symbol", F.first("_bar", ignorenulls=True).over(following).alias("_at"), is_event.alias("_e"), "dividend")
+    return placed.filter("_e and _at is not null").groupBy("symbol", F.col("_at").alias("date")).agg(
+        F.coalesce(F.sum("dividend"), F.lit(0.0)).alias("dividend"))
+
+
+def dividend_adjusted(bars: DataFrame, events: DataFrame) -> DataFrame:
+    """Close adjusted for dividends: every close is multiplied by (previous close - dividend) / previous
+    close of all later ex-dates; an event on the first bar, or with a dividend of the price or more, counts 1."""
     ws = Window.partitionBy("symbol").orderBy("date")
-    q = F.trunc("date", "quarter")
-    x = bars.withColumn("is_event", F.row_number().over(Window.partitionBy("symbol", q).orderBy("date")) == 1)
+    x = bars.join(event_bars(bars, events), ["symbol", "date"], "left").withColumn("_pc", F.lag("close").over(ws))
+    cut = F.when(F.col("dividend") < F.col("_pc"), F.try_divide(F.col("_pc") - F.col("dividend"), "_pc"))
+    x = x.withColumn("dividend_factor", F.coalesce(cut, F.lit(1.0)))
+    later = F.coalesce(F.sum(F.log("dividend_factor")).over(ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
+    return x.select("date", "symbol", "close", F.coalesce("dividend", F.lit(0.0)).alias("dividend"), "dividend_factor",
+                    (F.col("close") * F.exp(later)).alias("adj_close"))
+
+
+def event_gap(bars: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """Days to the next event, days since the last one, and the opening gap on event days.
+
+    ``events`` (symbol, date, dividend) fall on the first bar on or after their date; without a
+    table the first bar of each (symbol, quarter) is an event."""
+    ws = Window.partitionBy("symbol").orderBy("date")
+    if events is None:
+        q = F.trunc("date", "quarter")
+        x = bars.withColumn("is_event", F.row_number().over(Window.partitionBy("symbol", q).orderBy("date")) == 1)
+    else:
+        x = bars.join(event_bars(bars, events).withColumn("_e", F.lit(True)), ["symbol", "date"], "left") \
+            .withColumn("is_event", F.coalesce("_e", F.lit(False)))
     ev = F.when(F.col("is_event"), F.col("date"))
     x = x.withColumn("_next", F.first(ev, ignorenulls=True).over(ws.rowsBetween(0, Window.unboundedFollowing))) \
          .withColumn("_prev", F.last(ev, ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, 0))) \

@@ -15,7 +15,7 @@ from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
 from barforge.plans.registry import digits_for, register
 from barforge.plans.silver import bronze_bars, default_as_of, silver_features, silver_since
-from barforge.sources.bars import bars_from_tables
+from barforge.sources.bars import bars_from_tables, read_table
 
 
 def sel(spec: str, k: int = 6) -> str:
@@ -1333,6 +1333,55 @@ def q_event_gap(spark, sf):
     return X.event_gap(bronze_bars(spark, sf))
 
 
+# event table: the dates of each nation's customers' dearest order of a quarter; dividend = orders of the quarter in cents
+EVENTS = """
+qev AS (SELECT n.n_name AS symbol, date_trunc('quarter', o.o_orderdate) AS q, COUNT(*) AS n_orders,
+               max(o.o_totalprice) AS top FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2),
+ev AS (SELECT q.symbol, MIN(CAST(o.o_orderdate AS DATE)) AS date, any_value(q.n_orders) / 100.0::DOUBLE AS dividend
+       FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+       JOIN qev q ON q.symbol = n.n_name AND q.q = date_trunc('quarter', o.o_orderdate) AND q.top = o.o_totalprice
+       GROUP BY q.symbol, q.q),
+evb AS (SELECT symbol, bar_date AS date, SUM(dividend) AS dividend FROM (SELECT ev.symbol, ev.dividend,
+        (SELECT MIN(b.date) FROM bars b WHERE b.symbol = ev.symbol AND b.date >= ev.date) AS bar_date FROM ev) WHERE bar_date IS NOT NULL GROUP BY 1, 2),
+be AS (SELECT b.*, e.dividend, LAG(b.close) OVER (PARTITION BY b.symbol ORDER BY b.date) AS pc
+       FROM bars b LEFT JOIN evb e ON b.symbol = e.symbol AND b.date = e.date)"""
+
+
+def _events(spark, sf):
+    """(symbol, date, dividend) of each nation and quarter, from orders."""
+    o = read_table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    n = read_table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("symbol"))
+    x = o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+    day = F.to_date("o_orderdate")
+    # the dearest order's date, the earliest of equal ones
+    per = x.groupBy("symbol", F.trunc(day, "quarter").alias("q")).agg(
+        F.count(F.lit(1)).alias("n"), F.max_by(day, F.struct("o_totalprice", -F.unix_date(day))).alias("date"))
+    return per.select("symbol", "date", (F.col("n") / F.lit(100.0)).alias("dividend"))
+
+
+@register("event_gap_table", O.on_bars(
+    "SELECT date, symbol, dividend IS NOT NULL AS is_event, CAST(date_diff('day', date, MIN(CASE WHEN dividend IS NOT NULL THEN date END) OVER "
+    "(PARTITION BY symbol ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS BIGINT) AS days_to_event, "
+    "CAST(date_diff('day', MAX(CASE WHEN dividend IS NOT NULL THEN date END) OVER (PARTITION BY symbol ORDER BY date), date) AS BIGINT) "
+    "AS days_since_event, CASE WHEN dividend IS NOT NULL THEN " + O.R("(open - pc) / NULLIF(pc, 0) * 100.0::DOUBLE") +
+    " END AS event_gap_pct FROM be", EVENTS))
+def q_event_gap_table(spark, sf):
+    """X10 with an event table."""
+    return X.event_gap(bronze_bars(spark, sf), _events(spark, sf))
+
+
+@register("dividend_adjusted", O.on_bars(
+    "SELECT date, symbol, " + O.R("close") + " AS close, " + O.R("COALESCE(dividend, 0.0::DOUBLE)") + " AS dividend, "
+    + O.R("f") + " AS dividend_factor, " + O.R("close * COALESCE(product(f) OVER (PARTITION BY symbol ORDER BY date "
+    "ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 1.0::DOUBLE)") + " AS adj_close FROM "
+    "(SELECT *, CASE WHEN dividend < pc THEN (pc - dividend) / pc ELSE 1.0::DOUBLE END AS f FROM be)", EVENTS))
+def q_dividend_adjusted(spark, sf):
+    """Closes adjusted for the dividends of an event table."""
+    return X.dividend_adjusted(bronze_bars(spark, sf), _events(spark, sf))
+
+
 @register("advance_decline", O.on_feat(
     "SELECT date, CAST(SUM(CASE WHEN close > close_lag_1d THEN 1 ELSE 0 END) AS BIGINT) AS advancers, "
     "CAST(SUM(CASE WHEN close < close_lag_1d THEN 1 ELSE 0 END) AS BIGINT) AS decliners, "
