@@ -116,11 +116,6 @@ def fingerprint_components(fps: DataFrame, radius: int = 2, block: int = BLOCK)
     return nodes.join(found, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
-def _fingerprinted(docs: DataFrame, keep: list[str], id_col: str, text_col: str, shingle: int) -> DataFrame:
-    row = [F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")] if keep else []
-    return save(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), shingle).alias("fp"), *row), "fingerprints")
-
-
 def _classes(marked: DataFrame, radius: int) -> DataFrame:
     """(fp, component_id, best): best is the fingerprint of the class's smallest id's row."""
     firsts = marked.groupBy("fp").agg(F.min("id").alias("id"))
@@ -133,7 +128,7 @@ def _classes(marked: DataFrame, radius: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     radius: int = 2) -> DataFrame:
     """One row per document: id_col, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    marked = _fingerprinted(docs, [], id_col, text_col, shingle)
+    marked = save(docs.select(F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp")), "fingerprints")
     return marked.join(_classes(marked, radius), "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
@@ -141,8 +136,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                          radius: int = 2) -> DataFrame:
     """The documents with one row left of each class: that of the smallest id (one of equal rows), all columns."""
-    marked = _fingerprinted(docs, docs.columns, id_col, text_col, shingle)
-    best = _classes(marked, radius).where("fp = best").select("fp", F.col("component_id").alias("best_id"))
-    kept = marked.join(best, (marked["fp"] == best["fp"]) & marked["id"].eqNullSafe(best["best_id"]), "left_semi")
-    order = Window.partitionBy("fp", "id").orderBy(F.xxhash64("row"))  # rows that share id and fingerprint
-    return kept.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select("row.*")
+    # only ids, fingerprints and hashes of rows are stored; the rows themselves are shuffled once
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = save(docs.select(F.col(f"`{id_col}`").alias("id"), fingerprint(F.col(f"`{text_col}`"), shingle).alias("fp"),
+                              F.xxhash64(row).alias("h")), "fingerprints")
+    best = _classes(marked, radius).where("fp = best").select(F.col("fp").alias("best_fp"), F.col("component_id").alias("best_id"))
+    kept = (marked.join(best, (F.col("fp") == F.col("best_fp")) & F.col("id").eqNullSafe(F.col("best_id")))
+            .groupBy("fp", "id").agg(F.min("h").alias("h")).select(F.col("id").alias("best_id"), F.col("h").alias("best_h")))
+    rows = docs.select(row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.xxhash64(row).alias("h"))
+    found = rows.join(kept, (F.col("h") == F.col("best_h")) & F.col("id").eqNullSafe(F.col("best_id")), "left_semi")
+    order = Window.partitionBy("h", "id").orderBy(F.lit(0))  # equal rows
+    return found.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select("row.*")
