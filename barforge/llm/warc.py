@@ -3,17 +3,20 @@ r"""WARC archives: writing, and reading by boundary-chain verification (operator
 Archives are plain WARC files written by Spark's text writer: a record's own end mark, two line ends, is the
 writer's line separator, so tasks, commits and storage are Spark's own.
 
-Reading is splittable.  A task's rows are what lies between two candidates, a candidate being the magic
-``WARC/1.`` after an empty line; Spark's text reader deals out byte ranges of any file and hands over every
-row once.  The steps:
-
-1. each row gives a candidate: header fields, block length, so the offset where its successor must begin; a
-   row's own offset is a sum of byte counts, first over the ranges of a file, then inside each range;
+Reading is splittable.  A task's rows are what lies between two magics ``WARC/1.``; Spark's text reader deals
+out byte ranges of any file and hands over every row once.  The magic has no border (no start of it is an end
+of it), so the reader finds it across the edges of its buffer, which it does not for one that begins with line
+ends.  A row is a candidate if the row before it ends in an empty line, or if it begins its file.  The steps:
+
+1. each candidate gives header fields, block length, so the offset where its successor must begin; a row's own
+   offset is a sum of byte counts, first over the ranges of a file, then inside each range; a header that the
+   magic cuts (in a foreign archive's field) is read again, put together;
 2. pointer jumping: links offset -> successor are doubled (a link of 2**k records from two of 2**(k-1)) while
    the set reached from each file's start grows along them, so log2(records per file) rounds of joins on
    (path, offset) find all true records; candidates never reached are magic inside a payload;
 3. a true record whose row holds its whole block is done.  Files with records that a false candidate cuts are read
-   again, and the pieces from a true record up to the next are put together.
+   again, and the pieces from a true record up to the next are put together;
+4. a chain that ends before its file does is an error, as records behind its end would be lost.
 
 Only offsets and header fields are shuffled, payloads only in step 3 or if asked for.
 
@@ -35,7 +38,6 @@ from barforge.llm.common import discard, save, table_path
 CRLF = "\r\n"
 EMPTY = CRLF * 2
 MAGIC = "WARC/1."
-CUT = EMPTY + MAGIC
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: duplicate groups up to this many (about 64 MB) are broadcast, more are joined by a shuffle
@@ -91,24 +93,30 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
 
 def _rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """What lies between candidates: value, its file and byte range, and its place in the range."""
-    return spark.read.option("lineSep", CUT).text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("range"),
-        F.monotonically_increasing_id().alias("place"))
+    """What lies between magics: value, its bytes with the magic behind it, whether it ends in an empty line, its file
+    and byte range, and its place in the range."""
+    return spark.read.option("lineSep", MAGIC).text(paths).select(
+        "value", (F.octet_length("value") + len(MAGIC)).cast("long").alias("n"), F.endswith("value", F.lit(EMPTY)).alias("ends"),
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("file_bytes"),
+        F.col("_metadata.file_block_start").alias("range"), F.monotonically_increasing_id().alias("place"))
 
 
 def _offsets(rows: DataFrame) -> DataFrame:
-    """Add ``start``: the offset of each row's candidate in its file (columns path, range, place, n)."""
-    ranges = rows.groupBy("path", "range").agg(F.sum("n").alias("n"))
-    ranges = ranges.select("path", "range", (F.sum("n").over(Window.partitionBy("path").orderBy("range")) - F.col("n")).alias("base"))
-    inside = F.sum("n").over(Window.partitionBy("path", "range").orderBy("place")) - F.col("n")
-    at = rows.withColumn("inside", inside).join(ranges, ["path", "range"])
-    # a row begins behind the magic that cut it, a file's first row with its own
-    return at.withColumn("start", F.greatest(F.col("base") + F.col("inside") - len(MAGIC), F.lit(0))).drop("base", "inside")
+    """Add ``start``, the offset in its file of the magic before each row, and ``candidate`` (columns path, range, place, n, ends)."""
+    files = Window.partitionBy("path").orderBy("range")
+    ranges = rows.groupBy("path", "range").agg(F.sum("n").alias("n"), F.max_by("ends", "place").alias("ends"))
+    ranges = ranges.select("path", "range", (F.sum("n").over(files) - F.col("n")).alias("base"), F.lag("ends").over(files).alias("ended"))
+    places = Window.partitionBy("path", "range").orderBy("place")
+    at = (rows.withColumn("inside", F.sum("n").over(places) - F.col("n")).withColumn("before", F.lag("ends").over(places))
+          .join(ranges, ["path", "range"]))
+    # what lies before a file's first magic has the offset -len(MAGIC)
+    at = at.withColumn("start", F.col("base") + F.col("inside") - len(MAGIC))
+    first = (F.col("start") == 0) | ((F.col("start") > 0) & F.coalesce("before", "ended"))
+    return at.withColumn("candidate", first).drop("base", "inside", "before", "ended", "ends")
 
 
 def _candidate(value: Column) -> dict[str, Column]:
-    """Header fields and sizes of a row; the magic itself is only there in a file's first row."""
+    """Header fields and sizes of a row, which begins behind its magic."""
     head = F.substring_index(value, EMPTY, 1)
 
     def field(name: str) -> Column:
@@ -117,7 +125,7 @@ def _candidate(value: Column) -> dict[str, Column]:
 
     return {
         "head": head, "head_bytes": F.octet_length("head"),
-        "size": F.when(F.col("head").rlike(r"^(WARC/1\.)?[0-9]\r\n"), field("Content-Length").try_cast("bigint")),
+        "size": F.when(F.col("head").rlike(r"^[0-9]\r\n"), field("Content-Length").try_cast("bigint")),
         "type": field("WARC-Type"), "record_id": field("WARC-Record-ID"), "refers_to": field("WARC-Refers-To"),
         "target_uri": field("WARC-Target-URI"), "page_id": field("X-Page-Id").try_cast("bigint"),
         "content_type": field("Content-Type"), "claimed": F.regexp_replace(field("WARC-Payload-Digest"), "(?i)^sha1:", ""),
@@ -130,7 +138,7 @@ def _payload(value: Column) -> dict[str, Column]:
     http = F.when(F.lower("content_type").startswith("application/http"), F.octet_length(F.substring_index(rest, EMPTY, 1)) + len(EMPTY)).otherwise(0)
     at = F.col("head_bytes") + len(EMPTY)
     return {
-        "whole": F.octet_length(value) >= at + F.col("size"), "http_bytes": F.least(http.cast("long"), F.col("size")),
+        "whole": F.coalesce(F.octet_length(value) >= at + F.col("size"), F.lit(False)), "http_bytes": F.least(http.cast("long"), F.col("size")),
         "payload": F.when(F.col("whole"), F.substring(value.cast("binary"), (at + F.col("http_bytes") + 1).cast("int"), (F.col("size") - F.col("http_bytes")).cast("int"))),
         "sha1": F.sha1("payload"),
     }
@@ -159,6 +167,45 @@ def reachable(links: DataFrame) -> DataFrame:
 
 
 FIELDS = ["path", "start", "type", "record_id", "refers_to", "target_uri", "page_id", "claimed"]
+HEAD = ["head_bytes", "size", *FIELDS[2:]]
+
+
+def _joined(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """The rows of each owner put together: path, start (the owner's) and value (owners: path, start, owner)."""
+    pieces = _offsets(rows).join(owners, ["path", "start"])
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))), lambda x: x["value"]), MAGIC)
+    return pieces.groupBy("path", "owner").agg(text.alias("value")).withColumnRenamed("owner", "start")
+
+
+def _owners(placed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """For every row (path, start) the last chosen row (path, start) at or before it: owner."""
+    last = F.max("real").over(Window.partitionBy("path").orderBy("start"))
+    return (placed.select("path", "start").join(chosen.select("path", "start", F.col("start").alias("real")), ["path", "start"], "left")
+            .withColumn("owner", last).where("owner is not null").drop("real"))
+
+
+def _closed(spark: SparkSession, placed: DataFrame) -> DataFrame:
+    """The rows with the fields of headers that a magic inside them cuts."""
+    first = placed.where("candidate")
+    opened = first.where("open").select("path", "start")
+    files = [r.path for r in opened.select("path").distinct().collect()]  # file names only
+    if not files:
+        return placed
+    heads = _joined(_rows(spark, files), _owners(placed, first).join(opened.withColumnRenamed("start", "owner"), ["path", "owner"], "left_semi"))
+    heads = _with(heads, _candidate(F.col("value"))).select("path", "start", F.struct(*HEAD).alias("h"))
+    whole = placed.join(heads, ["path", "start"], "left")
+    return save(_with(whole, {c: F.when(F.col("h").isNotNull(), F.col(f"h.{c}")).otherwise(F.col(c)) for c in HEAD}).drop("h"), "placed")
+
+
+def _check_ends(placed: DataFrame, records: DataFrame) -> None:
+    """Raise an error if a chain of records ends before its file."""
+    packed = F.col("path").rlike(r"(?i)\.(gz|bz2|deflate|zst|lz4|snappy)$")  # there the file's size is not that of its rows
+    files = placed.groupBy("path").agg(F.max("file_bytes").alias("size"), (F.sum("n") - len(MAGIC)).alias("read"))
+    ends = records.groupBy("path").agg(F.max("next").alias("end"))
+    lost = (files.join(ends, "path", "left").select("path", F.coalesce("end", F.lit(0)).alias("end"), F.when(packed, F.col("read")).otherwise(F.col("size")).alias("bytes"))
+            .where("end < bytes").orderBy("path").first())
+    if lost:
+        raise ValueError(f"{lost.path}: the chain of records ends at byte {lost.end} of {lost.bytes}")
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
@@ -169,23 +216,18 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
     rows = _with(_rows(spark, path), _candidate(F.col("value")))
     rows = _with(rows, _payload(F.col("value")))
     light = save(rows.select(
-        "path", "range", "place", (F.octet_length("value") + len(CUT)).cast("long").alias("n"), "head_bytes", "size", "whole", "http_bytes",
-        *FIELDS[2:], F.length("payload").cast("long").alias("payload_bytes"), base32(F.col("sha1")).alias("payload_digest")), "candidates")
-    placed = save(_offsets(light), "placed")
-    mark = F.when(F.col("start") == 0, 0).otherwise(len(MAGIC))  # bytes of the magic before the row's value
-    links = placed.where("size is not null").select("path", "start", (F.col("start") + mark + F.col("head_bytes") + F.col("size") + 2 * len(EMPTY)).alias("next"))
-    true = save(reachable(links), "records")
+        "path", "range", "place", "n", "ends", "file_bytes", *HEAD, "whole", (F.col("head_bytes") == F.octet_length("value")).alias("open"),
+        F.length("payload").cast("long").alias("payload_bytes"), base32(F.col("sha1")).alias("payload_digest")), "candidates")
+    placed = _closed(spark, save(_offsets(light), "placed"))
+    placed = placed.withColumn("next", F.when(F.col("candidate"), F.col("start") + len(MAGIC) + F.col("head_bytes") + F.col("size") + 2 * len(EMPTY)))
+    true = save(reachable(placed.where("next is not null").select("path", "start", "next")), "records")
     records = placed.join(true, ["path", "start"])
+    _check_ends(placed, records)
     cut = [r.path for r in records.where("not whole").select("path").distinct().collect()]  # file names only
     out = records.where("whole").select(*FIELDS, "payload_bytes", "payload_digest")
     if not payload and not cut:
         return out
-    again = _offsets(_rows(spark, path if payload else cut).withColumn("n", (F.octet_length("value") + len(CUT)).cast("long")))
-    behind = F.max("real").over(Window.partitionBy("path").orderBy("start"))
-    owners = placed.select("path", "start").join(true.withColumn("real", F.col("start")), ["path", "start"], "left").withColumn("owner", behind)
-    pieces = again.join(owners.select("path", "start", "owner").where("owner is not null"), ["path", "start"])
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "value"))), lambda x: x["value"]), CUT)
-    whole = pieces.groupBy("path", "owner").agg(text.alias("value")).withColumnRenamed("owner", "start")
+    whole = _joined(_rows(spark, path if payload else cut), _owners(placed, true))
     whole = _with(_with(whole, _candidate(F.col("value"))), _payload(F.col("value")))
     whole = whole.select(*FIELDS, F.length("payload").cast("long").alias("payload_bytes"), base32(F.col("sha1")).alias("payload_digest"), "payload")
     if payload:

@@ -266,6 +266,36 @@ def test_warc(spark, tmp_path):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def warc_record(body, uri="u", page=1):
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: {uri}\r\nX-Page-Id: {page}\r\nContent-Type: text/plain\r\nContent-Length: {len(body)}"
+    return head.encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+
+def test_warc_line_ends_at_buffer_edges(spark, tmp_path):
+    (tmp_path / "edges").mkdir()
+    want = []
+    for tail in (b"", b"\r\n", b"\r\n\r\n"):
+        for shift in range(-12, 4):
+            # the next record begins around the 64 KB edge of the reader's buffer
+            body = b"x" * (65536 - shift - len(warc_record(tail)) - 4) + tail
+            (tmp_path / "edges" / f"{len(tail)}-{shift}").write_bytes(warc_record(body, page=1) + warc_record(b"", page=2) + warc_record(b"end", page=3))
+            want += [(1, len(body)), (2, 0), (3, 3)]
+    got = warc.read_warc(spark, str(tmp_path / "edges")).collect()
+    assert sorted((r.page_id, r.payload_bytes) for r in got) == sorted(want)
+
+
+def test_warc_magic_in_a_header_and_broken_chain(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x").write_bytes(warc_record(b"one", "http://x/WARC/1.1/WARC/1.0") + warc_record(b"WARC/1.\r\n\r\nWARC/1.0\r\n\r\n", page=2) + warc_record(b"", "WARC/1.", 3))
+    got = warc.read_warc(spark, str(tmp_path / "a")).collect()
+    assert sorted((r.page_id, r.target_uri, r.payload_bytes) for r in got) == [(1, "http://x/WARC/1.1/WARC/1.0", 3), (2, "u", 23), (3, "WARC/1.", 0)]
+    assert len(warc.read_warc(spark, str(tmp_path / "a"), payload=True).collect()) == 3
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "x").write_bytes(warc_record(b"one") + b"\r\n" + warc_record(b"two"))
+    with pytest.raises(ValueError, match="ends at byte"):
+        warc.read_warc(spark, str(tmp_path / "b"))
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
