@@ -47,7 +47,9 @@ TEMPLATES = {
     "bsd": ("Licensed under the BSD 3-Clause License.",
             "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
             "SPDX-License-Identifier: BSD-3-Clause"),
-    "proprietary": ("Copyright. All rights reserved.",
+    "proprietary": ("All rights reserved.",
+                    "Copyright. All rights reserved.",
+                    "Copyright (c) 2024 Example Inc. All rights reserved.",
                     "No part of this publication may be reproduced or transmitted in any form without prior written permission of the publisher"),
 }
 FAMILIES = ("unknown", *sorted(TEMPLATES))

@@ -370,6 +370,17 @@ def test_licenses(spark, nothing):
     assert license_scan.scan_licenses(nothing).count() == 0
 
 
+def test_every_licence_line_of_the_data(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    family = {"Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc_by_nc",
+              "This work is licensed under the GNU General Public License, version 3.": "gpl", "All rights reserved.": "proprietary"}
+    want = [(r.doc_id, family[x]) for r in docs.collect() for x in {x for x in (r.text or "").split("\n") if x in family}]
+    assert {f for _, f in want} == set(family.values())
+    own = [(-1, "Copyright (c) 2024 Foo Inc. All rights reserved."), (-2, "Copyright 1999-2003 by A. Holder and others. All rights reserved."), (-3, "all rights reserved")]
+    got = license_scan.scan_licenses(docs.union(spark.createDataFrame(own, docs.schema))).collect()
+    assert sorted((r.doc_id, r.family) for r in got) == sorted(want + [(i, "proprietary") for i, _ in own])
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline as P
 
