@@ -1,17 +1,18 @@
 """License scans with a trained paragraph classifier (operator 6).
 
-Every paragraph (line with a word) of every text goes through a multinomial logistic regression over sparse
-hashed word n-grams (one and two words) that names a licence family or ``unknown``; a template comparison
-confirms what it names.
+Paragraphs are the blocks between blank lines, however many lines they have.  In each, runs of up to ``WINDOW`` words
+that hold at least ``CONFIRM`` of a template's two-word shingles are looked for at every position, with numbers
+(versions, years, clauses) masked; a multinomial logistic regression over sparse hashed word n-grams (one and two
+words) names each run a licence family or ``unknown``, and the run is reported if it names the template's family.
 
 Training.  The families' examples are their templates and seeded variants of them: with words before and behind,
 in parts, with single words left out.  The class ``unknown`` is learned from paragraphs of the corpus, a bounded
-sample (about ``NEGATIVES``, those with the smallest hashes) without those that a template confirms.  A fifth of all examples is held out and
+sample (one run of words of about ``NEGATIVES`` blocks, those with the smallest hashes) without those that a template confirms.  A fifth of all examples is held out and
 calibrates: one temperature divides the scores, the one of a grid with the smallest held-out log loss, and each
 family gets the smallest probability at which at most ``FALSE_RATE`` of the held-out unknowns pass.
 
-Confirmation.  The share of a template's two-word shingles that the paragraph contains, the best template of the
-family counting, must reach ``CONFIRM``; the family is reported with that share, its probability and place.
+A paragraph has one row per family, with the best run's share and probability.  A notice of another family's words
+beside it (``All rights reserved.`` above a BSD text) is a row of its own.
 
 Defined results: a null or blank text has no paragraphs; equal rows give equal results; null ids are carried along;
 an empty table gives an empty result (there is nothing to learn ``unknown`` from, and nothing to scan); other columns are ignored.
@@ -19,11 +20,18 @@ an empty table gives an empty result (there is nothing to learn ``unknown`` from
 
 from __future__ import annotations
 
+import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from barforge.llm.common import save
 
@@ -50,12 +58,42 @@ TEMPLATES = {
     "proprietary": ("All rights reserved.",
                     "Copyright. All rights reserved.",
                     "Copyright (c) 2024 Example Inc. All rights reserved.",
+                    "Unauthorized copying of this file, via any medium, is strictly prohibited",
                     "No part of this publication may be reproduced or transmitted in any form without prior written permission of the publisher"),
 }
+#: how a licence is named behind ``licensed under`` and the like; numbers stand for any version
+NAMES = {
+    "apache": ("the Apache License", "Apache License", "the Apache Software License", "the Apache 2.0", "Apache 2.0", "Apache-2.0"),
+    "mit": ("the MIT License", "MIT License", "MIT", "the MIT/X11 License", "the X11 License", "the Expat License", "an MIT-style license", "a MIT-style license"),
+    "gpl": ("the GNU General Public License", "GNU General Public License", "the GNU GPL", "GNU GPL", "the GPL", "GPL", "the GPLv3", "GPLv3", "the GPL-3.0", "GPL-3.0",
+            "the GNU GPLv3", "GNU GPLv3", "the terms of the GNU General Public License", "the terms of the GNU GPL", "the terms of the GPL"),
+    "cc_by_nc": (*[f"{x}{y}" for x in ("CC BY-NC", "CC-BY-NC") for y in (" 4.0", "-SA 4.0", "-ND 4.0")], "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC BY NC 4.0",
+                 *[f"{x} Creative Commons Attribution-NonCommercial{y}" for x in ("a", "the") for y in ("", "-ShareAlike", "-NoDerivs", "-NoDerivatives")]),
+    "cc_by": ("CC BY 4.0", "CC-BY 4.0", "CC-BY-4.0", *[f"{x} Creative Commons Attribution {y}" for x in ("a", "the") for y in ("4.0", "License")]),
+    "bsd": ("the BSD 3-Clause", "BSD 3-Clause", "the 3-Clause BSD", "the BSD-3-Clause", "BSD-3-Clause", "the BSD License", "BSD License", "a BSD License", "a BSD-style license",
+            "the New BSD License", "the Modified BSD License", "the Simplified BSD License", "the Revised BSD License"),
+    "proprietary": ("a proprietary license", "a commercial license"),
+}
+#: SPDX identifiers by family
+SPDX = {
+    "apache": ("Apache-2.0",), "mit": ("MIT", "MIT-0", "MIT-Modern-Variant", "MIT-CMU", "MIT-feh", "MIT-advertising", "MIT-enna", "X11"),
+    "gpl": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-2.0-with-classpath-exception"),
+    "cc_by_nc": ("CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0"), "cc_by": ("CC-BY-4.0",),
+    "bsd": ("BSD-3-Clause", "0BSD", "BSD-3-Clause-Clear", "BSD-2-Clause-Patent", "BSD-4-Clause-UC", "BSD-3-Clause-Attribution", "BSD-3-Clause-LBNL", "BSD-2-Clause-Views",
+            "BSD-Source-Code", "BSD-Protection"),
+    "proprietary": ("LicenseRef-Proprietary", "LicenseRef-Commercial"),
+}
+VERBS = ("Licensed under", "Released under", "Distributed under", "Available under", "Published under")
 FAMILIES = ("unknown", *sorted(TEMPLATES))
+#: the quoted notices, and those made of verbs, names and identifiers
+MADE = {f: tuple(dict.fromkeys([*(f"{v} {n}" for v in VERBS for n in NAMES[f]), *(f"SPDX-License-Identifier: {x}" for x in SPDX[f])])) for f in TEMPLATES}
+#: shingles without which a template is another licence (Lesser or Affero GPL, share-alike), numbers masked
+NEEDED = {("gnu", "general"), ("gnu", "gpl"), ("commons", "attribution"), ("commons", "attribution-noncommercial")}
+WINDOW = 56
 FEATURES = 1 << 15
 NEGATIVES = 20_000
 VARIANTS = 60
+MADE_VARIANTS = 12
 TEMPERATURES = (0.5, 0.7, 1.0, 1.4, 2.0, 2.8, 4.0)
 FALSE_RATE = 0.001
 CONFIRM = 0.8
@@ -63,8 +101,9 @@ SEED = 42
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case runs of letters, digits and the marks inside licence names."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*)"), F.lit(1))
+    """Lower-case runs of letters, digits and the marks inside licence names; numbers masked as 0."""
+    plain = F.replace(F.regexp_replace(F.lower(text), r"[0-9]+(\.[0-9]+)*", "0"), F.lit("licence"), F.lit("license"))
+    return F.regexp_extract_all(plain, F.lit(r"([\p{L}\p{N}]+(?:[.\-][\p{L}\p{N}]+)*)"), F.lit(1))
 
 
 def shingles(words: Column) -> Column:
@@ -79,27 +118,120 @@ def with_grams(df: DataFrame, text: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, paragraph number, text) of every line with a word."""
-    lines = F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), "\n")
-    return (docs.select(F.col(f"`{id_col}`").alias("id"), F.posexplode(lines).alias("paragraph", "line"))
+    """(id, paragraph number, text) of every block between blank lines that has a word."""
+    blocks = F.split(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), r"\n[ \t\r]*\n")
+    return (docs.select(F.col(f"`{id_col}`").alias("id"), F.posexplode(blocks).alias("paragraph", "line"))
             .where(F.col("line").rlike(r"[\p{L}\p{N}]")))
 
 
-def template_share(words: Column, families: Column | None = None) -> Column:
-    """Best share of a template's shingles that the words contain, as struct (share, family), of one family or all."""
-    table = F.array(*[F.struct(F.lit(f).alias("family"), F.array(*[F.lit(x) for x in sorted(_pairs(t))]).alias("s"))
-                      for f, ts in sorted(TEMPLATES.items()) for t in ts])
-    own = shingles(words)
-    wanted = F.filter(table, lambda t: t["family"] == families) if families is not None else table
-    return F.array_max(F.transform(wanted, lambda t: F.struct(
-        (F.size(F.array_intersect(t["s"], own)) / F.size(t["s"])).alias("share"), t["family"].alias("family"))))
-
-
-def _pairs(text: str) -> set[str]:
-    import re
-
-    w = re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", text.lower())
-    return {" ".join(p) for p in zip(w, w[1:])} if len(w) > 1 else set(w)
+def masked(text: str) -> list[str]:
+    """The words of a text as ``tokens`` makes them; each identifier of an SPDX expression behind its own tag."""
+    plain = re.sub(r"[0-9]+(?:\.[0-9]+)*", "0", text.lower()).replace("licence", "license")
+    words = re.findall(r"[^\W_]+(?:[.\-][^\W_]+)*", plain)
+    if SPDX_TAG not in plain:
+        return words
+    out, tagged = [], False
+    for w in words:
+        # tag, identifier, then "or" / "and" an identifier or "with" an exception
+        if tagged and len(out) > 1 and out[-2] == SPDX_TAG and w in ("or", "and"):
+            out.append(SPDX_TAG)
+        elif tagged and len(out) > 3 and out[-2] == "with" and out[-4] == SPDX_TAG and w in ("or", "and"):
+            out.append(SPDX_TAG)
+        else:
+            out.append(w)
+            tagged = tagged or w == SPDX_TAG
+    return out
+
+
+SPDX_TAG = "spdx-license-identifier"
+
+
+def _pairs(text: str) -> set[tuple[str, str]]:
+    w = masked(text)
+    return set(zip(w, w[1:]))
+
+
+def _table() -> tuple[list[tuple[str, int, frozenset]], dict[tuple[str, str], list[int]]]:
+    """Templates (family, number of shingles, needed ones) and, by shingle, the templates that hold it."""
+    known, index = [], defaultdict(list)
+    for family in sorted(TEMPLATES):
+        for pairs in sorted({tuple(sorted(_pairs(t))) for t in (*TEMPLATES[family], *MADE[family])}):
+            for p in pairs:
+                index[p].append(len(known))
+            known.append((family, len(pairs), frozenset(NEEDED.intersection(pairs))))
+    return known, dict(index)
+
+
+KNOWN, INDEX = _table()
+
+
+def _hits(words: list[str]) -> dict[int, list[tuple[int, tuple[str, str]]]]:
+    """By template, place and shingle of its shingles among the words."""
+    found = defaultdict(list)
+    for i, p in enumerate(zip(words, words[1:])):
+        for t in INDEX.get(p, ()):
+            found[t].append((i, p))
+    return found
+
+
+def best_share(words: list[str]) -> float:
+    """Best share of a template's shingles that the words contain."""
+    return max((len({p for _, p in h}) / KNOWN[t][1] for t, h in _hits(words).items()), default=0.0)
+
+
+def runs(words: list[str]) -> list[tuple[str, float, str]]:
+    """(family, share, words) of the runs that hold a template, for a family the best of those that overlap."""
+    found = set()
+    for t, hits in _hits(words).items():
+        family, size, needed = KNOWN[t]
+        least = CONFIRM * size - 1e-9
+        if len({p for _, p in hits}) < least:
+            continue
+        inside, left = Counter(), 0
+        for i, p in hits:
+            inside[p] += 1
+            # the shortest run that ends here: no longer than WINDOW, beginning with a shingle it needs
+            while i + 2 - hits[left][0] > WINDOW or inside[hits[left][1]] > 1:
+                q = hits[left][1]
+                inside[q] -= 1
+                if not inside[q]:
+                    del inside[q]
+                left += 1
+            if len(inside) >= least and all(q in inside for q in needed):
+                found.add((-len(inside) / size, -len(inside), hits[left][0], i + 2, family))
+    taken: dict[str, set[int]] = defaultdict(set)
+    out = []
+    for share, _, start, end, family in sorted(found):
+        if taken[family].isdisjoint(range(start, end)):
+            taken[family].update(range(start, end))
+            out.append((family, -share, " ".join(words[start:end])))
+    return out
+
+
+def candidates(lines: DataFrame) -> DataFrame:
+    """(id, paragraph, row, named, similarity, line): the runs of every block; row numbers the blocks."""
+    blocks = lines.select("id", "paragraph", F.monotonically_increasing_id().alias("row"), "line")
+    schema = StructType([*blocks.schema.fields[:3], StructField("named", StringType()), StructField("similarity", DoubleType()), StructField("line", StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [(i, *r) for i, text in enumerate(b.column(3)) for r in runs(masked(text.as_py()))]
+            at = pa.array([x[0] for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in range(3)], pa.array([x[1] for x in found], pa.string()),
+                                              pa.array([x[2] for x in found], pa.float64()), pa.array([x[3] for x in found], pa.string())], schema.names)
+
+    return save(blocks.mapInArrow(run, schema), "license-runs")
+
+
+def _sample_run(texts: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+    """A run of 4 to WINDOW words of each text and the best share of a template in it."""
+    out = []
+    for text, h in zip(texts, hashes):
+        w = masked(text)
+        n = 4 + int(h) % (WINDOW - 3)
+        at = int(h) // WINDOW % max(1, len(w) - n + 1)
+        out.append((" ".join(w[at:at + n]), best_share(w[at:at + n])))
+    return pd.DataFrame(out, columns=["line", "share"])
 
 
 def examples(spark: SparkSession, lines: DataFrame) -> DataFrame:
@@ -109,11 +241,11 @@ def examples(spark: SparkSession, lines: DataFrame) -> DataFrame:
     share = min(1.0, NEGATIVES / max(total, 1))
     h = F.xxhash64(F.lit(SEED), "id", "paragraph", "line")
     some = save(lines.select("line", h.alias("h")).where(F.col("h") < int(-(1 << 63) + share * ((1 << 64) - 1025))), "sample")
-    some = some.withColumn("w", tokens(F.col("line"))).withColumn("t", template_share(F.col("w")))
-    some = save(some, "unknown-paragraphs").where(F.col("t.share") < 0.5).select(F.lit(0.0).alias("label"), F.col("line").alias("text"), "h")
+    some = save(some.select(F.pandas_udf(_sample_run, "line string, share double")("line", "h").alias("t"), "h").select("t.line", "t.share", "h"), "unknown-paragraphs").where("share < 0.5").select(F.lit(0.0).alias("label"), F.col("line").alias("text"), "h")
     fillers = F.lit(["see the file for details", "all files here", "note", "text and images", "the following holds", "contact the authors", ""])
-    notes = spark.createDataFrame([(float(FAMILIES.index(f)), t) for f, ts in TEMPLATES.items() for t in ts], "label double, notice string")
-    varied = notes.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1)))).withColumn("h", F.xxhash64(F.lit(SEED), "notice", "n"))
+    notes = spark.createDataFrame([(float(FAMILIES.index(f)), t, n - 1) for table, n in ((TEMPLATES, VARIANTS), (MADE, MADE_VARIANTS)) for f, ts in table.items() for t in ts],
+                                  "label double, notice string, last int")
+    varied = notes.withColumn("n", F.explode(F.sequence(F.lit(0), "last"))).withColumn("h", F.xxhash64(F.lit(SEED), "notice", "n"))
     pick = lambda salt, n: F.pmod(F.xxhash64("h", F.lit(salt)), F.lit(n)).cast("int")
     w = F.split("notice", " ")
     left_out = F.array_join(F.filter(w, lambda x, i: (F.size(w) < 6) | (i != F.pmod(F.xxhash64(F.col("h"), F.lit(3)), F.size(w)))), " ")
@@ -176,17 +308,15 @@ def train(spark: SparkSession, lines: DataFrame) -> Model:
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: Model | None = None) -> DataFrame:
-    """One row per confirmed licence paragraph: id_col, paragraph, family, probability, similarity."""
+    """One row per paragraph and licence family that it states: id_col, paragraph, family, probability, similarity."""
     spark = docs.sparkSession
     lines = paragraphs(docs, id_col, text_col)
     model = model or train(spark, lines)
     if model.regression is None:
         return lines.select(F.col("id").alias(id_col), "paragraph", F.lit("").alias("family"), F.lit(0.0).alias("probability"),
                             F.lit(0.0).alias("similarity")).limit(0)
-    family = F.col("family")
     # written before it is filtered: a filter would be pushed down and evaluate the classifier twice
-    named = save(model.predict(lines).select("id", "paragraph", family, "probability", F.when(family != "unknown", F.col("line")).alias("line")), "named")
-    checked = save(named.where(family != "unknown").withColumn("w", tokens(F.col("line")))
-                   .withColumn("t", template_share(F.col("w"), family)).drop("w", "line"), "confirmed")
-    return checked.where(F.col("t.share") >= CONFIRM).select(
-        F.col("id").alias(id_col), "paragraph", "family", "probability", F.col("t.share").alias("similarity"))
+    named = save(model.predict(candidates(lines)).select("id", "paragraph", "row", "named", "family", "probability", "similarity"), "named")
+    best = named.where("named = family").groupBy("row", "family").agg(
+        F.first("id").alias("id"), F.first("paragraph").alias("paragraph"), F.max(F.struct("similarity", "probability")).alias("b"))
+    return best.select(F.col("id").alias(id_col), "paragraph", "family", "b.probability", "b.similarity")

@@ -381,6 +381,26 @@ def test_every_licence_line_of_the_data(spark):
     assert sorted((r.doc_id, r.family) for r in got) == sorted(want + [(i, "proprietary") for i, _ in own])
 
 
+def test_licence_forms_wrapped_versions_and_long_texts(spark):
+    rng = random.Random(9)
+    every = [(t, f) for table in (license_scan.TEMPLATES, license_scan.MADE) for f, ts in table.items() for t in ts]
+    mit = "# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated\n# documentation files"
+    gpl = " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published\n * by the Free Software Foundation, either version 2"
+    bsd = "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided that the following\n// conditions are met:"
+    forms = [*every, (mit, "mit"), (gpl, "gpl"), (bsd, "bsd"), ("Licensed under the BSD 2-Clause License.", "bsd"), ("Licensed under CC BY 3.0.", "cc_by"),
+             ("Licenced under the Apache License, Version 1.1", "apache"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl"), ("SPDX-License-Identifier: BSD-2-Clause", "bsd")]
+    rows = [(i, t) for i, (t, _) in enumerate(forms)]
+    long = [(1000 + i, f"{prose(rng, 900)} {t} {prose(rng, 900)}") for i, (t, _) in enumerate(forms)]  # no line break
+    other = [(3000, "Licensed under the GNU Lesser General Public License, version 3."), (3001, prose(rng, 3000)), (3002, "available under the counter, licensed to nobody")]
+    both = [(4000, "SPDX-License-Identifier: (Apache-2.0 OR MIT)"), (4001, "Released under the MIT License.\n\nx\n\nReleased under the MIT License.")]
+    noise = [(5000 + i, "\n\n".join(prose(rng, 30) for _ in range(5))) for i in range(60)]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows + long + other + both + noise, "doc_id long, text string")).collect()
+    found = {(r.doc_id, r.family) for r in got}
+    assert [(n + i, f) for n in (0, 1000) for i, (_, f) in enumerate(forms) if (n + i, f) not in found] == []
+    assert {(i, f) for i, f in found if 3000 <= i < 4000 or i >= 5000} == set()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in got if 4000 <= r.doc_id < 5000) == [(4000, 0, "apache"), (4000, 0, "mit"), (4001, 0, "mit"), (4001, 2, "mit")]
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline as P
 
