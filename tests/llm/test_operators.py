@@ -401,6 +401,12 @@ def test_licence_forms_wrapped_versions_and_long_texts(spark):
     assert sorted((r.doc_id, r.paragraph, r.family) for r in got if 4000 <= r.doc_id < 5000) == [(4000, 0, "apache"), (4000, 0, "mit"), (4001, 0, "mit"), (4001, 2, "mit")]
 
 
+def test_licence_notices_only(spark):
+    rows = [(1, "Released under the MIT License."), (2, "All rights reserved."), (3, "Licensed under CC BY 4.0.")]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.family) for r in got) == [(1, "mit"), (2, "proprietary"), (3, "cc_by")]
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline as P
 
