@@ -3,13 +3,16 @@ r"""Secret scans with structural confirmation (operator 8).
 Base patterns (assignments, access keys, long hex strings) are reported as they match.  The method adds
 spans only where decoding proves structure:
 
-* ``pem``    a PEM block whose body is base64 of one whole DER value (nested lengths add up) or an OpenSSH key
-* ``der``    a base64 string that decodes to a DER sequence holding a key: nested lengths add up exactly and an
-             integer, a bit or octet string, or a known key algorithm is inside
+* ``pem``    a PEM block whose body is base64 of one whole DER value (nested lengths add up) or an OpenSSH key, or that
+             its header lines call encrypted and whose body is whole cipher blocks
+* ``der``    a base64 string, in one or more lines, that decodes to a DER sequence holding a key: nested lengths add
+             up exactly and a known key algorithm, two big integers or a bare elliptic curve key (SEC1) is inside
 * ``ssh``    a base64 string of length-prefixed fields that starts with a known key type and ends exactly
 * ``jwt``    three base64url parts, the first a JSON object with "alg", the second a JSON object
 * ``hexkey`` a hex string that decodes to such a DER sequence or length-prefixed key
 
+Line ends may be written as such or escaped (a backslash and a letter, as in JSON and environment files).
+
 Candidates are found over the whole text, never cut to a prefix.  Patterns have one quantified class after
 a literal or character class, so matching is linear.
 
@@ -37,10 +40,20 @@ HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|[A-Z0-9 ]*PUBLIC KEY|CERTIFICATE)-----([^-]*)-----END \1-----")
-
-#: DER object identifiers of key algorithms: RSA, EC, Ed25519, X25519, DSA (fixed values)
-KEY_OIDS = tuple(bytes.fromhex(x) for x in ("06092a864886f70d010101", "06072a8648ce3d0201", "06032b6570", "06032b656e", "06072a8648ce380401"))
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|[A-Z0-9 ]*PUBLIC KEY|CERTIFICATE)-----((?:[^-]|-(?!----))*+)-----END \1-----")
+#: what a key in base64 starts with: a DER sequence, an SSH key type, an OpenSSH private key
+KEY_START = re.compile(r"(?:M[A-P]|AAAAB3NzaC1|AAAAC3NzaC1|AAAAE2VjZHNh|b3BlbnNzaC1rZXk)[A-Za-z0-9+/]{6,}+")
+BASE64_LINE = re.compile(r"([A-Za-z0-9+/]++)(={0,2})")
+LINE_END = re.compile(r"[ \t]*+(?:\\++[rn]|[\r\n])++[ \t]*+")
+ESCAPED_END = re.compile(r"\\+[rn]")
+
+#: DER object identifiers of key algorithms (fixed values): RSA, RSAES-OAEP, RSASSA-PSS, EC, Ed25519, Ed448, X25519, X448, DSA, DH (two),
+#: ML-DSA and ML-KEM (three each), and encrypted keys by PBES2, PBES1 (six) and PKCS 12 (six)
+KEY_OIDS = tuple(bytes.fromhex(x) for x in (
+    "06092a864886f70d010101", "06092a864886f70d010107", "06092a864886f70d01010a", "06072a8648ce3d0201", "06032b6570", "06032b6571", "06032b656e", "06032b656f",
+    "06072a8648ce380401", "06092a864886f70d010301", "06072a8648ce3e0201", *(f"06096086480165030403{n}" for n in ("11", "12", "13")),
+    *(f"06096086480165030404{n}" for n in ("01", "02", "03")), "06092a864886f70d01050d", *(f"06092a864886f70d0105{n}" for n in ("01", "03", "04", "06", "0a", "0b")),
+    *(f"060a2a864886f70d010c010{n}" for n in range(1, 7))))
 #: key types of the SSH wire format (fixed values)
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 SSH_MAGIC = b"openssh-key-v1\x00"
@@ -67,7 +80,7 @@ def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
 
 
 def is_der_key(data: bytes) -> bool:
-    """One DER sequence, all nested lengths exact, that holds a known key algorithm or two or more big integers."""
+    """One DER sequence, all nested lengths exact, that holds a known key algorithm or two or more big integers, or is a SEC1 key."""
     top = der_items(data, 0, len(data)) if data[:1] == b"\x30" else None
     if not top or len(top) != 1:
         return False
@@ -76,14 +89,20 @@ def is_der_key(data: bytes) -> bool:
         tag, s, e = todo.pop()
         if tag in (0x30, 0x31) or tag in (0xA0, 0xA1):
             inner = der_items(data, s, e)
-            if not inner:
+            if inner is None:
                 return False
             todo += inner
         elif tag == 0x02:
             big += e - s >= 8
         elif tag == 0x06:
             known = known or any(x[2:] == data[s:e] for x in KEY_OIDS)
-    return known or big >= 2
+    return known or big >= 2 or is_sec1(data, der_items(data, *top[0][1:]))
+
+
+def is_sec1(data: bytes, items: list[tuple[int, int, int]]) -> bool:
+    """Version 1, an octet string as long as a curve's number, then nothing but the curve [0] and the public key [1]."""
+    return (len(items) >= 2 and items[0][0] == 0x02 and data[items[0][1]:items[0][2]] == b"\x01" and items[1][0] == 0x04
+            and 14 <= items[1][2] - items[1][1] <= 72 and [t for t, _, _ in items[2:]] in ([0xA0], [0xA1], [0xA0, 0xA1], []))
 
 
 def is_ssh_key(data: bytes) -> bool:
@@ -109,6 +128,53 @@ def decoded(text: str, url: bool = False) -> bytes | None:
         return None
 
 
+def wrapped_key(text: str, start: int) -> tuple[str, int] | None:
+    """Kind and end of a key in base64 that begins at ``start`` and may go on over several lines."""
+    need = None
+    if text[start] == "M":
+        head = decoded(text[start:start + 8])
+        size = head[1] & 0x7F if head[1] >= 0x80 else 0
+        if size > 4:
+            return None
+        need = -(-(int.from_bytes(head[2:2 + size], "big") + 2 + size if size else head[1] + 2) * 4 // 3)  # base64 characters
+        if need > len(text) - start:
+            return None
+    parts, have, at, width = [], 0, start, None
+    while m := BASE64_LINE.match(text, at):
+        n = len(m[1])
+        if need is None and width and len(parts) > 1 and n > width:
+            break  # longer than the lines before: not of the key
+        parts.append(m[1])
+        have, end = have + n, m.end()
+        if m[2] or (need is not None and have >= need) or (need is None and width and n < width):
+            break
+        if len(parts) > 1:
+            width = width or n
+        sep = LINE_END.match(text, end)
+        if not sep:
+            break
+        at = sep.end()
+    if text[end:end + 1] == "=" or (need is not None and have != need):
+        return None
+    data = decoded("".join(parts))
+    if data and need is not None and is_der_key(data):
+        return "der", end
+    return ("ssh", end) if data and need is None and is_ssh_key(data) else None
+
+
+def is_pem(body: str) -> bool:
+    """Base64 of one whole DER value or an OpenSSH key, or cipher blocks under a header that says so."""
+    body = ESCAPED_END.sub("\n", body).replace("\\/", "/")
+    plain = re.sub(r"(?m)^[ \t\"']*[A-Za-z0-9-]+:.*$", "", body)
+    data = decoded(re.sub(r"[\s\"',]+", "", plain).rstrip("="))
+    if not data:
+        return False
+    if plain != body and re.search(r"(?m)^[ \t\"']*Proc-Type:[ \t]*4,[ \t]*ENCRYPTED", body) and "DEK-Info:" in body:
+        return len(data) % 8 == 0
+    top = der_items(data, 0, len(data))
+    return bool(top and len(top) == 1) or is_ssh_key(data)
+
+
 def is_json_object(part: str, key: str | None = None) -> bool:
     try:
         value = json.loads(decoded(part, url=True) or b"")
@@ -128,12 +194,18 @@ def scan(text: str) -> list[tuple[str, int, int]]:
             found.append(("der", *m.span()))
         elif data and is_ssh_key(data):
             found.append(("ssh", *m.span()))
+    single, done = {x[1:] for x in found if x[0] in ("der", "ssh")}, 0
+    for m in KEY_START.finditer(text):
+        s = m.start()
+        # the start of its run: after no base64 character, unless that is the letter of an escaped line end
+        if s < done or (s and (text[s - 1].isascii() and text[s - 1].isalnum() or text[s - 1] in "+/") and not ESCAPED_END.fullmatch(text, max(0, s - 2), s)):
+            continue
+        if key := wrapped_key(text, s):
+            done = key[1]
+            if (s, done) not in single:
+                found.append((key[0], s, done))
     if "-----BEGIN " in text:
-        for m in PEM.finditer(text):
-            body = re.sub(r"\s+", "", re.sub(r"(?m)^[A-Za-z-]+:.*$", "", m[2]))
-            data = decoded(body.rstrip("="))
-            if data and ((top := der_items(data, 0, len(data))) and len(top) == 1 or is_ssh_key(data)):
-                found.append(("pem", *m.span()))
+        found += [("pem", *m.span()) for m in PEM.finditer(text) if is_pem(m[2])]
     if "eyJ" in text:
         for m in TOKEN.finditer(text):
             head, body, _ = m[0].split(".")

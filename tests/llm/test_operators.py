@@ -147,6 +147,36 @@ def test_secrets(spark, docs, nothing):
     assert secret_scan.redact_secrets(nothing).columns == docs.columns
 
 
+def wrap(text, width, end="\n"):
+    return end.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def test_secret_forms():
+    number = b"\x02\x20" + b"\x01" * 32
+    octets = lambda b: b"\x04" + bytes([len(b)]) + b
+    oid = bytes.fromhex
+    sec1 = der(b"\x02\x01\x01", octets(b"\x07" * 32), b"\xa0\x0a" + oid("06082a8648ce3d030107"), b"\xa1\x44\x03\x42\x00\x04" + b"\x09" * 64)
+    pkcs8 = [der(b"\x02\x01\x00", der(oid(a), p), octets(b"\x05" * 57)) for a, p in (("06092a864886f70d01010a", b"\x30\x00"), ("06032b6571", b""), ("06032b656f", b""))]
+    pbes2 = der(der(oid("06092a864886f70d01050d"), der(der(oid("06092a864886f70d01050c")), der(oid("060960864801650304012a")))), octets(b"\x31" * 96))
+    rsa = der(number, number, number, number)
+    for data in (sec1, *pkcs8, pbes2, rsa):
+        code = base64.b64encode(data).decode()
+        for text in (code, wrap(code, 64), wrap(code, 76, "\r\n"), wrap(code, 64, "\\n"), wrap(code, 64, "\n    ")):
+            for before, after in (("key: ", "\nand then words"), ("x\\n", "\\n"), ("é ", "")):
+                assert [x for x in secret_scan.scan(before + text + after) if x[0] == "der"] == [("der", len(before), len(before) + len(text))], (text, before)
+        for end in ("\n", "\\n", "\\r\\n"):
+            block = end.join(["-----BEGIN PRIVATE KEY-----", wrap(code, 64, end), "-----END PRIVATE KEY-----", ""])
+            assert ("pem", 1, 1 + block.rindex("-----") + 5) in secret_scan.scan("'" + block)
+    ssh = base64.b64encode(b"\x00\x00\x00\x07ssh-rsa\x00\x00\x00\x03\x01\x00\x01\x00\x00\x01\x00" + bytes(range(256))).decode()
+    for text in (wrap(ssh, 70), wrap(ssh, 70, "\\n")):
+        assert ("ssh", 4, 4 + len(text)) in secret_scan.scan("ssh " + text + " words")
+    cipher = wrap(base64.b64encode(bytes(range(160))).decode(), 64)
+    old = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n{cipher}\n-----END RSA PRIVATE KEY-----"
+    assert ("pem", 0, len(old)) in secret_scan.scan(old)
+    assert not [x for x in secret_scan.scan(old.replace("4,ENCRYPTED", "4,CLEAR")) if x[0] == "pem"]
+    assert [x for x in secret_scan.scan(wrap(base64.b64encode(bytes(range(256))).decode(), 64) + "\nMIIE\nMIIEabcdefghijkl\nMA" + "A" * 70) if x[0] in ("der", "ssh", "pem")] == []
+
+
 def test_waterfall_goes_to_siblings_first(spark):
     leaves = spark.createDataFrame([("a", "en", "s1", 100), ("a", "en", "s2", 1000), ("a", "de", "s3", 1000), ("b", "en", "s4", 1000)],
                                    "domain string, lang string, source string, tokens long")
