@@ -13,10 +13,11 @@ sorted by those words' hash, has the two next to each other, with the other occu
    among its own 16 positions, the same one wherever the window occurs, so no window is made twice.  Sorted
    again, equal neighbours from different documents are repeats.
 3. Repeated windows that overlap or touch are one passage, as long as it goes: longest matches, however long.
+   Where the first holder changes inside a passage, it has several matches (``holders``).
 
 Results are exact for the windows (but for 64-bit hash collisions): a word is in a passage exactly if it lies in
-50 words that occur in another document too.  Copies are one document in steps 1 and 2; all of a text of 50
-words or more that occurs twice is a passage.
+50 words that occur in another document too.  Copies are one document in step 1; of a text that occurs twice,
+every window is a repeat, so all of a text of 50 words or more is a passage.
 
 Defined results: a null, empty or short text (under 50 words) has no passages; repeated rows are copies of each
 other; null ids are carried along; an empty table gives an empty result; other columns are ignored.
@@ -29,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from barforge.llm.common import discard, save
 
@@ -97,24 +99,29 @@ def _suffixes(words: int, span: int):
     return run
 
 
-def _windows(words: int, span: int):
-    """Windows of the starts that belong to the given kept positions of a text."""
+def _windows(words: int, span: int, names: list[str]):
+    """Windows (uid, start, window, first_id, copied) of the starts that belong to the given kept positions of a text,
+    of a copied text all; batches are uid, data, at, first_id, copied."""
     length = words - span + 1
 
     def run(batches):
         for b in batches:
-            uid, start, window = [], [], []
-            for u, data, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            row, start, window = [], [], []
+            for i, (data, at, copied) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(4).to_pylist())):
                 w = Words(data)
                 last = w.n - words
                 if last < 0:
                     continue
-                mine = np.flatnonzero(np.isin(smallest(w.runs(np.arange(w.n - length + 1), length), span), np.array(at, dtype=np.int64)))
-                uid.append(np.full(len(mine), u, dtype=np.int64))
+                mine = np.arange(last + 1)
+                if not copied:
+                    mine = np.flatnonzero(np.isin(smallest(w.runs(np.arange(w.n - length + 1), length), span), np.array(at, dtype=np.int64)))
+                row.append(np.full(len(mine), i, dtype=np.int64))
                 start.append(mine)
                 window.append(w.runs(mine, words).view(np.int64))
-            if uid:
-                yield pa.RecordBatch.from_arrays([np.concatenate(uid), np.concatenate(start).astype(np.int32), np.concatenate(window)], ["uid", "start", "window"])
+            if row:
+                of = pa.array(np.concatenate(row))
+                yield pa.RecordBatch.from_arrays([b.column(0).take(of), pa.array(np.concatenate(start).astype(np.int32)), pa.array(np.concatenate(window)),
+                                                  b.column(3).take(of), b.column(4).take(of)], names)
 
     return run
 
@@ -127,7 +134,8 @@ def shared(rows: DataFrame, key: str, extra: list[str]) -> DataFrame:
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
     """One row per passage of a document: id_col, start, end (word offsets, end exclusive), n_words of the
-    document and first_id, the smallest id of a document that holds the passage's first window."""
+    document, first_id, the smallest id of a document that holds the passage's first window, and holders, the
+    matches that make up the passage: (start, end, first_id) of the windows in a row whose smallest holder is the same."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("uid"), text.alias("data"))
     n_words = F.size(F.array_remove(F.split(F.col("data").cast("string"), r"[\x20\x09-\x0D]+"), ""))
@@ -135,19 +143,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = save(src.select("uid", "data").mapInArrow(_suffixes(words, span), "uid long, pos int, key long"), "suffixes")
     matched = save(shared(kept, "key", ["pos"]).groupBy("uid").agg(F.collect_set("pos").alias("at")), "matched")
     discard(kept)
-    one = src.join(matched, "uid").groupBy("uid").agg(F.first("data").alias("data"), F.first("at").alias("at"))
-    windows = save(one.select("uid", "data", "at").mapInArrow(_windows(words, span), "uid long, start int, window long"), "windows")
-    repeats = shared(windows, "window", ["start", "window"])
-    # overlapping or touching windows are one passage
+    firsts = known.groupBy("uid").agg(F.min("id").alias("first_id"), (F.count(F.lit(1)) > 1).alias("copied"), F.first("n_words").alias("n_words"))
+    wanted = firsts.join(matched, "uid", "left").where(F.col("at").isNotNull() | (F.col("copied") & (F.col("n_words") >= words)))
+    one = src.drop("id").join(wanted.drop("n_words"), "uid").groupBy("uid").agg(*[F.first(c).alias(c) for c in ("data", "at", "first_id", "copied")])
+    schema = StructType([StructField("uid", LongType()), StructField("start", IntegerType()), StructField("window", LongType()), one.schema["first_id"], one.schema["copied"]])
+    windows = save(one.mapInArrow(_windows(words, span, schema.names), schema), "windows")
+    holders = (windows.groupBy("window").agg(F.min("uid").alias("_a"), F.max("uid").alias("_b"), F.max("copied").alias("_c"), F.min("first_id").alias("holder"))
+               .where("_a <> _b or _c").select("window", "holder"))
+    repeats = windows.join(holders, "window").select("uid", "start", "holder")
+    # overlapping or touching windows are one passage, those in a row with the same first holder one match of it
     order = Window.partitionBy("uid").orderBy("start")
-    new = F.coalesce((F.col("start") > F.lag("start").over(order) + words).cast("int"), F.lit(1))
-    marked = repeats.withColumn("new", new).withColumn("nr", F.sum("new").over(order))
-    passages = marked.groupBy("uid", "nr").agg(F.min(F.struct("start", "window")).alias("f"), (F.max("start") + words).alias("end"))
-    passages = save(passages.select("uid", F.col("f.start").alias("start"), "end", F.col("f.window").alias("window")), "passages")
-    firsts = known.groupBy("uid").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("n_words").alias("n_words"))
-    holders = (windows.join(passages.select("window").distinct(), "window", "left_semi").join(firsts, "uid")
-               .groupBy("window").agg(F.min("first_id").alias("first_id")))
-    parts = passages.join(holders, "window").select("uid", "start", "end", "first_id")
-    whole = firsts.where((F.col("copies") > 1) & (F.col("n_words") >= words)).select("uid", "first_id", "n_words")
-    parts = parts.join(whole, "uid", "left_anti").union(whole.select("uid", F.lit(0), "n_words", "first_id"))
-    return known.join(parts, "uid").select(F.col("id").alias(id_col), "start", "end", "n_words", "first_id")
+    before = F.lag("start").over(order)
+    passage = F.coalesce((F.col("start") > before + words).cast("int"), F.lit(1))
+    match = F.coalesce(((F.col("start") > before + 1) | ~F.col("holder").eqNullSafe(F.lag("holder").over(order))).cast("int"), F.lit(1))
+    marked = repeats.withColumn("p", passage).withColumn("m", match).withColumn("nr", F.sum("p").over(order)).withColumn("match", F.sum("m").over(order))
+    matches = marked.groupBy("uid", "nr", "match").agg(F.min("start").alias("start"), (F.max("start") + words).alias("end"), F.first("holder").alias("first_id"))
+    parts = matches.groupBy("uid", "nr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("first_id", "start").alias("first_id"),
+                                             F.array_sort(F.collect_list(F.struct("start", "end", "first_id"))).alias("holders"))
+    parts = save(parts.drop("nr"), "passages")
+    return known.join(parts, "uid").select(F.col("id").alias(id_col), "start", "end", "n_words", "first_id", "holders")

@@ -400,6 +400,33 @@ def test_licenses(spark, nothing):
     assert license_scan.scan_licenses(nothing).count() == 0
 
 
+def test_first_holders_of_passages(docs, spark):
+    rng = random.Random(11)
+    x, y, z = (prose(rng, 70) for _ in range(3))
+    # copies beside a longer text; a passage of two partners; ids that do not follow the texts' order
+    rows = [(1, x + " " + prose(rng, 30)), (5, x), (6, x), (2, y), (3, z), (4, y + " " + z), (9, y + " " + z), (None, z), (7, x + " tail"), (8, prose(rng, 60))]
+    for table in (rows, [r[:2] for r in corpus()]):
+        holder = {}
+        for i, t in table:
+            w = WORD.findall(t or "")
+            for s in range(len(w) - 49):
+                holder.setdefault(tuple(w[s:s + 50]), []).append(i)
+        frame = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+        got = suffix.repeated_passages(frame).collect()
+        text = {i: WORD.findall(t or "") for i, t in table if i is not None}
+        for r in (r for r in got if r.doc_id is not None):
+            least = [min((i for i in holder[tuple(text[r.doc_id][s:s + 50])] if i is not None), default=None) for s in range(r.start, r.end - 49)]
+            runs = [k for k in range(len(least)) if not k or least[k] != least[k - 1]]
+            want = [(r.start + k, r.start + e + 49, least[k]) for k, e in zip(runs, [*runs[1:], len(least)])]
+            # windows that only touch are one passage too; all others of it are repeats
+            if all(len(holder[tuple(text[r.doc_id][s:s + 50])]) > 1 for s in range(r.start, r.end - 49)):
+                assert [tuple(h) for h in r.holders] == want, r
+            assert r.first_id == least[0] == r.holders[0].first_id
+        if table is rows:
+            assert {(r.doc_id, r.first_id) for r in got if r.doc_id in (1, 5, 6, 7)} == {(1, 1), (5, 1), (6, 1), (7, 1)}
+            assert [h.first_id for r in got if r.doc_id == 9 for h in r.holders] == [2, 4, 3]
+
+
 def test_every_licence_line_of_the_data(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     family = {"Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc_by_nc",
