@@ -2,16 +2,18 @@
 
 A suffix is kept only where content selects it: of every 16 neighbouring positions the one whose next 35 words
 have the smallest hash.  Equal passages select equal positions, so any passage of 50 words (16 + 35 - 1) that
-occurs twice has a kept suffix among its first 16 positions whose 35 words match: the sparse suffix array,
-sorted by those words' hash, has the two next to each other, with the other occurrences.
+occurs twice has a kept suffix among its first 16 positions whose 35 words match.  No suffixes are sorted or
+extended word by word: those of equal hash are grouped, and then the 50-word windows around them.
 
-1. Kept suffixes, about 2 of 17 positions, are sorted by key (partial minimum and maximum document per key, so a
-   key in a third of all documents is one row per task), and suffixes whose neighbours are of the same document
+A repeat is one between documents: a passage that occurs twice in one document only is not reported.
+
+1. Kept suffixes, about 2 of 17 positions, are grouped by key (minimum and maximum document per key, partial, so a
+   key in a third of all documents is one row per task), and suffixes whose key is in one document
    only drop out.
-2. Around the others the match is extended, by up to 15 words to the left and on to 50 words on the right: one
+2. Around the others windows are taken, from up to 15 words to the left and on to 50 words on the right: one
    50-word window per start, hashed from prefix sums.  Each start belongs to the kept suffix that is smallest
-   among its own 16 positions, the same one wherever the window occurs, so no window is made twice.  Sorted
-   again, equal neighbours from different documents are repeats.
+   among its own 16 positions, the same one wherever the window occurs, so no window is made twice.  Grouped
+   again, equal windows of different documents are repeats.
 3. Repeated windows that overlap or touch are one passage, as long as it goes: longest matches, however long.
    Where the first holder changes inside a passage, it has several matches (``holders``).
 
