@@ -4,11 +4,12 @@ Unit vectors are turned by random rotations; the signs are the code.  Two uses:
 
 * Buckets.  Table t takes its own k sign bits as key.  A pair at the threshold angle agrees on one bit with
   probability p = 1 - angle / pi, on a table with p**k, so tables = log(miss) / log(1 - p**k) tables miss it with
-  at most ``miss`` (1e-5; closer pairs far less).  k grows with the logarithm of the largest group, so buckets
+  at most ``miss`` (closer pairs far less).  ``miss`` is 1e-5 or, if less, such that of all pairs of equal label, counted
+  as if every one were at the threshold, fewer than ``LOST`` are expected to be missed.  k grows with the logarithm of the largest group, so buckets
   stay small and the number of tables grows as n**0.1.
 * Estimates.  Beside the code o of the first rotation stands the correction factor <o, x> of its vector x.
   <o, y> / <o, x> is an unbiased estimate of <x, y>, off by more than z * sqrt((1 - <o, x>**2) / <o, x>**2 / (D - 1))
-  with a probability that falls as exp(-z**2 / 2).  A pair whose upper bound (from either side) is below the
+  with a probability that falls as exp(-z**2 / 2); z grows with the number of pairs in the same way.  A pair whose upper bound (from either side) is below the
   threshold is done; the others are recomputed exactly, in double precision, and only those link.
 
 Copies (equal label and vector) are one node with a weight, so a group of copies is never expanded.  Inside a
@@ -39,6 +40,8 @@ BLOCK = 256
 SEED = 42
 #: half-width of the confidence bounds in standard terms
 Z = 5.0
+#: expected number of pairs lost by the tables and by the bounds, each, at most
+LOST = 0.01
 
 
 def rotations(dim: int, n_bits: int, seed: int = SEED) -> np.ndarray:
@@ -57,6 +60,12 @@ def layout(largest: int, threshold: float = THRESHOLD, miss: float = MISS, bucke
     return bits, math.ceil(math.log(miss) / math.log(1 - p ** bits))
 
 
+def certainty(pairs: int, miss: float = MISS, lost: float = LOST) -> tuple[float, float]:
+    """(miss, z) with which fewer than ``lost`` of so many pairs are expected to be lost, either way."""
+    each = min(1.0, lost / max(pairs, 1))
+    return min(miss, each), max(Z, math.sqrt(2 * math.log(2 / each)))  # a pair has a bound from either side
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -102,7 +111,7 @@ def candidates(x: np.ndarray, code: np.ndarray, factor: np.ndarray, dim: int, th
     return np.minimum(upper, upper.T) >= threshold
 
 
-def _links(threshold: float, seed: int):
+def _links(threshold: float, seed: int, z: float = Z):
     keys = ["label", "dim", "t", "k", "_lo", "_hi"]
     schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
@@ -118,7 +127,7 @@ def _links(threshold: float, seed: int):
             n, dim = len(g["node"]), int(g["dim"][0])
             x = np.frombuffer(b"".join(g["x"])).reshape(n, dim)
             code = np.frombuffer(b"".join(g["code"]), dtype=np.uint8).reshape(n, -1)
-            near = np.triu(candidates(x, code, g["factor"], dim, threshold, seed), 1)
+            near = np.triu(candidates(x, code, g["factor"], dim, threshold, seed, z), 1)
             if g["_lo"][0] != g["_hi"][0]:  # pairs inside a block meet in that block's own group
                 near &= g["_blk"][:, None] != g["_blk"][None, :]
             i, j = np.nonzero(near)
@@ -152,14 +161,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     # a number for each distinct vector, fixed by writing the table
     nodes = save(rows.where("usable").groupBy("label", "vec").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
                  .withColumn("node", F.monotonically_increasing_id()), "vectors")
-    largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    n = F.col("count")
+    largest, pairs = nodes.groupBy("label").count().agg(F.max(n), F.sum((n * (n - 1)).cast("double") / 2)).first()
+    largest = largest or 0
+    miss, z = certainty(pairs or 0, miss)
     bits, tables = layout(largest, threshold, miss)
     kind = nodes.schema["label"].dataType.simpleString()
     coded = save(nodes.select("node", "label", "weight", "vec").mapInArrow(
         _encode(bits, tables, seed), f"node long, label {kind}, weight long, dim int, x binary, code binary, factor double, keys array<long>"), "codes")
     dealt = coded.select("*", F.posexplode("keys").alias("t", "k"))
     found = save(blocked_pairs(dealt, ["label", "dim", "t", "k"], "node", block)
-                 .mapInArrow(_links(threshold, seed), "node long, links long, root long"), "links")
+                 .mapInArrow(_links(threshold, seed, z), "node long, links long, root long"), "links")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = (nodes.select("node", "label", "vec", "first_id", "weight")
              .join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")

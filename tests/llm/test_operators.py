@@ -351,6 +351,16 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_expected_lost_links_stay_below_one():
+    p = 1 - np.arccos(0.98) / np.pi
+    for n in (1, 1000, 10 ** 6, 10 ** 10):
+        pairs = n * (n - 1) // 2
+        miss, z = embed_dedup.certainty(pairs)
+        bits, tables = embed_dedup.layout(n, 0.98, miss)
+        assert pairs * (1 - p ** bits) ** tables <= 0.0101 and pairs * 2 * np.exp(-z * z / 2) <= 0.0101
+        assert miss <= embed_dedup.MISS and z >= embed_dedup.Z
+
+
 def test_estimates_are_unbiased_and_bounded():
     rng = np.random.default_rng(0)
     x = embed_dedup.unit(rng.standard_normal((60, 64)))
