@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import chat, embed_dedup, license_scan, mixing, packing, quality, secret_scan, simhash, suffix, warc
+from barforge.llm import (chat, chat_repair, embed_dedup, exact, filter_audit, license_scan, mixing, packing, quality, secret_scan,
+                          simhash, suffix, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -187,3 +188,67 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph of every document that states a licence."""
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def damaged(chats: DataFrame) -> DataFrame:
+    """Conversations with planted faults: crc32 of id and turn, by 20, drops a row (present false), empties it, takes its
+    ends of sentences, repeats it or gives it role user; nulls are one space."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind, text = F.pmod(F.crc32(key.cast("binary")), F.lit(20)), F.coalesce("text", space)
+    rows = chats.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", space)).alias("role"),
+                        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                        (kind != 0).alias("present"), F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"))
+    return rows.drop("copy")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest audit and repaired digest of every conversation after the planted damage."""
+    found = chat_repair.repair_chats(damaged(read(spark, sf_dir, "conversations")), present=F.col("present"))
+    lines = F.array_join(F.transform("repaired", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return found.select("conv_id", *chat_repair.FAULTS, "cost", "audit", F.sha2(lines, 256).alias("repaired_sha256"))
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its group of equal texts; the row of the largest id stays."""
+    return exact.deduplicate(read(spark, sf_dir, "documents")).withColumnRenamed("sha256", "text_sha256")
+
+
+ORACLE["op12_exact_dedup"] = """
+    SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+           sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op13_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, by language."""
+    return filter_audit.audit_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+ORACLE["op13_filter_interaction_audit"] = r"""
+    WITH t AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+    d AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS later FROM t),
+    l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    m AS (SELECT part, (CASE WHEN len(words) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END)
+                 || (CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 10 * length(text) THEN 'C' ELSE '' END)
+                 || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN later THEN 'E' ELSE '' END) AS fails,
+                 coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM d LEFT JOIN l USING (doc_id)),
+    c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+    f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+    o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+          WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    s AS (SELECT c.*, filter_order, step, substr(filter_order, step, 1) AS filter, contains(fails, substr(filter_order, step, 1)) AS failing,
+                 len(translate(substr(filter_order, 1, step - 1), fails, '')) < step - 1 AS gone_before
+          FROM c, o, (SELECT unnest(range(1, 6))::INT AS step) g),
+    r AS (SELECT part, filter_order, step, filter, sum(CASE WHEN NOT gone_before AND NOT failing THEN n ELSE 0 END)::BIGINT AS kept,
+                 sum(CASE WHEN failing AND NOT gone_before THEN n ELSE 0 END)::BIGINT AS removed,
+                 sum(CASE WHEN failing AND gone_before THEN n ELSE 0 END)::BIGINT AS redundant,
+                 sum(CASE WHEN fails = filter THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                 sum(CASE WHEN failing AND NOT gone_before THEN good ELSE 0 END)::BIGINT AS good_lost,
+                 sum(CASE WHEN failing AND NOT gone_before THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+          FROM s GROUP BY ALL)
+    SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r"""
