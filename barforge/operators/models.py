@@ -1,24 +1,20 @@
 """Model datasets, boosted-tree training, scoring and explanation.
 
 Training sets are projections of the silver table (column pruning reaches
-the Parquet scan).  Models are MLlib ``GBTRegressor`` pipelines: training is
-distributed by MLlib; scoring is ``model.transform`` (no self-joins); the
-local explanation is a set-based leave-one-feature-out job: every row is
-exploded into one copy per feature with that feature set to its training
-mean, all copies are scored in one ``transform``, and the attribution is the
-score difference, ranked per row with ``row_number``.
+the Parquet scan).  Models are Newton-boosted trees with L1 and L2 terms
+(``boosting``), trained by one histogram job per level; scores and
+attributions (path-dependent Shapley values) are one pass over the rows, no
+copy per feature and no join back.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType
 
 from barforge.functions.core import clamp, greatest_strict, r, safe_div, u01
+from barforge.operators import boosting
+from barforge.operators.boosting import Boosted
 
 LABEL = "next_day_return"
 HOLDOUT_DAYS = 180
@@ -54,9 +50,6 @@ VARIANT_FEATURES = {
 }
 EXPANSION_RATIO = 1.3
 EVAL_SHARE = 0.2
-# Regularisation of the boosted trees.
-MIN_GAIN = 1e-6
-MIN_ROWS = 10
 
 
 def _cutoff(as_of, days):
@@ -118,63 +111,21 @@ def train_eval_split(df: DataFrame, eval_share: float = EVAL_SHARE) -> DataFrame
     return df.withColumn("is_eval", u01("split", F.col("symbol"), F.col("date")) < F.lit(eval_share))
 
 
-# ---------------------------------------------------------------- MLlib --
-def _prepare_stages(df: DataFrame, features: list[str]):
-    stages, num_in, num_out, vec_in = [], [], [], []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for c in features:
-        if isinstance(types[c], StringType):
-            stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"))
-            vec_in.append(f"{c}__idx")
-        else:
-            num_in.append(f"{c}__d")
-            num_out.append(f"{c}__imp")
-            vec_in.append(f"{c}__imp")
-    if num_in:
-        stages.append(Imputer(inputCols=num_in, outputCols=num_out, strategy="mean"))
-    stages.append(VectorAssembler(inputCols=vec_in, outputCol="features", handleInvalid="keep"))
-    return stages
-
-
-def _numeric_view(df: DataFrame, features: list[str]) -> DataFrame:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    extra = []
-    for c in features:
-        if not isinstance(types[c], StringType):
-            v = F.col(c).cast("double") if not isinstance(types[c], BooleanType) else F.col(c).cast("int").cast("double")
-            extra.append(v.alias(f"{c}__d"))
-    return df.select("*", *extra)
-
-
+# --------------------------------------------------------------- models --
 def gbt_train(train: DataFrame, features: list[str], label: str = LABEL, max_iter: int = 50, step: float = 0.1,
-              max_depth: int = 5, seed: int = 42, validation: bool = True) -> PipelineModel:
-    """Boosted-tree regressor with the reference's iterations and rate.
-
-    Early stopping uses the M11 hold-out flag; the reference's 0.01 minimum
-    relative progress stops after one tree in MLlib, so a smaller tolerance
-    is used.  MLlib GBT has no L1/L2 terms; in their place a split must lower
-    the variance by ``MIN_GAIN`` at least and leave ``MIN_ROWS`` rows a side.
-    """
-    data = _numeric_view(train_eval_split(train) if validation else train, features)
-    extra = {"validationIndicatorCol": "is_eval", "validationTol": 1e-4} if validation else {}
-    # an indexed column needs a bin per value (and one for unseen values)
-    text = [c for c in features if isinstance(train.schema[c].dataType, StringType)]
-    values = train.agg(*[F.countDistinct(c).alias(c) for c in text]).first() if text else []
-    bins = max([32, *(v + 2 for v in values)])
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=max_iter,
-                       stepSize=step, maxDepth=max_depth, seed=seed, minInfoGain=MIN_GAIN, minInstancesPerNode=MIN_ROWS,
-                       maxBins=bins, **extra)
-    model = Pipeline(stages=_prepare_stages(data, features) + [gbt]).fit(data)
-    model._barforge_features = list(features)  # type: ignore[attr-defined]
-    return model
+              validation: bool = True, **kw) -> Boosted:
+    """Boosted-tree regressor with the reference's iterations, rate, L1 and L2 terms (0.1 each)
+    and least relative progress (0.01) of the rows that the M11 flag holds out."""
+    data = train_eval_split(train) if validation else train
+    return boosting.train(data, features, label, F.col("is_eval") if validation else None, max_iter=max_iter, step=step, **kw)
 
 
 def gbt_train_many(jobs: dict, max_workers: int = 4, **kw) -> dict:
     """Fit several independent models at once (name -> (train_df, features)).
 
-    Each fit is a sequence of small MLlib jobs; submitting the fits from
-    driver threads lets the scheduler overlap them instead of idling
-    between one model's iterations.
+    Each fit is a sequence of small jobs; submitting the fits from driver
+    threads lets the scheduler overlap them instead of idling between one
+    model's levels.
     """
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max_workers) as ex:
@@ -182,42 +133,31 @@ def gbt_train_many(jobs: dict, max_workers: int = 4, **kw) -> dict:
         return {name: f.result() for name, f in futs.items()}
 
 
-def gbt_predict(model: PipelineModel, rows: DataFrame, features: list[str], out_col: str) -> DataFrame:
-    """(date, symbol, out_col) for ``rows``."""
-    data = _numeric_view(rows, features)
-    return model.transform(data).select("date", "symbol", F.col("prediction").alias(out_col))
+def _scorable(rows: DataFrame, features: list[str]) -> DataFrame:
+    return rows.select(*dict.fromkeys(["date", "symbol", *features]))
+
+
+def gbt_predict(models: dict[str, Boosted], rows: DataFrame) -> DataFrame:
+    """Date, symbol and one column of scores per model for ``rows``, in one pass."""
+    features = [f for m in models.values() for f in m.features]
+    return boosting.predict(models, _scorable(rows, features)).select("date", "symbol", *models)
 
 
-def global_importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """Feature importances of the trained trees as rows."""
-    # the fitted model lives on the driver; its importances are one small vector
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    return s.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
+def global_importance(model: Boosted, spark: SparkSession) -> DataFrame:
+    """Every feature's share of the gain of all splits (zero where it has none)."""
+    return spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
 
 
-def local_explain_topk(model: PipelineModel, rows: DataFrame, train: DataFrame, features: list[str],
-                       k: int = 10) -> DataFrame:
-    """Per-row leave-one-feature-out attributions, top k features per row.
+def local_explain_topk(model: Boosted, rows: DataFrame, k: int = 10) -> DataFrame:
+    """The k largest attributions of every row, by size, then name: (date, symbol, feature, attribution, rank).
 
-    attribution(f) = score(row) - score(row with f set to its neutral value):
-    the training mean of a number, the most frequent training value of a text.
-    A row is scored once before it is copied and carries that score along, so
-    no copy is joined back.
+    Attributions are Shapley values along the trees' paths: those of all
+    features add up to the row's score minus the mean score.  Ranked inside
+    the row's array, so no row is shuffled.
     """
-    text = [c for c in features if isinstance(rows.schema[c].dataType, StringType)]
-    held = {c: c if c in text else f"{c}__d" for c in features}
-    neutral = _numeric_view(train, features).agg(*[
-        (F.mode(v, True) if c in text else F.avg(v)).alias(c) for c, v in held.items()]).first()
-    base = model.transform(_numeric_view(rows, features)).select(
-        "date", F.col("symbol").alias("_symbol"), F.col("prediction").alias("_base"), *held.values())
-    variants = [F.struct(F.lit(c).alias("feature"), *[
-        (F.lit(neutral[c]).cast("string" if c in text else "double") if c2 == c else F.col(v)).alias(v)
-        for c2, v in held.items()]) for c in features]
-    x = base.select("date", "_symbol", "_base", F.explode(F.array(*variants)).alias("v")).select(
-        "date", "_symbol", "_base", "v.*")
-    att = model.transform(x).select("date", F.col("_symbol").alias("symbol"), "feature",
-                                    (F.col("_base") - F.col("prediction")).alias("attribution"))
-    w = Window.partitionBy("date", "symbol").orderBy(F.abs("attribution").desc(), F.col("feature"))
-    return att.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    names = F.array(*[F.lit(f) for f in model.features])
+    found = boosting.attributions(model, _scorable(rows, model.features))
+    pairs = F.transform(F.arrays_zip(F.col("_shapley").alias("v"), names.alias("f")),
+                        lambda z: F.struct((-F.abs(z["v"])).alias("size"), z["f"].alias("feature"), z["v"].alias("attribution")))
+    top = found.select("date", "symbol", F.posexplode(F.slice(F.array_sort(pairs), 1, k)).alias("pos", "e"))
+    return top.select("date", "symbol", "e.feature", "e.attribution", (F.col("pos") + 1).alias("rank"))

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from barforge.operators import arena, backtest, signals
 from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
+from barforge.plans import oracle_gbt as OB
 from barforge.plans.registry import digits_for, register
 from barforge.plans.silver import bronze_bars, default_as_of, silver_features, silver_since
+from barforge.plans.trained import stored_models
 from barforge.sources.bars import bars_from_tables, read_table
 
 
@@ -213,7 +215,9 @@ def q_signal_calm(spark, sf):
     return signals.signal_calm_before_storm(feat(spark, sf))
 
 
-@register("signal_sentiment", O.on_feat("SELECT date, symbol, " + O.R("sentiment_signal") + " AS sentiment_signal FROM rules", RULES))
+@register("signal_sentiment", O.on_feat(
+    "SELECT f.date, f.symbol, " + O.R(O.clamp("m.market_avg_return * 3.0::DOUBLE", -1, 1)) + " AS sentiment_signal "
+    "FROM feat f JOIN market m ON f.date = m.date", RULES))
 def q_signal_sentiment(spark, sf):
     """R4 (literal, same-date market mean)."""
     return signals.signal_sentiment(feat(spark, sf))
@@ -914,46 +918,48 @@ def q_train_eval_split(spark, sf):
     return M.train_eval_split(M.train_set(feat(spark, sf), "full", as_of(spark, sf))).select("date", "symbol", "is_eval")
 
 
-# MLlib models: rows-only checks (no SQL equivalent of a trained ensemble).
-def _model(spark, sf, strategy, max_iter=50):
-    tr = M.train_set(feat(spark, sf), strategy, as_of(spark, sf))
-    feats = [c for c in M.STRATEGY_FEATURES[strategy]]
-    return M.gbt_train(tr, feats, max_iter=max_iter), tr, feats
-
-
 def _holdout(spark, sf):
     f = silver_since(spark, sf, M.HOLDOUT_DAYS)
     return f.filter(F.col("date") >= F.date_sub(F.lit(as_of(spark, sf)).cast("date"), M.HOLDOUT_DAYS))
 
 
-@register("gbt_global_importance", raw=True)
+def gbt_models(spark, sf, names):
+    """The named models, each trained once per session and kept in the checkpoint folder."""
+    a, f = as_of(spark, sf), feat(spark, sf)
+    jobs = {s: (M.train_set(f, s, a), M.STRATEGY_FEATURES[s]) for s in names}
+    return stored_models(spark, "gbt", (sf, str(a)), jobs, lambda missing: M.gbt_train_many(missing))
+
+
+_IMPORTANCE = ("SELECT f.feature, " + O.R("coalesce(s.gain / (SELECT sum(sgain) FROM splits), 0)") + " AS importance FROM "
+               "(VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(M.STRATEGY_FEATURES["full"])) + ") f(i, feature) "
+               "LEFT JOIN (SELECT sf, sum(sgain) AS gain FROM splits GROUP BY sf) s ON s.sf = f.i")
+
+
+@register("gbt_global_importance", OB.with_recursive(O.on_feat(
+    _IMPORTANCE, OB.boosted("full", M.STRATEGY_FEATURES["full"]),
+    "splits AS (SELECT DISTINCT it, was, sf, sgain FROM full_walk WHERE sf IS NOT NULL)")))
 def q_gbt_global_importance(spark, sf):
-    """M10 + M15: train the full model (26 columns, 50 iterations), feature importances."""
-    model, _, feats = _model(spark, sf, "full")
-    return M.global_importance(model, feats)
+    """M10 + M15: the full model (26 columns), feature importances."""
+    return M.global_importance(gbt_models(spark, sf, ["full"])["full"], spark)
+
+
+_STRATEGIES = ["momentum", "breakout", "volume_confirm", "reversal"]
 
 
-@register("gbt_strategy_scores", raw=True)
+@register("gbt_strategy_scores", OB.with_recursive(O.on_feat(
+    f"SELECT {sel(SS_SPEC)}, {SIG_CASE} AS signal FROM gbt", *[OB.boosted(s, M.STRATEGY_FEATURES[s]) for s in _STRATEGIES],
+    "gbt AS (SELECT date, symbol, " + ", ".join(f"{s}_score.pred AS {s}_pred" for s in _STRATEGIES) + " FROM momentum_score "
+    + " ".join(f"JOIN {s}_score USING (date, symbol)" for s in _STRATEGIES[1:]) + ")")))
 def q_gbt_strategy_scores(spark, sf):
     """M10 + M12 + M13: four models scored over the hold-out window, composite signal."""
-    rows = _holdout(spark, sf)
-    strategies = ["momentum", "breakout", "volume_confirm", "reversal"]
-    f, a = feat(spark, sf), as_of(spark, sf)
-    models = M.gbt_train_many({s: (M.train_set(f, s, a), M.STRATEGY_FEATURES[s]) for s in strategies})
-    # score in one pass: each model's transform appends its own prediction column
-    data = M._numeric_view(rows, sorted({c for s in strategies for c in M.STRATEGY_FEATURES[s]}))
-    base_cols, preds = data.columns, []
-    for s in strategies:
-        preds.append(f"{s}_pred")
-        data = models[s].transform(data).withColumnRenamed("prediction", preds[-1]).select(*base_cols, *preds)
-    return signals.strategy_scores(data.select("date", "symbol", *[f"{s}_pred" for s in strategies]))
-
-
-@register("gbt_local_explain", raw=True)
+    models = gbt_models(spark, sf, _STRATEGIES)
+    return signals.strategy_scores(M.gbt_predict({f"{s}_pred": models[s] for s in _STRATEGIES}, _holdout(spark, sf)))
+
+
+@register("gbt_local_explain")
 def q_gbt_local_explain(spark, sf):
-    """Top-10 leave-one-out attributions per hold-out row (full model, its symbol column too)."""
-    model, tr, feats = _model(spark, sf, "full")
-    return M.local_explain_topk(model, _holdout(spark, sf), tr, feats, 10)
+    """Top-10 attributions per hold-out row (full model, its symbol column too)."""
+    return M.local_explain_topk(gbt_models(spark, sf, ["full"])["full"], _holdout(spark, sf), 10)
 
 
 # ====================================================================== S ==

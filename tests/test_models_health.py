@@ -11,21 +11,44 @@ from barforge.plans import catalog as C
 
 
 def test_full_model_importance_and_explanation(spark, sf):
-    model, train, feats = C._model(spark, sf, "full", max_iter=3)
-    shares = {r["feature"]: r["importance"] for r in M.global_importance(model, feats).collect()}
+    model = C.gbt_models(spark, sf, ["full"])["full"]
+    feats = M.STRATEGY_FEATURES["full"]
+    shares = {r["feature"]: r["importance"] for r in M.global_importance(model, spark).collect()}
     assert list(shares) == feats and len(feats) == 26 and abs(sum(shares.values()) - 1) < 1e-9
-    rows = C._holdout(spark, sf).orderBy("date", "symbol").limit(1)
-    got = M.local_explain_topk(model, rows, train, feats, k=26).collect()
-    assert len(got) == 26 and {r["feature"] for r in got} == set(feats)
-    # an attribution is the row's score minus the score with the feature at its neutral value
-    score = {r["date"]: r["p"] for r in M.gbt_predict(model, rows, feats, "p").collect()}
-    mean = train.agg(F.avg("close").alias("m")).first()["m"]
-    usual = train.groupBy("symbol").count().orderBy(F.col("count").desc(), "symbol").first()["symbol"]
-    for feature, value in (("close", F.lit(mean)), ("symbol", F.lit(usual))):
-        other = {r["date"]: r["p"] for r in M.gbt_predict(model, rows.withColumn(feature, value), feats, "p").collect()}
-        for r in got:
-            if r["feature"] == feature:
-                assert abs(r["attribution"] - (score[r["date"]] - other[r["date"]])) < 1e-9
+    rows = C._holdout(spark, sf)
+    got = M.local_explain_topk(model, rows, k=26).collect()
+    scores = {(r["date"], r["symbol"]): r["p"] for r in M.gbt_predict({"p": model}, rows).collect()}
+    assert len(got) == 26 * len(scores) and {r["feature"] for r in got} == set(feats)
+    # a row's attributions add up to its score minus the mean; ranks follow their sizes
+    total, sizes = {}, {}
+    for r in got:
+        key = (r["date"], r["symbol"])
+        total[key] = total.get(key, 0.0) + r["attribution"]
+        sizes.setdefault(key, []).append((r["rank"], abs(r["attribution"])))
+    means = [scores[k] - v for k, v in total.items()]
+    assert max(means) - min(means) < 1e-9
+    assert all([x for _, x in sorted(v)] == sorted((x for _, x in v), reverse=True) for v in sizes.values())
+
+
+def test_query_scores_come_from_gbt_predict(spark, sf):
+    models = C.gbt_models(spark, sf, C._STRATEGIES)
+    got = {(r["date"], r["symbol"]): r["m"] for r in M.gbt_predict({"m": models["momentum"]}, C._holdout(spark, sf)).collect()}
+    query = C.q_gbt_strategy_scores(spark, sf).collect()
+    assert len(query) == len(got) and all(r["momentum_pred"] == got[r["date"], r["symbol"]] for r in query)
+
+
+def test_stored_models_are_not_trained_again(spark):
+    from barforge.operators.boosting import Boosted
+    from barforge.plans.trained import stored_models
+    calls = []
+
+    def train(jobs):
+        calls.append(sorted(jobs))
+        return {name: Boosted(["a"], {}, [[1]], base=float(len(name))) for name in jobs}
+
+    for names in (["a"], ["a", "bb"], ["bb"]):
+        assert {n: m.base for n, m in stored_models(spark, "t", ("k",), dict.fromkeys(names), train).items()} == {n: float(len(n)) for n in names}
+    assert calls == [["a"], ["bb"]]
 
 
 def test_health_reports_a_table_that_fails_while_running(spark):
@@ -49,3 +72,15 @@ def test_events_fall_on_the_next_bar(spark):
     assert gap == {2: (False, 6, None), 3: (False, 5, None), 8: (True, 0, 0), 9: (False, None, 1)}
     adjusted = {r["date"].day: round(r["adj_close"], 9) for r in X.dividend_adjusted(bars, events).collect()}
     assert adjusted == {2: 8.0, 3: 8.0, 8: 10.0, 9: 10.0}
+
+
+def test_single_and_wide_signals_agree(spark, sf):
+    """R4 is an inner join with the dates that have a label; the wide table keeps every row."""
+    from barforge.operators import signals as S
+    feat = C.feat(spark, sf)
+    single, wide = S.signal_sentiment(feat), S.rule_signals_wide(feat)
+    both = wide.join(single.select("date", "symbol", F.col("sentiment_signal").alias("one")), ["date", "symbol"], "left")
+    labelled = [r[0] for r in feat.where("next_day_return IS NOT NULL").select("date").distinct().collect()]
+    assert both.where(F.col("date").isin(labelled)).where("NOT (one <=> sentiment_signal)").count() == 0
+    assert both.where(~F.col("date").isin(labelled)).where("one IS NOT NULL OR sentiment_signal IS NOT NULL").count() == 0
+    assert wide.count() == feat.count() > single.count()
