@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import r, sunday_week, u01
+from barforge.plans.numbering import number_rows
 from barforge.plans.sizing import estimated_bytes
 
 WEIGHTS = ["w_momentum", "w_volume", "w_reversal", "w_breakout", "w_dow", "w_monthend", "w_sentiment", "w_mean_rev"]
@@ -148,7 +149,7 @@ def ga_signals(fs: DataFrame, genes: DataFrame, max_pool: int = MAX_POOL,
     """
     pool = genes.select("gene_id", "generation", "strategy_name", "threshold", "stop_loss", "take_profit",
                         "max_hold_days", "max_positions", "w_momentum", "w_volume", "w_reversal", "w_breakout")
-    pool = pool.withColumn("slot", F.row_number().over(Window.orderBy("gene_id")))
+    pool = number_rows(pool, ["gene_id"], "slot").withColumn("slot", F.col("slot").cast("int"))
     n = pool.count()
     if n <= max_pool:
         pool = F.broadcast(pool)      # a checked size; a larger pool is joined by a shuffle on the slot
@@ -368,8 +369,7 @@ def ga_next_generation(current: DataFrame, seed: int = 7) -> DataFrame:
 def append_generation(pool: DataFrame, nxt: DataFrame) -> DataFrame:
     """Re-number the new individuals from the pool's max id and append."""
     mx = pool.agg(F.max("gene_id")).first()[0] or 0
-    w = Window.orderBy("gene_id")   # one generation: bounded by the population size
-    renum = nxt.withColumn("gene_id", F.lit(int(mx)) + F.row_number().over(w))
+    renum = number_rows(nxt, ["gene_id"], "_number").withColumn("gene_id", F.lit(int(mx)) + F.col("_number")).drop("_number")
     return _gene_row(pool).unionByName(_gene_row(renum))
 
 
@@ -411,8 +411,8 @@ def fitness_score(weekly: DataFrame) -> DataFrame:
 
 def cull_tiers(scored: DataFrame, top: int = 3, middle: int = 4) -> DataFrame:
     """PARENT (top 3), SURVIVE (next 4), CULL (rest) by fitness."""
-    w = Window.orderBy(F.col("fitness").desc_nulls_last(), F.col("gene_id"))
-    x = scored.withColumn("fitness_rank", F.row_number().over(w))
+    x = number_rows(scored, [F.col("fitness").desc_nulls_last(), F.col("gene_id")], "fitness_rank").withColumn(
+        "fitness_rank", F.col("fitness_rank").cast("int"))
     return x.withColumn("tier", F.when(F.col("fitness_rank") <= top, F.lit("PARENT"))
                         .when(F.col("fitness_rank") <= top + middle, F.lit("SURVIVE")).otherwise(F.lit("CULL")))
 

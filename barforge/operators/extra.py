@@ -1,15 +1,17 @@
 """Specified-only operators.
 
 Range and as-of joins are expressed without theta joins:
-* X2 fans each position out over at most ``max_hold_days`` (<= 21) future
-  bar indexes with ``explode(sequence)`` and equi-joins on (symbol, index);
+* X2 finds the first bar that hits stop-loss or take-profit by halving:
+  lowest and highest closes of blocks of 1, 2, 4, ... bars per symbol, and one
+  equi-join on (symbol, index) per block size;
 * X8, X10 use forward ``first(ignorenulls)`` frames over the symbol window
   or over the small per-date calendar table, never a join on inequality.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.functions.core import safe_div, sunday_week
@@ -31,88 +33,136 @@ def with_bar_index(feat: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ X1 ----
-def screen_positions(sig: DataFrame, top: int = SCREEN_TOP, min_ratio: float = SCREEN_MIN_RATIO,
+def trading_days(feat: DataFrame) -> DataFrame:
+    """(date, prev_date): every date of the table and the one before it (one row per calendar day)."""
+    return feat.select("date").distinct().withColumn("prev_date", F.lag("date").over(Window.orderBy("date")))
+
+
+def _enter(cap: int):
+    """Fold over one gene's candidates, in order: what was entered the day before may not enter, the strongest ``cap`` do."""
+    def run(gene: pa.Table) -> pa.Table:
+        gene = gene.sort_by([("date", "ascending"), ("_r", "ascending")])
+        day, before, today, keep, rank = None, set(), [], [], []
+        for at, (date, prev, symbol) in enumerate(zip(gene["date"].to_pylist(), gene["prev_date"].to_pylist(), gene["symbol"].to_pylist())):
+            if date != day:
+                before = set(today) if prev is not None and prev == day else set()
+                day, today = date, []
+            if len(today) < cap and symbol not in before:
+                today.append(symbol)
+                keep.append(at)
+                rank.append(len(today))
+        return gene.select(["date", "gene_id", "symbol", "raw_signal"]).take(pa.array(keep, pa.int64())).append_column("screen_rank", pa.array(rank, pa.int64()))
+
+    return run
+
+
+def screen_positions(sig: DataFrame, days: DataFrame, top: int = SCREEN_TOP, min_ratio: float = SCREEN_MIN_RATIO,
                      min_close: float = SCREEN_MIN_CLOSE, cap: int = SCREEN_CAP) -> DataFrame:
     """Per gene and day: top ``top`` by |signal|, liquidity and price
-    filters, no entry on two consecutive trading days (greedy: keep the odd
-    positions of each run of consecutive candidate days), then cap.
+    filters, no entry into a symbol entered on the trading day before, then
+    the strongest ``cap``.
 
-    ``sig`` needs gene_id, date, symbol, raw_signal, close, volume_vs_sma_ratio, bar_idx.
+    What may enter today depends on what yesterday's cap let in, so a gene's
+    candidates (at most ``top`` a day) are folded day by day in one task per
+    gene.  ``sig`` needs gene_id, date, symbol, raw_signal, close,
+    volume_vs_sma_ratio; ``days`` is ``trading_days``.
     """
     wday = Window.partitionBy("gene_id", "date").orderBy(F.abs("raw_signal").desc(), F.col("symbol"))
     c = (sig.filter(F.col("raw_signal") != 0).withColumn("_r", F.row_number().over(wday))
          .filter((F.col("_r") <= top) & (F.col("volume_vs_sma_ratio") > min_ratio) & (F.col("close") > min_close)))
-    wsym = Window.partitionBy("gene_id", "symbol").orderBy("bar_idx")
-    c = c.withColumn("_run", F.col("bar_idx") - F.row_number().over(wsym))
-    wrun = Window.partitionBy("gene_id", "symbol", "_run").orderBy("bar_idx")
-    c = c.withColumn("_pos", F.row_number().over(wrun)).filter(F.col("_pos") % 2 == 1)
-    return (c.withColumn("screen_rank", F.row_number().over(wday).cast("long")).filter(F.col("screen_rank") <= cap)
-            .select("date", "gene_id", "symbol", "raw_signal",
-                    F.when(F.col("raw_signal") > 0, "LONG").otherwise("SHORT").alias("side"),
-                    F.abs("raw_signal").alias("signal_strength"), "screen_rank"))
+    c = c.select("gene_id", "date", "symbol", "raw_signal", "_r").join(broadcast_by_construction(days, "one row per calendar day"), "date")
+    types = {f.name: f.dataType.simpleString() for f in c.schema.fields}
+    entered = c.groupBy("gene_id").applyInArrow(_enter(cap), f"date {types['date']}, gene_id {types['gene_id']}, symbol string, raw_signal double, screen_rank long")
+    return entered.select("date", "gene_id", "symbol", "raw_signal",
+                          F.when(F.col("raw_signal") > 0, "LONG").otherwise("SHORT").alias("side"),
+                          F.abs("raw_signal").alias("signal_strength"), "screen_rank")
 
 
 # ------------------------------------------------------------------ X2 ----
+def price_blocks(bars: DataFrame, levels: int) -> DataFrame:
+    """``bars`` (symbol, bar_idx, close) with lo_j, hi_j: lowest and highest close of the 2**j bars that begin here.
+
+    A block is its two halves, the second found with ``lead``; all windows share one sort by (symbol, bar_idx).
+    """
+    w = Window.partitionBy("symbol").orderBy("bar_idx")
+    b = bars.withColumns({"lo_0": F.col("close"), "hi_0": F.col("close")})
+    for j in range(1, levels):
+        half = 1 << (j - 1)
+        b = b.withColumns({f"lo_{j}": F.least(f"lo_{j - 1}", F.lead(f"lo_{j - 1}", half).over(w)),
+                           f"hi_{j}": F.greatest(f"hi_{j - 1}", F.lead(f"hi_{j - 1}", half).over(w))})
+    return b
+
+
+def _pnl_at(price: Column) -> Column:
+    """P&L in percent of a position closed at ``price``; rises (LONG) or falls (SHORT) with it."""
+    e = F.col("entry_price")
+    return F.when(F.col("side") == "LONG", (price - e) / e * 100.0).otherwise((e - price) / e * 100.0)
+
+
+def first_passage(pos: DataFrame, blocks: DataFrame, levels: int) -> DataFrame:
+    """``pos`` with ``hit_idx``: the first bar after ``entry_idx`` whose P&L reaches stop_loss or take_profit, null if none of the
+    next 2**levels - 1 does.
+
+    Halving from the largest block down: a block whose extremes reach neither bound is passed over, so each
+    level costs one equi-join on (symbol, index) and no position becomes more than one row.
+    """
+    p = pos.withColumn("_at", F.col("entry_idx") + 1)
+    for j in reversed(range(levels)):
+        b = blocks.select("symbol", F.col("bar_idx").alias("_at"), F.col(f"lo_{j}").alias("_lo"), F.col(f"hi_{j}").alias("_hi"))
+        worst, best = F.least(_pnl_at(F.col("_lo")), _pnl_at(F.col("_hi"))), F.greatest(_pnl_at(F.col("_lo")), _pnl_at(F.col("_hi")))
+        reached = F.coalesce((worst <= -F.col("stop_loss")) | (best >= F.col("take_profit")), F.lit(False))
+        p = p.join(b, ["symbol", "_at"], "left").withColumn("_at", F.when(reached, F.col("_at")).otherwise(F.col("_at") + (1 << j))).drop("_lo", "_hi")
+    end = F.col("entry_idx") + (1 << levels)
+    return p.withColumn("hit_idx", F.when(F.col("_at") < end, F.col("_at"))).drop("_at")
+
+
 def trade_log(pos: DataFrame, genes: DataFrame, bars: DataFrame) -> DataFrame:
     """Exit of each position at the first future bar (within max_hold_days)
     that hits stop-loss/take-profit, a reversed position of the same gene,
-    the last bar of the entry week, or the holding limit.
+    the last bar of the entry week, or the holding limit (in this order at
+    one bar).
 
     pos: (date, gene_id, symbol, side); bars: (symbol, date, close).
     Plan: the next opposite-side position of the same (gene, symbol) is a
-    forward ``first(ignorenulls)`` over the positions (no self join); each
-    position fans out over at most ``hold`` future bar indexes, joined to the
-    bars (one row per symbol and day, broadcast after a size check); the
-    first exit is one partially aggregated ``min_by`` per position.
+    forward ``first(ignorenulls)`` over the positions (no self join), the
+    week's last bar a window over the bars, the stop-loss/take-profit bar
+    ``first_passage`` (joins grow with the logarithm of the longest holding
+    time).  The exit is the least of the four, one more join brings its bar.
     Positions with no exit bar stay open (exit NULL).
     """
     b = with_bar_index(bars.select("symbol", "date", "close"))
-    b = b.withColumn("_last_of_week", sunday_week(F.lead("date").over(Window.partitionBy("symbol").orderBy("date")))
-                     != sunday_week("date"))
-    bb = bounded_broadcast(b)
-    g = bounded_broadcast(genes.select("gene_id", "stop_loss", "take_profit", "max_hold_days"), 100_000)
-    p = (pos.select("date", "gene_id", "symbol", "side").join(bb.select("symbol", "date", "bar_idx", "close"), ["symbol", "date"])
+    wsym = Window.partitionBy("symbol").orderBy("date")
+    week = Window.partitionBy("symbol", sunday_week("date"))
+    # the week's last bar, if the table goes on after it
+    b = b.withColumn("_next", F.lead("date").over(wsym))
+    b = b.withColumn("week_end_idx", F.max(F.when(sunday_week("_next") != sunday_week("date"), F.col("bar_idx"))).over(week)).drop("_next")
+    hold = F.greatest(F.col("hold"), F.lit(1))
+    longest = genes.agg(F.max("max_hold_days")).first()[0] or 1
+    levels = max(1, int(longest).bit_length())
+    bb = bounded_broadcast(price_blocks(b, levels))
+    g = bounded_broadcast(genes.select("gene_id", "stop_loss", "take_profit", F.col("max_hold_days").alias("hold")), 100_000)
+    p = (pos.select("date", "gene_id", "symbol", "side").join(bb.select("symbol", "date", "bar_idx", "close", "week_end_idx"), ["symbol", "date"])
          .join(g, "gene_id"))
-    # explicit count: AQE would coalesce this small shuffle into one task, which
-    # would then also run the (max_hold_days fold) fan-out below; the window reuses it
-    spark = pos.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    p = p.repartition(parts, "gene_id", "symbol")
     wnext = Window.partitionBy("gene_id", "symbol").orderBy("bar_idx").rowsBetween(1, Window.unboundedFollowing)
     nxt_long = F.first(F.when(F.col("side") == "LONG", F.col("bar_idx")), ignorenulls=True).over(wnext)
     nxt_short = F.first(F.when(F.col("side") == "SHORT", F.col("bar_idx")), ignorenulls=True).over(wnext)
     p = p.select("gene_id", "symbol", F.col("date").alias("entry_date"), "side", F.col("close").alias("entry_price"),
-                 F.col("bar_idx").alias("entry_idx"), "stop_loss", "take_profit",
-                 F.col("max_hold_days").alias("hold"),
-                 F.when(F.col("side") == "LONG", nxt_short).otherwise(nxt_long).alias("_next_opp"))
-    fan = p.withColumn("k", F.explode(F.sequence(F.lit(1), F.greatest(F.col("hold"), F.lit(1)))))
-    fan = fan.withColumn("bar_idx", F.col("entry_idx") + F.col("k"))
-    fut = fan.join(bb.select("symbol", "bar_idx", F.col("date").alias("bar_date"), F.col("close").alias("bar_close"),
-                             "_last_of_week"), ["symbol", "bar_idx"], "left")
-    pnl = F.when(F.col("side") == "LONG", (F.col("bar_close") - F.col("entry_price")) / F.col("entry_price") * 100.0) \
-        .otherwise((F.col("entry_price") - F.col("bar_close")) / F.col("entry_price") * 100.0)
-    reason = (F.when((pnl <= -F.col("stop_loss")) | (pnl >= F.col("take_profit")), F.lit("TP_SL"))
-              .when(F.col("bar_idx") == F.col("_next_opp"), F.lit("SIGNAL_REVERSAL"))
-              .when(F.col("_last_of_week") & (sunday_week("bar_date") == sunday_week("entry_date")), F.lit("WEEK_END"))
-              .when(F.col("k") == F.col("hold"), F.lit("MAX_HOLD")))
-    code = F.when(F.col("bar_date").isNotNull(), reason)
-    for i, name in enumerate(EXIT_PRIORITY):
-        code = F.when(F.col("_reason") == name, F.lit(i)) if i == 0 else code.when(F.col("_reason") == name, F.lit(i))
-    x = fut.select("gene_id", "symbol", "entry_date", "side", "entry_price", "k", "bar_date", "bar_close",
-                   pnl.alias("pnl"), F.when(F.col("bar_date").isNotNull(), reason).alias("_reason"))
-    x = x.withColumn("_code", code)
-    # non-hits order after every hit (k <= 21), so min_by returns the first hit if there is one;
-    # one min_by per fixed-width field (the reason as a code) keeps this a hash aggregate
-    order = F.when(F.col("_code").isNotNull(), F.col("k")).otherwise(F.lit(1_000_000) + F.col("k"))
-    first = x.groupBy("gene_id", "symbol", "entry_date", "side", "entry_price").agg(
-        F.min_by("bar_date", order).alias("_d"), F.min_by("bar_close", order).alias("_c"),
-        F.min_by("pnl", order).alias("_p"), F.min_by("_code", order).alias("_code"))
-    hit = F.col("_code").isNotNull()
-    reason_name = F.element_at(F.array(*[F.lit(n) for n in EXIT_PRIORITY]), F.col("_code") + 1)
-    return first.select(F.col("entry_date").alias("date"), "gene_id", "symbol", F.col("side").alias("signal_type"),
-                        "entry_price", F.when(hit, F.col("_d")).alias("exit_date"),
-                        F.when(hit, F.col("_c")).alias("exit_price"), F.when(hit, F.col("_p")).alias("pnl"),
-                        F.when(hit, reason_name).alias("exit_reason"), sunday_week("entry_date").alias("week_start"))
+                 F.col("bar_idx").alias("entry_idx"), "stop_loss", "take_profit", "hold",
+                 F.when(F.col("side") == "LONG", nxt_short).otherwise(nxt_long).alias("opposite_idx"),
+                 F.when(F.col("week_end_idx") > F.col("bar_idx"), F.col("week_end_idx")).alias("week_end_idx"))
+    p = first_passage(p, bb, levels)
+    limit = F.col("entry_idx") + hold
+    exits = {"TP_SL": F.col("hit_idx"), "SIGNAL_REVERSAL": F.col("opposite_idx"), "WEEK_END": F.col("week_end_idx"),
+             "MAX_HOLD": F.when(F.col("hold") >= 1, limit)}
+    first = F.least(*exits.values())
+    p = p.withColumn("_exit", F.when(first <= limit, first))
+    reason = F.coalesce(*[F.when(exits[name] == F.col("_exit"), F.lit(name)) for name in EXIT_PRIORITY])
+    p = p.withColumn("_reason", reason).join(
+        bb.select("symbol", F.col("bar_idx").alias("_exit"), F.col("date").alias("exit_date"), F.col("close").alias("exit_price")), ["symbol", "_exit"], "left")
+    # a holding limit beyond the last bar leaves the position open
+    return p.select(F.col("entry_date").alias("date"), "gene_id", "symbol", F.col("side").alias("signal_type"), "entry_price",
+                    "exit_date", "exit_price", _pnl_at(F.col("exit_price")).alias("pnl"),
+                    F.when(F.col("exit_date").isNotNull(), F.col("_reason")).alias("exit_reason"), sunday_week("entry_date").alias("week_start"))
 
 
 def pnl_by_exit_reason(log: DataFrame) -> DataFrame:

@@ -1215,27 +1215,31 @@ from barforge.operators import extra as X  # noqa: E402
 
 def _screened(spark, sf):
     p = ga_parts(spark, sf)
-    fs = signals.ga_feature_signals(X.with_bar_index(p["feat"]), carry=("close", "volume_vs_sma_ratio", "bar_idx"))
-    return X.screen_positions(E.ga_signals(fs, p["genes"])), p
+    fs = signals.ga_feature_signals(p["feat"], carry=("close", "volume_vs_sma_ratio"))
+    return X.screen_positions(E.ga_signals(fs, p["genes"]), X.trading_days(p["feat"])), p
 
 
+# Day by day: today's candidates without the symbols that the day before entered, then the cap.
 SCREEN = f"""
-sigx AS (SELECT s.gene_id, s.date, s.symbol, s.raw_signal, s.close, f.volume_vs_sma_ratio, f.bar_idx FROM sig s JOIN
-         (SELECT date, symbol, volume_vs_sma_ratio, ROW_NUMBER() OVER (PARTITION BY symbol ORDER BY date) AS bar_idx FROM feat) f
-         ON s.date = f.date AND s.symbol = f.symbol),
-c1 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_id, date ORDER BY abs(raw_signal) DESC, symbol) AS _r
+sdays AS MATERIALIZED (SELECT date, ROW_NUMBER() OVER (ORDER BY date) AS dn FROM (SELECT DISTINCT date FROM feat)),
+sigx AS (SELECT s.gene_id, s.date, s.symbol, s.raw_signal, s.close, f.volume_vs_sma_ratio, d.dn FROM sig s JOIN feat f
+         ON s.date = f.date AND s.symbol = f.symbol JOIN sdays d ON d.date = s.date),
+c1 AS MATERIALIZED (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_id, date ORDER BY abs(raw_signal) DESC, symbol) AS _r
        FROM sigx WHERE raw_signal <> 0) WHERE _r <= 20 AND volume_vs_sma_ratio > 0.5 AND close > 100),
-c2 AS (SELECT *, bar_idx - ROW_NUMBER() OVER (PARTITION BY gene_id, symbol ORDER BY bar_idx) AS _run FROM c1),
-c3 AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY gene_id, symbol, _run ORDER BY bar_idx) AS _pos FROM c2)
-       WHERE _pos % 2 = 1),
-scr AS (SELECT date, gene_id, symbol, raw_signal, CASE WHEN raw_signal > 0 THEN 'LONG' ELSE 'SHORT' END AS side,
-          abs(raw_signal) AS signal_strength, screen_rank FROM
-        (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY gene_id, date ORDER BY abs(raw_signal) DESC, symbol) AS BIGINT) AS screen_rank
-         FROM c3) WHERE screen_rank <= 3)"""
-
-
-@register("screen_positions", O.on_feat(
-    f"SELECT {sel('date gene_id symbol raw_signal:d side signal_strength:d screen_rank')} FROM scr", *GA, SCREEN))
+entry(dn, date, gene_id, symbol, raw_signal, screen_rank) AS (
+  SELECT 0::BIGINT, NULL::DATE, NULL::BIGINT, NULL::VARCHAR, NULL::DOUBLE, NULL::BIGINT
+  UNION ALL (
+  SELECT dn, date, gene_id, symbol, raw_signal, screen_rank FROM (
+    SELECT c.dn, c.date, c.gene_id, c.symbol, c.raw_signal, ROW_NUMBER() OVER (PARTITION BY c.gene_id ORDER BY c._r) AS screen_rank
+    FROM c1 c JOIN (SELECT max(dn) + 1 AS dn FROM entry) t ON c.dn = t.dn LEFT JOIN entry e ON e.gene_id = c.gene_id AND e.symbol = c.symbol
+    WHERE e.symbol IS NULL) WHERE screen_rank <= 3
+  UNION ALL SELECT dn, NULL, NULL, NULL, NULL, NULL FROM (SELECT max(dn) + 1 AS dn FROM entry) WHERE dn <= (SELECT max(dn) FROM sdays))),
+scr AS MATERIALIZED (SELECT date, gene_id, symbol, raw_signal, CASE WHEN raw_signal > 0 THEN 'LONG' ELSE 'SHORT' END AS side,
+          abs(raw_signal) AS signal_strength, screen_rank FROM entry WHERE symbol IS NOT NULL)"""
+
+
+@register("screen_positions", OB.with_recursive(O.on_feat(
+    f"SELECT {sel('date gene_id symbol raw_signal:d side signal_strength:d screen_rank')} FROM scr", *GA, SCREEN)))
 def q_screen_positions(spark, sf):
     """X1."""
     return _screened(spark, sf)[0]
@@ -1271,17 +1275,17 @@ def _tlog(spark, sf):
     return X.trade_log(scr, p["genes"], p["feat"])
 
 
-@register("trade_log", O.on_feat(
+@register("trade_log", OB.with_recursive(O.on_feat(
     f"SELECT {sel('date gene_id symbol signal_type entry_price:d exit_date exit_price:d pnl:d exit_reason week_start')} FROM tlog",
-    *GA, SCREEN, TLOG))
+    *GA, SCREEN, TLOG)))
 def q_trade_log(spark, sf):
     """X2."""
     return _tlog(spark, sf)
 
 
-@register("pnl_by_exit_reason", O.on_feat(
+@register("pnl_by_exit_reason", OB.with_recursive(O.on_feat(
     "SELECT gene_id, exit_reason, " + O.R("AVG(pnl)") + " AS avg_pnl, COUNT(*) AS n_trades FROM tlog "
-    "WHERE exit_reason IS NOT NULL GROUP BY 1, 2", *GA, SCREEN, TLOG))
+    "WHERE exit_reason IS NOT NULL GROUP BY 1, 2", *GA, SCREEN, TLOG)))
 def q_pnl_by_exit_reason(spark, sf):
     """X14."""
     return X.pnl_by_exit_reason(_tlog(spark, sf))
