@@ -14,7 +14,7 @@ from barforge.operators import arena, backtest, signals
 from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
 from barforge.plans import oracle_gbt as OB
-from barforge.plans.registry import digits_for, register
+from barforge.plans.registry import digits_for, finalize, register
 from barforge.plans.silver import bronze_bars, default_as_of, silver_features, silver_since
 from barforge.plans.trained import stored_models
 from barforge.sources.bars import bars_from_tables, read_table
@@ -1005,9 +1005,7 @@ def q_bronze_json_scan(spark, sf):
 @register("bronze_wide_to_long", O.on_bars(f"SELECT {sel('date symbol open:d high:d low:d close:d volume')} FROM bars"))
 def q_bronze_wide_to_long(spark, sf):
     """S3: the wide download layout (field x ticker columns) back to long bars."""
-    b = bronze_bars(spark, sf)
-    symbols = sorted(r[0] for r in b.select("symbol").distinct().collect())   # bounded: one per ticker
-    return SF.wide_to_long(SF.bars_to_wide(b, symbols), symbols + ["NO_SUCH_TICKER"])
+    return SF.wide_to_long(SF.bars_to_wide(bronze_bars(spark, sf)))
 
 
 _CUT_OLD = "CAST((SELECT d FROM as_of) - INTERVAL 25 DAY AS DATE)"
@@ -1143,20 +1141,21 @@ from barforge.streaming import pipelines as T  # noqa: E402
 
 def _events_source(spark, sf, name, slices=4, twins=False):
     """Tick files in event-time order: each time slice is written by its own job, in
-    order, so file modification times follow event time as in a live feed."""
+    order, so file modification times follow event time as in a live feed.  Returns the
+    events, the folder and the files per slice (one per million rows), which a batch takes together."""
     ev = spark.read.parquet(f"{sf}/events.parquet")
     if twins:
         ev = ev.unionByName(ev.filter("event_id % 5 = 0").withColumn("event_id", -F.col("event_id") - 1))
     src = _fresh(spark, name) + "/feed"
-    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()      # two scalars
-    step = (hi - lo) / slices
+    lo, hi, n = ev.agg(F.min("ts"), F.max("ts"), F.count(F.lit(1))).first()      # three scalars
+    step, files = (hi - lo) / slices, -(-n // (slices * 1_000_000))
     for i in range(slices):
         a = lo + step * i
         cond = (F.col("ts") >= F.lit(a)) if i else F.lit(True)
         if i < slices - 1:
             cond = cond & (F.col("ts") < F.lit(lo + step * (i + 1)))
-        ev.filter(cond).coalesce(1).sortWithinPartitions("ts").write.mode("append").parquet(src)
-    return ev, src
+        ev.filter(cond).repartition(files).sortWithinPartitions("ts").write.mode("append").parquet(src)
+    return ev, src, files
 
 
 @register("stream_ticks_to_bars", O.with_ctes(TICKS, body=(
@@ -1164,9 +1163,9 @@ def _events_source(spark, sf, name, slices=4, twins=False):
     + O.R("max(price)") + " AS high, " + O.R("min(price)") + " AS low, " + O.R("arg_max(price, (ts, tick_id))")
     + " AS close, CAST(SUM(size) AS BIGINT) AS volume FROM ticks_e GROUP BY 1, 2")))
 def q_stream_ticks_to_bars(spark, sf):
-    """Streamed hourly bars (complete mode) equal the batch resample S7."""
-    ev, src = _events_source(spark, sf, "t1src")
-    return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1out"), _fresh(spark, "t1ckpt"))
+    """Streamed hourly bars (update mode, changed windows only) equal the batch resample S7."""
+    ev, src, files = _events_source(spark, sf, "t1src")
+    return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1out"), _fresh(spark, "t1ckpt"), files_per_trigger=files)
 
 
 @register("stream_dedupe", O.with_ctes(TICKS, body="SELECT DISTINCT symbol, ts, " + O.R("price") + " AS price, tick_id FROM "
@@ -1174,26 +1173,25 @@ def q_stream_ticks_to_bars(spark, sf):
 def q_stream_dedupe(spark, sf):
     """The last half day of ticks is delivered twice; those within the watermark are dropped.  Every fifth
     tick has a twin of another id at the same instant, which stays."""
-    ev, src = _events_source(spark, sf, "t2src", twins=True)
+    ev, src, files = _events_source(spark, sf, "t2src", twins=True)
     last = ev.agg(F.max("ts")).first()[0]
     import datetime as _dtm
     # re-delivery of the last 12 hours, arriving after everything else
-    ev.filter(F.col("ts") >= F.lit(last - _dtm.timedelta(hours=12))).coalesce(1).write.mode("append").parquet(src)
-    return T.stream_dedupe(spark, src, ev.schema, _fresh(spark, "t2out"), _fresh(spark, "t2ckpt"))
+    ev.filter(F.col("ts") >= F.lit(last - _dtm.timedelta(hours=12))).repartition(files).write.mode("append").parquet(src)
+    return T.stream_dedupe(spark, src, ev.schema, _fresh(spark, "t2out"), _fresh(spark, "t2ckpt"), files_per_trigger=files)
 
 
 @register("stream_bronze_to_silver", O.on_feat(f"SELECT {sel(FEAT_SPEC)} FROM feat"))
 def q_stream_bronze_to_silver(spark, sf):
-    """Bars arrive as four time-ordered files; each micro-batch appends new keys to bronze and
-    rebuilds silver for the touched symbols; the final silver equals the batch feature table."""
+    """Bars arrive as four time-ordered files; each micro-batch appends its new keys to bronze and
+    computes their features from the carried tails; the final silver equals the batch feature table."""
     b = bronze_bars(spark, sf)
     src = _fresh(spark, "t3src")
     b.repartitionByRange(4, "date").write.mode("overwrite").parquet(src)
     a = as_of(spark, sf)
     out = T.stream_bronze_to_silver(spark, src, b.schema, _fresh(spark, "t3bronze"), _fresh(spark, "t3silver"),
                                     _fresh(spark, "t3ckpt"), lambda hist: features_daily(hist, a))
-    return out.select(*[c for c in out.columns if c != "symbol"][:1], "symbol",
-                      *[c for c in out.columns if c not in ("symbol",)][1:])
+    return out.select(*feat(spark, sf).columns)
 
 
 @register("stream_bad_rows", O.on_bars(f"SELECT {sel(BAR_SPEC)} FROM bars WHERE day(date) <> 31"))
@@ -1476,10 +1474,18 @@ def q_feat_lookback_filter(spark, sf):
     return bars_in_window(spark, sf)
 
 
-@register("feat_numeric_contract", raw=True)
+_FIXED = " ".join(t[:-2] for t in FEAT_SPEC.split() if t.endswith(":d")).split()
+
+
+@register("feat_numeric_contract", O.on_feat("SELECT " + ", ".join(
+    f"CAST(CAST({O.R(c, digits_for(c, 6))} AS DECIMAL(38,9)) AS VARCHAR) AS {c}" if c in _FIXED else c
+    for c in (t.removesuffix(":d") for t in FEAT_SPEC.split())) + ", true AS is_audited FROM feat"), raw=True)
 def q_feat_numeric_contract(spark, sf):
-    """the at-rest contract (decimal(38,9) numerics + audit timestamp); rows-only check."""
-    return FT.feat_numeric_contract(feat(spark, sf))
+    """the at-rest contract of the rounded features; fixed-point values as text, the audit time as a flag."""
+    stored = FT.feat_numeric_contract(finalize(feat(spark, sf)))
+    text = [F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+            for f in stored.schema.fields if f.name != "_extracted_at"]
+    return stored.select(*text, F.col("_extracted_at").isNotNull().alias("is_audited"))
 
 
 # ====================================== M6-M9 and G11/G12 as separate keys ==
@@ -1546,9 +1552,9 @@ def q_bars_resample_ticks_1d(spark, sf):
     "WHERE bar_start + INTERVAL 1 DAY <= (SELECT max(ts) FROM ticks_e) - INTERVAL 1 DAY")))
 def q_stream_ticks_to_bars_1d_append(spark, sf):
     """T1 in append mode: a daily bar is emitted once the 1-day watermark has passed its end."""
-    ev, src = _events_source(spark, sf, "t1dsrc")
+    ev, src, files = _events_source(spark, sf, "t1dsrc")
     return T.stream_ticks_to_bars(spark, src, ev.schema, _fresh(spark, "t1dout"), _fresh(spark, "t1dckpt"),
-                                  interval="1 day", watermark="1 day", mode="append")
+                                  interval="1 day", watermark="1 day", mode="append", files_per_trigger=files)
 
 
 @register("ga_evolve_islands", raw=True)

@@ -20,15 +20,17 @@ from barforge.plans.sizing import broadcast_by_construction
 KEY = ["symbol", "date"]
 
 
-def append_new(existing: DataFrame, incoming: DataFrame, keys=KEY) -> DataFrame:
-    """Rows of ``incoming`` whose key is not stored (stored rows are kept).
-
-    Rows of the batch that share a key become one, the newest ``_inserted_at`` (else the largest row).
-    """
-    others = [c for c in incoming.columns if c not in keys]
+def one_per_key(df: DataFrame, keys=KEY) -> DataFrame:
+    """Rows that share a key become one, the newest ``_inserted_at`` (else the largest row)."""
+    others = [c for c in df.columns if c not in keys]
     newest = (["_inserted_at"] if "_inserted_at" in others else []) + [c for c in others if c != "_inserted_at"]
-    single = incoming.groupBy(*keys).agg(F.max(F.struct(*newest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
-    return single.select(*incoming.columns).join(existing.select(*keys), list(keys), "left_anti")
+    single = df.groupBy(*keys).agg(F.max(F.struct(*newest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others])
+    return single.select(*df.columns)
+
+
+def append_new(existing: DataFrame, incoming: DataFrame, keys=KEY) -> DataFrame:
+    """Rows of ``incoming`` whose key is not stored (stored rows are kept), one per key of the batch."""
+    return one_per_key(incoming, keys).join(existing.select(*keys), list(keys), "left_anti")
 
 
 def append_to_table(existing_path: str, incoming: DataFrame, spark, keys=KEY, partition_by=None) -> DataFrame:

@@ -51,27 +51,38 @@ def read_quotes_json(spark: SparkSession, path: str, keep_bad: bool = False) ->
     return df if keep_bad else df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
-def bars_to_wide(bars: DataFrame, symbols: list[str], fields=("open", "high", "low", "close", "volume")) -> DataFrame:
-    """The download layout: one row per date, one column per (field, ticker)."""
-    aggs = [F.first(f).alias(f) for f in fields]
-    p = bars.groupBy("date").pivot("symbol", symbols).agg(*aggs)
-    # pivot names columns '<symbol>_<field>'; rename to the '<Field>|<symbol>' two-level layout
-    ren = [F.col(f"`{s}_{f}`").alias(f"{f.capitalize()}|{s}") for s in symbols for f in fields]
-    return p.select("date", *ren)
-
-
-def wide_to_long(wide: DataFrame, tickers: list[str]) -> DataFrame:
-    """S3: wide (field x ticker) frame to long bars; lower-case fields, tickers without data dropped."""
-    fields = sorted({c.split("|")[0] for c in wide.columns if "|" in c})
-    stacked = wide.select("date", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("symbol"), *[F.col(f"`{f}|{t}`").alias(f.lower()) for f in fields])
-        for t in tickers if all(f"{f}|{t}" in wide.columns for f in fields)])).alias("s")).select("date", "s.*")
-    present = [F.col(f.lower()).isNotNull() for f in fields]
-    cond = present[0]
-    for c in present[1:]:
-        cond = cond | c
-    return stacked.filter(cond).select("date", "symbol", *[F.col(f.lower()) for f in ["Open", "High", "Low", "Close", "Volume"]
-                                                          if f in fields])
+WIDE_FIELDS = ("open", "high", "low", "close", "volume")
+
+
+def bars_to_wide(bars: DataFrame, symbols: list[str] | None = None, fields=WIDE_FIELDS) -> DataFrame:
+    """The download layout: one row per date, one column ``<Field>|<ticker>`` per field and ticker (``symbols``: all of them)."""
+    p = bars.groupBy("date").pivot("symbol", symbols).agg(*[F.first(f).alias(f) for f in fields])
+    # pivot names columns '<symbol>_<field>'
+    cut = [(c, *c.rsplit("_", 1)) for c in p.columns if c != "date"]
+    return p.toDF("date", *[f"{f.capitalize()}|{s}" for _, s, f in cut])
+
+
+def wide_to_long(wide: DataFrame, tickers: list[str] | None = None) -> DataFrame:
+    """S3: wide (field x ticker) frame to long bars; lower-case fields, tickers without data dropped.
+
+    The tickers are those of the column names (``tickers`` narrows them; names
+    without columns are left out).  One array per field and one explode over
+    them side by side: the plan has one expression per column and no shuffle.
+    """
+    split = [c.split("|", 1) for c in wide.columns if "|" in c]
+    have = {(f, t) for f, t in split}
+    fields = [f for f in (x.capitalize() for x in WIDE_FIELDS) if any(f == g for g, _ in split)]
+    wanted = None if tickers is None else set(tickers)
+    named = [t for t in dict.fromkeys(t for _, t in split) if (wanted is None or t in wanted) and all((f, t) in have for f in fields)]
+    if not named or not fields:
+        types = {c: wide.schema[c].dataType.simpleString() for c in wide.columns}
+        return wide.limit(0).selectExpr("date", "CAST(NULL AS string) AS symbol", *[
+            f"CAST(NULL AS {next(v for c, v in types.items() if c.startswith(f + '|'))}) AS {f.lower()}" for f in fields])
+    quoted = {f: ", ".join(f"`{f}|{t}`" for t in named) for f in fields}
+    arrays = wide.selectExpr("date", *[f"array({quoted[f]}) AS {f.lower()}" for f in fields])
+    zipped = F.arrays_zip(F.lit(named).alias("symbol"), *[F.col(f.lower()) for f in fields])
+    long = arrays.select("date", F.inline(zipped))
+    return long.where(F.coalesce(*[F.col(f.lower()).cast("double") for f in fields]).isNotNull()).select("date", "symbol", *[f.lower() for f in fields])
 
 
 def with_payload(df: DataFrame, provider: str = "lineitem-bars") -> DataFrame:
