@@ -134,6 +134,30 @@ def week_types(feat: DataFrame) -> DataFrame:
     )
 
 
+#: distinct values that a top-count sketch keeps apart; fewer values than that are counted exactly
+TRACKED = 64
+
+
+def day_zone_sketches(feat: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """G2, mergeable: per date a sketch of how often each month-end zone occurs among labelled rows."""
+    lab = feat.filter(F.col("next_day_return").isNotNull() & F.col("month_end_zone").isNotNull())
+    return lab.groupBy("date").agg(F.expr(f"approx_top_k_accumulate(month_end_zone, {int(tracked)})").alias("sketch"))
+
+
+def week_zones(sketches: DataFrame, tracked: int = TRACKED) -> DataFrame:
+    """G2, mergeable: (week_start, dominant_zone, zone_rows, zone_share) from the sketches of a week's days.
+
+    A new or corrected day needs its own sketch and the merge of its week's, not the week's rows.  Ties go to the
+    first zone by name.
+    """
+    merged = sketches.groupBy(sunday_week("date").alias("week_start")).agg(F.expr(f"approx_top_k_combine(sketch, {int(tracked)})").alias("sketch"))
+    items = F.expr(f"approx_top_k_estimate(sketch, {int(tracked)})")
+    ranked = F.array_sort(F.transform(items, lambda x: F.struct((-x["count"]).alias("n"), x["item"].alias("zone"))))
+    total = F.aggregate(ranked, F.lit(0).cast("long"), lambda a, x: a - x["n"])
+    return merged.select("week_start", ranked[0]["zone"].alias("dominant_zone"), (-ranked[0]["n"]).alias("zone_rows"),
+                         (-ranked[0]["n"] / total).alias("zone_share"))
+
+
 ROWS_PER_TASK = 1_000_000   # target fanned-out rows per task in G4/G5
 
 

@@ -15,7 +15,7 @@ from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
 from barforge.plans import oracle_gbt as OB
 from barforge.plans.registry import digits_for, finalize, register
-from barforge.plans.silver import bronze_bars, default_as_of, silver_features, silver_since
+from barforge.plans.silver import bronze_bars, default_as_of, silver_clustered, silver_features, silver_since
 from barforge.plans.trained import stored_models
 from barforge.sources.bars import bars_from_tables, read_table
 
@@ -485,6 +485,25 @@ def q_week_types(spark, sf):
     return E.week_types(feat(spark, sf))
 
 
+@register("week_zone_sketch", O.on_feat(
+    "SELECT week_start, month_end_zone AS dominant_zone, n AS zone_rows, " + O.R("n::DOUBLE / total") + " AS zone_share FROM ("
+    f"SELECT *, sum(n) OVER (PARTITION BY week_start) AS total FROM (SELECT {O.sunday_week('date')} AS week_start, month_end_zone, count(*) AS n "
+    "FROM feat WHERE next_day_return IS NOT NULL GROUP BY ALL)) "
+    "QUALIFY row_number() OVER (PARTITION BY week_start ORDER BY n DESC, month_end_zone) = 1"))
+def q_week_zone_sketch(spark, sf):
+    """Dominant zone of every week from mergeable sketches per day, stored and read back."""
+    path = _fresh(spark, "zone-sketches")
+    E.day_zone_sketches(feat(spark, sf)).write.parquet(path)
+    return E.week_zones(spark.read.parquet(path))
+
+
+@register("clustered_feature_signals", O.on_feat(
+    f"SELECT {sel('date symbol s_momentum:d s_volume:d s_reversal:d s_breakout:d next_day_return:d')} FROM fs", SCORES))
+def q_clustered_feature_signals(spark, sf):
+    """S13 + G3: the feature signals read from the table that is bucketed and sorted by symbol."""
+    return signals.ga_feature_signals(silver_clustered(spark, sf))
+
+
 SIG_SPEC = ("date symbol gene_id generation strategy_name threshold:d stop_loss:d take_profit:d max_hold_days max_positions "
             "raw_signal:d next_day_return:d s_momentum:d s_volume:d s_reversal:d s_breakout:d close:d")
 

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.operators.features import LOOKBACK_YEARS, as_date, features_daily
-from barforge.plans.storage import materialize, session_key
+from barforge.plans.storage import _key_path, materialize, session_key
 from barforge.sources.bars import bars_from_tables
+from barforge.sources.files import write_clustered
 
 _AS_OF: dict[tuple, object] = {}
 _SILVER: dict[tuple, DataFrame] = {}
@@ -67,3 +68,16 @@ def silver_since(spark: SparkSession, sf_dir: str, days: int, as_of=None, years:
     start = as_date(as_of) - _dt.timedelta(days=days)
     t = _silver_table(spark, sf_dir, as_date(as_of), years)
     return t.filter((F.col("year_month") >= start.strftime("%Y-%m")) & (F.col("date") >= F.lit(start))).drop("year_month")
+
+
+def silver_clustered(spark: SparkSession, sf_dir: str, as_of=None) -> DataFrame:
+    """The silver table once more, bucketed by symbol and sorted by (symbol, date): windows and joins on symbol read it without
+    an exchange.  One bucket per partition of the session's shuffles."""
+    as_of = as_date(as_of or default_as_of(spark, sf_dir))
+    key = session_key(spark) + ("clustered", sf_dir, str(as_of))
+    if key not in _SILVER:
+        path = _key_path(spark, "silver_clustered", key)
+        name = "silver_" + path.rsplit("-", 1)[1]
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        _SILVER[key] = write_clustered(silver_features(spark, sf_dir, as_of), name, path, "symbol", ["symbol", "date"], buckets)
+    return _SILVER[key]

@@ -102,3 +102,13 @@ def write_gold(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_clustered(df: DataFrame, table: str, path: str, by: str, sort: list[str], buckets: int) -> DataFrame:
+    """S13, clustered: rows of one ``by`` value in one file, sorted; readers that group or window by it need no exchange.
+
+    The bucket layout lives in the session's catalog under ``table``, the files at ``path``.
+    """
+    (df.repartition(buckets, by).sortWithinPartitions(*sort).write.mode("overwrite").bucketBy(buckets, by).sortBy(*sort)
+     .option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
