@@ -15,7 +15,7 @@ from barforge.operators.features import features_daily
 from barforge.plans import oracle_base as O
 from barforge.plans import oracle_gbt as OB
 from barforge.plans.registry import digits_for, finalize, register
-from barforge.plans.silver import bronze_bars, default_as_of, silver_clustered, silver_features, silver_since
+from barforge.plans.silver import bronze_bars, bronze_metrics, default_as_of, silver_clustered, silver_features, silver_metrics, silver_since
 from barforge.plans.trained import stored_models
 from barforge.sources.bars import bars_from_tables, read_table
 
@@ -831,8 +831,8 @@ def q_daily_mean_close(spark, sf):
 # ====================================================================== H ==
 def _health_tables(spark, sf):
     return {
-        "bronze": {"bars": (lambda: bronze_bars(spark, sf), ["symbol", "date"], "date")},
-        "silver": {"features_daily": (lambda: feat(spark, sf), ["date", "symbol"], "date")},
+        "bronze": {"bars": (lambda: bronze_bars(spark, sf), ["symbol", "date"], "date", lambda: bronze_metrics(spark, sf))},
+        "silver": {"features_daily": (lambda: feat(spark, sf), ["date", "symbol"], "date", lambda: silver_metrics(spark, sf))},
         "gold": {
             "backtest_results": (lambda: bt(spark, sf), ["date", "symbol"], "date"),
             "arena_leaderboard": (lambda: lb(spark, sf), ["entrant_name", "week_start"], "week_start"),
@@ -862,7 +862,7 @@ _H1 = " UNION ALL ".join([
                                     "CAST(duplicate_keys AS BIGINT) AS duplicate_keys, CAST(null_keys AS BIGINT) AS null_keys, "
                                     "error FROM (" + _H1 + ")", SCORES, BT, RULES, PNL, LB, OG.GENES, OG.SIG))
 def q_table_health(spark, sf):
-    """H1."""
+    """H1: bronze and silver by the counts gathered while they were written, gold by counting."""
     return H.table_health(spark, _health_tables(spark, sf))
 
 
@@ -870,7 +870,13 @@ def q_table_health(spark, sf):
     "SELECT symbol, bronze_rows, silver_rows, bronze_rows = silver_rows AS rows_match FROM "
     "(SELECT symbol, COUNT(*) AS bronze_rows FROM b5 GROUP BY 1) JOIN (SELECT symbol, COUNT(*) AS silver_rows FROM feat GROUP BY 1) USING (symbol)"))
 def q_layer_rowcount_check(spark, sf):
-    """H2."""
+    """H2: from the counts gathered while silver was written, by counting where they are incomplete or disagree."""
+    found = H.layer_rowcounts_from_metrics(spark, silver_metrics(spark, sf))
+    return found if found is not None else recount_layers(spark, sf)
+
+
+def recount_layers(spark, sf):
+    """H2 by counting both layers."""
     from barforge.operators.features import feat_lookback_filter
     return H.layer_rowcount_check(feat_lookback_filter(bronze_bars(spark, sf), as_of(spark, sf)), feat(spark, sf))
 

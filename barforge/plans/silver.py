@@ -14,8 +14,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.operators.features import LOOKBACK_YEARS, as_date, features_daily
-from barforge.plans.storage import _key_path, materialize, session_key
+from barforge.operators.features import LOOKBACK_YEARS, as_date, feat_lookback_filter, features_daily
+from barforge.plans.metrics import LayerWatch, stored_metrics
+from barforge.plans.storage import _key_path, layer_path, materialize, session_key
 from barforge.sources.bars import bars_from_tables
 from barforge.sources.files import write_clustered
 
@@ -24,7 +25,7 @@ _SILVER: dict[tuple, DataFrame] = {}
 
 
 def bronze_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(spark, "bronze_bars", (sf_dir,), lambda: bars_from_tables(spark, sf_dir))
+    return materialize(spark, "bronze_bars", (sf_dir,), lambda: bars_from_tables(spark, sf_dir), watch=LayerWatch(["symbol", "date"], "date", "symbol"))
 
 
 def default_as_of(spark: SparkSession, sf_dir: str):
@@ -38,24 +39,41 @@ def default_as_of(spark: SparkSession, sf_dir: str):
 def silver_features(spark: SparkSession, sf_dir: str, as_of=None, years: int = LOOKBACK_YEARS) -> DataFrame:
     as_of = as_date(as_of or default_as_of(spark, sf_dir))
 
+    watch = LayerWatch(["date", "symbol"], "date", "symbol")
+
     def build():
-        feat = features_daily(bronze_bars(spark, sf_dir), as_of, years)
+        bars = watch.source(feat_lookback_filter(bronze_bars(spark, sf_dir), as_of, years))
+        return features_daily(bars, as_of, years)
+
+    def arrange(feat):
         # Cluster rows by symbol inside each month folder (the reference's
         # CLUSTER BY symbol) so Parquet min/max stats prune symbol filters.
         return (feat.withColumn("year_month", F.date_format("date", "yyyy-MM"))
                 .repartition("year_month").sortWithinPartitions("symbol", "date"))
 
-    return _silver_table(spark, sf_dir, as_of, years, build).drop("year_month")
+    return _silver_table(spark, sf_dir, as_of, years, build, watch, arrange).drop("year_month")
 
 
-def _silver_table(spark, sf_dir, as_of, years, build=None):
+def _silver_table(spark, sf_dir, as_of, years, build=None, watch=None, arrange=None):
     key = session_key(spark) + (sf_dir, str(as_of), years)
     if key not in _SILVER:
         _SILVER[key] = materialize(spark, "silver_features", (sf_dir, str(as_of), years), build,
-                                   partition_by=["year_month"])
+                                   partition_by=["year_month"], watch=watch, arrange=arrange)
     return _SILVER[key]
 
 
+def bronze_metrics(spark: SparkSession, sf_dir: str) -> dict | None:
+    """The counts gathered while bronze was written, if they can be believed."""
+    return stored_metrics(spark, layer_path(spark, "bronze_bars", (sf_dir,)), bronze_bars(spark, sf_dir))
+
+
+def silver_metrics(spark: SparkSession, sf_dir: str, as_of=None, years: int = LOOKBACK_YEARS) -> dict | None:
+    """The counts gathered while silver was written, if they can be believed."""
+    as_of = as_date(as_of or default_as_of(spark, sf_dir))
+    layer = silver_features(spark, sf_dir, as_of, years)
+    return stored_metrics(spark, layer_path(spark, "silver_features", (sf_dir, str(as_of), years)), layer)
+
+
 def silver_since(spark: SparkSession, sf_dir: str, days: int, as_of=None, years: int = LOOKBACK_YEARS) -> DataFrame:
     """Silver rows of the last ``days`` before ``as_of``, with a partition filter.
 

@@ -46,8 +46,11 @@ def _key_path(spark: SparkSession, layer: str, key: tuple) -> str:
     return os.path.join(base, "tables", f"{layer}-{digest}")
 
 
-def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by=None) -> DataFrame:
-    """Write ``build()`` once per (session, layer, key) and read it back."""
+def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by=None, watch=None, arrange=None) -> DataFrame:
+    """Write ``build()`` once per (session, layer, key) and read it back.
+
+    ``watch`` (a ``LayerWatch``) counts what is written, ``arrange`` orders the rows for the files after that.
+    """
     memo_key = (spark.sparkContext.applicationId, layer, key)
     frame_key = session_key(spark) + (layer, key)
     if frame_key in _FRAMES:
@@ -56,16 +59,25 @@ def materialize(spark: SparkSession, layer: str, key: tuple, build, partition_by
     path = _MEMO.get(memo_key)
     if path is None:
         path = _key_path(spark, layer, key)
-        w = build().write.mode("overwrite")
+        df = build()
+        df = watch.output(df) if watch else df
+        w = (arrange(df) if arrange else df).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
+        if watch:
+            watch.store(spark, path)
         _MEMO[memo_key] = path
     df = spark.read.parquet(path)
     _FRAMES[frame_key] = df
     return df
 
 
+def layer_path(spark: SparkSession, layer: str, key: tuple) -> str:
+    """Where ``materialize`` keeps a layer."""
+    return _key_path(spark, layer, key)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the checkpoint dir for file-format round trips."""
     base = checkpoint_dir(spark)

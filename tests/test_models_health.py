@@ -84,3 +84,29 @@ def test_single_and_wide_signals_agree(spark, sf):
     assert both.where(F.col("date").isin(labelled)).where("NOT (one <=> sentiment_signal)").count() == 0
     assert both.where(~F.col("date").isin(labelled)).where("one IS NOT NULL OR sentiment_signal IS NOT NULL").count() == 0
     assert wide.count() == feat.count() > single.count()
+
+
+def test_counts_gathered_while_writing_equal_a_recount(spark, sf):
+    stored = {t: c(spark, sf) for t, c in (("bars", C.bronze_metrics), ("features_daily", C.silver_metrics))}
+    assert all(stored.values())
+    tables = C._health_tables(spark, sf)
+    recounted = {tier: {n: t[:3] for n, t in named.items()} for tier, named in tables.items() if tier != "gold"}
+    quick = {tier: named for tier, named in tables.items() if tier != "gold"}
+    assert sorted(H.table_health(spark, quick).collect()) == sorted(H.table_health(spark, recounted).collect())
+    assert sorted(C.q_layer_rowcount_check(spark, sf).collect()) == sorted(C.recount_layers(spark, sf).collect())
+
+
+def test_watched_write_counts_duplicates_and_null_keys(spark):
+    from barforge.plans.metrics import LayerWatch, stored_metrics
+    from barforge.plans.storage import layer_path, materialize
+    rows = [("a", dt.date(2024, 1, d), 1) for d in (1, 1, 1, 2)] + [(None, dt.date(2024, 1, 3), 2), ("b", None, 3)]
+    df = spark.createDataFrame(rows, "k string, d date, v int").repartition(3)
+    watch = LayerWatch(["k", "d"], "d", "k")
+    table = materialize(spark, "watched", ("test",), lambda: watch.source(df), watch=watch)
+    path = layer_path(spark, "watched", ("test",))
+    got = stored_metrics(spark, path, table)
+    assert [got[c] for c in ("row_count", "latest_date", "duplicate_keys", "null_keys")] == [6, dt.date(2024, 1, 3), 2, 2]
+    assert table.columns == df.columns and {(x["item"], x["n"]) for x in got["rows_by"]} == {("a", 4), ("b", 1), (None, 1)}
+    assert stored_metrics(spark, path, table.limit(2)) is None      # files and counts disagree: count again
+    assert H.layer_rowcounts_from_metrics(spark, got) is None and H.layer_rowcounts_from_metrics(spark, None) is None
+    assert H.layer_rowcounts_from_metrics(spark, {"source_by": [{"item": "a", "n": 2}], "rows_by": [{"item": "a", "n": 1}]}) is None
