@@ -1,14 +1,12 @@
 """Size-checked broadcast and partitioning helpers.
 
-Three ways a side may be broadcast:
+Two ways a side may be broadcast:
 
 * ``bounded_broadcast``: Spark's own size estimate (file sizes and column
   pruning, no job) decides first; if the estimate is unknown or too large a
   bounded ``limit(max_rows + 1).count()`` confirms, which stops reading as
   soon as the bound is exceeded.  Above the bound the join stays a shuffle
   join and AQE (skew join, coalescing) takes over.
-* ``require_bounded``: the size is part of an operator's contract (a gene
-  pool, a parent set); exceeding it is an error, not a silent broadcast.
 * ``broadcast_by_construction``: the relation's row count is bounded by how
   it is built (one row per calendar day of a fixed look-back window, one
   row per entrant); the bound is stated by the caller and no job is run.
@@ -44,13 +42,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
-def require_bounded(df: DataFrame, max_rows: int, what: str) -> DataFrame:
-    """Broadcast a side whose size is part of the contract; raise if it grew."""
-    if not row_count_at_most(df, max_rows):
-        raise ValueError(f"{what} exceeds {max_rows} rows; refusing to broadcast it")
-    return F.broadcast(df)
-
-
 def broadcast_by_construction(df: DataFrame, bound: str) -> DataFrame:
     """Broadcast a relation whose size bound follows from how it is built.
 
