@@ -981,7 +981,9 @@ def q_gbt_strategy_scores(spark, sf):
     return signals.strategy_scores(M.gbt_predict({f"{s}_pred": models[s] for s in _STRATEGIES}, _holdout(spark, sf)))
 
 
-@register("gbt_local_explain")
+@register("gbt_local_explain", OB.with_recursive(O.on_feat(
+    f"SELECT {sel('date symbol feature attribution:d rank')} FROM full_top", OB.boosted("full", M.STRATEGY_FEATURES["full"]),
+    OB.attributions("full", M.STRATEGY_FEATURES["full"]))))
 def q_gbt_local_explain(spark, sf):
     """Top-10 attributions per hold-out row (full model, its symbol column too)."""
     return M.local_explain_topk(gbt_models(spark, sf, ["full"])["full"], _holdout(spark, sf), 10)
