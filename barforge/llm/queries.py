@@ -210,6 +210,55 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("conv_id", *chat_repair.FAULTS, "cost", "audit", F.sha2(lines, 256).alias("repaired_sha256"))
 
 
+# CRC-32 from its polynomial, the damage, then costs from each conversation's end and the cheapest audit from its start.
+# A state's best edit is a whole number, 4 * cost + letter (D, I, K, R), so the least number is the cheapest and then the least letter.
+ORACLE["op11_conversation_repair"] = r"""
+    WITH RECURSIVE crc AS (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce([i::BIGINT] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM (SELECT unnest(range(256)) AS i))),
+    src AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(key) + 1), lambda p: unicode(substr(key, p, 1))::BIGINT),
+                              lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS k
+            FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key,
+                         dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g FROM conversations), crc),
+    damaged AS (SELECT g, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+                       CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+                FROM src, (SELECT unnest([0, 1]) AS copy) WHERE k <> 0 AND (copy = 0 OR k = 3)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i, substr(role, 1, 1) AS ini,
+                      rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS said FROM damaged),
+    seen AS (SELECT *, row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 AS again, lag(ini) OVER (PARTITION BY g ORDER BY i) AS before,
+                    count(*) OVER (PARTITION BY g) AS n FROM placed),
+    rows AS MATERIALIZED (SELECT *, CASE WHEN said = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(said, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen),
+    faults AS (SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                      count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                      count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n FROM rows GROUP BY g),
+    togo(g, i, b0, b1, b2, b3) AS (
+        SELECT g, n + 1, 0::BIGINT, 41::BIGINT, 21::BIGINT, 0::BIGINT FROM faults
+        UNION ALL
+        SELECT g, i, least(e0, (5 + least(e2, (5 + e3 // 4) * 4 + 1) // 4) * 4 + 1), least(e1, (5 + least(e2, (5 + e3 // 4) * 4 + 1) // 4) * 4 + 1),
+               least(e2, (5 + e3 // 4) * 4 + 1), least(e3, (5 + e2 // 4) * 4 + 1) FROM (
+            SELECT t.g, r.i,
+                   least((2 + b0 // 4) * 4, CASE WHEN stays AND ini = 's' THEN (more + b1 // 4) * 4 + 2 WHEN stays AND ini = 'u' THEN (more + b2 // 4) * 4 + 2 END, CASE WHEN stays THEN (1 + more + b2 // 4) * 4 + 3 END) AS e0,
+                   least((2 + b1 // 4) * 4, CASE WHEN stays AND ini = 'u' THEN (more + b2 // 4) * 4 + 2 END, CASE WHEN stays THEN (1 + more + b2 // 4) * 4 + 3 END) AS e1,
+                   least((2 + b2 // 4) * 4, CASE WHEN stays AND ini = 'a' THEN (more + b3 // 4) * 4 + 2 END, CASE WHEN stays THEN (1 + more + b3 // 4) * 4 + 3 END) AS e2,
+                   least((2 + b3 // 4) * 4, CASE WHEN stays AND ini = 'u' THEN (more + b2 // 4) * 4 + 2 END, CASE WHEN stays THEN (1 + more + b2 // 4) * 4 + 3 END) AS e3
+            FROM togo t JOIN (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM rows) r
+              ON r.g = t.g AND r.i = t.i - 1)),
+    best AS MATERIALIZED (SELECT g, i, unnest([0, 1, 2, 3]) AS state, unnest([b0, b1, b2, b3]) AS b FROM togo),
+    walk(g, i, state, audit, said) AS (
+        SELECT g, 1::BIGINT, 0, '', '' FROM faults
+        UNION ALL
+        SELECT w.g, CASE WHEN edit = 1 THEN w.i ELSE w.i + 1 END, CASE WHEN edit = 0 THEN w.state WHEN edit = 2 AND w.state = 0 AND r.ini = 's' THEN 1 WHEN w.state = 2 THEN 3 ELSE 2 END,
+               audit || substr('DIKR', edit + 1, 1),
+               CASE WHEN edit = 0 THEN w.said ELSE w.said || CASE WHEN w.said = '' THEN '' ELSE chr(10) END
+                 || CASE WHEN edit = 2 THEN r.role WHEN w.state = 2 THEN 'assistant' ELSE 'user' END || ':' || CASE WHEN edit = 1 THEN '' ELSE r.text END END
+        FROM (SELECT w.*, (b % 4)::INT AS edit FROM walk w JOIN best USING (g, i, state) JOIN faults USING (g) WHERE w.i <= n OR state IN (1, 2)) w
+        LEFT JOIN rows r ON r.g = w.g AND r.i = w.i),
+    done AS (SELECT g, audit, said FROM walk JOIN faults USING (g) WHERE i = n + 1 AND state IN (0, 3))
+    SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce((SELECT b // 4 FROM best WHERE best.g = c.g AND best.i = 1 AND state = 0), 0) AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id, g FROM src) c LEFT JOIN faults USING (g) LEFT JOIN done USING (g)"""
+
+
 @query
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its group of equal texts; the row of the largest id stays."""

@@ -258,7 +258,7 @@ def test_audit_texts(spark, docs):
     assert filter_audit.audit_texts(docs.limit(0), labels).count() == 0 and filter_audit.audit_texts(docs, labels.limit(0)).count() == len(got)
 
 
-@pytest.mark.parametrize("name", ["op12_exact_dedup", "op13_filter_interaction_audit"])
+@pytest.mark.parametrize("name", ["op11_conversation_repair", "op12_exact_dedup", "op13_filter_interaction_audit"])
 def test_query_matches_sql(spark, sf, name):
     assert compare(queries.QUERIES[name](spark, sf), queries.ORACLE[name], sf)
 
