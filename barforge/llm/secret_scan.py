@@ -4,17 +4,23 @@ Base patterns (assignments, access keys, long hex strings) are reported as they
 spans only where decoding proves structure:
 
 * ``pem``    a PEM block whose body is base64 of one whole DER value (nested lengths add up) or an OpenSSH key, or that
-             its header lines call encrypted and whose body is whole cipher blocks
+             its header lines call encrypted and whose body is whole cipher blocks; a PGP private key block whose
+             checksum holds and whose first packet is a secret key
 * ``der``    a base64 string, in one or more lines, that decodes to a DER sequence holding a key: nested lengths add
              up exactly and a known key algorithm, two big integers or a bare elliptic curve key (SEC1) is inside
 * ``ssh``    a base64 string of length-prefixed fields that starts with a known key type and ends exactly
-* ``jwt``    three base64url parts, the first a JSON object with "alg", the second a JSON object
+* ``jwt``    three base64url parts, the first a JSON object with "alg", the second a JSON object; or five (an encrypted
+             token), the first a JSON object with "alg" and "enc"
 * ``hexkey`` a hex string that decodes to such a DER sequence or length-prefixed key
 
+A base64 or hex string that decodes to ASCII text is scanned again, two layers deep; what is confirmed inside is
+reported with its kind and the span of the outer string.
+
 Line ends may be written as such or escaped (a backslash and a letter, as in JSON and environment files).
 
 Candidates are found over the whole text, never cut to a prefix.  Patterns have one quantified class after
-a literal or character class, so matching is linear.
+a literal or character class, so matching is linear; a key over several lines is read as far as its own lengths say, an
+OpenSSH key (whose first line tells no length) up to ``MAX_KEY`` characters, so many starts cost no more than that each.
 
 Defined results: a null text is empty; equal rows give equal results; an empty table gives an empty result;
 null ids and other columns pass through untouched.  Spans are code points, end exclusive.
@@ -39,7 +45,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LONG_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}(?![0-9A-Fa-f])")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}(?![A-Za-z0-9+/=])")
-TOKEN = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+TOKEN = re.compile(r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
+SEALED = re.compile(r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+PGP = re.compile(r"-----BEGIN PGP PRIVATE KEY BLOCK-----((?:[^-]|-(?!----))*+)-----END PGP PRIVATE KEY BLOCK-----")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY|[A-Z0-9 ]*PUBLIC KEY|CERTIFICATE)-----((?:[^-]|-(?!----))*+)-----END \1-----")
 #: what a key in base64 starts with: a DER sequence, an SSH key type, an OpenSSH private key
 KEY_START = re.compile(r"(?:M[A-P]|AAAAB3NzaC1|AAAAC3NzaC1|AAAAE2VjZHNh|b3BlbnNzaC1rZXk)[A-Za-z0-9+/]{6,}+")
@@ -57,6 +65,12 @@ KEY_OIDS = tuple(bytes.fromhex(x) for x in (
 #: key types of the SSH wire format (fixed values)
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 SSH_MAGIC = b"openssh-key-v1\x00"
+#: fields of an SSH public key by its type (fixed values)
+SSH_FIELDS = dict(zip(SSH_TYPES, (3, 5, 2, 3, 3, 3)))
+#: longest key in base64 that is followed over lines, in characters, and longest field of an SSH key, in bytes
+MAX_KEY, MAX_FIELD = 1 << 16, 1 << 13
+#: layers of base64 or hex around a key
+LAYERS = 2
 
 
 def der_items(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
@@ -128,6 +142,43 @@ def decoded(text: str, url: bool = False) -> bytes | None:
         return None
 
 
+def ssh_length(data: bytes) -> int | None:
+    """Bytes of the SSH public key that ``data`` begins with; if that many must be read to tell more, minus that number; None if it is no such key."""
+    at, fields = 0, 1
+    while fields:
+        if at + 4 > len(data):
+            return -at - 4
+        n = int.from_bytes(data[at:at + 4], "big")
+        if n > MAX_FIELD:
+            return None
+        if not at:
+            if len(data) < 4 + n:
+                return -4 - n
+            fields = SSH_FIELDS.get(data[4:4 + n])
+            if fields is None:
+                return None
+        at, fields = at + 4 + n, fields - 1
+    return at
+
+
+def is_pgp_private(body: str) -> bool:
+    """Armor whose CRC-24 holds around packets that begin with a secret key or subkey."""
+    lines = [x.strip() for x in ESCAPED_END.sub("\n", body).replace("\\/", "/").split("\n")]
+    lines = [x for x in lines if x and ": " not in x]
+    if len(lines) < 2 or not lines[-1].startswith("="):
+        return False
+    data, check = decoded("".join(lines[:-1]).rstrip("=")), decoded(lines[-1][1:])
+    if not data or not check or len(check) != 3:
+        return False
+    crc = 0xB704CE
+    for b in data:
+        crc ^= b << 16
+        for _ in range(8):
+            crc = crc << 1 ^ (0x1864CFB if crc & 0x800000 else 0)
+    tag = data[0] & 0x3F if data[0] & 0x40 else data[0] >> 2 & 0x0F
+    return crc & 0xFFFFFF == int.from_bytes(check, "big") and bool(data[0] & 0x80) and tag in (5, 7)
+
+
 def wrapped_key(text: str, start: int) -> tuple[str, int] | None:
     """Kind and end of a key in base64 that begins at ``start`` and may go on over several lines."""
     need = None
@@ -140,8 +191,15 @@ def wrapped_key(text: str, start: int) -> tuple[str, int] | None:
         if need > len(text) - start:
             return None
     parts, have, at, width = [], 0, start, None
-    while m := BASE64_LINE.match(text, at):
+    public, known = text[start] == "A", -4
+    while m := BASE64_LINE.match(text, at, start + MAX_KEY if need is None else len(text)):
         n = len(m[1])
+        if public and need is None and (have + n) // 4 * 3 >= -known:
+            # the lengths of the fields read so far say how far the key goes
+            known = ssh_length(decoded("".join([*parts, m[1]])[:(have + n) // 4 * 4]) or b"")
+            if known is None:
+                return None
+            need = -(-known * 4 // 3) if known > 0 else None
         if need is None and width and len(parts) > 1 and n > width:
             break  # longer than the lines before: not of the key
         parts.append(m[1])
@@ -157,9 +215,9 @@ def wrapped_key(text: str, start: int) -> tuple[str, int] | None:
     if text[end:end + 1] == "=" or (need is not None and have != need):
         return None
     data = decoded("".join(parts))
-    if data and need is not None and is_der_key(data):
-        return "der", end
-    return ("ssh", end) if data and need is None and is_ssh_key(data) else None
+    if data and text[start] == "M":
+        return ("der", end) if is_der_key(data) else None
+    return ("ssh", end) if data and is_ssh_key(data) else None
 
 
 def is_pem(body: str) -> bool:
@@ -183,18 +241,26 @@ def is_json_object(part: str, key: str | None = None) -> bool:
     return isinstance(value, dict) and (key is None or key in value)
 
 
-def scan(text: str) -> list[tuple[str, int, int]]:
-    """All confirmed spans (kind, start, end) by start, then kind."""
-    found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
-    found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
-    found += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
+def key_inside(data: bytes, layer: int) -> str | None:
+    """Kind of the key that decoded bytes are, or hold as text under another layer."""
+    if is_der_key(data):
+        return "der"
+    if is_ssh_key(data):
+        return "ssh"
+    if layer < LAYERS and data.isascii():
+        found = confirmed(data.decode("ascii"), layer + 1)
+        return min(found, key=lambda x: (x[1], -x[2], KINDS.index(x[0])))[0] if found else None  # the outermost
+    return None
+
+
+def confirmed(text: str, layer: int = 1) -> list[tuple[str, int, int]]:
+    """Spans proved by decoding."""
+    found = []
     for m in BASE64.finditer(text):
         data = decoded(m[0].rstrip("="))
-        if data and is_der_key(data):
-            found.append(("der", *m.span()))
-        elif data and is_ssh_key(data):
-            found.append(("ssh", *m.span()))
-    single, done = {x[1:] for x in found if x[0] in ("der", "ssh")}, 0
+        if data and (kind := key_inside(data, layer)):
+            found.append((kind, *m.span()))
+    single, done = {x[1:] for x in found}, 0
     for m in KEY_START.finditer(text):
         s = m.start()
         # the start of its run: after no base64 character, unless that is the letter of an escaped line end
@@ -206,15 +272,28 @@ def scan(text: str) -> list[tuple[str, int, int]]:
                 found.append((key[0], s, done))
     if "-----BEGIN " in text:
         found += [("pem", *m.span()) for m in PEM.finditer(text) if is_pem(m[2])]
+        found += [("pem", *m.span()) for m in PGP.finditer(text) if is_pgp_private(m[1])]
     if "eyJ" in text:
+        sealed = [m.span() for m in SEALED.finditer(text) if is_json_object(m[0].split(".", 1)[0], "alg") and is_json_object(m[0].split(".", 1)[0], "enc")]
+        found += [("jwt", *x) for x in sealed]
         for m in TOKEN.finditer(text):
             head, body, _ = m[0].split(".")
             if is_json_object(head, "alg") and is_json_object(body):
                 found.append(("jwt", *m.span()))
     for m in LONG_HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and (is_der_key(data := bytes.fromhex(m[0])) or is_ssh_key(data)):
-            found.append(("hexkey", *m.span()))
-    return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
+        if len(m[0]) % 2 == 0:
+            data = bytes.fromhex(m[0])
+            if kind := "hexkey" if is_der_key(data) or is_ssh_key(data) else key_inside(data, layer):
+                found.append((kind, *m.span()))
+    return found
+
+
+def scan(text: str) -> list[tuple[str, int, int]]:
+    """All confirmed spans (kind, start, end) by start, then kind."""
+    found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[1]) >= 6]
+    found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
+    found += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= 24]
+    return sorted(found + confirmed(text), key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
 SPANS = "array<struct<kind:string,start:long,end:long>>"
