@@ -2,24 +2,25 @@
 
 A suffix is kept only where content selects it: of every 16 neighbouring positions the one whose next 35 words
 have the smallest hash.  Equal passages select equal positions, so any passage of 50 words (16 + 35 - 1) that
-occurs twice has a kept suffix among its first 16 positions whose 35 words match.  No suffixes are sorted or
-extended word by word: those of equal hash are grouped, and then the 50-word windows around them.
-
-A repeat is one between documents: a passage that occurs twice in one document only is not reported.
-
-1. Kept suffixes, about 2 of 17 positions, are grouped by key (minimum and maximum document per key, partial, so a
-   key in a third of all documents is one row per task), and suffixes whose key is in one document
-   only drop out.
-2. Around the others windows are taken, from up to 15 words to the left and on to 50 words on the right: one
-   50-word window per start, hashed from prefix sums.  Each start belongs to the kept suffix that is smallest
-   among its own 16 positions, the same one wherever the window occurs, so no window is made twice.  Grouped
-   again, equal windows of different documents are repeats.
+occurs twice has a kept suffix among its first 16 positions whose 35 words match.
+
+1. Kept suffixes, about 2 of 17 positions, are sorted over range partitions, by the hash of their 35 words (any order
+   serves in which equal beginnings are neighbours), and compared with their neighbours: one without an equal
+   neighbour drops out.  Ranges are cut by (hash, document, position), so suffixes with the beginning a third of all
+   documents hold are spread over many tasks; only the runs at the ends of partitions, two rows of totals a partition,
+   are settled afterwards.
+2. The others are extended in their text, up to 15 words to the left and to 50 words on the right: one window per
+   start, hashed from prefix sums.  Each start belongs to the kept suffix that is smallest among its own 16 positions,
+   the same one wherever the window occurs, so no window is made twice.  (A neighbour in suffix order has the longest
+   match to the right, but another partner may match further to the left; a window for every number of left words loses
+   none.)  Windows are sorted and compared with their neighbours in the same way.
 3. Repeated windows that overlap or touch are one passage, as long as it goes: longest matches, however long.
    Where the first holder changes inside a passage, it has several matches (``holders``).
 
 Results are exact for the windows (but for 64-bit hash collisions): a word is in a passage exactly if it lies in
-50 words that occur in another document too.  Copies are one document in step 1; of a text that occurs twice,
-every window is a repeat, so all of a text of 50 words or more is a passage.
+50 words that occur again, in another document or at another place of the same one (``elsewhere`` tells them apart).
+Copies are one document in step 1; of a text that occurs twice, every window is a repeat, so all of a text of 50 words
+or more is a passage.
 
 Defined results: a null, empty or short text (under 50 words) has no passages; repeated rows are copies of each
 other; null ids are carried along; an empty table gives an empty result; other columns are ignored.
@@ -27,12 +28,14 @@ other; null ids are carried along; an empty table gives an empty result; other c
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from barforge.llm.common import discard, save
 
@@ -84,9 +87,13 @@ def _suffixes(words: int, span: int):
     length = words - span + 1
 
     def run(batches):
+        seen = set()  # texts of this task: a copy gives nothing new
         for b in batches:
             uid, pos, key = [], [], []
             for u, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if u in seen:
+                    continue
+                seen.add(u)
                 w = Words(data)
                 if w.n < words:
                     continue
@@ -96,7 +103,7 @@ def _suffixes(words: int, span: int):
                 pos.append(at)
                 key.append(keys[at].view(np.int64))
             if uid:
-                yield pa.RecordBatch.from_arrays([np.concatenate(uid), np.concatenate(pos).astype(np.int32), np.concatenate(key)], ["uid", "pos", "key"])
+                yield pa.RecordBatch.from_arrays([np.concatenate(uid), np.concatenate(pos).astype(np.int32), np.concatenate(key)], ["uid", "at", "key"])
 
     return run
 
@@ -128,39 +135,101 @@ def _windows(words: int, span: int, names: list[str]):
     return run
 
 
-def shared(rows: DataFrame, key: str, extra: list[str]) -> DataFrame:
-    """The rows whose key occurs in more than one document."""
-    both = rows.groupBy(key).agg(F.min("uid").alias("_a"), F.max("uid").alias("_b")).where("_a <> _b").select(key)
-    return rows.join(both, key, "left_semi").select("uid", *extra)
+def _compare(key: str, holder: str, names: list[str]):
+    """Rows sorted by key, holder and uid: those with an equal neighbour, or of a copied text, with the run's first holder,
+    whether the run has several documents, and border: 1 for rows of a run that may go on in another partition, 2 for
+    a row that only tells the next partition of such a run."""
+
+    def out(t: pa.Table, holders: pa.Array, across: np.ndarray, border: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = pa.array(np.flatnonzero(keep))
+        cols = [*[t[c].combine_chunks() for c in t.column_names], holders, pa.array(across), pa.array(border.astype(np.int32))]
+        if len(at):
+            yield from pa.table([c.take(at) for c in cols], names=names).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the partition's first key; rows of a last run of one document; key, holder and last row of one of several; the last row
+        first = rest = going = last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            # the same place of copies, found by several tasks
+            ids = np.stack([t[c].to_numpy().astype(np.int64) for c in (key, "uid", "at")])
+            new = np.concatenate([[last is None or bool((ids[:, 0] != last).any())], (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
+            last = ids[:, -1]
+            t = t.take(pa.array(np.flatnonzero(new)))
+            if not t.num_rows:
+                continue
+            if rest is not None:
+                t = pa.concat_tables([rest, t]).combine_chunks()
+            k, u = t[key].to_numpy(), t["uid"].to_numpy()
+            first = k[0] if first is None else first
+            heads = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1])
+            size = np.diff(np.append(heads, len(k)))
+            of = np.repeat(np.arange(len(heads)), size)
+            several = np.logical_or.reduceat(u != u[heads][of], heads)
+            least = t[holder].combine_chunks().take(pa.array(heads))
+            twice = size > 1
+            if going is not None and going[0] == k[0]:
+                several[0] = twice[0] = True
+                least = pa.concat_arrays([going[1], least.slice(1)])
+            done = len(k) if several[-1] else heads[-1]
+            keep = (twice[of] | t["copied"].to_numpy() | (k == first))[:done]
+            yield from out(t.slice(0, done), least.take(pa.array(of[:done])), several[of[:done]], (k == first)[:done], keep)
+            going = (k[-1], least.slice(len(heads) - 1), t.slice(len(k) - 1)) if several[-1] else None
+            rest = None if several[-1] else t.slice(done)
+        one = np.ones(1, dtype=bool)
+        if rest is not None:
+            n = np.ones(rest.num_rows, dtype=bool)
+            yield from out(rest, rest[holder].combine_chunks().take(pa.array(np.zeros(len(n), dtype=np.int64))), ~n, n, n)
+        elif going is not None:
+            yield from out(going[2], going[1], one, 2 * one, one)
+
+    return run
+
+
+def repeated(rows: DataFrame, key: str, holder: str, name: str) -> DataFrame:
+    """The rows (uid, at, key, holder, copied) whose key occurs again, or whose text is copied, with ``least``, the
+    smallest holder of the key, and ``across``, whether several documents hold it."""
+    order = [F.col(key), F.col(holder).asc_nulls_last(), F.col("uid"), F.col("at")]
+    schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder].dataType), StructField("across", BooleanType()), StructField("border", IntegerType())])
+    found = save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare(key, holder, schema.names), schema), name)
+    # runs at the ends of partitions: at most two keys a partition
+    ends = found.where("border > 0").groupBy(key).agg(F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"), F.count(F.lit(1)).alias("_n"))
+    settled = found.where("border = 1").join(F.broadcast(ends), key).where("_n > 1 or copied").withColumn("least", F.col("_least")).withColumn("across", F.col("_across"))
+    return found.where("border = 0").unionByName(settled.select(*found.columns)).drop("border")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
     """One row per passage of a document: id_col, start, end (word offsets, end exclusive), n_words of the
-    document, first_id, the smallest id of a document that holds the passage's first window, and holders, the
-    matches that make up the passage: (start, end, first_id) of the windows in a row whose smallest holder is the same."""
+    document, first_id, the smallest id of a document that holds the passage's first window, elsewhere, whether another
+    document holds a window of it, and holders, the matches that make up the passage: (start, end, first_id) of the
+    windows in a row whose smallest holder is the same."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary")
     src = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(text).alias("uid"), text.alias("data"))
     n_words = F.size(F.array_remove(F.split(F.col("data").cast("string"), r"[\x20\x09-\x0D]+"), ""))
     known = save(src.select("id", "uid", n_words.alias("n_words")), "documents")
-    kept = save(src.select("uid", "data").mapInArrow(_suffixes(words, span), "uid long, pos int, key long"), "suffixes")
-    matched = save(shared(kept, "key", ["pos"]).groupBy("uid").agg(F.collect_set("pos").alias("at")), "matched")
-    discard(kept)
     firsts = known.groupBy("uid").agg(F.min("id").alias("first_id"), (F.count(F.lit(1)) > 1).alias("copied"), F.first("n_words").alias("n_words"))
+    kept = save(src.select("uid", "data").mapInArrow(_suffixes(words, span), "uid long, at int, key long"), "suffixes")
+    again = repeated(kept.withColumn("copied", F.lit(False)), "key", "uid", "neighbours")
+    matched = save(again.groupBy("uid").agg(F.collect_list("at").alias("at")), "matched")
+    discard(kept)
     wanted = firsts.join(matched, "uid", "left").where(F.col("at").isNotNull() | (F.col("copied") & (F.col("n_words") >= words)))
     one = src.drop("id").join(wanted.drop("n_words"), "uid").groupBy("uid").agg(*[F.first(c).alias(c) for c in ("data", "at", "first_id", "copied")])
-    schema = StructType([StructField("uid", LongType()), StructField("start", IntegerType()), StructField("window", LongType()), one.schema["first_id"], one.schema["copied"]])
+    schema = StructType([StructField("uid", LongType()), StructField("at", IntegerType()), StructField("window", LongType()), one.schema["first_id"], one.schema["copied"]])
     windows = save(one.mapInArrow(_windows(words, span, schema.names), schema), "windows")
-    holders = (windows.groupBy("window").agg(F.min("uid").alias("_a"), F.max("uid").alias("_b"), F.max("copied").alias("_c"), F.min("first_id").alias("holder"))
-               .where("_a <> _b or _c").select("window", "holder"))
-    repeats = windows.join(holders, "window").select("uid", "start", "holder")
+    repeats = repeated(windows, "window", "first_id", "repeats").select(
+        "uid", F.col("at").alias("start"), F.col("least").alias("holder"), (F.col("across") | F.col("copied")).alias("across"))
     # overlapping or touching windows are one passage, those in a row with the same first holder one match of it
     order = Window.partitionBy("uid").orderBy("start")
     before = F.lag("start").over(order)
     passage = F.coalesce((F.col("start") > before + words).cast("int"), F.lit(1))
     match = F.coalesce(((F.col("start") > before + 1) | ~F.col("holder").eqNullSafe(F.lag("holder").over(order))).cast("int"), F.lit(1))
     marked = repeats.withColumn("p", passage).withColumn("m", match).withColumn("nr", F.sum("p").over(order)).withColumn("match", F.sum("m").over(order))
-    matches = marked.groupBy("uid", "nr", "match").agg(F.min("start").alias("start"), (F.max("start") + words).alias("end"), F.first("holder").alias("first_id"))
+    matches = marked.groupBy("uid", "nr", "match").agg(F.min("start").alias("start"), (F.max("start") + words).alias("end"), F.first("holder").alias("first_id"),
+                                                       F.max("across").alias("across"))
     parts = matches.groupBy("uid", "nr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("first_id", "start").alias("first_id"),
-                                             F.array_sort(F.collect_list(F.struct("start", "end", "first_id"))).alias("holders"))
+                                             F.max("across").alias("elsewhere"), F.array_sort(F.collect_list(F.struct("start", "end", "first_id"))).alias("holders"))
     parts = save(parts.drop("nr"), "passages")
-    return known.join(parts, "uid").select(F.col("id").alias(id_col), "start", "end", "n_words", "first_id", "holders")
+    discard(windows)
+    return known.join(parts, "uid").select(F.col("id").alias(id_col), "start", "end", "n_words", "first_id", "elsewhere", "holders")

@@ -379,26 +379,84 @@ def test_estimates_are_unbiased_and_bounded():
     assert not (exact & ~hit).any() and hit.sum() < 4 * exact.sum()
 
 
-def test_repeated_passages(docs, nothing):
-    rows = [r[:2] for r in corpus()]
+def brute_passages(rows):
+    """Runs of overlapping or touching 50-word windows that occur again anywhere: (id, start, end, in another row)."""
     cut = [WORD.findall(t or "") for _, t in rows]
     seen = {}
-    for (_, t), w in zip(rows, cut):
+    for n, w in enumerate(cut):
         for s in range(len(w) - 49):
-            seen.setdefault(tuple(w[s:s + 50]), []).append(t)
+            seen.setdefault(tuple(w[s:s + 50]), []).append(n)
     want = []
-    for (i, t), w in zip(rows, cut):
-        starts = [s for s in range(len(w) - 49) if len(seen[tuple(w[s:s + 50])]) > 1 and (len(set(seen[tuple(w[s:s + 50])])) > 1 or sum(x[1] == t for x in rows) > 1)]
-        for s in starts:
-            if want and want[-1][0] is i and want[-1][3] is w and s <= want[-1][2]:
-                want[-1][2] = s + 50
+    for n, ((i, _), w) in enumerate(zip(rows, cut)):
+        before = None
+        for s in (s for s in range(len(w) - 49) if len(seen[tuple(w[s:s + 50])]) > 1):
+            other = len(set(seen[tuple(w[s:s + 50])])) > 1
+            if before is not None and s <= before[2]:
+                before[2:] = [s + 50, before[3] or other]
             else:
-                want.append([i, s, s + 50, w])
-    got = suffix.repeated_passages(docs).collect()
-    assert sorted(((r.doc_id, r.start, r.end) for r in got), key=str) == sorted(((i, s, e) for i, s, e, _ in want), key=str)
+                before = [i, s, s + 50, other]
+                want.append(before)
+    return sorted(map(tuple, want), key=str)
+
+
+def told(got):
+    return sorted(((r.doc_id, r.start, r.end, r.elsewhere) for r in got.collect()), key=str)
+
+
+def test_repeated_passages(docs, nothing):
+    assert told(suffix.repeated_passages(docs)) == brute_passages([r[:2] for r in corpus()])
     assert suffix.repeated_passages(nothing).count() == 0
 
 
+def test_passages_inside_one_document(spark):
+    rng = random.Random(12)
+    x, y, z = prose(rng, 60), prose(rng, 50), prose(rng, 49)
+    rows = [(1, f"{x} {prose(rng, 20)} {x}"), (2, f"{y} {prose(rng, 80)} {y} {prose(rng, 5)} {y}"), (3, f"{z} a {z} b {z}"), (4, "to be or not " * 300),
+            (5, f"{prose(rng, 9)} {x} {prose(rng, 9)}"), (6, prose(rng, 4000))]
+    got = suffix.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = brute_passages(rows)
+    assert told(got) == want
+    assert {(i, other) for i, _, _, other in want} == {(1, True), (2, False), (4, False), (5, True)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_passages_with_partners_on_either_side(spark, seed):
+    # pieces of 10 to 40 words in random order: matches that go further left with one partner, right with another
+    rng = random.Random(seed)
+    pieces = [prose(rng, rng.randint(10, 40)) for _ in range(7)]
+    rows = [(i, " ".join(rng.choice(pieces) for _ in range(rng.randint(2, 9)))) for i in range(60)]
+    spark.conf.set("spark.sql.shuffle.partitions", "23")  # runs over the ends of many partitions
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert told(suffix.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))) == brute_passages(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_neighbours_of_runs_over_batches_and_partitions(spark):
+    # one hot key over all partitions, two in pairs, single ones; batches of three rows
+    rng = random.Random(2)
+    rows = [(7, rng.randrange(40), n, 0) for n in range(500)] + [(k, rng.randrange(40), 0, k) for k in range(100, 200)] + [(k, u, 1, k) for k in range(300, 330) for u in (k, k % 3)]
+    rows += [(k, k, n, k) for k in range(400, 420) for n in range(k % 4 + 1)]
+    rows = [(u, at, k, (u * 31) % 17 if u % 5 else None, u == 11) for k, u, at, _ in rows]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.createDataFrame(rows + rows[:50], "uid long, at int, key long, holder long, copied boolean").repartition(6)
+        got = {tuple(r) for r in suffix.repeated(frame, "key", "holder", "test").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    runs = {}
+    for r in rows:
+        runs.setdefault(r[2], set()).add(r)
+    want = {(*r, min((x[3] for x in g if x[3] is not None), default=None), len({x[0] for x in g}) > 1) for g in runs.values() for r in g if len(g) > 1 or r[4]}
+    assert got == want
+
+
 def test_licenses(spark, nothing):
     rng = random.Random(4)
     rows = [(i, "\n".join(prose(rng, 12) for _ in range(6)), 1) for i in range(60)]
