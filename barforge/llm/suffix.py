@@ -135,10 +135,10 @@ def _windows(words: int, span: int, names: list[str]):
     return run
 
 
-def _compare(key: str, holder: str, names: list[str]):
+def _compare(key: str, holder: str | None, names: list[str]):
     """Rows sorted by key, holder and uid: those with an equal neighbour, or of a copied text, with the run's first holder,
-    whether the run has several documents, and border: 1 for rows of a run that may go on in another partition, 2 for
-    a row that only tells the next partition of such a run."""
+    whether the run has several documents, and border: 1 for rows that other partitions may tell something about, 2
+    for a row that only tells others of its run.  Without a holder a row with an equal neighbour is settled."""
 
     def out(t: pa.Table, holders: pa.Array, across: np.ndarray, border: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
         at = pa.array(np.flatnonzero(keep))
@@ -146,6 +146,8 @@ def _compare(key: str, holder: str, names: list[str]):
         if len(at):
             yield from pa.table([c.take(at) for c in cols], names=names).to_batches()
 
+    column, one = holder or "uid", np.ones(1, dtype=bool)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the partition's first key; rows of a last run of one document; key, holder and last row of one of several; the last row
         first = rest = going = last = None
@@ -168,36 +170,46 @@ def _compare(key: str, holder: str, names: list[str]):
             size = np.diff(np.append(heads, len(k)))
             of = np.repeat(np.arange(len(heads)), size)
             several = np.logical_or.reduceat(u != u[heads][of], heads)
-            least = t[holder].combine_chunks().take(pa.array(heads))
+            least = t[column].combine_chunks().take(pa.array(heads))
             twice = size > 1
             if going is not None and going[0] == k[0]:
                 several[0] = twice[0] = True
                 least = pa.concat_arrays([going[1], least.slice(1)])
             done = len(k) if several[-1] else heads[-1]
-            keep = (twice[of] | t["copied"].to_numpy() | (k == first))[:done]
-            yield from out(t.slice(0, done), least.take(pa.array(of[:done])), several[of[:done]], (k == first)[:done], keep)
+            edge = k == first
+            if holder is None:
+                if done and edge[0] and twice[0]:
+                    yield from out(t.slice(0, 1), least.slice(0, 1), several[:1], 2 * one, one)
+                edge &= ~twice[of]
+            keep = (twice[of] | t["copied"].to_numpy() | edge)[:done]
+            yield from out(t.slice(0, done), least.take(pa.array(of[:done])), several[of[:done]], edge[:done], keep)
             going = (k[-1], least.slice(len(heads) - 1), t.slice(len(k) - 1)) if several[-1] else None
             rest = None if several[-1] else t.slice(done)
-        one = np.ones(1, dtype=bool)
         if rest is not None:
             n = np.ones(rest.num_rows, dtype=bool)
-            yield from out(rest, rest[holder].combine_chunks().take(pa.array(np.zeros(len(n), dtype=np.int64))), ~n, n, n)
+            held = rest[column].combine_chunks().take(pa.array(np.zeros(len(n), dtype=np.int64)))
+            settled = holder is None and len(n) > 1
+            yield from out(rest, held, ~n, n & (not settled), n)
+            if settled:
+                yield from out(rest.slice(0, 1), held.slice(0, 1), ~one, 2 * one, one)
         elif going is not None:
             yield from out(going[2], going[1], one, 2 * one, one)
 
     return run
 
 
-def repeated(rows: DataFrame, key: str, holder: str, name: str) -> DataFrame:
-    """The rows (uid, at, key, holder, copied) whose key occurs again, or whose text is copied, with ``least``, the
-    smallest holder of the key, and ``across``, whether several documents hold it."""
-    order = [F.col(key), F.col(holder).asc_nulls_last(), F.col("uid"), F.col("at")]
-    schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder].dataType), StructField("across", BooleanType()), StructField("border", IntegerType())])
+def repeated(rows: DataFrame, key: str, holder: str | None, name: str) -> DataFrame:
+    """The rows (uid, at, key, holder, copied) whose key occurs again, or whose text is copied; where a holder is named
+    with ``least``, the smallest holder of the key, and ``across``, whether several documents hold it."""
+    order = [F.col(key), *([F.col(holder).asc_nulls_last()] if holder else []), F.col("uid"), F.col("at")]
+    schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder or "uid"].dataType), StructField("across", BooleanType()), StructField("border", IntegerType())])
     found = save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare(key, holder, schema.names), schema), name)
     # runs at the ends of partitions: at most two keys a partition
-    ends = found.where("border > 0").groupBy(key).agg(F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"), F.count(F.lit(1)).alias("_n"))
-    settled = found.where("border = 1").join(F.broadcast(ends), key).where("_n > 1 or copied").withColumn("least", F.col("_least")).withColumn("across", F.col("_across"))
-    return found.where("border = 0").unionByName(settled.select(*found.columns)).drop("border")
+    place = F.struct("uid", "at")
+    ends = found.where("border > 0").groupBy(key).agg(F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"), (F.max(place) != F.min(place)).alias("_again"))
+    settled = found.where("border = 1").join(F.broadcast(ends), key).where("_again or copied").withColumn("least", F.col("_least")).withColumn("across", F.col("_across"))
+    out = found.where("border = 0").unionByName(settled.select(*found.columns)).drop("border")
+    return out if holder else out.drop("least", "across")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = MIN_WORDS, span: int = SPAN) -> DataFrame:
@@ -211,7 +223,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     known = save(src.select("id", "uid", n_words.alias("n_words")), "documents")
     firsts = known.groupBy("uid").agg(F.min("id").alias("first_id"), (F.count(F.lit(1)) > 1).alias("copied"), F.first("n_words").alias("n_words"))
     kept = save(src.select("uid", "data").mapInArrow(_suffixes(words, span), "uid long, at int, key long"), "suffixes")
-    again = repeated(kept.withColumn("copied", F.lit(False)), "key", "uid", "neighbours")
+    again = repeated(kept.withColumn("copied", F.lit(False)), "key", None, "neighbours")
     matched = save(again.groupBy("uid").agg(F.collect_list("at").alias("at")), "matched")
     discard(kept)
     wanted = firsts.join(matched, "uid", "left").where(F.col("at").isNotNull() | (F.col("copied") & (F.col("n_words") >= words)))
