@@ -21,11 +21,15 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAD, SPLIT, PART, END = "### ", ": ", "</part>", "</turn>\n"
 TRAINED = "assistant"
+#: characters of a piece and runs of a group when a loss mask is read back
+PIECE, GROUP = 512, 64
 
 
 def escape(text: Column) -> Column:
@@ -90,8 +94,38 @@ def parse_chat(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, turns))
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value worked out once, also where ``body`` uses it inside of lambda functions."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def run_starts(mask: Column) -> Column:
+    """Offset of every run of a mask: running sums over groups of runs, then inside each group."""
+    def members(g: Column) -> Column:
+        return F.transform(F.slice(mask, g * GROUP + 1, F.lit(GROUP)), lambda m: m["n_chars"])
+
+    def running(sizes: Column, base: Column) -> Column:
+        sums = F.aggregate(sizes, F.array(base), lambda x, n: F.array_append(x, F.element_at(x, -1) + n))
+        return bound(sums, lambda x: F.slice(x, F.lit(1), F.size(x) - 1))
+
+    numbers = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(mask) / GROUP).cast("int") - 1, F.lit(0)))
+    totals = F.transform(numbers, lambda g: F.aggregate(members(g), F.lit(0), lambda x, n: x + n))
+    return bound(running(totals, F.lit(0)), lambda bases: F.flatten(F.transform(bases, lambda base, g: running(members(g), base))))
+
+
 def masked_texts(formatted: Column, mask: Column) -> Column:
-    """The stretches of a formatted conversation under its loss mask, unescaped, in order."""
-    starts = F.aggregate(mask, F.array(F.lit(1)), lambda x, m: F.array_append(x, F.element_at(x, -1) + m["n_chars"]))
-    runs = F.filter(F.arrays_zip(starts.alias("start"), mask.alias("run")), lambda z: F.coalesce(z["run"]["loss"], F.lit(False)))
-    return F.transform(runs, lambda z: unescape(F.substring(formatted, z["start"], z["run"]["n_chars"])))
+    """The stretches of a formatted conversation under its loss mask, unescaped, in order.
+
+    The text is cut into pieces of ``PIECE`` characters once, so a stretch is found by its offset without reading the
+    text from its start: time grows with the conversation, not with its square.
+    """
+    runs = F.filter(F.arrays_zip(run_starts(mask).alias("start"), mask.alias("run")), lambda z: F.coalesce(z["run"]["loss"], F.lit(False)))
+
+    def stretch(pieces: Column, z: Column) -> Column:
+        start, n = z["start"], z["run"]["n_chars"]
+        first = F.floor(start / PIECE).cast("int")
+        count = F.floor((start + n) / PIECE).cast("int") - first + 1
+        return F.substring(F.array_join(F.slice(pieces, first + 1, count), ""), start - first * PIECE + 1, n)
+
+    pieces = F.regexp_extract_all(formatted, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return bound(pieces, lambda ps: F.transform(runs, lambda z: unescape(stretch(ps, z))))

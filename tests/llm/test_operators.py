@@ -268,6 +268,14 @@ def test_chat(spark):
     assert len(got) == len({r[0] for r in rows})
 
 
+def test_chat_of_many_turns(spark):
+    rng = random.Random(8)
+    rows = [(1, k, rng.choice(["user", "assistant"]), rng.choice(["", "é" * 600, "\U0001f600 ### a</", "ok\nthen", "x" * 511, "y" * 512])) for k in range(20_000)] + [(2, 0, "user", "no loss")]
+    out = chat.format_chats(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string").repartition(4))
+    got = {r.conv_id: r.loss for r in out.select("conv_id", chat.masked_texts(F.col("formatted"), F.col("loss_mask")).alias("loss")).collect()}
+    assert list(got[1]) == [x[3] for x in rows if x[0] == 1 and x[2] == "assistant"] and list(got[2]) == []
+
+
 def test_warc(spark, tmp_path):
     fake = "a\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\nWARC/1.0\r\nContent-Length: 9999\r\n\r\n"
     rows = [(1, "http://x/1", "same", 0), (2, "http://x/WARC/1.1\r\nX: y", "same", 0), (3, None, None, 0), (4, "u", "", 0), (5, "u", fake, 0),
