@@ -35,6 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from barforge.llm.common import discard, save
@@ -44,6 +45,7 @@ SPAN = 16
 SEED = 42
 #: odd multiplier of the rolling hash (fixed, any odd 64-bit number)
 BASE = 0x9E3779B97F4A7C15
+PLACES = pa.list_(pa.struct([("uid", pa.int64()), ("at", pa.int32()), ("copied", pa.bool_())]))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -136,17 +138,22 @@ def _windows(words: int, span: int, names: list[str]):
 
 
 def _compare(key: str, holder: str | None, names: list[str]):
-    """Rows sorted by key, holder and uid: those with an equal neighbour, or of a copied text, with the run's first holder,
-    whether the run has several documents, and border: 1 for rows that other partitions may tell something about, 2
-    for a row that only tells others of its run.  Without a holder a row with an equal neighbour is settled."""
-
-    def out(t: pa.Table, holders: pa.Array, across: np.ndarray, border: np.ndarray, keep: np.ndarray) -> Iterator[pa.RecordBatch]:
-        at = pa.array(np.flatnonzero(keep))
-        cols = [*[t[c].combine_chunks() for c in t.column_names], holders, pa.array(across), pa.array(border.astype(np.int32))]
-        if len(at):
-            yield from pa.table([c.take(at) for c in cols], names=names).to_batches()
-
-    column, one = holder or "uid", np.ones(1, dtype=bool)
+    """Rows sorted by key, holder and uid: those with an equal neighbour, or of a copied text, with the run's first holder and
+    whether the run has several documents.  A run about which other partitions may tell something is one row a batch,
+    border 1, its places in a list; a row that only tells others of its run has border 2.  Without a holder a row with an
+    equal neighbour is settled."""
+    column = holder or "uid"
+
+    def plain(t: pa.Table, holders: pa.Array, across: np.ndarray, border: int = 0, places: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+        n = t.num_rows
+        if n:
+            lists = pa.nulls(n, PLACES) if places is None else places
+            yield from pa.table([*[t[c].combine_chunks() for c in t.column_names], holders, pa.array(across),
+                                 pa.array(np.full(n, border, dtype=np.int32)), lists], names=names).to_batches()
+
+    def open_run(t: pa.Table, least: pa.Array, several: bool) -> Iterator[pa.RecordBatch]:
+        members = pa.StructArray.from_arrays([t[f.name].combine_chunks() for f in PLACES.value_type], fields=list(PLACES.value_type))
+        yield from plain(t.slice(0, 1), least, np.array([several]), 1, pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), members))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the partition's first key; rows of a last run of one document; key, holder and last row of one of several; the last row
@@ -175,40 +182,45 @@ def _compare(key: str, holder: str | None, names: list[str]):
             if going is not None and going[0] == k[0]:
                 several[0] = twice[0] = True
                 least = pa.concat_arrays([going[1], least.slice(1)])
-            done = len(k) if several[-1] else heads[-1]
-            edge = k == first
-            if holder is None:
-                if done and edge[0] and twice[0]:
-                    yield from out(t.slice(0, 1), least.slice(0, 1), several[:1], 2 * one, one)
-                edge &= ~twice[of]
-            keep = (twice[of] | t["copied"].to_numpy() | edge)[:done]
-            yield from out(t.slice(0, done), least.take(pa.array(of[:done])), several[of[:done]], edge[:done], keep)
+            done, begin = len(k) if several[-1] else int(heads[-1]), 0
+            if done and k[0] == first:
+                if holder is None and twice[0]:
+                    yield from plain(t.slice(0, 1), least.slice(0, 1), several[:1], 2)
+                else:
+                    begin = int(size[0])
+                    yield from open_run(t.slice(0, begin), least.slice(0, 1), bool(several[0]))
+            at = begin + np.flatnonzero((twice[of] | t["copied"].to_numpy())[begin:done])
+            yield from plain(t.take(pa.array(at)), least.take(pa.array(of[at])), several[of[at]])
             going = (k[-1], least.slice(len(heads) - 1), t.slice(len(k) - 1)) if several[-1] else None
             rest = None if several[-1] else t.slice(done)
         if rest is not None:
-            n = np.ones(rest.num_rows, dtype=bool)
-            held = rest[column].combine_chunks().take(pa.array(np.zeros(len(n), dtype=np.int64)))
-            settled = holder is None and len(n) > 1
-            yield from out(rest, held, ~n, n & (not settled), n)
-            if settled:
-                yield from out(rest.slice(0, 1), held.slice(0, 1), ~one, 2 * one, one)
+            least = rest[column].combine_chunks().slice(0, 1)
+            if holder is None and rest.num_rows > 1:
+                yield from plain(rest, least.take(pa.array(np.zeros(rest.num_rows, dtype=np.int64))), np.zeros(rest.num_rows, dtype=bool))
+                yield from plain(rest.slice(0, 1), least, np.zeros(1, dtype=bool), 2)
+            else:
+                yield from open_run(rest, least, False)
         elif going is not None:
-            yield from out(going[2], going[1], one, 2 * one, one)
+            yield from plain(going[2], going[1], np.ones(1, dtype=bool), 2)
 
     return run
 
 
 def repeated(rows: DataFrame, key: str, holder: str | None, name: str) -> DataFrame:
-    """The rows (uid, at, key, holder, copied) whose key occurs again, or whose text is copied; where a holder is named
+    """The rows (uid, at, key, copied) whose key occurs again, or whose text is copied; where a holder is named
     with ``least``, the smallest holder of the key, and ``across``, whether several documents hold it."""
     order = [F.col(key), *([F.col(holder).asc_nulls_last()] if holder else []), F.col("uid"), F.col("at")]
-    schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder or "uid"].dataType), StructField("across", BooleanType()), StructField("border", IntegerType())])
+    schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder or "uid"].dataType), StructField("across", BooleanType()),
+                         StructField("border", IntegerType()), StructField("places", from_arrow_type(PLACES))])
     found = save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare(key, holder, schema.names), schema), name)
     # runs at the ends of partitions: at most two keys a partition
     place = F.struct("uid", "at")
-    ends = found.where("border > 0").groupBy(key).agg(F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"), (F.max(place) != F.min(place)).alias("_again"))
-    settled = found.where("border = 1").join(F.broadcast(ends), key).where("_again or copied").withColumn("least", F.col("_least")).withColumn("across", F.col("_across"))
-    out = found.where("border = 0").unionByName(settled.select(*found.columns)).drop("border")
+    ends = found.where("border > 0").groupBy(key).agg(
+        F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"),
+        ((F.max(place) != F.min(place)) | (F.coalesce(F.max(F.size("places")), F.lit(0)) > 1)).alias("_again"))
+    settled = (found.where("border = 1").select(key, "places").join(F.broadcast(ends), key).select("*", F.explode("places").alias("_p"))
+               .where("_again or _p.copied").select("_p.uid", "_p.at", key, "_p.copied", F.col("_least").alias("least"), F.col("_across").alias("across")))
+    out = found.where("border = 0").select("uid", "at", key, "copied", "least", "across").unionByName(settled)
     return out if holder else out.drop("least", "across")
 
 
