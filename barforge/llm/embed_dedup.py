@@ -66,6 +66,11 @@ def certainty(pairs: int, miss: float = MISS, lost: float = LOST) -> tuple[float
     return min(miss, each), max(Z, math.sqrt(2 * math.log(2 / each)))  # a pair has a bound from either side
 
 
+def near_one(x: np.ndarray) -> np.ndarray:
+    """Vectors scaled by powers of two, which rounds nothing, so that no square overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -136,6 +141,7 @@ def _links(threshold: float, seed: int, z: float = Z):
                 first = (table[i] == table[j]).argmax(axis=1) == g["t"][0]
                 i, j = i[first], j[first]
             if len(i):
+                x = near_one(x)
                 norm = np.linalg.norm(x, axis=1)
                 cosine = np.einsum("ij,ij->i", x[i], x[j]) / (norm[i] * norm[j])
                 i, j = i[cosine >= threshold], j[cosine >= threshold]

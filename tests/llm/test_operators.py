@@ -359,6 +359,15 @@ def test_embeddings(spark):
     assert embed_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_embeddings_of_any_size(spark):
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(16)
+    near = base + 0.01 * rng.standard_normal(16)
+    rows = [(1, 0, (base * 1e200).tolist()), (2, 0, (near * 1e-200).tolist()), (3, 0, near.tolist()), (4, 0, (-base * 1e300).tolist()), (5, 1, base.tolist())]
+    got = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4), (5, 0, 5)]
+
+
 def test_expected_lost_links_stay_below_one():
     p = 1 - np.arccos(0.98) / np.pi
     for n in (1, 1000, 10 ** 6, 10 ** 10):
