@@ -35,7 +35,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import BooleanType, IntegerType, LongType, StructField, StructType
 
 from barforge.llm.common import discard, save
@@ -45,7 +44,6 @@ SPAN = 16
 SEED = 42
 #: odd multiplier of the rolling hash (fixed, any odd 64-bit number)
 BASE = 0x9E3779B97F4A7C15
-PLACES = pa.list_(pa.struct([("uid", pa.int64()), ("at", pa.int32()), ("copied", pa.bool_())]))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -139,21 +137,18 @@ def _windows(words: int, span: int, names: list[str]):
 
 def _compare(key: str, holder: str | None, names: list[str]):
     """Rows sorted by key, holder and uid: those with an equal neighbour, or of a copied text, with the run's first holder and
-    whether the run has several documents.  A run about which other partitions may tell something is one row a batch,
-    border 1, its places in a list; a row that only tells others of its run has border 2.  Without a holder a row with an
-    equal neighbour is settled."""
+    whether the run has several documents.  Rows of a run about which other partitions may tell something have border 1, a
+    row that only tells others of its run has border 2.  Without a holder a row with an equal neighbour is settled."""
     column = holder or "uid"
 
-    def plain(t: pa.Table, holders: pa.Array, across: np.ndarray, border: int = 0, places: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+    def plain(t: pa.Table, holders: pa.Array, across: np.ndarray, border: int = 0) -> Iterator[pa.RecordBatch]:
         n = t.num_rows
         if n:
-            lists = pa.nulls(n, PLACES) if places is None else places
             yield from pa.table([*[t[c].combine_chunks() for c in t.column_names], holders, pa.array(across),
-                                 pa.array(np.full(n, border, dtype=np.int32)), lists], names=names).to_batches()
+                                 pa.array(np.full(n, border, dtype=np.int32))], names=names).to_batches()
 
     def open_run(t: pa.Table, least: pa.Array, several: bool) -> Iterator[pa.RecordBatch]:
-        members = pa.StructArray.from_arrays([t[f.name].combine_chunks() for f in PLACES.value_type], fields=list(PLACES.value_type))
-        yield from plain(t.slice(0, 1), least, np.array([several]), 1, pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), members))
+        yield from plain(t, least.take(pa.array(np.zeros(t.num_rows, dtype=np.int64))), np.full(t.num_rows, several), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the partition's first key; rows of a last run of one document; key, holder and last row of one of several; the last row
@@ -211,16 +206,16 @@ def repeated(rows: DataFrame, key: str, holder: str | None, name: str) -> DataFr
     with ``least``, the smallest holder of the key, and ``across``, whether several documents hold it."""
     order = [F.col(key), *([F.col(holder).asc_nulls_last()] if holder else []), F.col("uid"), F.col("at")]
     schema = StructType([*rows.schema.fields, StructField("least", rows.schema[holder or "uid"].dataType), StructField("across", BooleanType()),
-                         StructField("border", IntegerType()), StructField("places", from_arrow_type(PLACES))])
+                         StructField("border", IntegerType())])
     found = save(rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_compare(key, holder, schema.names), schema), name)
-    # runs at the ends of partitions: at most two keys a partition
-    place = F.struct("uid", "at")
+    # runs at the ends of partitions: at most two keys a partition, one row of totals each
     ends = found.where("border > 0").groupBy(key).agg(
-        F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"),
-        ((F.max(place) != F.min(place)) | (F.coalesce(F.max(F.size("places")), F.lit(0)) > 1)).alias("_again"))
-    settled = (found.where("border = 1").select(key, "places").join(F.broadcast(ends), key).select("*", F.explode("places").alias("_p"))
-               .where("_again or _p.copied").select("_p.uid", "_p.at", key, "_p.copied", F.col("_least").alias("least"), F.col("_across").alias("across")))
-    out = found.where("border = 0").select("uid", "at", key, "copied", "least", "across").unionByName(settled)
+        F.min("least").alias("_least"), (F.max("across") | (F.min("uid") != F.max("uid"))).alias("_across"), (F.count(F.lit(1)) > 1).alias("_again"))
+    # every row meets the totals of its key at most once, so as many rows leave the join as enter it
+    undecided = F.col("border") == 1
+    out = (found.where("border < 2").join(F.broadcast(ends), key, "left").where(~undecided | F.col("_again") | F.col("copied"))
+           .select("uid", "at", key, "copied", F.when(undecided, F.col("_least")).otherwise(F.col("least")).alias("least"),
+                   F.when(undecided, F.col("_across")).otherwise(F.col("across")).alias("across")))
     return out if holder else out.drop("least", "across")
 
 

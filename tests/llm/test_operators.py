@@ -476,6 +476,28 @@ def test_neighbours_of_runs_over_batches_and_partitions(spark):
     assert plain == sorted(r[:4] for r in want)
 
 
+def test_runs_over_partitions_are_settled_row_by_row(spark):
+    # a key over all partitions: its places are stored one a row and none is made again when the run is settled
+    rows = [(u, at, 7, u % 5, False) for u in range(60) for at in range(40)] + [(u, 0, u, u, False) for u in range(100, 150)]
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.createDataFrame(rows, "uid long, at int, key long, holder long, copied boolean").repartition(6)
+        got = suffix.repeated(frame, "key", "holder", "test")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        settled = sorted(tuple(r) for r in got.select("uid", "at", "key", "copied", "least", "across").collect())
+        stored = spark.read.parquet(got.inputFiles()[0].rpartition("/")[0])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert settled == sorted((*r[:3], False, 0, True) for r in rows if r[2] == 7)
+    assert "Generate" not in plan
+    assert not [f.name for f in stored.schema if f.dataType.typeName() == "array"]
+    told = stored.where("border < 2").groupBy("uid", "at", "key").count()
+    assert told.where("count > 1").count() == 0 and told.where("key = 7").count() == 2400
+    assert stored.where("border = 1 and key = 7").count() > 1000
+
+
 def test_licenses(spark, nothing):
     rng = random.Random(4)
     rows = [(i, "\n".join(prose(rng, 12) for _ in range(6)), 1) for i in range(60)]
